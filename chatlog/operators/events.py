@@ -14,6 +14,7 @@ from chatlog.functions.reasoning import cut_at_open, has_tool_marker, tool_marke
 from chatlog.functions.text import as_col, before_position, drop_nuls, from_position, locate, trim, trim_start
 from chatlog.operators.scan import block_scan, blocks_of, ordered_concat
 from chatlog.operators.skew import salted_join
+from chatlog.session import settled
 
 BLOCK_ROWS = 4096
 USAGE = {
@@ -250,7 +251,8 @@ def early_cut(chunks: DataFrame) -> DataFrame:
     placed = block_scan(
         pieces.select("response_id", "seq", "past", F.length("answer").alias("chars")),
         ["response_id"], ["seq"], blocks_of("seq", BLOCK_ROWS), sums={"upto": F.col("chars")},
-    ).filter("past")
+    )
+    placed = settled(placed).filter("past")
     met = salted_join(placed, marks, ["response_id"], spread_by="seq", how="inner")
     opening = met.groupBy("response_id").agg(
         F.min(F.when(F.col("upto") >= F.col("open_end"), F.col("seq"))).alias("opening")

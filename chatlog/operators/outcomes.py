@@ -8,6 +8,7 @@ from chatlog import fixed
 from chatlog.functions.text import as_col
 from chatlog.operators.changes import apply_changes
 from chatlog.operators.scan import block_scan, time_blocks
+from chatlog.session import settled
 
 
 def outcome_type(status) -> Column:
@@ -98,14 +99,16 @@ def account_state_history(outcomes: DataFrame, patches: DataFrame | None = None)
     if patches is not None:
         changes = changes.unionByName(patches, allowMissingColumns=True)
     flat = changes.select("id", F.col("seq.at").alias("at"), F.col("seq.tie").alias("tie"), "is_active", "banned_status")
-    state = block_scan(
+    columns = {"active": F.col("is_active"), "banned": F.col("banned_status")}
+    run = block_scan(
         flat, ["id"], ["at", "tie"], time_blocks("at"),
-        lasts={"now_active": F.col("is_active"), "now_banned": F.col("banned_status")},
-    ).select("id", "at", "tie", F.struct("now_active", "now_banned").alias("state"))
-    steps = block_scan(state, ["id"], ["at", "tie"], time_blocks("at"), lags={"before": F.col("state")})
-    steps = steps.filter(~F.col("before").eqNullSafe(F.col("state")))
+        lasts=columns, lasts_before={f"{c}_before": v for c, v in columns.items()}, lags={"earlier": F.lit(1)},
+    )
+    same = F.col("active").eqNullSafe(F.col("active_before")) & F.col("banned").eqNullSafe(F.col("banned_before"))
+    steps = run.filter(F.col("earlier").isNull() | ~same).select("id", "at", "tie", "active", "banned")
+    steps = settled(steps)
     spans = block_scan(steps, ["id"], ["at", "tie"], time_blocks("at"), leads={"valid_to": F.col("at")})
     return spans.select(
         "id", F.col("at").alias("valid_from"), "valid_to",
-        F.col("state.now_active").alias("is_active"), F.col("state.now_banned").alias("banned_status"),
+        F.col("active").alias("is_active"), F.col("banned").alias("banned_status"),
     )

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from chatlog import fixed
 from chatlog.operators.scan import block_scan
+from chatlog.session import settled
 
 # Keys with at most this many requests are folded in one group.
 GATHER = 10_000
@@ -129,14 +130,18 @@ def session_starts(
     tokens: str,
     limit: int,
     block: Column,
+    breaks: Column | None = None,
     gather: int = GATHER,
     cells: int | None = None,
 ) -> DataFrame:
     """Requests with `used_before` and `starts`: a new session begins at this request.
 
-    The first request of a key starts one; after that a request does if the tokens
-    of its session before it exceed `limit`. Null tokens count as none. Keys with at
-    most `gather` requests are folded whole, longer ones by stretches.
+    The first request of a key starts one, as does any for which `breaks` holds; after
+    that a request does if the tokens of its session before it exceed `limit`. Null
+    tokens count as none. Keys with at most `gather` requests are folded whole, longer
+    ones by stretches.
+
+    A break adds a whole cell to q, so that no session reaches over it.
     """
     if limit < 0:
         raise ValueError("limit must not be negative")
@@ -144,14 +149,23 @@ def session_starts(
     # A stretch holds at most one point per token, which bounds its task's memory.
     cells = cells or max(1, STRETCH_POINTS // width)
     own = F.coalesce(F.col(tokens), F.lit(0)).cast("bigint")
+    forced = F.lit(False) if breaks is None else F.coalesce(breaks, F.lit(False))
     run = block_scan(
-        requests, keys, order, block,
-        sums={"_upto": own}, lags={"_earlier": F.lit(1)},
+        requests.withColumn("_forced", forced), keys, order, block,
+        sums={"_upto": own, "_breaks": F.col("_forced").cast("bigint")}, lags={"_earlier": F.lit(1)},
         totals={"_tokens": own, "_requests": F.lit(1)},
-    ).withColumn("q", F.col("_upto") - own)
-    # Keys within the limit are one session. Of requests with equal q the first can start.
-    over = run.filter(F.col("_tokens") > limit)
-    points = over.groupBy(*keys, "q", "_requests").agg(F.min(F.struct(*order)).alias("_at"))
+    )
+    run = run.withColumns({
+        "used_before": F.col("_upto") - own,
+        "q": F.col("_upto") - own + F.col("_breaks") * width,
+        "_forced": F.col("_forced") | F.col("_earlier").isNull(),
+    })
+    run = settled(run.drop("_upto", "_breaks", "_earlier"))
+    # Without more tokens than the limit only breaks start sessions. Of requests with
+    # equal q the first can start one.
+    points = run.filter(F.col("_tokens") > limit).groupBy(*keys, "q", "_requests").agg(
+        F.min(F.struct(*order)).alias("_at")
+    )
     narrow = points.select(*keys, "q", "_requests")
     starts = _gathered_starts(narrow.filter(F.col("_requests") <= gather), keys, width).unionByName(
         _stretched_starts(narrow.filter(F.col("_requests") > gather).drop("_requests"), keys, width, cells)
@@ -160,8 +174,7 @@ def session_starts(
     marked = marked.select(*keys, F.col("_at.*"), F.lit(True).alias("_marked"))
     joined = run.join(marked, [*keys, *order], "left")
     return joined.select(
-        *requests.columns, F.col("q").alias("used_before"),
-        (F.col("_earlier").isNull() | F.col("_marked").isNotNull()).alias("starts"),
+        *requests.columns, "used_before", (F.col("_forced") | F.col("_marked").isNotNull()).alias("starts")
     )
 
 
@@ -172,19 +185,22 @@ def session_rollover(
     tokens: str,
     block: Column,
     limit: int = fixed.SESSION_TOKEN_LIMIT,
+    breaks: Column | None = None,
     gather: int = GATHER,
     cells: int | None = None,
 ) -> DataFrame:
-    """Add `generation` (0, 1, ... per key) and `session_tokens` (up to and with the request)."""
-    marked = session_starts(requests, keys, order, tokens, limit, block, gather, cells)
+    """Add `generation` (0, 1, ... per key), `session_tokens` (up to and with the request)
+    and `starts`."""
+    marked = settled(session_starts(requests, keys, order, tokens, limit, block, breaks, gather, cells))
     start = F.col("starts")
     own = F.coalesce(F.col(tokens), F.lit(0))
     run = block_scan(
         marked, keys, order, block,
-        sums={"_number": start.cast("int")}, lasts={"_base": F.when(start, F.col("used_before"))},
+        sums={"_number": start.cast("bigint")}, lasts={"_base": F.when(start, F.col("used_before"))},
     )
     return run.select(
         *requests.columns,
-        (F.col("_number") - 1).cast("int").alias("generation"),
+        (F.col("_number") - 1).alias("generation"),
         (F.col("used_before") + own - F.col("_base")).cast("bigint").alias("session_tokens"),
+        "starts",
     )

@@ -22,26 +22,29 @@ def block_scan(
     block: Column,
     sums: dict[str, Column] | None = None,
     lasts: dict[str, Column] | None = None,
+    lasts_before: dict[str, Column] | None = None,
     lags: dict[str, Column] | None = None,
     leads: dict[str, Column] | None = None,
     totals: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Add ordered per-key columns to `df`.
 
-    sums: inclusive running sum. lasts: last non-null value so far (current row
-    included). lags / leads: value of the previous / next row. totals: sum over the
+    sums: inclusive running sum. lasts: last non-null value so far, the current row
+    included; lasts_before: without it. lags / leads: value of the previous / next row. totals: sum over the
     whole key. `order` must be a total order within a key, `block` a non-null
-    expression that never falls along it, and `keys` non-null.
+    expression that never falls along it, and `keys` non-null. The input is read
+    twice, once for the block summaries; `settled` cuts chains of scans.
     """
-    sums, lasts, lags, leads, totals = (dict(x or {}) for x in (sums, lasts, lags, leads, totals))
-    inputs = {f"_in_{name}": as_col(c) for group in (sums, lasts, lags, leads, totals) for name, c in group.items()}
+    groups = [dict(x or {}) for x in (sums, lasts, lasts_before, lags, leads, totals)]
+    sums, lasts, lasts_before, lags, leads, totals = groups
+    inputs = {f"_in_{name}": as_col(c) for group in groups for name, c in group.items()}
     rows = df.withColumns({BLOCK: block, **inputs})
     at = F.struct(*order)
 
     summary = {}
     for name in [*sums, *totals]:
         summary[f"_b_{name}"] = F.sum(f"_in_{name}")
-    for name in lasts:
+    for name in [*lasts, *lasts_before]:
         value = F.col(f"_in_{name}")
         summary[f"_b_{name}"] = F.max_by(value, F.when(value.isNotNull(), at))
     for name in lags:
@@ -57,7 +60,7 @@ def block_scan(
         carry[name] = F.sum(f"_b_{name}").over(earlier)
     for name in totals:
         carry[name] = F.sum(f"_b_{name}").over(Window.partitionBy(*keys))
-    for name in lasts:
+    for name in [*lasts, *lasts_before]:
         carry[name] = F.last(f"_b_{name}", ignorenulls=True).over(earlier)
     for name in lags:
         carry[name] = F.lag(f"_b_{name}").over(over_blocks)[f"_in_{name}"]
@@ -75,6 +78,9 @@ def block_scan(
         out[name] = F.col(f"_c_{name}")
     for name in lasts:
         out[name] = F.coalesce(F.last(f"_in_{name}", ignorenulls=True).over(so_far), F.col(f"_c_{name}"))
+    for name in lasts_before:
+        before = F.last(f"_in_{name}", ignorenulls=True).over(within.rowsBetween(Window.unboundedPreceding, -1))
+        out[name] = F.coalesce(before, F.col(f"_c_{name}"))
     for name in lags:
         first = F.row_number().over(within) == 1
         out[name] = F.when(first, F.col(f"_c_{name}")).otherwise(F.lag(f"_in_{name}").over(within))

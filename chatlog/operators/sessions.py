@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from chatlog import fixed
 from chatlog.functions.digest import LANES, digest_lane, list_digest, message_digest
-from chatlog.operators.rollover import session_starts
+from chatlog.operators.rollover import session_rollover
 from chatlog.operators.scan import block_scan, blocks_of
+from chatlog.session import settled
 
 KEYS = ["account_id", "client_session_id"]
 TURN_BLOCK = 1024
@@ -55,14 +56,15 @@ def session_continuity(
     if mode not in ("strict", "append"):
         raise ValueError(f"mode must be 'strict' or 'append', not {mode!r}")
     block = blocks_of("request_id", REQUEST_BLOCK) if block is None else block
-    hashes = history_hash(conv)
+    hashes = settled(history_hash(conv)) if mode == "append" else history_hash(conv)
     rows = requests.join(hashes, ["conv_id", "turn"])
     used = F.col("prompt_tokens").isNotNull()
     left = F.struct(
         F.when(used, F.col("list_hash")).otherwise(F.col("history_hash")).alias("hash"),
         F.when(used, F.col("n_messages")).otherwise(F.col("n_messages") - 1).alias("n"),
     )
-    rows = block_scan(rows, KEYS, ["request_id"], block, lags={"_left": left})
+    # Narrow rows: ids, counts and hashes, read again by every later pass.
+    rows = block_scan(settled(rows), KEYS, ["request_id"], block, lags={"_left": left})
     columns = [*requests.columns, "n_messages", "list_hash", "history_hash"]
     stored, history = F.col("_left.hash"), F.col("n_messages") - 1
     if mode == "strict":
@@ -84,28 +86,20 @@ def session_history(
 ) -> DataFrame:
     """Requests with `reused`, `generation` (per key) and `session_tokens`.
 
-    A request that does not match begins a new session whatever the tokens, so keys
-    fall apart into runs of matching requests, and the token limit is applied per run.
+    A request that does not match begins a new session whatever the tokens; one that
+    does still begins one after the token limit.
     """
     block = blocks_of("request_id", REQUEST_BLOCK) if block is None else block
     checked = session_continuity(requests, conv, mode, block)
-    runs = block_scan(checked, KEYS, ["request_id"], block, sums={"run": (~F.col("matches")).cast("bigint")})
-    marked = session_starts(runs, [*KEYS, "run"], ["request_id"], "prompt_tokens", limit, block)
-    start = F.col("starts")
-    out = block_scan(
-        marked, KEYS, ["request_id"], block,
-        sums={"_number": start.cast("bigint")}, lasts={"_base": F.when(start, F.col("used_before"))},
-    )
-    own = F.coalesce("prompt_tokens", F.lit(0))
-    return out.select(
-        *[c for c in checked.columns if c != "matches"],
-        (~start).alias("reused"), (F.col("_number") - 1).alias("generation"),
-        (F.col("used_before") + own - F.col("_base")).cast("bigint").alias("session_tokens"),
+    run = session_rollover(
+        checked, KEYS, ["request_id"], "prompt_tokens", block, limit, breaks=~F.col("matches")
     )
+    return run.withColumn("reused", ~F.col("starts")).drop("matches", "starts")
 
 
 def session_snapshot(history: DataFrame) -> DataFrame:
     """One row per session; only the last generation of a key is live."""
+    history = settled(history)
     by_session = history.groupBy(*KEYS, "generation").agg(
         F.count("*").alias("requests"),
         F.coalesce(F.sum("prompt_tokens"), F.lit(0)).alias("prompt_tokens"),

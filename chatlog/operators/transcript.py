@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from chatlog import fixed
 from chatlog.operators.scan import block_scan, blocks_of, ordered_concat
+from chatlog.session import settled
 
 TURN_BLOCK = 1024
 
@@ -156,6 +157,7 @@ def replay_lengths(
             "lines": count_of(~F.col("is_sys"), F.col("line") + 1),
         },
     )
+    run = settled(run)
     users = run.filter("role = 'user'").withColumn("oldest", F.greatest(F.col("seen") - n, F.lit(0)))
     before = run.filter("role <> 'system'").select(
         "conv_id", F.col("seen").alias("oldest"), F.col("lines").alias("lines_before")

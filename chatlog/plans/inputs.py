@@ -141,7 +141,7 @@ SELECT conv_id * 100 + turn AS req_id, (conv_id + turn) % 5 AS kind, CASE (conv_
   WHEN 1 THEN concat('{{"thinking":{{"type":"enabled"}},"messages":[{{"role":"user","content":[{{"type":"text","text":', {body}, '}},{{"type":"image"}},{{"type":"text","text":"b"}}]}},{{"role":"assistant","content":""}}]}}')
   WHEN 2 THEN concat('{{"stream":true,"tools":[{{"name":"f"}}],"messages":[{{"role":"assistant","content":[{{"type":"tool_use","name":"f","input":{{"x":', conv_id, ',"a":', {body}, '}}}}]}},{{"role":"user","content":[{{"type":"tool_result","content":', {body}, '}}]}}]}}')
   WHEN 3 THEN concat('{{"reasoning_effort":"high","system":[{{"type":"text","text":"no"}}],"messages":[{{"role":"user","content":[{{"type":"tool_result","content":[{{"type":"text","text":', {body}, '}},{{"type":"image"}},{{"type":"text","text":"v"}}]}}]}}]}}')
-  ELSE concat('{{"top_p":0.5,"web_search":"auto","messages":[{{"role":"user","content":"[1]"}},{{"role":"user","content":', {body}, '}}') END AS body
+  ELSE concat('{{"top_p":0.5,"web_search":"auto","messages":[{{"role":"user","content":"[1]"}},{{"role":"user","content":', {body}, '}}]}}') END AS body
 FROM conversations""",
         "tool_defs": f"""
 SELECT p_brand AS brand, p_partkey AS def_id, CASE p_partkey % 3

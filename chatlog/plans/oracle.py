@@ -78,18 +78,18 @@ SQL["least_busy_account"] = f"""
 WITH {BUSY} SELECT id, alias, active_requests FROM busy WHERE is_active ORDER BY active_requests, id LIMIT 1"""
 SWEEP = f"""
 points AS (
-  SELECT account_id, {STARTED} AS at, 1 AS step FROM request_logs WHERE duration_ms > 0
+  SELECT account_id, {STARTED} AS moment, 1 AS step FROM request_logs WHERE duration_ms > 0
   UNION ALL SELECT account_id, created_at, -1 FROM request_logs WHERE duration_ms > 0),
-net AS (SELECT account_id, at, sum(step) AS step FROM points GROUP BY ALL),
+net AS (SELECT account_id, moment, sum(step) AS step FROM points GROUP BY ALL),
 swept AS (
-  SELECT account_id, at, CAST(sum(step) OVER w AS BIGINT) AS in_flight, lead(at) OVER w AS until
-  FROM net WINDOW w AS (PARTITION BY account_id ORDER BY at))"""
+  SELECT account_id, moment, CAST(sum(step) OVER w AS BIGINT) AS in_flight, lead(moment) OVER w AS until
+  FROM net WINDOW w AS (PARTITION BY account_id ORDER BY moment))"""
 SQL["concurrency_profile"] = f"""
-WITH {SWEEP} SELECT account_id, epoch_us(at) AS at_us, in_flight FROM swept"""
+WITH {SWEEP} SELECT account_id, epoch_us(moment) AS at_us, in_flight FROM swept"""
 SQL["concurrency_peaks"] = f"""
 WITH {SWEEP}
 SELECT account_id, max(in_flight) AS max_in_flight,
-       CAST(coalesce(sum(epoch_us(until) - epoch_us(at)) FILTER (WHERE in_flight >= 5), 0) AS BIGINT) AS us_at_cap,
+       CAST(coalesce(sum(epoch_us(until) - epoch_us(moment)) FILTER (WHERE in_flight >= 5), 0) AS BIGINT) AS us_at_cap,
        count(*) FILTER (WHERE in_flight >= 5) AS points_at_cap
 FROM swept GROUP BY account_id"""
 SQL["resolved_models"] = """
@@ -169,11 +169,11 @@ SQL["replay_savings"] = f"""
 WITH reqs AS (
   SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS nth FROM conversations WHERE role = 'user'),
 msgs AS (
-  SELECT q.conv_id, q.turn AS at, q.nth, c.turn, c.role, c.text,
+  SELECT q.conv_id, q.turn AS upto, q.nth, c.turn, c.role, c.text,
          row_number() OVER (PARTITION BY q.conv_id, q.turn, c.role = 'system' ORDER BY c.turn DESC) AS from_end
   FROM reqs q JOIN conversations c ON c.conv_id = q.conv_id AND c.turn <= q.turn),
 parts AS (
-  SELECT conv_id, at, nth, string_agg(text, chr(10) ORDER BY turn) FILTER (WHERE role = 'system') AS sys,
+  SELECT conv_id, upto, nth, string_agg(text, chr(10) ORDER BY turn) FILTER (WHERE role = 'system') AS sys,
          string_agg(role || ': ' || text, chr(10) ORDER BY turn) FILTER (WHERE role <> 'system' AND from_end BETWEEN 2 AND 4) AS hist,
          any_value(text) FILTER (WHERE role <> 'system' AND from_end = 1) AS cur
   FROM msgs GROUP BY ALL),
@@ -248,7 +248,7 @@ fold AS (
 
 SQL["session_rollover"] = f"""
 WITH RECURSIVE {_folded("requests", "true")}
-SELECT request_id, account_id, client_session_id, CAST(generation AS INT) AS generation, session_tokens FROM fold"""
+SELECT request_id, account_id, client_session_id, generation, session_tokens FROM fold"""
 SQL["session_history"] = f"""
 WITH RECURSIVE {CONTINUITY}, {_folded("checked", "appends")}
 SELECT request_id, reused, generation, session_tokens FROM fold"""
@@ -349,9 +349,9 @@ SQL["reasoning_stripped"] = f"""
 WITH closed AS (SELECT response_id, {_without_closed('text')} AS t FROM responses)
 SELECT response_id, ltrim({_cut_open('t')}, {WS}) AS cut, ltrim(t, {WS}) AS kept FROM closed"""
 SQL["tool_marker_split"] = f"""
-WITH at AS (SELECT *, {_marker('text')} AS p FROM responses)
+WITH marked AS (SELECT *, {_marker('text')} AS p FROM responses)
 SELECT response_id, CASE WHEN p > 0 THEN substr(text, 1, p - 1) ELSE text END AS answer,
-       CASE WHEN p > 0 THEN substr(text, p) ELSE '' END AS tool_buffer, p > 0 AS has_marker FROM at"""
+       CASE WHEN p > 0 THEN substr(text, p) ELSE '' END AS tool_buffer, p > 0 AS has_marker FROM marked"""
 BLOCKS = f"""
 answers AS (SELECT response_id, {_split('text')} FROM responses),
 blocks AS (

@@ -58,8 +58,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/chatlog-{label}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df):
-    """`df` cut off from its lineage by a reliable checkpoint in the shared folder."""
+def settled(df):
+    """`df` computed once and kept by a reliable checkpoint in the shared folder.
+
+    For narrow tables that several branches of an operator read: without it each
+    level of a multi-pass operator would compute the level below it twice.
+    """
     spark = df.sparkSession
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_dir(spark))

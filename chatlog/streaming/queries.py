@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from chatlog import fixed
-from chatlog.session import scratch_path
+from chatlog.session import options, scratch_path
 from chatlog.streaming.readers import CutReader, InOrder, LineReader, SegmentReader
 
 PATIENCE_MS = 60 * 60 * 1000
@@ -218,8 +218,13 @@ def latest_rows(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
 
 
 def drain(stream: DataFrame, label: str) -> DataFrame:
-    """Run a streaming DataFrame over all its input and read back what it appended."""
+    """Run a streaming DataFrame over all its input and read back what it appended.
+
+    Micro-batches without data only serve timers, which do not matter to a run that
+    ends with its input; without them it does end.
+    """
     spark = stream.sparkSession
     path = scratch_path(spark, label)
-    write_stream(stream, f"{path}/out", f"{path}/checkpoint").awaitTermination()
+    with options(spark, {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}):
+        write_stream(stream, f"{path}/out", f"{path}/checkpoint").awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{path}/out")
