@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 from chatlog.functions.text import as_col, trim
@@ -18,8 +20,17 @@ def strict_json(c) -> Column:
     """
     c = as_col(c)
     wrapped = F.try_parse_json(F.concat(F.lit("["), c, F.lit(',"\\u0001end\\u0001"]')))
-    closed = F.try_variant_get(wrapped, "$[1]", "string") == F.lit(_END)
-    return F.when(closed & ~F.contains(c, F.lit(_END)), F.try_variant_get(wrapped, "$[0]", "variant"))
+
+    def first(w: Column) -> Column:
+        closed = F.try_variant_get(w, "$[1]", "string") == F.lit(_END)
+        return F.when(closed, F.try_variant_get(w, "$[0]", "variant"))
+
+    return F.when(~F.contains(c, F.lit(_END)), once(wrapped, first))
+
+
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with `value` computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def present(v: Column) -> Column:
@@ -38,14 +49,14 @@ def quoted(c) -> Column:
 
 def decode_argument(c) -> Column:
     """Tool argument text as JSON text: its JSON value if it is one, else a string."""
-    text = trim(c)
-    return F.coalesce(F.to_json(strict_json(text)), quoted(text))
+    return once(trim(c), lambda text: F.coalesce(F.to_json(strict_json(text)), quoted(text)))
 
 
 def object_text(entries: Column) -> Column:
     """Canonical JSON object from ARRAY<STRUCT<key, value>> (value: JSON text).
 
-    Keys are sorted; of a repeated key the last value stays.
+    Keys are sorted; of a repeated key the last value stays. `entries` is used per
+    key, so it should be a column or a lambda variable.
     """
     keys = F.array_sort(F.array_distinct(F.transform(entries, lambda e: e["key"])))
 

@@ -114,17 +114,24 @@ def _markup_call(block: Column, tag_mode: str) -> Column:
     return F.struct(name.alias("name"), args.alias("args"))
 
 
-def _block_call(block: Column, tag_mode: str) -> Column:
-    """One call from STRUCT<body, dialect, json>."""
+def _read_block(block: Column, tag_mode: str) -> Column:
+    """STRUCT<dialect, name, args, json_args> from STRUCT<body, dialect, json>."""
     is_json = block["dialect"] == "json"
-    json_args = _json_args(block["json"])
     markup = _markup_call(block, tag_mode)
-    args = F.when(is_json, _object_entries(json_args)).otherwise(markup["args"])
     return F.struct(
         block["dialect"].alias("dialect"),
         F.when(is_json, _json_name(block["json"])).otherwise(markup["name"]).alias("name"),
-        args.alias("args"),
-        F.when(is_json, json_args).otherwise(object_text(args)).alias("arguments_json"),
+        markup["args"].alias("args"),
+        F.when(is_json, _json_args(block["json"])).alias("json_args"),
+    )
+
+
+def _call(read: Column) -> Column:
+    is_json = read["dialect"] == "json"
+    return F.struct(
+        read["dialect"].alias("dialect"), read["name"].alias("name"),
+        F.when(is_json, _object_entries(read["json_args"])).otherwise(read["args"]).alias("args"),
+        F.when(is_json, read["json_args"]).otherwise(object_text(read["args"])).alias("arguments_json"),
     )
 
 
@@ -142,8 +149,9 @@ def _block_calls(text: Column, tag_mode: str) -> Column:
             F.when(b["dialect"] == "json", strict_json(b["body"])).alias("json"),
         ),
     )
-    calls = F.transform(blocks, lambda b: _block_call(b, tag_mode))
-    return F.filter(calls, lambda c: c["name"].isNotNull())
+    # One step per transform: later steps use the values of earlier ones as variables.
+    read = F.transform(blocks, lambda b: _read_block(b, tag_mode))
+    return F.transform(F.filter(read, lambda c: c["name"].isNotNull()), _call)
 
 
 def _invoke_calls(text: Column) -> Column:

@@ -58,24 +58,29 @@ def chunk_columns(event: Column, data: Column) -> dict[str, Column]:
 
 def carry_event_name(lines: DataFrame) -> DataFrame:
     """Add `event`: the name of the last event line so far; blank lines do not reset it."""
-    trimmed = lines.withColumn("_line", trim("line"))
-    named = block_scan(
-        trimmed, ["response_id"], ["line_no"], blocks_of("line_no", BLOCK_ROWS),
-        lasts={"event": event_name(F.col("_line"))},
+    return block_scan(
+        lines, ["response_id"], ["line_no"], blocks_of("line_no", BLOCK_ROWS),
+        lasts={"event": event_name(trim("line"))},
     )
-    return named.drop("_line")
 
 
 def parse_event_stream(lines: DataFrame) -> DataFrame:
     """Chunks of event lines; malformed data and unknown events are skipped."""
-    data_line = trim("line")
-    named = carry_event_name(lines).filter(F.startswith(data_line, F.lit("data:")))
-    data = strict_json(trim(F.substr(data_line, F.lit(6))))
-    parsed = named.withColumn("_data", data).filter(F.col("_data").isNotNull() & ~F.is_variant_null("_data"))
-    chunks = parsed.withColumns(chunk_columns(F.col("event"), F.col("_data"))).filter("type is not null")
-    return chunks.select(
-        "response_id", F.col("line_no").alias("seq"), "type", "content", *USAGE
+    marked = F.contains("line", F.lit("event:")) | F.contains("line", F.lit("data:"))
+    named = carry_event_name(lines.select("response_id", "line_no", trim("line").alias("line")).filter(marked))
+    # A generator rather than a filter on the parsed value, which would parse it twice.
+    data = F.transform(
+        F.array(strict_json(trim(F.substr("line", F.lit(6))))),
+        lambda d: F.struct(
+            (d.isNotNull() & ~F.is_variant_null(d)).alias("valid"),
+            *[c.alias(n) for n, c in chunk_columns(F.col("event"), d).items()],
+        ),
     )
+    known = F.filter(data, lambda c: c["valid"] & c["type"].isNotNull())
+    chunks = named.filter(F.startswith("line", F.lit("data:"))).select(
+        "response_id", F.col("line_no").alias("seq"), F.inline(known)
+    )
+    return chunks.drop("valid")
 
 
 def _before_error(rows: DataFrame, chunks: DataFrame, salted: bool = False) -> DataFrame:

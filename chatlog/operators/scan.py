@@ -38,8 +38,10 @@ def block_scan(
     groups = [dict(x or {}) for x in (sums, lasts, lasts_before, lags, leads, totals)]
     sums, lasts, lasts_before, lags, leads, totals = groups
     inputs = {f"_in_{name}": as_col(c) for group in groups for name, c in group.items()}
-    rows = df.withColumns({BLOCK: block, **inputs})
-    at = F.struct(*order)
+    # Stated to be non-null, the block needs no null filter, and both branches can
+    # share what lies below them.
+    rows = df.withColumns({BLOCK: F.coalesce(block, F.lit(0)), **inputs})
+    at = F.col(order[0]) if len(order) == 1 else F.struct(*order)
 
     summary = {}
     for name in [*sums, *totals]:
