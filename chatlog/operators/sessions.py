@@ -28,6 +28,7 @@ def history_hash(conv: DataFrame) -> DataFrame:
     """
     hashed = conv.select("conv_id", "turn", message_digest("turn", "role", "text").alias("_d"))
     lanes = hashed.select("conv_id", "turn", *[digest_lane("_d", i).alias(f"own{i}") for i in range(len(LANES))])
+    lanes = settled(lanes)  # the texts are read and hashed once
     run = block_scan(
         lanes, ["conv_id"], ["turn"], blocks_of("turn", TURN_BLOCK),
         sums={"n_messages": F.lit(1).cast("bigint"), **{lane: F.col(f"own{i}") for i, lane in enumerate(LANES)}},
