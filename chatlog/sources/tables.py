@@ -80,7 +80,7 @@ def read_raw_captures(spark: SparkSession, path: str) -> DataFrame:
     The response id is the file name without its ending. An unfinished last line is
     not a line yet and is left out.
     """
-    whole = spark.read.option("wholetext", True).text(path).select("value", "_metadata.file_name")
+    whole = spark.read.text(path, wholetext=True).select("value", "_metadata.file_name")
     lines = F.split("value", "\n", -1)
     complete = F.slice(lines, 1, F.size(lines) - 1)
     return whole.select(
