@@ -1,9 +1,9 @@
 """Order-sensitive digests of message lists that add up.
 
 The digest of a message is SHA-256 over its position, role and text. A list is
-summarised by the sums of four 60-bit slices of those digests, so the digest of
+summarised by the sums of eight 28-bit slices of those digests, so the digest of
 every prefix is a running sum: it can be split over tasks, where a chained hash
-would tie a whole conversation to one. (Additive hashing: Bellare and Micciancio, 1997.)
+would tie a whole conversation to one. BIGINT holds the sums of 2^35 messages. (Additive hashing: Bellare and Micciancio, 1997.)
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import Column, functions as F
 
 from chatlog.functions.text import as_col
 
-LANES = ("lane0", "lane1", "lane2", "lane3")
+LANES = tuple(f"lane{i}" for i in range(8))
 
 
 def message_digest(position, role, text) -> Column:
@@ -21,13 +21,12 @@ def message_digest(position, role, text) -> Column:
 
 
 def digest_lane(digest, lane: int) -> Column:
-    """60 bits of a hexadecimal digest as DECIMAL(20,0)."""
-    part = F.substring(as_col(digest), 15 * lane + 1, 15)
-    return F.conv(part, 16, 10).cast("decimal(20,0)")
+    """28 bits of a hexadecimal digest as BIGINT."""
+    return F.conv(F.substring(as_col(digest), 7 * lane + 1, 7), 16, 10).cast("bigint")
 
 
 def list_digest(count, lanes) -> Column:
     """Digest of a message list from its length and lane sums."""
     parts = [as_col(count).cast("string")]
-    parts += [as_col(lane).cast("decimal(38,0)").cast("string") for lane in lanes]
+    parts += [as_col(lane).cast("string") for lane in lanes]
     return F.sha2(F.concat_ws(":", *parts), 256)

@@ -7,6 +7,11 @@ from pyspark.sql import DataFrame, functions as F
 from chatlog.functions.text import as_col, prefix
 
 
+# Characters shown of long values.
+PREFIXES = {"key_hash": 20, "error": 40, "session_id": 16}
+LABEL_CHARS = 12
+
+
 def lookup(
     df: DataFrame,
     ids=None,
@@ -29,16 +34,18 @@ def newest_first(df: DataFrame, column: str = "created_at", tie: str = "id") ->
 
 
 def masked_view(df: DataFrame, rules: dict[str, int] | None = None) -> DataFrame:
-    """Accounts as they may be shown: hash prefixes, and alias or key prefix as label.
+    """Rows as they may be shown: prefixes of ids, hashes and errors, `-` for null.
 
-    `rules` maps a column to the number of characters kept of it.
+    `rules` maps a column to the number of characters kept of it; by default those of
+    the columns `df` has. Accounts get a label: the alias, or a prefix of the key hash.
     """
-    rules = {"key_hash": 20} if rules is None else rules
-    out = df.withColumn(
-        "label", F.coalesce(F.nullif(F.col("alias"), F.lit("")), prefix("key_hash", 12))
-    )
-    out = out.withColumn("alias", F.coalesce(F.nullif(F.col("alias"), F.lit("")), F.lit("-")))
-    return out.withColumns({column: prefix(as_col(column).cast("string"), n) for column, n in rules.items()})
+    rules = {c: n for c, n in PREFIXES.items() if c in df.columns} if rules is None else rules
+    if {"alias", "key_hash"} <= set(df.columns):
+        alias = F.nullif(F.col("alias"), F.lit(""))
+        df = df.withColumns({
+            "label": F.coalesce(alias, prefix("key_hash", LABEL_CHARS)), "alias": F.coalesce(alias, F.lit("-")),
+        })
+    return df.withColumns({column: prefix(as_col(column).cast("string"), n) for column, n in rules.items()})
 
 
 def in_flight_at(logs: DataFrame, as_of) -> DataFrame:

@@ -65,8 +65,9 @@ def apply_changes(
 
 def apply_account_changes(base: DataFrame, changes: DataFrame) -> DataFrame:
     """Insert, patch (only the given fields) and delete accounts."""
-    columns = [c for c in ("alias", "key_hash", "is_active", "banned_status") if c in base.columns]
-    return apply_changes(base, changes, sets=columns)
+    columns = ("alias", "key_hash", "is_active", "banned_status")
+    sets = [c for c in columns if c in base.columns and c in changes.columns]
+    return apply_changes(base, changes, sets=sets)
 
 
 def apply_session_changes(base: DataFrame | None, changes: DataFrame, key: str = "id") -> DataFrame:

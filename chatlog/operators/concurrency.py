@@ -11,9 +11,10 @@ from chatlog.operators.scan import block_scan, time_blocks
 def concurrency_profile(logs: DataFrame, block_minutes: int = 60) -> DataFrame:
     """(account_id, at, in_flight) at each start or end, for half-open intervals.
 
-    A sweep line: +1 at a start, -1 at an end, netted per account and instant before
-    anything is ordered, then a running sum in blocks of time, so a busy account is
-    spread over as many tasks as it has hours. Zero-length requests add nothing.
+    A sweep line: +1 at a start, -1 at an end, netted per account and instant, then a
+    running sum in blocks of time, so a busy account is spread over as many tasks as it
+    has hours. One shuffle to (account, block) serves the netting and the sum.
+    Zero-length requests add nothing.
     """
     start = F.col("created_at") - F.make_dt_interval(secs=F.col("duration_ms") / 1000)
     points = (
@@ -23,9 +24,11 @@ def concurrency_profile(logs: DataFrame, block_minutes: int = 60) -> DataFrame:
             F.struct(F.col("created_at").alias("at"), F.lit(-1).alias("step")),
         )))
     )
-    net = points.groupBy("account_id", "at").agg(F.sum("step").alias("step"))
+    hour = F.coalesce(time_blocks("at", block_minutes), F.lit(0))
+    points = points.withColumn("block", hour).repartition("account_id", "block")
+    net = points.groupBy("account_id", "block", "at").agg(F.sum("step").alias("step"))
     swept = block_scan(
-        net, ["account_id"], ["at"], time_blocks("at", block_minutes),
+        net, ["account_id"], ["at"], "block",
         sums={"in_flight": F.col("step")}, leads={"until": F.col("at")},
     )
     return swept.select("account_id", "at", "until", "in_flight")

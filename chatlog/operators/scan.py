@@ -19,7 +19,7 @@ def block_scan(
     df: DataFrame,
     keys: list[str],
     order: list[str],
-    block: Column,
+    block: Column | str,
     sums: dict[str, Column] | None = None,
     lasts: dict[str, Column] | None = None,
     lasts_before: dict[str, Column] | None = None,
@@ -31,8 +31,9 @@ def block_scan(
 
     sums: inclusive running sum. lasts: last non-null value so far, the current row
     included; lasts_before: without it. lags / leads: value of the previous / next row. totals: sum over the
-    whole key. `order` must be a total order within a key, `block` a non-null
-    expression that never falls along it, and `keys` non-null. The input is read
+    whole key. `order` must be a total order within a key and `keys` non-null. `block`
+    is a non-null expression that never falls along the order; the name of a column
+    keeps a partitioning by (keys, block) that `df` already has. The input is read
     twice, once for the block summaries; `settled` cuts chains of scans.
     """
     groups = [dict(x or {}) for x in (sums, lasts, lasts_before, lags, leads, totals)]
@@ -40,7 +41,8 @@ def block_scan(
     inputs = {f"_in_{name}": as_col(c) for group in groups for name, c in group.items()}
     # Stated to be non-null, the block needs no null filter, and both branches can
     # share what lies below them.
-    rows = df.withColumns({BLOCK: F.coalesce(block, F.lit(0)), **inputs})
+    block = F.col(block) if isinstance(block, str) else F.coalesce(block, F.lit(0))
+    rows = df.withColumns({BLOCK: block, **inputs})
     at = F.col(order[0]) if len(order) == 1 else F.struct(*order)
 
     summary = {}

@@ -65,6 +65,14 @@ SELECT c_custkey AS id,
        CASE WHEN c_custkey % 22 = 0 THEN 'TEMPORARY' END AS banned_status,
        {e.seconds('c_custkey * 60')} AS created_at
 FROM customer""",
+        # A rename per account, a patch for some, and deletes; the rename sets the alias even to null.
+        "account_changes": """
+SELECT c_custkey AS id, 1 AS seq, 'update' AS op, CASE WHEN c_nationkey > 12 THEN c_mktsegment END AS alias,
+       CAST(NULL AS BOOLEAN) AS is_active, 'alias' AS field FROM customer
+UNION ALL SELECT c_custkey, 2, 'update', NULL, c_acctbal > 0, 'is_active' FROM customer WHERE c_nationkey < 5
+UNION ALL SELECT c_custkey, 3, 'delete', NULL, NULL, NULL FROM customer WHERE c_acctbal < 0
+UNION ALL SELECT c_custkey, 4, 'upsert', 'back', NULL, 'alias' FROM customer WHERE c_acctbal < -500
+UNION ALL SELECT c_custkey + 2000000000, 1, 'upsert', c_name, true, 'alias' FROM customer WHERE c_acctbal > 9000""",
         "request_logs": f"""
 SELECT event_id AS id,
        CASE WHEN user_id % 10 = 3 THEN user_id + 1000000000 ELSE user_id END AS account_id,

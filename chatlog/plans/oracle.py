@@ -197,17 +197,17 @@ FROM sizes GROUP BY conv_id"""
 
 
 def _lane(i: int) -> str:
-    return f"CAST(CAST('0x' || substr(d, {15 * i + 1}, 15) AS BIGINT) AS HUGEINT) AS l{i}"
+    return f"CAST('0x' || substr(d, {7 * i + 1}, 7) AS BIGINT) AS l{i}"
 
 
 def _digest(n: str, sums: list[str]) -> str:
     return "sha256(concat_ws(':', " + ", ".join([f"CAST({n} AS VARCHAR)", *[f"CAST({s} AS VARCHAR)" for s in sums]]) + "))"
 
 
-_SUMS = [f"sum(l{i}) OVER w" for i in range(4)]
+_SUMS = [f"sum(l{i}) OVER w" for i in range(8)]
 HASHES = f"""
 digests AS (SELECT conv_id, turn, sha256(concat_ws(':', turn, role, text)) AS d FROM conversations),
-lanes AS (SELECT conv_id, turn, {", ".join(_lane(i) for i in range(4))} FROM digests),
+lanes AS (SELECT conv_id, turn, {", ".join(_lane(i) for i in range(8))} FROM digests),
 hashes AS (
   SELECT conv_id, turn, count(*) OVER w AS n_messages, {_digest("count(*) OVER w", _SUMS)} AS list_hash,
          {_digest("count(*) OVER w - 1", [f"{s} - l{i}" for i, s in enumerate(_SUMS)])} AS history_hash
@@ -320,6 +320,20 @@ SELECT account_id AS id, epoch_us(created_at) AS from_us,
        false AS is_active, ban AS banned_status
 FROM steps WHERE nth = 1 OR ban IS DISTINCT FROM earlier"""
 
+SQL["account_changes_applied"] = """
+WITH kept AS (
+  SELECT * FROM account_changes c WHERE op <> 'delete' AND NOT EXISTS (
+    SELECT 1 FROM account_changes d WHERE d.id = c.id AND d.op = 'delete' AND d.seq > c.seq)),
+written AS (
+  SELECT id, arg_max(struct_pack(v := alias), seq) FILTER (WHERE field = 'alias') AS al,
+         arg_max(struct_pack(v := is_active), seq) FILTER (WHERE field = 'is_active') AS ac
+  FROM kept GROUP BY id),
+gone AS (SELECT DISTINCT id FROM account_changes WHERE op = 'delete'),
+base AS (SELECT * FROM accounts WHERE id NOT IN (SELECT id FROM gone))
+SELECT coalesce(b.id, w.id) AS id, CASE WHEN al IS NULL THEN b.alias ELSE al.v END AS alias,
+       CASE WHEN ac IS NULL THEN b.is_active ELSE ac.v END AS is_active, b.banned_status
+FROM base b FULL JOIN written w ON w.id = b.id"""
+
 # --- responses -----------------------------------------------------------------------
 
 

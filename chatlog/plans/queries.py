@@ -270,6 +270,12 @@ def account_state_final(get):
     return out.select("id", "alias", "is_active", "banned_status")
 
 
+@query
+def account_changes_applied(get):
+    log = get("account_changes").withColumn("fields", F.array("field"))
+    return changes.apply_account_changes(get("accounts"), log).select("id", "alias", "is_active", "banned_status")
+
+
 @query
 def account_state_history(get):
     out = outcomes.account_state_history(outcomes.classify_outcomes(get("request_logs")))

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from chatlog import fixed
 from chatlog.functions.jsonvalue import field, strict_json
 from chatlog.functions.text import as_col
+from chatlog.operators.scan import ordered_concat
 
 OPENAI, ANTHROPIC = "openai", "anthropic"
 _BLOCK = "array<struct<type:string,text:string,name:string,input:string,content:string>>"
@@ -107,6 +108,15 @@ def tool_result_text(name, call_id, content) -> Column:
     return F.concat(head, text(content))
 
 
+def render_tool_results(messages: DataFrame, key: str = "conv_id", order: str = "turn") -> DataFrame:
+    """(key, tool_results): tool-role messages as labelled blocks, joined by blank lines.
+
+    `messages` has role, name, tool_call_id and content; keys without any are left out.
+    """
+    rows = messages.filter("role = 'tool'").withColumn("block", tool_result_text("name", "tool_call_id", "content"))
+    return ordered_concat(rows, [key], order, {"tool_results": "block"}, sep="\n\n")
+
+
 def parse_chat_requests(df: DataFrame, dialect: str, body: str = "body", default_temperature=None) -> DataFrame:
     """Add the request's parameters with their defaults, and its messages.
 

@@ -63,7 +63,7 @@ def upsert_sessions(changes: DataFrame, base: DataFrame | None, path: str | None
     return out.sparkSession.read.schema(out.schema).parquet(path)
 
 
-def read_event_lines(spark: SparkSession, path: str) -> DataFrame:
+def read_event_stream(spark: SparkSession, path: str) -> DataFrame:
     """Event lines kept as JSON records with their response and line number."""
     return spark.read.schema(schemas.EVENT_LINES).json(path)
 

@@ -73,14 +73,19 @@ def stream_chunks(lines: DataFrame, patience: int = PATIENCE_MS) -> DataFrame:
 SEGMENTS = "response_id bigint, seq bigint, kind string, text string"
 
 
-def stream_segments(lines: DataFrame, holdback: int = fixed.MARKER_HOLDBACK, patience: int = PATIENCE_MS) -> DataFrame:
+def stream_segments(
+    lines: DataFrame,
+    mode: str = "separate",
+    holdback: int = fixed.MARKER_HOLDBACK,
+    patience: int = PATIENCE_MS,
+) -> DataFrame:
     """Event lines to segments (response_id, seq, kind, text) of reasoning, answer and tool buffer.
 
     Texts of one kind, joined by seq, are what the batch operators give.
     """
 
     def step(state, key, rows, late):
-        order, lines_, chunks, out = InOrder(state), LineReader(state), SegmentReader(state, holdback), []
+        order, lines_, chunks, out = InOrder(state), LineReader(state), SegmentReader(state, holdback, mode), []
         order.add([(int(n), line) for n, line in rows])
         for number, line in order.ready(late):
             chunk = lines_.read(line or "")

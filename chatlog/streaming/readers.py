@@ -57,7 +57,7 @@ class AnswerReader:
         """(reasoning, answer, past): past is true for chunks after the reasoning."""
         text, phase = text.replace("\0", ""), self.state.get("phase")
         if phase is None and text:
-            opened = fixed.THINK_OPEN in text
+            opened = self.state["opened"] = fixed.THINK_OPEN in text
             phase = self.state["phase"] = "reasoning" if opened else "answer"
             text = text.replace(fixed.THINK_OPEN, "", 1) if opened else text
         if phase == "reasoning":
@@ -107,22 +107,39 @@ class MarkerReader:
 
 
 class SegmentReader:
-    """Chunks of one response to (kind, text) segments."""
+    """Chunks of one response to (kind, text) segments.
 
-    def __init__(self, state: dict, holdback: int = fixed.MARKER_HOLDBACK):
-        self.state = state
+    `separate` gives reasoning as it comes, `strip` none of it, `passthrough` all of it
+    at once, tagged, in front of the answer.
+    """
+
+    def __init__(self, state: dict, holdback: int = fixed.MARKER_HOLDBACK, mode: str = "separate"):
+        if mode not in ("passthrough", "strip", "separate"):
+            raise ValueError(f"unknown mode {mode!r}")
+        self.state, self.mode = state, mode
         self.answer, self.marker = AnswerReader(state), MarkerReader(state, holdback)
 
     def read(self, kind: str, content: str | None) -> list[tuple[str, str]]:
         out = []
         if kind == "text":
             reasoning, answer, past = self.answer.read(content or "")
-            out = [("reasoning", reasoning), ("answer", self.marker.read(answer, past))]
+            out = [*self._reasoning(reasoning), ("answer", self.marker.read(answer, past))]
         elif kind == "finish":
-            out = [("answer", self.marker.finish()), ("tool_buffer", self.state.get("buffer") or "")]
+            out = [*self._reasoning("", ended=True), ("answer", self.marker.finish()), ("tool_buffer", self.state.get("buffer") or "")]
             self.state["done"] = True
         return [(k, t) for k, t in out if t]
 
+    def _reasoning(self, text: str, ended: bool = False) -> list[tuple[str, str]]:
+        if self.mode != "passthrough":
+            return [("reasoning", text)] if self.mode == "separate" else []
+        if not self.state.get("opened") or self.state.get("shown"):
+            return []
+        self.state["why"] = self.state.get("why", "") + text
+        if self.state["phase"] == "reasoning" and not ended:
+            return []
+        self.state["shown"] = True
+        return [("answer", fixed.THINK_OPEN + self.state.pop("why") + fixed.THINK_CLOSE)]
+
 
 class CutReader:
     """Chunks of one response to a report on the early cut, given at its finish chunk."""

@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from chatlog.operators import accounts, outcomes, sessions, tooldefs, transcript, usage
+from chatlog.operators import accounts, events, outcomes, sessions, tooldefs, transcript, usage
 from chatlog.plans import inputs
 from chatlog.sources import export, requests, schemas, tables
 
@@ -54,7 +54,7 @@ def test_event_lines_round_trip(spark, tmp_path):
     path = str(tmp_path / "lines")
     lines = spark.createDataFrame([(1, 0, "event: x"), (1, 1, 'data: {"a": "é"}')], schemas.EVENT_LINES)
     lines.write.json(path)
-    assert sorted(map(tuple, tables.read_event_lines(spark, path).collect())) == sorted(map(tuple, lines.collect()))
+    assert sorted(map(tuple, tables.read_event_stream(spark, path).collect())) == sorted(map(tuple, lines.collect()))
 
 
 def messages(spark, body, dialect="anthropic"):
@@ -189,6 +189,19 @@ def test_continuity_modes(spark):
         assert [r.matches for r in got] == want
 
 
+def test_tool_results(spark):
+    rows = [(1, 0, "tool", "f", "c1", "ok"), (1, 1, "user", None, None, "no"), (1, 2, "tool", None, None, "x")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, name string, tool_call_id string, content string")
+    assert requests.render_tool_results(df).first().tool_results == "[工具结果] f (c1):\nok\n\n[工具结果]  ():\nx"
+
+
+def test_usage_objects(spark):
+    text = '{"promptTokens":3,"totalTokens":null,"nativeUsage":{"completion_tokens_details":{"reasoning_tokens":2}}}'
+    df = spark.createDataFrame([(1, text), (2, "{bad")], "id long, usage_json string")
+    got = {r.id: (r.prompt_tokens, r.completion_tokens, r.total_tokens, r.reasoning_tokens) for r in events.normalize_usage(df).collect()}
+    assert got == {1: (3, 0, 0, 2), 2: (0, 0, 0, 0)}
+
+
 def test_masks(spark):
     df = spark.createDataFrame([("", "0123456789abcdefghijklmn", 1), ("al", None, 2)], "alias string, key_hash string, id long")
     got = [tuple(r) for r in accounts.masked_view(df).select("label", "alias", "key_hash").collect()]

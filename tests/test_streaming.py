@@ -39,10 +39,10 @@ def responses(n=120, seed=4):
     return rows
 
 
-def read_segments(rows):
+def read_segments(rows, mode="separate"):
     out, states = {}, {}
     for r, _, kind, content in rows:
-        for k, t in SegmentReader(states.setdefault(r, {})).read(kind, content):
+        for k, t in SegmentReader(states.setdefault(r, {}), mode=mode).read(kind, content):
             out[r, k] = out.get((r, k), "") + t
     return out, {r for r, s in states.items() if s.get("done")}
 
@@ -51,10 +51,15 @@ def test_segments_equal_batch(spark):
     rows = responses()
     chunks = spark.createDataFrame(rows, "response_id long, seq long, type string, content string")
     found, done = read_segments(rows)
-    for r in events.segment_reasoning(chunks).collect():
+    tagged, stripped = read_segments(rows, "passthrough")[0], read_segments(rows, "strip")[0]
+    front = {}
+    for r in events.segment_reasoning(chunks, "passthrough").collect():
         assert r.reasoning == found.get((r.response_id, "reasoning"), "")
+        front[r.response_id] = r.content[: len(r.content) - len(r.answer)]
+    assert any(front.values())
     for r in events.segment_tool_buffer(chunks).collect():
-        assert r.emitted == found.get((r.response_id, "answer"), "")
+        assert r.emitted == found.get((r.response_id, "answer"), "") == stripped.get((r.response_id, "answer"), "")
+        assert front[r.response_id] + r.emitted == tagged.get((r.response_id, "answer"), "")
         if r.response_id in done:
             assert r.tool_buffer == found.get((r.response_id, "tool_buffer"), "")
 
