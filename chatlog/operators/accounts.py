@@ -50,7 +50,7 @@ def masked_view(df: DataFrame, rules: dict[str, int] | None = None) -> DataFrame
 
 def in_flight_at(logs: DataFrame, as_of) -> DataFrame:
     """Requests running at `as_of` per account: start <= as_of < end."""
-    start = F.col("created_at") - F.make_dt_interval(secs=F.col("duration_ms") / 1000)
+    start = F.timestamp_add("MILLISECOND", -F.col("duration_ms"), F.col("created_at"))
     running = logs.filter(F.col("account_id").isNotNull() & (F.col("created_at") > as_of) & (start <= as_of))
     return running.groupBy("account_id").agg(F.count("*").alias("active_requests"))
 

@@ -5,18 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from chatlog import fixed
-from chatlog.operators.scan import block_scan, time_blocks
+from chatlog.operators.scan import BLOCK, block_scan, time_blocks, with_blocks
 
 
 def concurrency_profile(logs: DataFrame, block_minutes: int = 60) -> DataFrame:
     """(account_id, at, in_flight) at each start or end, for half-open intervals.
 
     A sweep line: +1 at a start, -1 at an end, netted per account and instant, then a
-    running sum in blocks of time, so a busy account is spread over as many tasks as it
-    has hours. One shuffle to (account, block) serves the netting and the sum.
-    Zero-length requests add nothing.
+    running sum, for busy accounts in blocks of time. One shuffle to (account, block)
+    serves the netting and the sum. Zero-length requests add nothing.
     """
-    start = F.col("created_at") - F.make_dt_interval(secs=F.col("duration_ms") / 1000)
+    start = F.timestamp_add("MILLISECOND", -F.col("duration_ms"), F.col("created_at"))
     points = (
         logs.filter(F.col("account_id").isNotNull() & (F.col("duration_ms") > 0))
         .select("account_id", F.inline(F.array(
@@ -24,11 +23,10 @@ def concurrency_profile(logs: DataFrame, block_minutes: int = 60) -> DataFrame:
             F.struct(F.col("created_at").alias("at"), F.lit(-1).alias("step")),
         )))
     )
-    hour = F.coalesce(time_blocks("at", block_minutes), F.lit(0))
-    points = points.withColumn("block", hour).repartition("account_id", "block")
-    net = points.groupBy("account_id", "block", "at").agg(F.sum("step").alias("step"))
+    points = with_blocks(points, ["account_id"], time_blocks("at", block_minutes))
+    net = points.repartition("account_id", BLOCK).groupBy("account_id", BLOCK, "at").agg(F.sum("step").alias("step"))
     swept = block_scan(
-        net, ["account_id"], ["at"], "block",
+        net, ["account_id"], ["at"], None,
         sums={"in_flight": F.col("step")}, leads={"until": F.col("at")},
     )
     return swept.select("account_id", "at", "until", "in_flight")

@@ -1,9 +1,10 @@
-"""Ordered computations per key that do not put a whole key into one task.
+"""Ordered computations per key that do not put a large key into one task.
 
 A plain window over a key sorts all its rows in one task, so a key holding a third
-of a table would hold up the job. Here a key's rows are cut into blocks that follow
-the order; blocks are summarised (a combinable aggregate), the summaries are
-scanned per key, and the rows are finished block by block with the carried value.
+of a table would hold up the job. Here keys with many rows are found by a count, and
+only their rows are cut into blocks that follow the order; the blocks are summarised
+(a combinable aggregate), the summaries are scanned per key, and the rows are finished
+block by block with the carried value. All other keys are one block.
 """
 
 from __future__ import annotations
@@ -13,13 +14,26 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from chatlog.functions.text import as_col
 
 BLOCK = "_block"
+# Keys with more rows than this are cut into blocks.
+HOT_ROWS = 1_000_000
+
+
+def with_blocks(df: DataFrame, keys: list[str], block: Column) -> DataFrame:
+    """`df` with the column `_block`: `block` for rows of large keys, null for the others.
+
+    The large keys are broadcast: a table of n rows has fewer than n / HOT_ROWS of them.
+    """
+    sizes = df.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > HOT_ROWS)
+    large = F.broadcast(sizes.select(*keys, F.lit(True).alias("_large")))
+    value = F.when(F.col("_large"), F.coalesce(block, F.lit(0)))
+    return df.join(large, keys, "left").withColumn(BLOCK, value).drop("_large")
 
 
 def block_scan(
     df: DataFrame,
     keys: list[str],
     order: list[str],
-    block: Column | str,
+    block: Column | None,
     sums: dict[str, Column] | None = None,
     lasts: dict[str, Column] | None = None,
     lasts_before: dict[str, Column] | None = None,
@@ -30,19 +44,19 @@ def block_scan(
     """Add ordered per-key columns to `df`.
 
     sums: inclusive running sum. lasts: last non-null value so far, the current row
-    included; lasts_before: without it. lags / leads: value of the previous / next row. totals: sum over the
-    whole key. `order` must be a total order within a key and `keys` non-null. `block`
-    is a non-null expression that never falls along the order; the name of a column
-    keeps a partitioning by (keys, block) that `df` already has. The input is read
-    twice, once for the block summaries; `settled` cuts chains of scans.
+    included; lasts_before: without it. lags / leads: value of the previous / next row.
+    totals: sum over the whole key.
+
+    `order` must be a total order within a key, `keys` non-null, and `block` an
+    expression that never falls along the order; None where `df` has been through
+    `with_blocks`. The input is read for the count, for the summaries where there are
+    large keys, and for the rows; `settled` cuts chains of scans.
     """
     groups = [dict(x or {}) for x in (sums, lasts, lasts_before, lags, leads, totals)]
     sums, lasts, lasts_before, lags, leads, totals = groups
     inputs = {f"_in_{name}": as_col(c) for group in groups for name, c in group.items()}
-    # Stated to be non-null, the block needs no null filter, and both branches can
-    # share what lies below them.
-    block = F.col(block) if isinstance(block, str) else F.coalesce(block, F.lit(0))
-    rows = df.withColumns({BLOCK: block, **inputs})
+    columns = [c for c in df.columns if c != BLOCK]
+    rows = (df if block is None else with_blocks(df, keys, block)).withColumns(inputs)
     at = F.col(order[0]) if len(order) == 1 else F.struct(*order)
 
     summary = {}
@@ -55,7 +69,9 @@ def block_scan(
         summary[f"_b_{name}"] = F.max_by(F.struct(f"_in_{name}"), at)
     for name in leads:
         summary[f"_b_{name}"] = F.min_by(F.struct(f"_in_{name}"), at)
-    blocks = rows.groupBy(*keys, BLOCK).agg(*[c.alias(n) for n, c in summary.items()])
+    blocks = rows.filter(F.col(BLOCK).isNotNull()).groupBy(*keys, BLOCK).agg(
+        *[c.alias(n) for n, c in summary.items()]
+    )
 
     over_blocks = Window.partitionBy(*keys).orderBy(BLOCK)
     earlier = over_blocks.rowsBetween(Window.unboundedPreceding, -1)
@@ -72,14 +88,17 @@ def block_scan(
         carry[name] = F.lead(f"_b_{name}").over(over_blocks)[f"_in_{name}"]
     carried = blocks.select(*keys, BLOCK, *[c.alias(f"_c_{n}") for n, c in carry.items()])
 
-    joined = rows.join(carried, [*keys, BLOCK])
-    within = Window.partitionBy(*keys, BLOCK).orderBy(*order)
+    # A null block, of a key in one block, meets no carry. A hash join leaves the rows
+    # partitioned for the windows and sorts nothing; a partition holds few carries.
+    joined = rows.join(carried.hint("shuffle_hash"), [*keys, BLOCK], "left")
+    whole = Window.partitionBy(*keys, BLOCK)
+    within = whole.orderBy(*order)
     so_far = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = {}
     for name in sums:
         out[name] = F.sum(f"_in_{name}").over(so_far) + F.coalesce(F.col(f"_c_{name}"), F.lit(0))
     for name in totals:
-        out[name] = F.col(f"_c_{name}")
+        out[name] = F.coalesce(F.col(f"_c_{name}"), F.sum(f"_in_{name}").over(whole))
     for name in lasts:
         out[name] = F.coalesce(F.last(f"_in_{name}", ignorenulls=True).over(so_far), F.col(f"_c_{name}"))
     for name in lasts_before:
@@ -91,7 +110,7 @@ def block_scan(
     for name in leads:
         final = F.lead(F.lit(1)).over(within).isNull()
         out[name] = F.when(final, F.col(f"_c_{name}")).otherwise(F.lead(f"_in_{name}").over(within))
-    return joined.select(*df.columns, *[c.alias(n) for n, c in out.items()])
+    return joined.select(*columns, *[c.alias(n) for n, c in out.items()])
 
 
 def blocks_of(order, size: int) -> Column:

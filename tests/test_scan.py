@@ -23,8 +23,14 @@ def by_key(rows):
     return out
 
 
-@pytest.mark.parametrize("size", [1, 7, 10_000])
-def test_block_scan(spark, size):
+@pytest.fixture(params=[0, 60, 10**6], ids=["all-large", "one-large", "none-large"])
+def hot(request, monkeypatch):
+    """How many rows make a key large."""
+    monkeypatch.setattr(scan, "HOT_ROWS", request.param)
+
+
+@pytest.mark.parametrize("size", [7, 10_000])
+def test_block_scan(spark, size, hot):
     rows = skewed()
     df = spark.createDataFrame(rows, "k long, o long, v long")
     got = scan.block_scan(
@@ -59,7 +65,7 @@ def test_ordered_concat(spark, head):
     assert {r.k: (r.x, r.big) for r in got} == want
 
 
-def test_exact_quantiles(spark, duck):
+def test_exact_quantiles(spark, duck, hot):
     rows = [(k, v) for k, _, v in skewed(seed=3) if v is not None]
     df = spark.createDataFrame(rows, "k long, v long")
     got = scan.exact_quantiles(df, ["k"], "v", {"a": 0.5, "b": 0.9, "c": 1.0}, width=4).collect()
@@ -86,7 +92,8 @@ def folded(rows, limit, breaks=()):
 @pytest.mark.parametrize("limit, gather, cells", [
     (0, 0, 1), (7, 0, 1), (7, 0, 3), (60, 0, 2), (60, 10_000, None), (60, 20, 5), (10**9, 0, None),
 ])
-def test_rollover(spark, limit, gather, cells):
+def test_rollover(spark, monkeypatch, limit, gather, cells):
+    monkeypatch.setattr(scan, "HOT_ROWS", 60)
     rows = skewed(seed=limit + 5)
     breaks = {(k, o) for k, o, _ in rows if o % 29 == 0}
     df = spark.createDataFrame([(*r, r[:2] in breaks) for r in rows], "k long, o long, v long, cut boolean")
@@ -110,8 +117,8 @@ def logs(spark, spans):
     return df.withColumn("created_at", F.col("t").cast("timestamp_ntz"))
 
 
-@pytest.mark.parametrize("minutes", [1, 60])
-def test_concurrency(spark, minutes):
+@pytest.mark.parametrize("minutes", [1])
+def test_concurrency(spark, minutes, hot):
     profile = concurrency.concurrency_profile(logs(spark, [(0, 10), (5, 15), (10, 20), (5, 5)]), minutes)
     assert [(r["at"].minute, r.in_flight) for r in profile.orderBy("at").collect()] == [
         (0, 1), (5, 2), (10, 2), (15, 1), (20, 0)
