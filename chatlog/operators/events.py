@@ -237,43 +237,41 @@ def early_cut(chunks: DataFrame) -> DataFrame:
     (response_id, cut_seq, kept_chars, lost_chars, usage_lost). Reading stops at the
     first answer chunk after the one that opened the tool buffer at which the buffer
     holds a closing tag; that chunk is kept whole. Chunks are placed by their offsets
-    in the joined answer, a running sum in blocks, so no response is folded in one task.
+    in the joined answer, a running sum, so no response is folded in one task.
+
+    A chunk read after the reasoning follows the opening one if the chunk before it was
+    also read after the reasoning (its offset lies beyond the `lead`, the answer text of
+    the chunk that closed the reasoning) and reached the end of the marker.
     """
     pieces = reasoning_pieces(chunks).filter(F.col("answer") != "")
-    joined = ordered_concat(pieces, ["response_id"], "seq", {"text": "answer"}, head=BLOCK_ROWS)
-    start = tool_marker_position("text")
+    lead = F.when(~F.col("past"), F.col("answer"))
+    joined = ordered_concat(
+        pieces.withColumn("lead", lead), ["response_id"], "seq", {"text": "answer", "lead": "lead"}, head=BLOCK_ROWS
+    )
     buffer = from_position("text", F.col("start"))
     opened = F.when(F.startswith(buffer, F.lit(fixed.TOOL_OPEN)), len(fixed.TOOL_OPEN)).otherwise(len(fixed.CALLS_OPEN))
     ends = [
         F.when(F.contains(buffer, F.lit(tag)), locate(tag, buffer) + len(tag) - 1)
         for tag in (fixed.TOOL_CLOSE, fixed.CALLS_CLOSE)
     ]
-    marks = joined.withColumn("start", start).filter("start > 0").select(
-        "response_id", F.length("text").alias("answer_chars"),
+    marks = joined.withColumn("start", tool_marker_position("text")).filter("start > 0").select(
+        "response_id", F.length("text").cast("bigint").alias("answer_chars"), F.length("lead").alias("lead_chars"),
         (F.col("start") - 1 + opened).alias("open_end"),
         (F.col("start") - 1 + F.least(*ends)).alias("close_end"),
     ).filter("close_end is not null")
+
+    sizes = settled(pieces.select("response_id", "seq", "past", F.length("answer").cast("bigint").alias("chars")))
     placed = block_scan(
-        pieces.select("response_id", "seq", "past", F.length("answer").alias("chars")),
-        ["response_id"], ["seq"], blocks_of("seq", BLOCK_ROWS), sums={"upto": F.col("chars")},
-    )
-    placed = settled(placed).filter("past")
+        sizes, ["response_id"], ["seq"], blocks_of("seq", BLOCK_ROWS), sums={"upto": F.col("chars")}
+    ).filter("past")
     met = salted_join(placed, marks, ["response_id"], spread_by="seq", how="inner")
-    opening = met.groupBy("response_id").agg(
-        F.min(F.when(F.col("upto") >= F.col("open_end"), F.col("seq"))).alias("opening")
-    )
-    met = salted_join(met, opening, ["response_id"], spread_by="seq", how="inner")
-    here = (F.col("seq") > F.col("opening")) & (F.col("upto") >= F.col("close_end"))
-    cuts = met.groupBy("response_id").agg(
-        F.min(F.when(here, F.struct("seq", "upto", "answer_chars"))).alias("cut")
-    ).filter("cut is not null").select(
-        "response_id", F.col("cut.seq").alias("cut_seq"), F.col("cut.upto").alias("kept_chars"),
-        (F.col("cut.answer_chars") - F.col("cut.upto")).alias("lost_chars"),
-    )
-    usage = chunks.filter("type = 'usage'").groupBy("response_id").agg(
-        F.max("seq").alias("last_usage")
+    before = F.col("upto") - F.col("chars")
+    here = (F.col("upto") >= F.col("close_end")) & (before >= F.col("open_end")) & (before > F.col("lead_chars"))
+    cuts = met.filter(here).groupBy("response_id").agg(
+        F.min("seq").alias("cut_seq"), F.min("upto").alias("kept_chars"), F.first("answer_chars").alias("answer_chars")
     )
+    usage = chunks.filter("type = 'usage'").groupBy("response_id").agg(F.max("seq").alias("last_usage"))
     return cuts.join(usage, "response_id", "left").select(
-        "response_id", "cut_seq", "kept_chars", "lost_chars",
+        "response_id", "cut_seq", "kept_chars", (F.col("answer_chars") - F.col("kept_chars")).alias("lost_chars"),
         F.coalesce(F.col("last_usage") > F.col("cut_seq"), F.lit(False)).alias("usage_lost"),
     )

@@ -418,11 +418,14 @@ _ARG = "(?s)<arg_key>([^<]+)</arg_key>\\s*<arg_value>(.*?)</arg_value>"
 _PAR = "(?s)<parameter=([^>\\n]+)>(.*?)(?:</parameter>|\\n</function>|\\z)"
 _INV = '(?s)<invoke name="([^"]+)">(.*?)</invoke>'
 _IPAR = '(?s)<parameter name="([^"]+)">(.*?)</parameter>'
-SQL["tool_calls_markup"] = f"""
-WITH {_blocks('answers', 'answer')},
+
+
+def _markup(table: str, source: str) -> str:
+    """CTEs ending in `pairs`: (response_id, ord, dialect, name, k, v) of the markup dialects."""
+    return f"""{_blocks(table, source)},
 lists AS (
-  SELECT response_id, unnest(regexp_extract_all(answer, '(?s)<function_calls>(.*?)</function_calls>', 1)) AS block
-  FROM answers WHERE NOT contains(answer, {TOOL})),
+  SELECT response_id, unnest(regexp_extract_all({source}, '(?s)<function_calls>(.*?)</function_calls>', 1)) AS block
+  FROM {table} WHERE NOT contains({source}, {TOOL})),
 invokes AS (
   SELECT response_id, 'invoke' AS dialect, unnest(regexp_extract_all(block, '{_INV}', 1)) AS name,
          unnest(regexp_extract_all(block, '{_INV}', 2)) AS body,
@@ -432,8 +435,25 @@ pairs AS ({_pairs('typed', 'name', "regexp_extract(body, '<name>([^<]+?)</name>'
                     f"regexp_extract_all(body, '{_ARG}', 1)", 2)}
   UNION ALL {_pairs('typed', 'function', "regexp_extract(body, '<function=([^>]+)>', 1)", _PAR,
                     f"regexp_extract_all(body, '{_PAR}', 1)", 2)}
-  UNION ALL {_pairs('invokes', 'invoke', "name", _IPAR, f"regexp_extract_all(body, '{_IPAR}', 1)", 2)})
+  UNION ALL {_pairs('invokes', 'invoke', "name", _IPAR, f"regexp_extract_all(body, '{_IPAR}', 1)", 2)})"""
+
+
+SQL["tool_calls_markup"] = f"""
+WITH {_markup('answers', 'answer')}
 SELECT response_id, ord, {_call_id('ord')} AS call_id, dialect, name, k AS key, {_VALUE} AS value FROM pairs"""
+# RE2 has no back-references: elements without inner tags, whose two names are compared.
+_LEAF = "(?s)<([a-zA-Z_][a-zA-Z0-9_]*)>([^<]*)</([a-zA-Z_][a-zA-Z0-9_]*)>"
+TAGS = f"""
+leaves AS (
+  SELECT response_id, ord, dialect, regexp_extract(body, '^<([a-zA-Z_][a-zA-Z0-9_]*)>', 1) AS name,
+         unnest(regexp_extract_all(body, '{_LEAF}', 1)) AS k, unnest(regexp_extract_all(body, '{_LEAF}', 2)) AS v,
+         unnest(regexp_extract_all(body, '{_LEAF}', 3)) AS k2
+  FROM typed WHERE dialect = 'tag')"""
+SQL["tool_calls_tag"] = f"""
+WITH {_blocks('answers', 'answer')}, {TAGS}
+SELECT response_id, ord, name,
+       '{{' || string_agg(CAST(to_json(k) AS VARCHAR) || ':' || {_VALUE}, ',' ORDER BY k) || '}}' AS arguments_json
+FROM leaves WHERE k = k2 AND k <> name GROUP BY ALL"""
 SQL["tool_usage_report"] = f"""
 WITH {_blocks('answers', 'answer')},
 named AS (
@@ -451,6 +471,44 @@ bad AS (SELECT response_id FROM answers WHERE {_marker('answer')} > 0 AND respon
 SELECT name, dialect, count(*) AS calls, CAST(0 AS BIGINT) AS failed_responses FROM good GROUP BY ALL
 UNION ALL SELECT NULL, NULL, CAST(0 AS BIGINT), count(*) FROM bad HAVING count(*) > 0"""
 
+_J = "CAST(to_json({}) AS VARCHAR)".format
+_USAGE = (
+    "concat('{\"prompt_tokens\":', length(text), ',\"completion_tokens\":', kind, ',\"total_tokens\":', length(text) + kind, "
+    "',\"completion_tokens_details\":{\"reasoning_tokens\":0}}')"
+)
+SQL["chat_export"] = f"""
+WITH {_markup('responses', 'text')}, {TAGS},
+args AS (
+  SELECT response_id, ord, name, k, {_VALUE} AS value FROM pairs
+  UNION ALL SELECT response_id, ord, name, k, {_VALUE} FROM leaves WHERE k = k2 AND k <> name
+  UNION ALL
+  SELECT response_id, ord, name, k, CAST(json_extract(a, '$.' || k) AS VARCHAR) FROM (
+    SELECT response_id, ord, json_extract_string(body, '$.name') AS name, json_extract(body, '$.arguments') AS a,
+           unnest(json_keys(json_extract(body, '$.arguments'))) AS k
+    FROM typed WHERE dialect = 'json' AND json_valid(body))),
+calls AS (
+  SELECT response_id, ord, {_call_id('ord')} AS id, name,
+         '{{' || string_agg({_J('k')} || ':' || value, ',' ORDER BY k) || '}}' AS args FROM args GROUP BY ALL),
+lists_ AS (
+  SELECT response_id,
+    string_agg(concat('{{"id":', {_J('id')}, ',"type":"function","function":{{"name":', {_J('name')}, ',"arguments":', {_J('args')}, '}}}}'), ',' ORDER BY ord) AS functions,
+    string_agg(concat('{{"type":"tool_use","id":', {_J('id')}, ',"name":', {_J('name')}, ',"input":', args, '}}'), ',' ORDER BY ord) AS uses
+  FROM calls GROUP BY response_id),
+closed AS (SELECT *, {_without_closed('text')} AS t FROM responses),
+parts AS (
+  SELECT c.response_id, c.text, c.kind, ltrim({_cut_open('c.t')}, {WS}) AS stripped, a.reasoning, a.answer, l.functions, l.uses
+  FROM closed c JOIN answers a ON a.response_id = c.response_id LEFT JOIN lists_ l ON l.response_id = c.response_id)
+SELECT response_id,
+  concat('{{"id":"', response_id, '","object":"chat.completion","model":"flash","choices":[{{"index":0,"message":{{"role":"assistant","content":',
+    CASE WHEN functions IS NULL THEN {_J('stripped')} ELSE concat('null,"tool_calls":[', functions, ']') END,
+    '}},"finish_reason":"', CASE WHEN functions IS NULL THEN 'stop' ELSE 'tool_calls' END, '"}}],"usage":', {_USAGE}, '}}') AS openai,
+  concat('{{"id":"', response_id, '","type":"message","role":"assistant","content":[',
+    CASE WHEN reasoning <> '' THEN concat('{{"type":"thinking","thinking":', {_J('reasoning')}, '}},') ELSE '' END,
+    '{{"type":"text","text":', {_J('answer')}, '}}', coalesce(',' || uses, ''), '],"model":"flash","stop_reason":"',
+    CASE WHEN uses IS NULL THEN 'end_turn' ELSE 'tool_use' END, '","stop_sequence":null,"usage":{{"input_tokens":', length(text),
+    ',"output_tokens":', kind, '}}}}') AS anthropic
+FROM parts"""
+
 # --- requests ------------------------------------------------------------------------
 
 SQL["flattened_messages"] = f"""
