@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from chatlog import fixed
 from chatlog.operators.scan import block_scan, blocks_of, ordered_concat
+from chatlog.operators.skew import salted_join
 from chatlog.session import settled
 
 TURN_BLOCK = 1024
@@ -196,7 +197,8 @@ def replay_savings(
     sizes = replay_lengths(conv, **options)
     if continued is None:
         first = conv.filter("role = 'user'").groupBy("conv_id").agg(F.min("turn").alias("_first"))
-        sizes = sizes.join(first, "conv_id").withColumn("reused", F.col("turn") > F.col("_first"))
+        sizes = salted_join(sizes, first, ["conv_id"], spread_by="turn", how="inner")
+        sizes = sizes.withColumn("reused", F.col("turn") > F.col("_first"))
     else:
         sizes = sizes.join(continued.select("conv_id", "turn", "reused"), ["conv_id", "turn"])
     short = F.col("reused") if has_tools is None else F.col("reused") & ~has_tools

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chatlog.session import configure
+from chatlog.session import configure, settled
 
 START = "2024-01-01 00:00:00"
 AS_OF = "2024-01-15 12:00:00"
@@ -232,7 +232,16 @@ def event_lines(chunks: DataFrame) -> DataFrame:
     return rows.select("response_id", (F.col("seq") * 3 + F.col("i")).alias("line_no"), "line")
 
 
+# Derived from texts by a union, and read by their operators in several passes.
+_KEPT = ("chunks",)
+
+
 def open_inputs(spark: SparkSession, sf_dir: str):
     """A function name -> DataFrame over one scale directory."""
     configure(spark)
-    return lambda name: derived(spark, sf_dir, name)
+
+    def get(name: str) -> DataFrame:
+        df = derived(spark, sf_dir, name)
+        return settled(df) if name in _KEPT else df
+
+    return get

@@ -37,18 +37,14 @@ def read_request_logs(
     return df.drop("day")
 
 
-def append_request_logs(df: DataFrame, path: str, rows_per_file: int = 5_000_000) -> None:
+def append_request_logs(df: DataFrame, path: str) -> None:
     """Append finished requests, partitioned by day.
 
-    Rows go to their day by (day, salt): a day is written by several tasks and a task
-    writes few days, so a busy day is neither one task nor many small files.
+    Rows are rebalanced by day: adaptive execution splits a busy day over tasks and
+    puts quiet days together, so a day is neither one task nor many small files.
     """
-    dated = df.withColumn("day", F.to_date("created_at"))
-    salt = F.pmod(F.xxhash64("id"), F.lit(16))
-    (
-        dated.repartition("day", salt).write.mode("append").partitionBy("day")
-        .option("maxRecordsPerFile", rows_per_file).parquet(path)
-    )
+    dated = df.withColumn("day", F.to_date("created_at")).hint("rebalance", F.col("day"))
+    dated.write.mode("append").partitionBy("day").parquet(path)
 
 
 def upsert_sessions(changes: DataFrame, base: DataFrame | None, path: str | None = None, key: str = "id") -> DataFrame:
