@@ -99,6 +99,7 @@ def account_state_history(outcomes: DataFrame, patches: DataFrame | None = None)
     if patches is not None:
         changes = changes.unionByName(patches, allowMissingColumns=True)
     flat = changes.select("id", F.col("seq.at").alias("at"), F.col("seq.tie").alias("tie"), "is_active", "banned_status")
+    flat = settled(flat)  # the few log rows that matter, read by each pass below
     columns = {"active": F.col("is_active"), "banned": F.col("banned_status")}
     run = block_scan(
         flat, ["id"], ["at", "tie"], time_blocks("at"),

@@ -63,6 +63,9 @@ SELECT {PAGE} FROM request_logs WHERE status = 'success' AND endpoint = 'openai'
 ORDER BY created_at DESC, id LIMIT 50 OFFSET 100"""
 SQL["logs_deep_page"] = f"""
 SELECT {PAGE} FROM request_logs ORDER BY created_at DESC, id LIMIT 100 OFFSET 6000"""
+SQL["logs_page_after"] = f"""
+SELECT {PAGE} FROM request_logs
+WHERE status = 'error' AND (created_at < {NOW} OR (created_at = {NOW} AND id > 0)) ORDER BY created_at DESC, id LIMIT 80"""
 SQL["log_counts"] = """
 SELECT count(*) AS total_all, count(*) FILTER (WHERE status = 'error' AND endpoint = 'anthropic') AS total_filtered
 FROM request_logs"""
@@ -272,6 +275,8 @@ WITH kept AS (
 SELECT id, CAST(coalesce(sum(prompt_tokens), 0) AS BIGINT) AS prompt_tokens, max_by(last_msg_count, seq) AS last_msg_count
 FROM kept GROUP BY id"""
 
+SQL["stream_session_changes"] = SQL["session_changes_applied"]
+
 # --- outcomes ----------------------------------------------------------------------
 
 

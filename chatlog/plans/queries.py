@@ -86,6 +86,11 @@ def logs_deep_page(get):
     return _page(usage.page_logs(get("request_logs"), page=61, limit=100, top_k_rows=1000))
 
 
+@query
+def logs_page_after(get):
+    return _page(usage.page_after(get("request_logs"), _as_of(), 0, limit=80, status="error"))
+
+
 @query
 def log_counts(get):
     return usage.count_logs(get("request_logs"), status="error", endpoint="anthropic")
@@ -454,6 +459,15 @@ def stream_live_usage(spark, sf_dir):
     )
 
 
+@stream_query
+def stream_session_changes(spark, sf_dir):
+    stream = replay.replayed(inputs.derived(spark, sf_dir, "session_changes"), "seq", slices=3)
+    path = scratch_path(spark, "session-changes")
+    streams.append_session_changes(stream, f"{path}/changes", f"{path}/checkpoint").awaitTermination()
+    log = spark.read.schema(stream.schema).parquet(f"{path}/changes")
+    return tables.upsert_sessions(log, None).select("id", "prompt_tokens", "last_msg_count")
+
+
 @stream_query
 def stream_usage_trend(spark, sf_dir):
     events_stream = replay.stream_table(spark, sf_dir, "events")

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 OPTIONS = {
     "spark.sql.session.timeZone": "UTC",
@@ -58,13 +58,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/chatlog-{label}-{uuid.uuid4().hex}"
 
 
-def settled(df):
-    """`df` computed once and kept by a reliable checkpoint in the shared folder.
+def settled(df: DataFrame) -> DataFrame:
+    """`df` computed once, written to the shared folder and read back.
 
-    For narrow tables that several branches of an operator read: without it each
-    level of a multi-pass operator would compute the level below it twice.
+    For tables that several branches of an operator read: without it each level of a
+    multi-pass operator would compute the level below it twice. Lineage ends here, lost
+    executors cost no earlier step, and later passes read only the columns they need.
     """
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint()
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -198,6 +198,15 @@ def append_logs(logs: DataFrame, path: str, checkpoint: str, interval: str | Non
     return write_stream(dated, path, checkpoint, "day", interval)
 
 
+def append_session_changes(changes: DataFrame, path: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
+    """Keep a stream of session changes; `tables.upsert_sessions` over them gives the sessions.
+
+    Changes are ordered by their own `seq`, so it does not matter in which micro-batch one
+    arrives, and no micro-batch rewrites the table.
+    """
+    return write_stream(changes, path, checkpoint, interval=interval)
+
+
 def write_updates(
     stream: DataFrame, path: str, checkpoint: str, interval: str | None = None
 ) -> StreamingQuery:
