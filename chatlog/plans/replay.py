@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chatlog.session import scratch_path
+from chatlog.session import scratch_path, settled
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,7 @@ def replayed(df: DataFrame, order: str, slices: int) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, "replay")
+    df = settled(df)  # each step reads its part of it
     bounds = df.approxQuantile(order, [i / slices for i in range(1, slices)], 0.05)
     edges = [None, *sorted(set(bounds)), None]
     for low, high in zip(edges, edges[1:]):
