@@ -33,8 +33,7 @@ def _keyed(step: Callable[[dict, tuple, list[tuple], bool], list[tuple]], number
             return
         rows = []
         for pdf in batches:
-            values = pdf[[number, *columns]].astype(object).where(pdf[[number, *columns]].notna(), None)
-            rows += [tuple(r) for r in values.itertuples(index=False)]
+            rows += zip(*(pdf[c].tolist() for c in (number, *columns)))
         found = [] if kept.get("done") else step(kept, key, rows, state.hasTimedOut)
         if kept.get("done"):
             kept = {"done": True}
