@@ -14,7 +14,7 @@ from chatlog.operators import (
 from chatlog.operators.rollover import session_rollover as rollover
 from chatlog.operators.scan import blocks_of
 from chatlog.plans import inputs, replay
-from chatlog.session import scratch_path
+from chatlog.session import options, scratch_path
 from chatlog.sources import export, requests as bodies, tables
 from chatlog.streaming import queries as streams
 
@@ -434,10 +434,16 @@ def early_cut(get):
 
 
 def stream_query(fn: Callable) -> Callable:
-    """Register `fn(spark, sf_dir)`, a query that runs a stream over all its input."""
+    """Register `fn(spark, sf_dir)`, a query that runs a stream over all its input.
+
+    State partitions are fixed when a stream starts and adaptive execution does not merge
+    them, so there are as many as the cluster has cores.
+    """
     def run(spark, sf_dir):
         inputs.open_inputs(spark, sf_dir)
-        return fn(spark, sf_dir)
+        cores = str(spark.sparkContext.defaultParallelism)
+        with options(spark, {"spark.sql.shuffle.partitions": cores}):
+            return fn(spark, sf_dir)
 
     QUERIES[fn.__name__] = run
     return fn

@@ -27,6 +27,11 @@ def test_log_days(spark, get, tmp_path):
     assert tables.read_request_logs(spark, path).count() == logs.count()
 
 
+def test_appends_are_rebalanced(spark, get):
+    hinted = get("request_logs").hint("rebalance", F.col("created_at"))
+    assert "REBALANCE_PARTITIONS_BY_COL" in hinted._jdf.queryExecution().executedPlan().toString()
+
+
 def test_session_versions(spark, get, tmp_path):
     first = tables.upsert_sessions(get("session_changes"), None, str(tmp_path / "v1"))
     more = spark.createDataFrame([(0, 10**9, "delete", None, None), (1, 10**9, "upsert", 5, 3)], "id long, seq long, op string, prompt_tokens long, last_msg_count long")
@@ -118,6 +123,13 @@ def test_export(spark):
     assert second[2]["usage"] == {"input_tokens": 0, "output_tokens": 0} and second[2]["stop_reason"] == "tool_use"
 
 
+def test_write_records(spark, tmp_path):
+    path = str(tmp_path / "records")
+    records = spark.createDataFrame([(1, '{"id":"1"}'), (2, '{"id":"2"}')], "response_id long, record string")
+    export.write_chat_jsonl(records, path)
+    assert sorted(r.value for r in spark.read.text(path).collect()) == ['{"id":"1"}', '{"id":"2"}']
+
+
 def conversation(spark, *messages):
     rows = [(1, i, *m) for i, m in enumerate(messages)]
     return spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")

@@ -2,11 +2,11 @@
 
 import random
 
-import pytest
 from pyspark.sql import functions as F
 
 from chatlog.operators import events
 from chatlog.plans import inputs, replay
+from chatlog.sources import tables
 from chatlog.streaming import queries as streams
 from chatlog.streaming.readers import CutReader, InOrder, LineReader, SegmentReader
 
@@ -144,11 +144,18 @@ def test_stream_out_of_order(spark):
     assert {(r.response_id, r.kind): r.text for r in got.collect()} == want
 
 
-@pytest.mark.parametrize("copies", [2])
-def test_log_sink_drops_copies(spark, sf_dir, tmp_path, copies):
+def test_line_files_as_stream(spark, tmp_path):
+    rows = [(r, i, line) for r in (1, 2) for i, line in enumerate(LINES)]
+    lines = spark.createDataFrame(rows, "response_id long, line_no long, line string")
+    lines.write.json(str(tmp_path / "lines"))
+    stream = tables.stream_event_lines(spark, str(tmp_path / "lines"))
+    got = streams.drain(streams.stream_chunks(stream), "test").filter("response_id = 2").orderBy("seq").collect()
+    assert [(r.type, r.content) for r in got] == CHUNKS
+
+
+def test_log_sink_drops_copies(spark, sf_dir, tmp_path):
     logs = inputs.open_inputs(spark, sf_dir)("request_logs")
-    doubled = logs.crossJoin(spark.range(copies).withColumnRenamed("id", "copy")).drop("copy")
-    stream = replay.replayed(doubled, "id", slices=2)
+    stream = replay.replayed(logs.unionByName(logs), "id", slices=2)
     streams.append_logs(stream, str(tmp_path / "logs"), str(tmp_path / "checkpoint")).awaitTermination()
     written = spark.read.parquet(str(tmp_path / "logs"))
     assert written.count() == logs.count() == written.select("id").distinct().count()
