@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from chatlog import fixed
-from chatlog.functions.jsonvalue import decode_argument, field, object_text, present, quoted, strict_json
+from chatlog.functions.jsonvalue import decode_argument, field, object_text, present, strict_json
 from chatlog.functions.reasoning import has_tool_marker
 from chatlog.functions.text import as_col, trim
 

@@ -10,13 +10,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from chatlog import fixed
 from chatlog.functions.jsonvalue import field, strict_json
-from chatlog.functions.reasoning import cut_at_open, has_tool_marker, tool_marker_position, without_closed_blocks
-from chatlog.functions.text import as_col, before_position, drop_nuls, from_position, locate, trim, trim_start
+from chatlog.functions.reasoning import cut_at_open, tool_marker_position, without_closed_blocks
+from chatlog.functions.text import before_position, drop_nuls, from_position, locate, trim, trim_start
 from chatlog.operators.scan import block_scan, blocks_of, ordered_concat
 from chatlog.operators.skew import salted_join
 from chatlog.session import settled
 
+# Pieces of text joined in one go, and rows of a large response scanned in one block.
 BLOCK_ROWS = 4096
+SCAN_ROWS = 100_000
 USAGE = {
     "prompt_tokens": "$.promptTokens",
     "completion_tokens": "$.completionTokens",
@@ -59,7 +61,7 @@ def chunk_columns(event: Column, data: Column) -> dict[str, Column]:
 def carry_event_name(lines: DataFrame) -> DataFrame:
     """Add `event`: the name of the last event line so far; blank lines do not reset it."""
     return block_scan(
-        lines, ["response_id"], ["line_no"], blocks_of("line_no", BLOCK_ROWS),
+        lines, ["response_id"], ["line_no"], blocks_of("line_no", SCAN_ROWS),
         lasts={"event": event_name(trim("line"))},
     )
 
@@ -262,13 +264,13 @@ def early_cut(chunks: DataFrame) -> DataFrame:
 
     sizes = settled(pieces.select("response_id", "seq", "past", F.length("answer").cast("bigint").alias("chars")))
     placed = block_scan(
-        sizes, ["response_id"], ["seq"], blocks_of("seq", BLOCK_ROWS), sums={"upto": F.col("chars")}
+        sizes, ["response_id"], ["seq"], blocks_of("seq", SCAN_ROWS), sums={"upto": F.col("chars")}
     ).filter("past")
     met = salted_join(placed, marks, ["response_id"], spread_by="seq", how="inner")
     before = F.col("upto") - F.col("chars")
     here = (F.col("upto") >= F.col("close_end")) & (before >= F.col("open_end")) & (before > F.col("lead_chars"))
     cuts = met.filter(here).groupBy("response_id").agg(
-        F.min("seq").alias("cut_seq"), F.min("upto").alias("kept_chars"), F.first("answer_chars").alias("answer_chars")
+        F.min("seq").alias("cut_seq"), F.min("upto").alias("kept_chars"), F.max("answer_chars").alias("answer_chars")
     )
     usage = chunks.filter("type = 'usage'").groupBy("response_id").agg(F.max("seq").alias("last_usage"))
     return cuts.join(usage, "response_id", "left").select(

@@ -16,8 +16,9 @@ from chatlog.operators.scan import block_scan, blocks_of
 from chatlog.session import settled
 
 KEYS = ["account_id", "client_session_id"]
-TURN_BLOCK = 1024
-REQUEST_BLOCK = 4096
+# Messages of a long conversation, and request ids of a large key, per block.
+TURN_BLOCK = 100_000
+REQUEST_BLOCK = 1_000_000
 
 
 def history_hash(conv: DataFrame) -> DataFrame:

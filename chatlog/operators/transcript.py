@@ -12,7 +12,8 @@ from chatlog.operators.scan import block_scan, blocks_of, ordered_concat
 from chatlog.operators.skew import salted_join
 from chatlog.session import settled
 
-TURN_BLOCK = 1024
+# Messages of a long conversation per block.
+TURN_BLOCK = 100_000
 
 
 def last_n_messages(conv: DataFrame, n: int = fixed.MAX_REPLAY_MESSAGES) -> DataFrame:

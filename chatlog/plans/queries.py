@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from chatlog.functions import toolcalls
 from chatlog.operators import (
     accounts as acc, changes, concurrency, events, models, outcomes, redact, responses, sessions, tooldefs,
     transcript, usage,

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from chatlog.functions import reasoning as R, toolcalls as C
 from chatlog.functions.jsonvalue import quoted
-from chatlog.sources.requests import ANTHROPIC, OPENAI, _check
+from chatlog.sources.requests import OPENAI, _check
 
 
 def _object(*members: tuple[str, Column | str]) -> Column:

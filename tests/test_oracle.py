@@ -25,6 +25,7 @@ def test_query_in_small_blocks(spark, duck, sf_dir, name, monkeypatch):
     monkeypatch.setattr(sessions, "REQUEST_BLOCK", 3)
     monkeypatch.setattr(transcript, "TURN_BLOCK", 2)
     monkeypatch.setattr(events, "BLOCK_ROWS", 5)
+    monkeypatch.setattr(events, "SCAN_ROWS", 5)
     equal, note = compare(spark, duck, sf_dir, name)
     assert equal, note
 

@@ -3,7 +3,6 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from chatlog.functions import jsonvalue, reasoning, text, toolcalls
 from chatlog.operators import outcomes, redact, responses, tooldefs
