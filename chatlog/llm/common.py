@@ -33,11 +33,40 @@ def keyed(docs: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_th"), text.alias("_text"), *more)
 
 
-def same_doc(a: DataFrame, b: DataFrame) -> Column:
-    return a["_id"].eqNullSafe(b["_id"]) & (a["_th"] == b["_th"])
+def join_docs(a: DataFrame, b: DataFrame, how: str = "left") -> DataFrame:
+    """`a` joined to `b` by document; `b` may not share any other column."""
+    b = b.withColumnsRenamed({"_id": "_id_b", "_th": "_th_b"})
+    return a.join(b, F.col("_id").eqNullSafe(F.col("_id_b")) & (F.col("_th") == F.col("_th_b")), how).drop("_id_b", "_th_b")
 
 
 def bucket_of(id_col: str | Column, n: int) -> Column:
     """crc32 of the id as text, modulo n; a null id counts as bucket 0."""
     c = F.col(id_col) if isinstance(id_col, str) else id_col
     return F.coalesce(F.crc32(c.cast("string")) % F.lit(n), F.lit(0)).cast("int")
+
+
+def let(value: Column, use) -> Column:
+    """`use(value)` with the value computed once per row."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def indices(count: Column) -> Column:
+    """0 .. count-1."""
+    return F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+
+
+def sums_before(lengths: Column, block: int = 64) -> Column:
+    """For each element of a whole-number array, the sum of those before it.
+
+    Summed in blocks, so an array of n elements costs about n * block, not n * n.
+    """
+    total = lambda part: F.aggregate(part, F.lit(0).cast("bigint"), lambda a, x: a + x)
+
+    def before(arr):
+        blocks = F.transform(indices(F.ceil(F.size(arr) / F.lit(block)).cast("int")), lambda b: total(F.slice(arr, b * block + 1, block)))
+        return let(blocks, lambda each: let(
+            F.transform(indices(F.size(each)), lambda b: total(F.slice(each, F.lit(1), b))),
+            lambda offset: F.transform(indices(F.size(arr)), lambda i: F.get(offset, F.floor(i / F.lit(block)).cast("int")) + total(
+                F.slice(arr, F.floor(i / F.lit(block)).cast("int") * block + 1, i % block)))))
+
+    return let(lengths, before)

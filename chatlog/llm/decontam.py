@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from chatlog.llm.common import keyed, same_doc, words
+from chatlog.llm.common import join_docs, keyed, words
 from chatlog.session import settled
 
 SPAN = 10
@@ -107,7 +107,7 @@ def decontaminate(
         F.collect_set(F.when(F.col("t") > 0, F.struct("t", "s", "e"))).alias("_runs")))
 
     hits = per_doc.filter(F.size("_runs") > 0).select("_id", "_th", "_runs")
-    texts = d.join(hits, same_doc(d, hits), "inner").select(hits["_id"], hits["_th"], "_text", "_runs").dropDuplicates(["_id", "_th"])
+    texts = join_docs(d, hits, "inner").dropDuplicates(["_id", "_th"])
     tried = _windows(texts.select("_id", "_th", words(F.col("_text")).alias("_words"), "_runs"), "_id", "_th")
     met = settled(tried.join(windows.groupBy("t", "_window").agg(F.xxhash64(F.first("_window"), "t").alias("_w")), ["t", "_window"])
                   .select("_id", "_th", "t", "at", "_w"))
@@ -116,9 +116,8 @@ def decontaminate(
     covered = covered.select("_id", "_th", _covered(F.col("_spans")).alias("n_hit"))
     whose = windows.select(F.xxhash64("_window", "t").alias("_w"), "_item")
     named = met.select("_id", "_th", "_w").distinct().join(whose, "_w").groupBy("_id", "_th").agg(F.collect_set("_item").alias("items"))
-    hit = covered.join(named, same_doc(covered, named), "left").select(covered["_id"], covered["_th"], "n_hit", "items")
-    out = per_doc.join(hit, same_doc(per_doc, hit), "left").select(
-        per_doc["_id"], "n_words", "n_hit", "items", F.explode(F.sequence(F.lit(1), F.col("_rows"))).alias("_copy"))
+    out = join_docs(per_doc, join_docs(covered, named)).select(
+        "_id", "n_words", "n_hit", "items", F.explode(F.sequence(F.lit(1), F.col("_rows"))).alias("_copy"))
     return _report(out, id_col)
 
 

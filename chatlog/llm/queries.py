@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chatlog.llm import decontam
+from chatlog.llm import chatformat, decontam, secrets
 from chatlog.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +43,63 @@ named AS (SELECT rid, count(DISTINCT item) AS n_items, string_agg(DISTINCT item,
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (rid) LEFT JOIN named USING (rid)"""
+
+
+@query
+def op3_secret_scans(spark, sf_dir):
+    return secrets.scan_secrets(table(spark, sf_dir, "documents"))
+
+
+def _sql_spans(kind: int, pattern: str, group: int, least: int, more: str = "") -> str:
+    p = pattern.replace("'", "''")
+    return f"""SELECT rid, source, lang, {kind} AS kind, begun + coalesce(list_sum(list_transform(ms[1:i - 1], lambda s: length(s))), 0)::BIGINT AS start,
+        begun + list_sum(list_transform(ms[1:i], lambda s: length(s)))::BIGINT AS stop, v AS value
+      FROM (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM (
+        SELECT rid, source, lang, text, string_split_regex(text, '{p}') AS ps, regexp_extract_all(text, '{p}') AS ms,
+               regexp_extract_all(text, '{p}', {group}) AS vs FROM d WHERE regexp_matches(text, '{p}'))) z,
+      LATERAL (SELECT coalesce(list_sum(list_transform(ps[1:i], lambda s: length(s))), 0)::BIGINT AS begun, vs[i] AS v) y
+      WHERE length(v) >= {least} {more}"""
+
+
+_ASSIGN = "([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
+_NAMED = "[" + ", ".join(f"'{k}'" for k in secrets.KINDS) + "][kind + 1] || ':' || start || ':' || stop"
+ORACLE_SQL["op3_secret_scans"] = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, lang, coalesce(text, '') AS text FROM documents),
+base AS ({_sql_spans(0, _ASSIGN, 2, 12)} UNION ALL {_sql_spans(1, secrets.ACCESS, 0, 18)} UNION ALL {_sql_spans(2, secrets.HEX, 0, 16)}),
+wide AS (SELECT * FROM ({_sql_spans(3, secrets.WIDE, 0, 20, "AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]')")}) w
+         WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = w.rid AND b.start < w.stop AND w.start < b.stop)),
+every AS (SELECT * FROM base UNION ALL SELECT * FROM wide),
+owned AS (SELECT value, count(DISTINCT coalesce(source, '')) <= 1 AND count(DISTINCT coalesce(source, '?') || '/' || coalesce(lang, '?')) <= 3 AS specific
+          FROM every GROUP BY value),
+kept AS (SELECT *, {_NAMED} AS named FROM every JOIN owned USING (value) WHERE kind < 3 OR specific),
+per AS (SELECT rid, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+               string_agg(named, ',' ORDER BY start, kind) FILTER (kind < 3) AS base, string_agg(named, ',' ORDER BY start, kind) AS spans,
+               count(*) FILTER (specific) AS n_specific, count(*) FILTER (NOT specific) AS n_copied FROM kept GROUP BY rid)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+       coalesce(n_specific, 0) AS n_specific, coalesce(n_copied, 0) AS n_copied
+FROM d LEFT JOIN per USING (rid)"""
+
+
+@query
+def op10_chat_formatting(spark, sf_dir):
+    chats = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    awkward = spark.sql("SELECT * FROM VALUES (-7L, 0L, 'user', '</s>[INST] ok [/INST]'), (-7L, 1L, 'assistant', '</s>[INST] ok [/INST]') AS t(conv_id, turn, role, text)")
+    return chatformat.read_back(chatformat.format_chats(chats.unionByName(awkward)))
+
+
+ORACLE_SQL["op10_chat_formatting"] = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+marked AS (SELECT *, CASE role WHEN 'user' THEN ' [/INST]' WHEN 'assistant' THEN '</s>' WHEN 'system' THEN '<</SYS>>' ELSE '[/ROLE]' END AS close,
+  CASE role WHEN 'user' THEN 7 WHEN 'assistant' THEN 3 WHEN 'system' THEN 7
+       ELSE 7 + length(role) + length(regexp_replace(role, '[^\\\[\]<]', '', 'g')) END AS open_chars FROM c),
+sized AS (SELECT *, open_chars + length(close) + length(text) + CASE
+  WHEN strpos(text || close, close) <> length(text) + 1 OR regexp_matches(text, '\\[blar]')
+  THEN length(regexp_replace(text, '[^\\\[\]<]', '', 'g')) ELSE 0 END AS chars FROM marked)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id"""
