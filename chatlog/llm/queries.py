@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chatlog.llm import chatformat, decontam, secrets
+from chatlog.llm import bpe, chatformat, decontam, secrets, toxicity
 from chatlog.llm.common import table
 
+#: The public vocabulary that op8 and the pipeline encode with.
+VOCABULARY = os.environ.get("BPE_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.json")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
@@ -103,3 +107,16 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(chars) AS BIGINT) AS formatted_chars
 FROM sized GROUP BY conv_id"""
+
+
+@query
+def op8_bpe_encoding_and_decoding(spark, sf_dir):
+    return bpe.digests(bpe.encode_decode(table(spark, sf_dir, "documents"), VOCABULARY))
+
+
+@query
+def op9_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    able = ~toxicity.held_out()
+    model = toxicity.fit(docs.filter(able), table(spark, sf_dir, "labels").filter(able))
+    return toxicity.score(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
