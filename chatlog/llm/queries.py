@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chatlog.llm import bpe, chatformat, decontam, secrets, toxicity
+from chatlog.llm import bpe, chatformat, decontam, langid, ppm, secrets, toxicity
 from chatlog.llm.common import table
 
 #: The public vocabulary that op8 and the pipeline encode with.
@@ -120,3 +120,16 @@ def op9_toxicity(spark, sf_dir):
     able = ~toxicity.held_out()
     model = toxicity.fit(docs.filter(able), table(spark, sf_dir, "labels").filter(able))
     return toxicity.score(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
+@query
+def op4_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    out = langid.identify(docs, langid.fit(docs.filter(~langid.held_out())))
+    return out.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op5_lm_scoring(spark, sf_dir):
+    out = ppm.score(table(spark, sf_dir, "documents"), ~ppm.held_out())
+    return out.select("doc_id", ppm.held_out().alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
