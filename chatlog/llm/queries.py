@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chatlog.llm import bpe, chatformat, decontam, langid, ppm, secrets, toxicity
+from chatlog.llm import bpe, chatformat, decontam, hnsw, langid, ppm, secrets, toxicity
 from chatlog.llm.common import table
 
 #: The public vocabulary that op8 and the pipeline encode with.
@@ -133,3 +133,9 @@ def op4_language_id(spark, sf_dir):
 def op5_lm_scoring(spark, sf_dir):
     out = ppm.score(table(spark, sf_dir, "documents"), ~ppm.held_out())
     return out.select("doc_id", ppm.held_out().alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op7_approximate_nearest_neighbours(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return hnsw.search(hnsw.build_index(vectors, k=20), vectors.filter("vec_id % 20 = 0"), k=20)
