@@ -5,9 +5,9 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chatlog.llm import bpe, chatformat, decontam, hnsw, langid, ppm, secrets, toxicity
+from chatlog.llm import bpe, chatformat, decontam, hnsw, langid, linededup, ppm, secrets, toxicity
 from chatlog.llm.common import table
 
 #: The public vocabulary that op8 and the pipeline encode with.
@@ -139,3 +139,21 @@ def op5_lm_scoring(spark, sf_dir):
 def op7_approximate_nearest_neighbours(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     return hnsw.search(hnsw.build_index(vectors, k=20), vectors.filter("vec_id % 20 = 0"), k=20)
+
+
+@query
+def op2_line_dedup(spark, sf_dir):
+    out = linededup.dedup_lines(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+ORACLE_SQL["op2_line_dedup"] = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS rid, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+lines AS (SELECT rid, doc_id, i, ls[i] AS line, translate(trim(ls[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+          FROM (SELECT rid, doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM d)),
+shared AS (SELECT k, max(doc_id) AS last FROM lines WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3),
+marked AS (SELECT l.*, s.k IS NOT NULL AND (doc_id IS NULL OR doc_id < last) AS gone FROM lines l LEFT JOIN shared s ON l.k = s.k)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY rid"""
