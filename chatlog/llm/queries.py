@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chatlog.llm import bpe, chatformat, decontam, hnsw, langid, linededup, ppm, secrets, toxicity
+from chatlog.llm import bpe, chatformat, decontam, hnsw, langid, linededup, ppm, probminhash, secrets, toxicity
 from chatlog.llm.common import table
 
 #: The public vocabulary that op8 and the pipeline encode with.
@@ -157,3 +157,8 @@ marked AS (SELECT l.*, s.k IS NOT NULL AND (doc_id IS NULL OR doc_id < last) AS
 SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY rid"""
+
+
+@query
+def op6_minhash_near_dedup(spark, sf_dir):
+    return probminhash.classes(table(spark, sf_dir, "documents"))
