@@ -67,34 +67,21 @@ def _covered(spans: Column) -> Column:
         lambda a: a["n"])
 
 
-def decontaminate(
-    docs: DataFrame, items: DataFrame, span: int = SPAN,
-    id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
-) -> DataFrame:
-    """Per document row: id, n_words, n_hit, n_items, items_sha256, contaminated.
-
-    A window is `span` consecutive words of an item, or all words of an item with fewer. A word
-    of a document is hit if it lies in an occurrence of a window. Null and empty texts, on either
-    side, have no words: such a document has no hits, such an item no windows. Items of one id
-    count once, items with a null id mark words but are not counted. Repeated document rows
-    give repeated result rows; without items nothing is hit. The item tables are written to the
-    shared folder first, so whether a join broadcasts them goes by their measured size.
-    """
-    spark = docs.sparkSession
+def _find(docs: DataFrame, items: DataFrame, span: int, id_col: str, text_col: str, item_id: str, item_text: str):
+    """Per document (_id, _th, _rows, n_words), and per hit document (_id, _th, n_hit, items); the latter is None without items."""
     own = items.select(F.col(item_id).cast("string").alias("_item"), F.col(item_text).alias("_t"))
     own = settled(own.select("_item", words(F.col("_t")).alias("_words")).filter(F.size("_words") > 0))
     lengths = sorted(r[0] for r in own.select(F.least(F.size("_words"), F.lit(span))).distinct().collect())  # at most `span`
     d = keyed(docs, id_col, text_col)
     listed = d.select("_id", "_th", words(F.col("_text")).alias("_words"))
     if not lengths:
-        return _report(listed.select(
-            "_id", F.size("_words").alias("n_words"), F.lit(0).alias("n_hit"), F.array().cast("array<string>").alias("items")), id_col)
+        return listed.select("_id", "_th", F.lit(1).alias("_rows"), F.size("_words").alias("n_words")), None
 
     prints = settled(_all_runs(own, lengths).select(F.explode("_runs").alias("r")).select(
         F.col("r.t").alias("t"), F.col("r.fp").alias("fp")).distinct())
-    grams = own.select("_item", F.least(F.size("_words"), F.lit(span)).alias("t"), "_words")
-    windows = settled(_windows(grams.withColumn("_runs", F.array(F.struct(
-        F.col("t"), F.lit(0).alias("s"), (F.size("_words") - F.col("t") + 1).alias("e")))), "_item").select("t", "_window", "_item").distinct())
+    whole = F.array(F.struct(F.col("t"), F.lit(0).alias("s"), (F.size("_words") - F.col("t") + 1).alias("e")))
+    sized = own.withColumn("t", F.least(F.size("_words"), F.lit(span)))
+    windows = settled(_windows(sized.withColumn("_runs", whole), "_item").select("t", "_window", "_item").distinct())
 
     # One row per run, and one of length 0 that stands for the document itself.
     stand_in = F.struct(F.lit(0).alias("t"), F.lit(0).alias("s"), F.size("_words").alias("e"), F.col("_th").alias("fp"))
@@ -109,16 +96,50 @@ def decontaminate(
     hits = per_doc.filter(F.size("_runs") > 0).select("_id", "_th", "_runs")
     texts = join_docs(d, hits, "inner").dropDuplicates(["_id", "_th"])
     tried = _windows(texts.select("_id", "_th", words(F.col("_text")).alias("_words"), "_runs"), "_id", "_th")
-    met = settled(tried.join(windows.groupBy("t", "_window").agg(F.xxhash64(F.first("_window"), "t").alias("_w")), ["t", "_window"])
-                  .select("_id", "_th", "t", "at", "_w"))
+    asked = windows.select("t", "_window", F.xxhash64("_window", "t").alias("_w"))
+    met = settled(tried.join(asked.distinct(), ["t", "_window"]).select("_id", "_th", "t", "at", "_w"))
     covered = met.groupBy("_id", "_th").agg(F.collect_set(F.struct(
         F.col("at").alias("start"), (F.col("at") + F.col("t")).alias("end"))).alias("_spans"))
     covered = covered.select("_id", "_th", _covered(F.col("_spans")).alias("n_hit"))
     whose = windows.select(F.xxhash64("_window", "t").alias("_w"), "_item")
     named = met.select("_id", "_th", "_w").distinct().join(whose, "_w").groupBy("_id", "_th").agg(F.collect_set("_item").alias("items"))
-    out = join_docs(per_doc, join_docs(covered, named)).select(
-        "_id", "n_words", "n_hit", "items", F.explode(F.sequence(F.lit(1), F.col("_rows"))).alias("_copy"))
-    return _report(out, id_col)
+    return per_doc.select("_id", "_th", "_rows", "n_words"), join_docs(covered, named)
+
+
+def decontaminate(
+    docs: DataFrame, items: DataFrame, span: int = SPAN,
+    id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
+) -> DataFrame:
+    """Per document row: id, n_words, n_hit, n_items, items_sha256, contaminated, items.
+
+    A window is `span` consecutive words of an item, or all words of an item with fewer. A word
+    of a document is hit if it lies in an occurrence of a window. Null and empty texts, on either
+    side, have no words: such a document has no hits, such an item no windows. Items of one id
+    count once, items with a null id mark words but are not counted. Repeated document rows
+    give repeated result rows; without items nothing is hit. The item tables are written to the
+    shared folder first, so whether a join broadcasts them goes by their measured size.
+    """
+    per_doc, hit = _find(docs, items, span, id_col, text_col, item_id, item_text)
+    none = [F.lit(None).cast("int").alias("n_hit"), F.lit(None).cast("array<string>").alias("items")]
+    out = per_doc.select("*", *none) if hit is None else join_docs(per_doc, hit)
+    listed = F.array_sort(F.coalesce("items", F.array().cast("array<string>")))
+    n_hit = F.coalesce("n_hit", F.lit(0)).cast("bigint")
+    return out.select("*", F.explode(F.sequence(F.lit(1), F.col("_rows").cast("int"))).alias("_copy")).select(
+        F.col("_id").alias(id_col), F.col("n_words").cast("bigint").alias("n_words"), n_hit.alias("n_hit"),
+        F.size(listed).cast("bigint").alias("n_items"), F.sha2(F.array_join(listed, ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"), listed.alias("items"))
+
+
+def clean(
+    docs: DataFrame, items: DataFrame, span: int = SPAN,
+    id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
+) -> DataFrame:
+    """The rows of `docs` without a hit word, with all their columns; other cases as in `decontaminate`."""
+    _, hit = _find(docs, items, span, id_col, text_col, item_id, item_text)
+    if hit is None:
+        return docs
+    rows = keyed(docs, id_col, text_col, F.struct(*docs.columns).alias("_row"))
+    return join_docs(rows, hit.select("_id", "_th"), "left_anti").select("_row.*")
 
 
 def _windows(df: DataFrame, *keys: str) -> DataFrame:
@@ -128,12 +149,3 @@ def _windows(df: DataFrame, *keys: str) -> DataFrame:
         F.sequence(F.col("r.s"), F.col("r.e") - 1),
         lambda i: F.struct(i.alias("at"), F.array_join(F.slice("_words", i + 1, F.col("r.t")), " ").alias("w")))).alias("x"))
     return each.select(*keys, "t", F.col("x.at").alias("at"), F.col("x.w").alias("_window"))
-
-
-def _report(df: DataFrame, id_col: str) -> DataFrame:
-    items = F.array_sort(F.coalesce("items", F.array().cast("array<string>")))
-    n_hit = F.coalesce("n_hit", F.lit(0)).cast("bigint")
-    return df.select(
-        F.col("_id").alias(id_col), F.col("n_words").cast("bigint").alias("n_words"), n_hit.alias("n_hit"),
-        F.size(items).cast("bigint").alias("n_items"), F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
-        (n_hit > 0).alias("contaminated"))
