@@ -1,12 +1,14 @@
 """Toxicity: subword-bag embeddings averaged into a linear softmax, trained jointly in numpy.
 
-A word is the mean of the vectors of its character n-grams, a window the mean of its words, and
-softmax(W window + b) its class. A misspelt word shares most n-grams with the word it came
-from. A document is as toxic as its most toxic window, so a long clean text hides nothing.
+A word is the mean of the vectors of its character n-grams, a window the average over its WINDOW
+places, where a repeated word and an empty place add nothing, and softmax(W window + b) its
+class. A misspelt word shares most n-grams with the word it came from. A document is as toxic as
+its most toxic window, so a long clean text hides nothing.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,11 +20,12 @@ from chatlog.llm.workers import KEEP_WORDS, map_texts, row_means, subword_ids, w
 
 SIZES, BITS, DIM = (3, 4, 5), 16, 4
 WINDOW, STEP = 16, 8
-#: Bounds of the training sample: documents per class, code points of each, windows of each.
-SAMPLE_DOCS, SAMPLE_CHARS, SAMPLE_WINDOWS = 1200, 20_000, 48
-EPOCHS, ROUNDS, RATE, DECAY = 30, 3, 0.5, 1e-6
-#: N-grams in fewer sampled documents carry nothing.
-MIN_DOCS = 20
+#: Bounds of the training sample: documents by class, code points of each, windows of each.
+SAMPLE_DOCS, SAMPLE_CHARS, SAMPLE_WINDOWS = {0: 2400, 1: 1200}, 20_000, 48
+#: Training: rounds, steps of each, windows per step, rate, and decay of vectors.
+ROUNDS, STEPS, BATCH, RATE, DECAY = 3, 150, 1024, 0.05, 1e-6
+#: N-grams in a smaller share of the sampled documents, or in fewer than three, carry nothing.
+MIN_SHARE = 0.005
 
 
 @dataclass
@@ -42,6 +45,16 @@ def _adam(params: list[np.ndarray], state: list, grads: list[np.ndarray], t: int
         p -= RATE * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
 
 
+def _ranges(begins: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """All places begins[r] .. begins[r + 1] - 1 of the given rows, in their order."""
+    sizes = begins[rows + 1] - begins[rows]
+    return np.repeat(begins[rows] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+
+
+def _sums(index: np.ndarray, values: np.ndarray, rows: int) -> np.ndarray:
+    return np.stack([np.bincount(index, column, rows) for column in values.T], 1)
+
+
 def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
     """Fit on whole windows of labelled texts.
 
@@ -54,85 +67,92 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
         ids = [names.setdefault(w, len(names)) for w in word_list(text)]
         starts = _window_starts(len(ids)) if ids else []
         for s in starts[:: max(1, -(-len(starts) // SAMPLE_WINDOWS))]:
-            windows.append(ids[s:s + WINDOW])
+            windows.append(sorted(set(ids[s:s + WINDOW])))
             owner.append(d)
     rng = np.random.default_rng(seed)
     vectors = rng.normal(0, 0.1, (1 << BITS, DIM))
     weights, bias = rng.normal(0, 0.1, (DIM, 2)), np.zeros(2)
     if not windows or len(set(labels)) < 2:
-        share = (sum(labels) + 0.5) / (len(labels) + 1)
+        share = (sum(labels) + 0.5) / (len(labels) + 2)
         return Model(np.zeros(1 << BITS), float(np.log(share / (1 - share))))
     word, bucket = subword_ids(list(names), SIZES, BITS)
     begins = np.searchsorted(word, np.arange(len(names) + 1))
     for text in texts:
         grams = [bucket[begins[i]:begins[i + 1]] for i in {names[w] for w in word_list(text)}]
         in_docs[np.unique(np.concatenate([*grams, bucket[:0]]))] += 1
-    known = in_docs >= MIN_DOCS
-    vectors *= known[:, None]
-    per_word = np.maximum(np.bincount(word, minlength=len(names)), 1)
+    known = (in_docs >= max(3, MIN_SHARE * len(texts)))[:, None]
+    vectors *= known
     owner, y_doc = np.array(owner), np.array(labels)
     sizes = np.fromiter(map(len, windows), np.int64)
-    in_window, flat = np.repeat(np.arange(len(windows)), sizes), np.concatenate(windows)
+    places, flat = np.concatenate(([0], np.cumsum(sizes))), np.concatenate(windows)
     params = [vectors, weights, bias]
-    state = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
-    chosen, t = np.arange(len(windows)), 0
+    state, t = [(np.zeros_like(p), np.zeros_like(p)) for p in params], 0
+    chosen = np.arange(len(windows))
     for turn in range(ROUNDS):
         if turn:
-            gram = vectors @ (weights[:, 1] - weights[:, 0])
-            score = row_means(in_window, row_means(word, gram[bucket], len(names))[flat], len(windows))
+            odds = row_means(word, (vectors @ (weights[:, 1] - weights[:, 0]))[bucket], len(names))
+            score = np.bincount(np.repeat(np.arange(len(windows)), sizes), odds[flat], len(windows))
             order = np.lexsort((-score, owner))
             top = order[np.r_[True, owner[order][1:] != owner[order][:-1]]]
             chosen = np.union1d(np.flatnonzero(y_doc[owner] == 0), top[y_doc[owner[top]] == 1])
-        used = np.isin(in_window, chosen)
-        row, col = np.searchsorted(chosen, in_window[used]), flat[used]
-        n, y = sizes[chosen], y_doc[owner[chosen]]
-        balance = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
-        for _ in range(EPOCHS):
-            t += 1
-            words = row_means(word, vectors[bucket], len(names))
-            mean = row_means(row, words[col], len(chosen))
+        toxic, clean = chosen[y_doc[owner[chosen]] == 1], chosen[y_doc[owner[chosen]] == 0]
+        for _ in range(STEPS):
+            t += 1  # as many toxic windows as clean ones
+            batch = np.concatenate([rng.choice(toxic, BATCH // 2), rng.choice(clean, BATCH // 2)])
+            col, row = flat[_ranges(places, batch)], np.repeat(np.arange(BATCH), sizes[batch])
+            own, col = np.unique(col, return_inverse=True)
+            at, of = bucket[_ranges(begins, own)], np.repeat(np.arange(len(own)), np.diff(begins)[own])
+            per_word = np.maximum(np.diff(begins)[own], 1)[:, None]
+            mean = _sums(row, (_sums(of, vectors[at], len(own)) / per_word)[col], BATCH) / WINDOW
             logits = mean @ weights + bias
             p = np.exp(logits - logits.max(1, keepdims=True))
             p /= p.sum(1, keepdims=True)
-            p[np.arange(len(y)), y] -= 1
-            p *= balance[:, None]
-            back = (p @ weights.T) / n[:, None]
-            to_word = np.stack([np.bincount(col, back[row, k], len(names)) for k in range(DIM)], 1) / per_word[:, None]
-            to_gram = np.stack([np.bincount(bucket, to_word[word, k], 1 << BITS) for k in range(DIM)], 1)
-            _adam(params, state, [to_gram * known[:, None] + DECAY * vectors, mean.T @ p, p.sum(0)], t)
+            p[np.arange(BATCH), np.repeat([1, 0], BATCH // 2)] -= 1
+            p /= BATCH
+            to_word = _sums(col, ((p @ weights.T) / WINDOW)[row], len(own)) / per_word
+            to_gram = _sums(at, to_word[of], 1 << BITS) * known + DECAY * vectors
+            _adam(params, state, [to_gram, mean.T @ p, p.sum(0)], t)
     return Model(vectors @ (weights[:, 1] - weights[:, 0]), float(bias[1] - bias[0]))
 
 
 class Scorer:
     def __init__(self, model: Model):
-        self.model, self.known = model, {}
+        self.model = model
+        self._forget()
+
+    def _forget(self) -> None:
+        self.rows, self.odds = {}, np.zeros(0)
 
-    def _learn(self, words: set[bytes]) -> None:
-        words = list(words)
+    def _learn(self, words: list[bytes]) -> None:
         word, bucket = subword_ids(words, SIZES, BITS)
-        self.known.update(zip(words, row_means(word, self.model.gram[bucket], len(words)).tolist()))
+        self.rows.update(zip(words, range(len(self.odds), len(self.odds) + len(words))))
+        self.odds = np.concatenate([self.odds, row_means(word, self.model.gram[bucket], len(words))])
 
     def __call__(self, texts: list[str]) -> list[pa.Array]:
-        if len(self.known) > KEEP_WORDS:
-            self.known.clear()
+        if len(self.rows) > KEEP_WORDS:
+            self._forget()
         lists = [word_list(t) for t in texts]
-        for words in lists:
-            if new := set(words).difference(self.known):
-                self._learn(new)
+        if new := list(set().union(*lists).difference(self.rows)):
+            self._learn(new)
         return [pa.array([self.score(words) for words in lists], pa.float64())]
 
     def score(self, words: list[bytes]) -> float:
         """Probability of the most toxic window; without words, what the bias alone says."""
-        known = self.known
-        sums = np.concatenate(([0.0], np.cumsum([known[w] for w in words])))
-        starts = np.array(_window_starts(len(words)))
-        ends = np.minimum(starts + WINDOW, len(words))
-        odds = self.model.bias + ((sums[ends] - sums[starts]) / np.maximum(ends - starts, 1)).max()
-        return float(1 / (1 + np.exp(-odds))) if odds > -700 else 0.0
+        rows, best = self.rows, 0.0
+        if words:
+            ids = np.array([rows[w] for w in words])
+            order = np.argsort(ids, kind="stable")
+            before = np.full(len(ids), -1)  # where the word stood last
+            again = ids[order[1:]] == ids[order[:-1]]
+            before[order[1:][again]] = order[:-1][again]
+            starts = np.array(_window_starts(len(ids)))[:, None]
+            places = np.minimum(starts + np.arange(min(WINDOW, len(ids))), len(ids) - 1)
+            best = float((self.odds[ids[places]] * (before[places] < starts)).sum(1).max()) / WINDOW
+        return 1 / (1 + math.exp(-min(700.0, max(-700.0, self.model.bias + best))))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
-    """Train on up to SAMPLE_DOCS documents per class of at most SAMPLE_CHARS code points.
+    """Train on up to SAMPLE_DOCS documents by class, of at most SAMPLE_CHARS code points.
 
     Only rows with a label of 0 or 1, an id and a text serve; which of them is settled by a hash
     of the id. The sample is bounded, so it is trained on the driver.
@@ -142,8 +162,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     texts = docs.filter(F.length(text_col).between(1, SAMPLE_CHARS)).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     first = Window.partitionBy("_y").orderBy(F.xxhash64("_id"), "_id")
     able = texts.select("_id").join(marked, "_id").distinct()
-    ids = able.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= SAMPLE_DOCS).select("_id", "_y")
-    rows = sorted(texts.join(F.broadcast(ids), "_id").collect(), key=lambda r: (r["_id"], r["_text"]))  # at most 2 * SAMPLE_DOCS ids
+    ids = able.withColumn("_n", F.row_number().over(first)).filter(
+        F.col("_n") <= F.when(F.col("_y") == 1, SAMPLE_DOCS[1]).otherwise(SAMPLE_DOCS[0])).select("_id", "_y")
+    rows = sorted(texts.join(F.broadcast(ids), "_id").collect(), key=lambda r: (r["_id"], r["_text"]))  # few ids, short texts
     return train([r["_text"] for r in rows], [int(r["_y"]) for r in rows])
 
 
