@@ -85,6 +85,23 @@ def count_tokens(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "token binary, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
 
 
+def _frequent(counts: DataFrame) -> Column:
+    """Holds for the most frequent tokens, HEAD_TOKENS at most.
+
+    Where they begin is read from a histogram of a few hundred steps of the counts' logarithm, so
+    no task sorts or gathers the tokens.
+    """
+    short, step = F.octet_length("token") <= HEAD_BYTES, F.floor(F.log2("n") * 16)
+    steps = sorted(counts.filter(short).groupBy(step.alias("step")).count().collect(), reverse=True)
+    least, so_far = math.inf, 0
+    for row in steps:
+        so_far += row["count"]
+        if so_far > HEAD_TOKENS:
+            break
+        least = row["step"]
+    return short & (step >= F.lit(float(least)))
+
+
 def probabilities(code: np.ndarray, n: np.ndarray) -> np.ndarray:
     """log10 probability of each symbol after each context of two bytes, as a flat array by code."""
     trie = np.zeros((256, 256, 256), np.float32)  # first, second, symbol
@@ -131,7 +148,7 @@ def score(docs: DataFrame, training: Column | None = None, id_col: str = "doc_id
     score is its log10 probability of the text and its end, base_score that of the tokens and
     their end by add-one counts. Null and empty texts have only the end. Repeated rows count as
     often as they occur; without training rows all symbols are alike. Token counts are exact:
-    those of the HEAD_TOKENS most frequent are held by the workers, the rest is joined.
+    those of the most frequent are held by the workers, the rest is joined.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -139,10 +156,9 @@ def score(docs: DataFrame, training: Column | None = None, id_col: str = "doc_id
     grams = count_contexts(learnt).toArrow()  # 256^3 rows at most
     counts = settled(count_tokens(learnt))
     total, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    able = counts.filter(F.octet_length("token") <= HEAD_BYTES)
-    head = able.orderBy(F.desc("n"), "token").limit(HEAD_TOKENS).toArrow()
+    frequent = _frequent(counts)
+    head = counts.filter(frequent).toArrow()  # HEAD_TOKENS rows at most
     known = dict(zip(head["token"].to_pylist(), head["n"].to_pylist()))
-    least = min(known.values(), default=0)
     name = uuid.uuid4().hex
     sent = spark.sparkContext.broadcast((grams["code"].to_numpy().astype(np.int64), grams["n"].to_numpy(), known))
 
@@ -176,8 +192,7 @@ def score(docs: DataFrame, training: Column | None = None, id_col: str = "doc_id
     scored = settled(made.withColumn("_row", F.monotonically_increasing_id()))  # written, so the number stays
     rare = scored.filter(F.size("_rare") > 0).select("_row", F.explode(F.arrays_zip("_rare", "_times")).alias("x"))
     rare = rare.select("_row", F.col("x._rare").alias("token"), F.col("x._times").alias("times"))
-    others = counts.filter((F.col("n") <= least) | (F.octet_length("token") > HEAD_BYTES))
-    more = rare.join(others, "token").groupBy("_row").agg(
+    more = rare.join(counts.filter(~frequent), "token").groupBy("_row").agg(
         F.sum("times").alias("_more"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("_plus"))
     base = F.col("_sum") + F.coalesce("_plus", F.lit(0.0)) - F.col("_n") * F.lit(math.log10(total + kinds + 1))
     return scored.join(more, "_row", "left").select(
