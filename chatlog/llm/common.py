@@ -33,6 +33,11 @@ def keyed(docs: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_th"), text.alias("_text"), *more)
 
 
+def whole(docs: DataFrame) -> Column:
+    """All columns of a row as one, `_row`, so that no name can clash on the way."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+
+
 def join_docs(a: DataFrame, b: DataFrame, how: str = "left") -> DataFrame:
     """`a` joined to `b` by document; `b` may not share any other column."""
     b = b.withColumnsRenamed({"_id": "_id_b", "_th": "_th_b"})

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from chatlog.llm.common import join_docs, keyed, words
+from chatlog.llm.common import join_docs, keyed, whole, words
 from chatlog.session import settled
 
 SPAN = 10
@@ -138,7 +138,7 @@ def clean(
     _, hit = _find(docs, items, span, id_col, text_col, item_id, item_text)
     if hit is None:
         return docs
-    rows = keyed(docs, id_col, text_col, F.struct(*docs.columns).alias("_row"))
+    rows = keyed(docs, id_col, text_col, whole(docs))
     return join_docs(rows, hit.select("_id", "_th"), "left_anti").select("_row.*")
 
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from chatlog.llm.common import join_docs, keyed
+from chatlog.llm.common import join_docs, keyed, whole
 from chatlog.llm.components import components
 from chatlog.llm.workers import KEEP_WORDS, map_texts, word_list
 from chatlog.session import settled
@@ -219,7 +219,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     chosen = known.groupBy("comp").agg(F.min(F.struct("_id", "_th")).alias("one")).select("one._id", "one._th")
     copies = known.groupBy("_id", "_th").count()
     chosen = settled(join_docs(chosen, copies, "inner"))
-    d = keyed(docs, id_col, text_col, F.struct(*docs.columns).alias("_row"))
+    d = keyed(docs, id_col, text_col, whole(docs))
     wordless = rows.filter(F.col("comp").isNull()).select("_id", "_th").distinct().withColumn("count", F.lit(1))
     single = join_docs(d, chosen.filter("count = 1").unionByName(wordless.select("_id", "_th", F.col("count").cast("bigint"))), "inner")
     repeated = join_docs(d, chosen.filter("count > 1"), "inner").dropDuplicates(["_id", "_th"])

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, types as T
 
 #: Texts are handled in parts of about this many bytes.
 PART_BYTES = 8 << 20
@@ -38,8 +38,8 @@ def map_texts(rows: DataFrame, make: Callable[[], Callable[[list[str]], list[pa.
     `make` is called once per task and returns the function from texts to arrays. Other
     columns pass through as they came. Nothing is shuffled.
     """
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    names = [*rows.columns[:-1], *[part.split()[0] for part in added.split(", ")]]
+    schema = T.StructType([*rows.schema.fields[:-1], *T.StructType.fromDDL(added).fields])
+    names = schema.fieldNames()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
@@ -48,7 +48,7 @@ def map_texts(rows: DataFrame, make: Callable[[], Callable[[list[str]], list[pa.
                 made = work(part.column(part.num_columns - 1).to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], *made], names=names)
 
-    return rows.mapInArrow(run, f"{kept}, {added}")
+    return rows.mapInArrow(run, schema)
 
 
 def subword_ids(words: list[bytes], sizes: tuple[int, ...], bits: int) -> tuple[np.ndarray, np.ndarray]:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from chatlog.llm import bpe, decontam, linededup, probminhash, toxicity
-from chatlog.llm.common import table
+from chatlog.llm.common import table, whole
 from chatlog.llm.queries import VOCABULARY
 from chatlog.session import settled
 
@@ -18,13 +18,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted on the labelled ones, does not call toxic."""
     able = ~toxicity.held_out()
     model = toxicity.fit(docs.filter(able), table(spark, sf_dir, "labels").filter(able))
-    return toxicity.score(docs, model, keep=docs.columns).filter("predicted = 0").select(*docs.columns)
+    return toxicity.score(docs.select(whole(docs), "text"), model, keep=["_row"]).filter("predicted = 0").select("_row.*")
 
 
 def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that many share; n_chars follows the text."""
-    kept = linededup.dedup_lines(docs, keep=[c for c in docs.columns if c != "text"])
-    return kept.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
+    kept = linededup.dedup_lines(docs.select("doc_id", "text", whole(docs)), keep=["_row"])
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast("bigint")}
+    return kept.select(*[new.get(c, F.col("_row")[c]).alias(c) for c in docs.columns])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
