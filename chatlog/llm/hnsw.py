@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from chatlog.session import settled
 
 SHARD_ROWS, QUERY_BLOCK = 8192, 4096
+#: Tasks for each group of work, so that few groups share one by chance.
+SPREAD = 4
 LINKS, BUILD_WIDTH, SEARCH_WIDTH = 16, 100, 160
 
 
@@ -155,7 +157,10 @@ def build_index(vectors: DataFrame, k: int, id_col: str = "vec_id", vector_col:
             "entry": pa.array([graph.entry], pa.int32()), "ids": pa.array([ids], pa.list_(pa.list_(pa.int64()))),
             "scale": pa.array([scale], pa.float64())})
 
-    return settled(dealt.select("dim", "shard", "v", "ids", "longest").groupBy("dim", "shard").applyInArrow(
+    # A shard is much work for few bytes, so tasks are not merged by size.
+    tasks = SPREAD * (sizes.agg(F.coalesce(F.sum("shards"), F.lit(1))).first()[0] or 1)
+    dealt = dealt.select("dim", "shard", "v", "ids", "longest").repartition(tasks, "dim", "shard")
+    return settled(dealt.groupBy("dim", "shard").applyInArrow(
         build, "shard int, dim int, rows int, vectors binary, levels binary, neighbours array<binary>, entry int, ids array<array<bigint>>, scale double"))
 
 
@@ -200,6 +205,7 @@ def search(index: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id",
         return pa.table({"query_id": pa.array(whose, pa.int64()), "vec_id": pa.array(found, pa.int64()), "score": pa.array(scores, pa.float64())})
 
     by = ["dim", "shard", "block"]
-    found = asked.groupBy(*by).cogroup(offered.groupBy(*by)).applyInArrow(look, out)
+    tasks = SPREAD * blocks * max(1, index.count())
+    found = asked.repartition(tasks, *by).groupBy(*by).cogroup(offered.repartition(tasks, *by).groupBy(*by)).applyInArrow(look, out)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
