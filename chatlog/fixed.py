@@ -75,8 +75,3 @@ CLIENT_STATUS = {
 }
 OTHER_CLIENT_STATUS = 502
 BAN_STATUS = {"banned_temporary": "TEMPORARY", "banned_permanent": "PERMANENT"}
-
-# --- cookie options of a pasted shell command --------------------------------
-COOKIE_OPTION_SINGLE = r"(?:-b|--cookie)\s+'([^']+)'"
-COOKIE_OPTION_DOUBLE = r'(?:-b|--cookie)\s+"([^"]+)"'
-COOKIE_HEADER = r"-H\s+[Cc]ookie:\s*([^\r\n]+)"

@@ -17,20 +17,30 @@ def apply_changes(
 ) -> DataFrame:
     """Apply `changes` (key, seq, op, columns...) in the order of `seq` to `base`.
 
-    op 'delete' removes the row; any other op writes it. Columns in `sets` take the
-    last value written, columns in `adds` the sum of the values written. A change
-    writes the set columns listed in its array column `fields`, or without one its
-    non-null columns. Rows of a key before its last delete do not count. With
+    op 'delete' removes the row, 'update' writes it if it is there at that point, and any
+    other op writes it in any case. Columns in `sets` take the last value written, columns
+    in `adds` the sum of the values written. A change writes the set columns listed in its
+    array column `fields`, or without one its non-null columns. Rows of a key before its
+    last delete do not count, and an update of an absent row does nothing. With
     `insert=False`, changes of unknown keys are dropped.
 
-    Deletes meet the writes under a salted key and the rest is one combinable
-    aggregate, so a much changed key reaches its task as few partial rows.
+    The life of each key (last delete, first write after it, part of the base) meets the
+    writes under a salted key and the rest is one combinable aggregate, so a much changed key
+    reaches its task as few partial rows.
     """
     sets, adds = list(sets or []), list(adds or [])
     by_fields = "fields" in changes.columns
     removed = changes.filter(F.col("op") == "delete").groupBy(key).agg(F.max("seq").alias("_removed"))
     written = salted_join(changes.filter(F.col("op") != "delete"), removed, [key], spread_by="seq")
     written = written.filter(F.col("_removed").isNull() | (F.col("seq") > F.col("_removed")))
+    lives = written.filter(F.col("op") != "update").groupBy(key).agg(F.min("seq").alias("_born"))
+    if base is None:
+        lives = lives.withColumn("_there", F.lit(None).cast("boolean"))
+    else:
+        lives = lives.join(base.select(key, F.lit(True).alias("_there")), key, "full_outer")
+    alive = (F.col("_there") & F.col("_removed").isNull()) | (F.col("seq") > F.col("_born"))
+    written = salted_join(written, lives, [key], spread_by="seq")
+    written = written.filter((F.col("op") != "update") | F.coalesce(alive, F.lit(False)))
 
     aggregates = []
     for c in sets:

@@ -6,42 +6,57 @@ import re
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from chatlog import fixed
 from chatlog.functions.text import as_col
 
-# Cookie fields masked by default: name -> pattern of the value.
+# Named fields that are masked wherever they stand: name -> pattern of the value.
 FIELDS = {"sid": r"[^\"';\s]+", "userId": r"\d+", "token": r"[^\"';\s]+"}
 MASK = "***"
+# What a command or a request passes as cookies, quoted or not, and one pair in it.
+COOKIES = (
+    r"""(?<![\w-])(?:(?:-b|--cookie)(?:\s+|=)(?:"[^"]*+"?|'[^']*+'?|[^\s"']\S*+)"""
+    r"""|(?:-H|--header)(?:\s+|=)(?:"\s*(?i:cookie):[^"]*+"?|'\s*(?i:cookie):[^']*+'?|(?i:cookie):[^\r\n]*+))"""
+    r"""|(?im:^cookie:[^\r\n]*+)"""
+)
+PAIR = r"""(?<![\w-])([^\s;:=,"'-][^\s;=,"']*+=["']?)(?:(?<=")[^"\r\n]*+|(?<=')[^'\r\n]*+|[^;"'\r\n]*+)"""
 
 
 def _pattern(name: str, value: str) -> str:
     return rf"""\b({re.escape(name)}=["']?){value}"""
 
 
+def _has_cookies(c: Column) -> Column:
+    # The regex runs only where a cheap look finds an option or a header.
+    hints = [F.contains(c, F.lit(x)) for x in ("-b", "--cookie", "ookie:", "OOKIE:")]
+    return (hints[0] | hints[1] | hints[2] | hints[3]) & F.regexp_like(c, F.lit(COOKIES))
+
+
 def has_cookie_option(c) -> Column:
-    """The text holds a pasted command with a cookie option or header."""
-    c = as_col(c)
-    # The regexes run only where a cheap look finds their option.
-    short = F.contains(c, F.lit("-b")) | F.contains(c, F.lit("--cookie"))
-    header = F.contains(c, F.lit("-H"))
-    return (
-        (short & (F.regexp_like(c, F.lit(fixed.COOKIE_OPTION_SINGLE)) | F.regexp_like(c, F.lit(fixed.COOKIE_OPTION_DOUBLE))))
-        | (header & F.regexp_like(c, F.lit(fixed.COOKIE_HEADER)))
-    )
+    """The text holds a pasted command with a cookie option or header, or a cookie header line."""
+    return _has_cookies(as_col(c))
 
 
 def redact_credentials(df: DataFrame, text: str = "text", fields: dict[str, str] | None = None) -> DataFrame:
-    """Mask cookie field values in `text`; add hits per field and `has_command`.
+    """Mask credentials in `text`; add `cookie_hits`, hits per named field and `has_command`.
 
-    Values are masked wherever the field occurs and never leave the operator.
+    Every name=value pair of a cookie option or header is masked, whatever its name, and the
+    values of the named fields wherever they occur; no value leaves the operator.
     """
     fields = FIELDS if fields is None else fields
     source = F.col(text)
-    masked, hits = source, {}
+    passed = F.regexp_extract_all(source, F.lit(COOKIES), F.lit(0))
+    between = F.split(source, COOKIES, -1)
+    covered = F.transform(passed, lambda p: F.regexp_replace(p, F.lit(PAIR), F.lit(f"$1{re.escape(MASK)}")))
+    woven = F.concat(F.element_at(between, 1), F.array_join(F.zip_with(
+        covered, F.slice(between, 2, F.greatest(F.size(between) - 1, F.lit(0))), lambda p, b: F.concat(p, b)), ""))
+    there = _has_cookies(source)
+    masked = F.when(there, woven).otherwise(source)
+    pairs = F.aggregate(passed, F.lit(0).cast("bigint"), lambda n, p: n + F.regexp_count(p, F.lit(PAIR)))
+    hits = {"cookie_hits": F.when(there, pairs).otherwise(F.when(source.isNotNull(), F.lit(0).cast("bigint")))}
+    for name, value in fields.items():
+        pattern, found = _pattern(name, value), F.contains(source, F.lit(f"{name}="))
+        hits[f"{name}_hits"] = F.when(found, F.regexp_count(source, F.lit(pattern))).otherwise(0).cast("bigint")
+    out = df.withColumns({**hits, "has_command": there}).withColumn("_masked", masked)
     for name, value in fields.items():
-        pattern, there = _pattern(name, value), F.contains(source, F.lit(f"{name}="))
-        masked = F.when(there, F.regexp_replace(masked, pattern, f"$1{re.escape(MASK)}")).otherwise(masked)
-        hits[f"{name}_hits"] = F.when(there, F.regexp_count(source, F.lit(pattern))).otherwise(0).cast("bigint")
-    return df.withColumns({**hits, "has_command": has_cookie_option(text)}).withColumn("_masked", masked).drop(
-        text
-    ).withColumnRenamed("_masked", text)
+        found = F.contains("_masked", F.lit(f"{name}="))
+        out = out.withColumn("_masked", F.when(found, F.regexp_replace("_masked", _pattern(name, value), f"$1{re.escape(MASK)}")).otherwise(F.col("_masked")))
+    return out.drop(text).withColumnRenamed("_masked", text)

@@ -136,7 +136,7 @@ def ordered_concat(
     """Concatenate text columns of each key in the order of a whole-number column.
 
     `texts` maps output name to input column; nulls are skipped, and a key without
-    text gets ''. `any_of` adds flags that hold if they hold for any row of the key.
+    text gets ''. Rows without an order come first. `any_of` adds flags that hold if they hold for any row of the key.
     Rows with order < `head` take one shuffle, and at most `head` of them per key
     meet in a task. The rest of longer keys is joined block by block first, so no
     task sorts them whole; for usual keys that branch has no rows.
@@ -153,7 +153,7 @@ def ordered_concat(
             *[F.bool_or(src).alias(name) for name, src in flags.items()],
         )
 
-    first = joined(df.filter(F.col(order) < head), keys, order, texts, {n: n for n in any_of})
+    first = joined(df.filter((F.col(order) < head) | F.col(order).isNull()), keys, order, texts, {n: n for n in any_of})
     tail = df.filter(F.col(order) >= head).withColumn(BLOCK, blocks_of(order, head))
     parts, flags = {f"_t_{n}": f"_t_{n}" for n in texts}, {f"_t_{n}": f"_t_{n}" for n in any_of}
     tail = joined(tail, [*keys, BLOCK], order, {f"_t_{n}": src for n, src in texts.items()}, {f"_t_{n}": n for n in any_of})

@@ -168,7 +168,9 @@ def request_health(logs: DataFrame, keys=("endpoint",)) -> DataFrame:
         logs, keys, "duration_ms",
         {"p50_ms": 0.5, "p95_ms": 0.95, "p99_ms": 0.99}, width=60_000,
     )
-    return sums.join(times, keys, "left").select(
+    times = times.withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]  # a null key is a group of its own
+    return sums.join(times, same, "left").select(
         *keys, "requests", "errors", "suspect_success",
         (F.col("errors") / F.col("requests")).alias("error_rate"),
         F.when(F.col("completion") > 0, F.col("reasoning") / F.col("completion")).alias("reasoning_share"),

@@ -72,6 +72,8 @@ SELECT c_custkey AS id, 1 AS seq, 'update' AS op, CASE WHEN c_nationkey > 12 THE
 UNION ALL SELECT c_custkey, 2, 'update', NULL, c_acctbal > 0, 'is_active' FROM customer WHERE c_nationkey < 5
 UNION ALL SELECT c_custkey, 3, 'delete', NULL, NULL, NULL FROM customer WHERE c_acctbal < 0
 UNION ALL SELECT c_custkey, 4, 'upsert', 'back', NULL, 'alias' FROM customer WHERE c_acctbal < -500
+UNION ALL SELECT c_custkey, 5, 'update', NULL, c_nationkey % 2 = 0, 'is_active' FROM customer WHERE c_acctbal < -200
+UNION ALL SELECT c_custkey + 1000000000, 1, 'update', 'ghost', NULL, 'alias' FROM customer WHERE c_acctbal > 8000
 UNION ALL SELECT c_custkey + 2000000000, 1, 'upsert', c_name, true, 'alias' FROM customer WHERE c_acctbal > 9000""",
         "request_logs": f"""
 SELECT event_id AS id,
@@ -113,7 +115,9 @@ FROM requests GROUP BY client_session_id""",
 SELECT client_session_id AS id, request_id AS seq, 'upsert' AS op, prompt_tokens, turn AS last_msg_count FROM requests
 UNION ALL
 SELECT client_session_id, min(request_id) + 1, 'delete', NULL, NULL FROM requests
-GROUP BY client_session_id HAVING max(prompt_tokens) >= 300""",
+GROUP BY client_session_id HAVING max(prompt_tokens) >= 300
+UNION ALL SELECT client_session_id, min(request_id) + 2, 'update', 7, 99 FROM requests GROUP BY client_session_id
+UNION ALL SELECT client_session_id + 1000000000, 1, 'update', 7, 99 FROM requests GROUP BY client_session_id""",
         "responses": f"""
 SELECT conv_id * 100 + turn AS response_id, {KIND} AS kind,
   CASE {KIND}
@@ -158,7 +162,11 @@ SELECT p_brand AS brand, p_partkey AS def_id, CASE p_partkey % 3
   ELSE concat('{{"name":"', replace(p_name, ' ', '_'), '"}}') END AS def
 FROM part""",
         "redaction_input": """
-SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN concat(text, chr(10), 'curl -b "sid=tok', doc_id, '; userId=', doc_id, '"') ELSE text END AS text
+SELECT doc_id, CASE doc_id % 5
+  WHEN 0 THEN concat(text, chr(10), 'curl -b "sid=tok', doc_id, '; userId=', doc_id, '" -X GET')
+  WHEN 1 THEN concat('curl -H ', chr(39), 'Cookie: serviceToken=SECRET', doc_id, '; userId=42; other_ph="SECRET', doc_id, '"', chr(39), ' -d a=b', chr(10), text)
+  WHEN 2 THEN concat(text, chr(10), 'Cookie: plain=SECRET', doc_id, '; x_y=2', chr(10), 'curl --cookie only=SECRET', doc_id, ' --data k=v')
+  WHEN 3 THEN concat('no command, key=value and token=SECRET', doc_id, ' ', text) ELSE text END AS text
 FROM documents""",
     }
 

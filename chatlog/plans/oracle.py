@@ -57,6 +57,11 @@ SELECT endpoint, count(*) AS requests, count(*) FILTER (WHERE status = 'error')
        quantile_cont(duration_ms, 0.5) AS p50_ms, quantile_cont(duration_ms, 0.95) AS p95_ms,
        quantile_cont(duration_ms, 0.99) AS p99_ms
 FROM request_logs GROUP BY endpoint"""
+SQL["request_health_by_account"] = """
+SELECT account_id, count(*) AS requests, count(*) FILTER (WHERE status = 'error') AS errors,
+       quantile_cont(duration_ms, 0.5) AS p50_ms, quantile_cont(duration_ms, 0.99) AS p99_ms
+FROM (SELECT CASE WHEN account_id >= 1000000000 THEN NULL ELSE account_id END AS account_id, status, duration_ms FROM request_logs)
+GROUP BY account_id"""
 PAGE = "id, account_id, endpoint, status, duration_ms, error, epoch_us(created_at) AS created_us"
 SQL["logs_page"] = f"""
 SELECT {PAGE} FROM request_logs WHERE status = 'success' AND endpoint = 'openai'
@@ -269,9 +274,12 @@ WHERE generation = (SELECT max(generation) FROM fold g WHERE g.account_id = f.ac
 GROUP BY account_id, client_session_id, generation
 HAVING max(created_at) >= {NOW} - INTERVAL 7 DAY"""
 SQL["session_changes_applied"] = """
-WITH kept AS (
+WITH late AS (
   SELECT * FROM session_changes c WHERE op <> 'delete' AND NOT EXISTS (
-    SELECT 1 FROM session_changes d WHERE d.id = c.id AND d.op = 'delete' AND d.seq >= c.seq))
+    SELECT 1 FROM session_changes d WHERE d.id = c.id AND d.op = 'delete' AND d.seq >= c.seq)),
+kept AS (
+  SELECT * FROM late c WHERE op <> 'update' OR EXISTS (
+    SELECT 1 FROM late b WHERE b.id = c.id AND b.op <> 'update' AND b.seq < c.seq))
 SELECT id, CAST(coalesce(sum(prompt_tokens), 0) AS BIGINT) AS prompt_tokens, max_by(last_msg_count, seq) AS last_msg_count
 FROM kept GROUP BY id"""
 
@@ -326,9 +334,13 @@ SELECT account_id AS id, epoch_us(created_at) AS from_us,
 FROM steps WHERE nth = 1 OR ban IS DISTINCT FROM earlier"""
 
 SQL["account_changes_applied"] = """
-WITH kept AS (
+WITH late AS (
   SELECT * FROM account_changes c WHERE op <> 'delete' AND NOT EXISTS (
     SELECT 1 FROM account_changes d WHERE d.id = c.id AND d.op = 'delete' AND d.seq > c.seq)),
+kept AS (
+  SELECT * FROM late c WHERE op <> 'update'
+    OR EXISTS (SELECT 1 FROM late b WHERE b.id = c.id AND b.op <> 'update' AND b.seq < c.seq)
+    OR (c.id IN (SELECT id FROM accounts) AND c.id NOT IN (SELECT id FROM account_changes WHERE op = 'delete'))),
 written AS (
   SELECT id, arg_max(struct_pack(v := alias), seq) FILTER (WHERE field = 'alias') AS al,
          arg_max(struct_pack(v := is_active), seq) FILTER (WHERE field = 'is_active') AS ac
@@ -551,19 +563,44 @@ WITH lines AS (
     ELSE concat('- ', replace(p_name, ' ', '_'), '(): ') END AS line FROM part)
 SELECT brand, '[Tools]' || chr(10) || string_agg(line, chr(10) ORDER BY p_partkey) AS catalog FROM lines GROUP BY brand"""
 SQL["redacted_text"] = """
-SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN concat(text, chr(10), 'curl -b "sid=***; userId=***"') ELSE text END AS text,
+SELECT doc_id, CASE doc_id % 5
+  WHEN 0 THEN concat(text, chr(10), 'curl -b "sid=***; userId=***" -X GET')
+  WHEN 1 THEN concat('curl -H ', chr(39), 'Cookie: serviceToken=***; userId=***; other_ph="***"', chr(39), ' -d a=b', chr(10), text)
+  WHEN 2 THEN concat(text, chr(10), 'Cookie: plain=***; x_y=***', chr(10), 'curl --cookie only=*** --data k=v')
+  WHEN 3 THEN concat('no command, key=value and token=*** ', text) ELSE text END AS text,
+       CAST(CASE doc_id % 5 WHEN 0 THEN 2 WHEN 1 THEN 3 WHEN 2 THEN 3 ELSE 0 END AS BIGINT) AS cookie_hits,
        CAST(CASE WHEN doc_id % 5 = 0 THEN 1 ELSE 0 END AS BIGINT) AS sid_hits,
-       CAST(CASE WHEN doc_id % 5 = 0 THEN 1 ELSE 0 END AS BIGINT) AS "userId_hits", doc_id % 5 = 0 AS has_command
+       CAST(CASE WHEN doc_id % 5 < 2 THEN 1 ELSE 0 END AS BIGINT) AS "userId_hits", doc_id % 5 < 3 AS has_command
 FROM documents"""
 
 # --- captured streams ----------------------------------------------------------------
 
+SQL["accounts_read_back"] = """
+SELECT id, alias, is_active, CAST(NULL AS BIGINT) AS active_requests FROM accounts"""
+SQL["sessions_read_live"] = """
+SELECT id, account_id, requests FROM sessions WHERE requests >= 3"""
+SQL["logs_read_by_day"] = """
+SELECT id, endpoint, epoch_us(created_at) AS created_us FROM request_logs
+WHERE created_at >= TIMESTAMP '2024-01-05 06:00:00' AND created_at < TIMESTAMP '2024-01-09 18:00:00'"""
+SQL["logs_evolved"] = """
+SELECT id, CAST(NULL AS BIGINT) AS account_id, CAST(NULL AS VARCHAR) AS status, endpoint, 1 AS extra FROM request_logs"""
 SQL["event_chunks"] = """
 SELECT response_id, seq, type, content, coalesce(prompt_tokens, CASE WHEN type = 'usage' THEN 0 END) AS prompt_tokens,
        coalesce(completion_tokens, CASE WHEN type = 'usage' THEN 0 END) AS completion_tokens,
        CASE WHEN type = 'usage' THEN CAST(0 AS BIGINT) END AS reasoning_tokens
 FROM chunks WHERE type <> 'error'"""
-SQL["stream_chunks"] = "SELECT response_id, seq, type, content FROM chunks WHERE type <> 'error'"
+SQL["event_chunks_from_files"] = SQL["event_chunks"]
+SQL["stream_chunks"] = """
+WITH kept AS (SELECT * FROM chunks WHERE type <> 'error'),
+ends AS (SELECT response_id, max(seq) AS last FROM kept GROUP BY response_id)
+SELECT response_id, seq, type, content, coalesce(prompt_tokens, CASE WHEN type = 'usage' THEN 0 END) AS prompt_tokens,
+       coalesce(completion_tokens, CASE WHEN type = 'usage' THEN 0 END) AS completion_tokens,
+       CASE WHEN type = 'usage' THEN CAST(0 AS BIGINT) END AS total_tokens,
+       CASE WHEN type = 'usage' THEN CAST(0 AS BIGINT) END AS reasoning_tokens FROM kept
+UNION ALL SELECT response_id, last + 1, 'text', 'after', NULL, NULL, NULL, NULL FROM ends
+UNION ALL SELECT response_id, last + 2, 'usage', NULL, 1, 2, 0, 0 FROM ends"""
+SQL["stream_late_logs"] = """
+SELECT account_id, count(*) AS logs, CAST(sum(id) AS BIGINT) AS id_sum FROM request_logs GROUP BY account_id"""
 
 
 def _assembled(stop: bool) -> str:

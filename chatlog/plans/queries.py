@@ -14,7 +14,7 @@ from chatlog.operators.rollover import session_rollover as rollover
 from chatlog.operators.scan import blocks_of
 from chatlog.plans import inputs, replay
 from chatlog.session import options, scratch_path
-from chatlog.sources import export, requests as bodies, tables
+from chatlog.sources import export, requests as bodies, schemas, tables
 from chatlog.streaming import queries as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +71,13 @@ def request_health(get):
     return out.withColumns(rates)
 
 
+@query
+def request_health_by_account(get):
+    known = F.when(F.col("account_id") < 1_000_000_000, F.col("account_id"))
+    out = usage.request_health(get("request_logs").withColumn("account_id", known), ["account_id"])
+    return out.select("account_id", "requests", "errors", "p50_ms", "p99_ms")
+
+
 def _page(df: DataFrame) -> DataFrame:
     return df.select("id", "account_id", "endpoint", "status", "duration_ms", "error", _us("created_at").alias("created_us"))
 
@@ -389,7 +396,50 @@ def tool_catalog(get):
 @query
 def redacted_text(get):
     out = redact.redact_credentials(get("redaction_input"))
-    return out.select("doc_id", "text", "sid_hits", "userId_hits", "has_command")
+    return out.select("doc_id", "text", "cookie_hits", "sid_hits", "userId_hits", "has_command")
+
+
+# --- tables written and read back ------------------------------------------------------
+
+
+@query
+def accounts_read_back(get):
+    df = get("accounts")
+    df.write.parquet(path := scratch_path(df.sparkSession, "accounts"))
+    return tables.read_accounts(df.sparkSession, path).select("id", "alias", "is_active", "active_requests")
+
+
+@query
+def sessions_read_live(get):
+    df = get("sessions").select(F.col("id").cast("string").alias("id"), "account_id", "requests", (F.col("requests") < 3).alias("is_expired"))
+    df.write.parquet(path := scratch_path(df.sparkSession, "sessions"))
+    return tables.read_sessions(df.sparkSession, path).select(F.col("id").cast("bigint").alias("id"), "account_id", "requests")
+
+
+@query
+def logs_read_by_day(get):
+    df = get("request_logs").withColumn("session_id", F.col("session_id"))
+    tables.append_request_logs(df, path := scratch_path(df.sparkSession, "logs"))
+    out = tables.read_request_logs(df.sparkSession, path, since="2024-01-05 06:00:00", until="2024-01-09 18:00:00")
+    return out.select("id", "endpoint", _us("created_at").alias("created_us"))
+
+
+@query
+def logs_evolved(get):
+    old = get("request_logs").select("id", "endpoint", F.lit(1).alias("extra"))
+    out = tables.evolve_schema(old, schemas.REQUEST_LOGS)
+    return out.select("id", "account_id", "status", "endpoint", "extra")
+
+
+@query
+def event_chunks_from_files(get):
+    lines = inputs.event_lines(get("chunks"))
+    lines.write.json(path := scratch_path(lines.sparkSession, "lines"))
+    out = events.parse_event_stream(tables.read_event_stream(lines.sparkSession, path))
+    return out.select(
+        "response_id", F.floor(F.col("seq") / 3).cast("bigint").alias("seq"), "type", "content",
+        "prompt_tokens", "completion_tokens", "reasoning_tokens",
+    )
 
 
 # --- captured streams, batch ---------------------------------------------------------
@@ -499,8 +549,27 @@ def stream_segments(spark, sf_dir):
 
 @stream_query
 def stream_chunks(spark, sf_dir):
-    found = streams.drain(streams.stream_chunks(_line_stream(spark, sf_dir)), "chunks")
-    return found.select("response_id", F.floor(F.col("seq") / 3).cast("bigint").alias("seq"), "type", "content")
+    """Responses that go on after their finish chunk, cut before and behind it."""
+    chunks = inputs.derived(spark, sf_dir, "chunks")
+    last = chunks.groupBy("response_id").agg(F.max("seq").alias("seq"))
+    none = F.lit(None).cast("bigint")
+    more = last.select("response_id", F.col("seq") + 1, F.lit("text"), F.lit("after"), none, none).unionAll(
+        last.select("response_id", F.col("seq") + 2, F.lit("usage"), F.lit(None).cast("string"), F.lit(1).cast("bigint"), F.lit(2).cast("bigint")))
+    # The malformed line behind a finish chunk would have the number of the line that follows.
+    lines = inputs.event_lines(chunks).filter("line <> 'data: {broken'").unionAll(inputs.event_lines(more.toDF(*chunks.columns)))
+    found = streams.drain(streams.stream_chunks(replay.replayed(lines, "line_no", slices=3)), "chunks")
+    return found.withColumn("seq", F.floor(F.col("seq") / 3).cast("bigint"))
+
+
+@stream_query
+def stream_late_logs(spark, sf_dir):
+    """Logs newest first, a tenth of them twice; every id is kept once, however late."""
+    logs = inputs.derived(spark, sf_dir, "request_logs").withColumn("_age", -F.unix_micros(F.col("created_at").cast("timestamp")))
+    copies = logs.filter("id % 10 = 0").withColumn("_age", F.lit(0).cast("bigint"))
+    stream = replay.replayed(logs.unionByName(copies), "_age", slices=3).drop("_age")
+    path = scratch_path(spark, "late-logs")
+    streams.append_logs(stream, f"{path}/logs", f"{path}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{path}/logs").groupBy("account_id").agg(F.count("*").alias("logs"), F.sum("id").alias("id_sum"))
 
 
 @stream_query

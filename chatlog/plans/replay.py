@@ -10,11 +10,9 @@ from chatlog.session import scratch_path, settled
 def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table as a stream, be it one Parquet file or a directory of them."""
     path = f"{sf_dir}/{name}.parquet"
-    schema = spark.read.parquet(path).schema
-    files = spark._jvm.org.apache.hadoop.fs.Path(path)
-    status = files.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(files)
-    reader = spark.readStream.schema(schema)
-    if status.isDirectory():
+    table = spark.read.parquet(path)
+    reader = spark.readStream.schema(table.schema)
+    if not table.inputFiles()[0].endswith(f"/{name}.parquet"):
         return reader.parquet(path)
     return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
@@ -27,7 +25,7 @@ def replayed(df: DataFrame, order: str, slices: int) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, "replay")
     df = settled(df)  # each step reads its part of it
-    bounds = df.approxQuantile(order, [i / slices for i in range(1, slices)], 0.05)
+    bounds = df.approxQuantile(order, [i / slices for i in range(1, slices)], 0.05) if slices > 1 else []
     edges = [None, *sorted(set(bounds)), None]
     for low, high in zip(edges, edges[1:]):
         part = df if low is None else df.filter(F.col(order) >= low)

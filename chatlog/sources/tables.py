@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from chatlog.operators.changes import apply_session_changes
@@ -73,10 +75,12 @@ def stream_event_lines(spark: SparkSession, path: str, files_per_batch: int = 10
 def read_raw_captures(spark: SparkSession, path: str) -> DataFrame:
     """(response_id, line_no, line) of raw captures, one file per response.
 
-    The response id is the file name without its ending. An unfinished last line is
-    not a line yet and is left out.
+    The response id is the path below `path` without its ending, so files of one name in
+    several folders stay apart. An unfinished last line is not a line yet and is left out.
     """
-    whole = spark.read.text(path, wholetext=True).select("value", "_metadata.file_name")
+    whole = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
+    root = "^.*?" + re.escape(re.sub(r"^\w+:/*", "", path.rstrip("/")).strip("/")) + "/"
+    whole = whole.select("value", F.regexp_replace(F.url_decode("_metadata.file_path"), root, "").alias("file_name"))
     lines = F.split("value", "\n", -1)
     complete = F.slice(lines, 1, F.size(lines) - 1)
     return whole.select(

@@ -16,15 +16,21 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from chatlog import fixed
-from chatlog.session import options, scratch_path
-from chatlog.streaming.readers import CutReader, InOrder, LineReader, SegmentReader
+from chatlog.session import options, scratch_path, settled
+from chatlog.streaming.readers import COUNTS, CutReader, InOrder, LineReader, SegmentReader
 
 PATIENCE_MS = 60 * 60 * 1000
 STATE = "state string"
 
 
-def _keyed(step: Callable[[dict, tuple, list[tuple], bool], list[tuple]], number: str, columns: list[str], out: list[str], patience: int):
-    """A function for `applyInPandasWithState` from a step over numbered rows."""
+def _keyed(
+    step: Callable[[dict, tuple, list[tuple], bool], list[tuple]], number: str, columns: list[str], out: list[str],
+    patience: int, reads_on: bool,
+):
+    """A function for `applyInPandasWithState` from a step over numbered rows.
+
+    With `reads_on` a response that is done still takes rows, until it is forgotten.
+    """
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         kept = json.loads(state.get[0]) if state.exists else {}
@@ -34,8 +40,8 @@ def _keyed(step: Callable[[dict, tuple, list[tuple], bool], list[tuple]], number
         rows = []
         for pdf in batches:
             rows += zip(*(pdf[c].tolist() for c in (number, *columns)))
-        found = [] if kept.get("done") else step(kept, key, rows, state.hasTimedOut)
-        if kept.get("done"):
+        found = step(kept, key, rows, state.hasTimedOut) if reads_on or not kept.get("done") else []
+        if kept.get("done") and not reads_on:
             kept = {"done": True}
         state.update((json.dumps(kept),))
         state.setTimeoutDuration(patience)
@@ -45,16 +51,22 @@ def _keyed(step: Callable[[dict, tuple, list[tuple], bool], list[tuple]], number
     return run
 
 
-def _apply(stream: DataFrame, step, number: str, columns: list[str], schema: str, patience: int) -> DataFrame:
+def _apply(stream: DataFrame, step, number: str, columns: list[str], schema: str, patience: int, reads_on: bool = False) -> DataFrame:
+    """`schema` lists what follows the response id, whose type is that of the input."""
+    schema = f"response_id {stream.schema['response_id'].dataType.simpleString()}, {schema}"
     names = [c.split()[0] for c in schema.split(", ")]
     return stream.groupBy("response_id").applyInPandasWithState(
-        _keyed(step, number, columns, names, patience), schema, STATE, "append",
+        _keyed(step, number, columns, names, patience, reads_on), schema, STATE, "append",
         GroupStateTimeout.ProcessingTimeTimeout,
     )
 
 
 def stream_chunks(lines: DataFrame, patience: int = PATIENCE_MS) -> DataFrame:
-    """Event lines to chunks (response_id, seq, type, content)."""
+    """Event lines to chunks (response_id, seq, type, content, token counts of usage chunks).
+
+    As in batch, a response is read on after its finish chunk; how the lines are cut into
+    micro-batches makes no difference.
+    """
 
     def step(state, key, rows, late):
         order, reader, out = InOrder(state), LineReader(state), []
@@ -62,14 +74,16 @@ def stream_chunks(lines: DataFrame, patience: int = PATIENCE_MS) -> DataFrame:
         for number, line in order.ready(late):
             chunk = reader.read(line or "")
             if chunk:
-                out.append((key[0], number, *chunk))
-                state["done"] = chunk[0] == "finish"
+                counts = reader.usage or dict.fromkeys(COUNTS)
+                out.append((key[0], number, *chunk, *counts.values()))
+                state["done"] = state.get("done") or chunk[0] == "finish"
         return out
 
-    return _apply(lines, step, "line_no", ["line"], "response_id bigint, seq bigint, type string, content string", patience)
+    schema = "seq bigint, type string, content string, " + ", ".join(f"{c} bigint" for c in COUNTS)
+    return _apply(lines, step, "line_no", ["line"], schema, patience, reads_on=True)
 
 
-SEGMENTS = "response_id bigint, seq bigint, kind string, text string"
+SEGMENTS = "seq bigint, kind string, text string"
 
 
 def stream_segments(
@@ -107,7 +121,7 @@ def stream_early_cut(chunks: DataFrame, patience: int = PATIENCE_MS) -> DataFram
                 out.append((key[0], *report.values()))
         return out
 
-    schema = "response_id bigint, cut_seq bigint, kept_chars bigint, lost_chars bigint, usage_lost boolean"
+    schema = "cut_seq bigint, kept_chars bigint, lost_chars bigint, usage_lost boolean"
     return _apply(chunks, step, "seq", ["type", "content"], schema, patience)
 
 
@@ -121,16 +135,17 @@ def stream_sessions(
     Requests carry account_id, client_session_id, request_id and prompt_tokens, and the
     hashes `history_hash` and `list_hash`; one that does not continue the stored list, or
     comes after the token limit, starts a new generation. Requests of a key arrive in
-    the order of request_id. A key unused for `ttl_days` is forgotten.
+    the order of request_id. The history of a key unused for `ttl_days` is forgotten, its
+    generation is not, so generations stay distinct. The ids may be of any type.
     """
-    schema = (
-        "account_id bigint, client_session_id bigint, request_id bigint, reused boolean, "
-        "generation bigint, session_tokens bigint"
-    )
+    keys = ("account_id", "client_session_id", "request_id")
+    kinds = [f"{c} {requests.schema[c].dataType.simpleString()}" for c in keys]
+    schema = ", ".join([*kinds, "reused boolean", "generation bigint", "session_tokens bigint"])
 
     def run(key, batches, state: GroupState):
         if state.hasTimedOut:
-            state.remove()
+            kept = json.loads(state.get[0])
+            state.update((json.dumps({**kept, "tokens": 0, "stored": None}),))
             return
         kept = json.loads(state.get[0]) if state.exists else None
         frames = [pdf for pdf in batches]
@@ -138,7 +153,7 @@ def stream_sessions(
         out = []
         for row in pdf.itertuples(index=False):
             used = None if pd.isna(row.prompt_tokens) else int(row.prompt_tokens)
-            reused = kept is not None and kept["tokens"] <= limit and kept["stored"] == row.history_hash
+            reused = kept is not None and kept["stored"] is not None and kept["tokens"] <= limit and kept["stored"] == row.history_hash
             if not reused:
                 kept = {"generation": kept["generation"] + 1 if kept else 0, "tokens": 0, "stored": row.history_hash}
             if used is not None:
@@ -154,12 +169,6 @@ def stream_sessions(
     )
 
 
-def deduplicated_logs(logs: DataFrame, late: str = "1 hour") -> DataFrame:
-    """Each log row once; copies arriving within `late` of each other are dropped."""
-    timed = logs.withColumn("created_at", F.col("created_at").cast("timestamp"))
-    return timed.withWatermark("created_at", late).dropDuplicatesWithinWatermark(["id"])
-
-
 def live_usage(logs: DataFrame) -> DataFrame:
     """Running token sums and request counts per account."""
     return logs.filter(F.col("account_id").isNotNull()).groupBy("account_id").agg(
@@ -192,9 +201,26 @@ def write_stream(
 
 
 def append_logs(logs: DataFrame, path: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
-    """The log sink: deduplicated rows, partitioned by day."""
-    dated = deduplicated_logs(logs).withColumn("day", F.to_date("created_at"))
-    return write_stream(dated, path, checkpoint, "day", interval)
+    """The log sink: every id once, partitioned by day, however late a row comes.
+
+    Copies have equal times, so a micro-batch is compared with the days it touches only. The
+    comparison also makes a repeated micro-batch harmless. Rows without an id are all kept.
+    """
+    spark = logs.sparkSession
+    dated = logs.withColumn("day", F.to_date("created_at"))
+    spark.createDataFrame([], dated.schema).write.mode("ignore").partitionBy("day").parquet(path)
+
+    def save(batch: DataFrame, number: int) -> None:
+        batch = settled(batch)
+        named = batch.filter(F.col("id").isNotNull()).dropDuplicates(["id"])
+        days = batch.select(F.col("day").alias("_day")).distinct()
+        there = batch.sparkSession.read.schema(dated.schema).parquet(path).select(F.col("id").alias("_id"), "day")
+        there = there.join(days, F.col("day").eqNullSafe(F.col("_day")), "left_semi").select("_id")
+        new = named.join(there, F.col("id") == F.col("_id"), "left_anti").unionByName(batch.filter(F.col("id").isNull()))
+        new.hint("rebalance", F.col("day")).write.mode("append").partitionBy("day").parquet(path)
+
+    trigger = {"processingTime": interval} if interval else {"availableNow": True}
+    return dated.writeStream.option("checkpointLocation", checkpoint).foreachBatch(save).trigger(**trigger).start()
 
 
 def append_session_changes(changes: DataFrame, path: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
@@ -230,14 +256,24 @@ def latest_rows(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     return newest.select(*keys, "row.*")
 
 
-def drain(stream: DataFrame, label: str) -> DataFrame:
+def held_rows(spark: SparkSession, checkpoint: str) -> int:
+    """Responses of a keyed stream run that still hold rows back, behind a gap in their numbers."""
+    kept = spark.read.format("statestore").load(checkpoint)
+    held = F.get_json_object(F.to_json("value"), "$.groupState.state")
+    return kept.filter(F.regexp_like(F.get_json_object(held, "$.held"), F.lit(r"[^{}\s]"))).count()
+
+
+def drain(stream: DataFrame, label: str, gaps: bool = False) -> DataFrame:
     """Run a streaming DataFrame over all its input and read back what it appended.
 
-    Micro-batches without data only serve timers, which do not matter to a run that
-    ends with its input; without them it does end.
+    Micro-batches without data only serve timers; without them the run ends with its input.
+    So rows behind a gap in the numbers of their response are still held at the end; unless
+    `gaps` allows that, it is an error.
     """
     spark = stream.sparkSession
     path = scratch_path(spark, label)
     with options(spark, {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}):
         write_stream(stream, f"{path}/out", f"{path}/checkpoint").awaitTermination()
+    if not gaps and (held := held_rows(spark, f"{path}/checkpoint")):
+        raise ValueError(f"{held} responses hold rows back behind a gap in their numbers")
     return spark.read.schema(stream.schema).parquet(f"{path}/out")

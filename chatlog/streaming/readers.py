@@ -17,6 +17,21 @@ _CLOSINGS = (fixed.TOOL_CLOSE, fixed.CALLS_CLOSE)
 _KINDS = {"message": "text", "usage": "usage", "finish": "finish", "dialogId": "dialogId"}
 
 
+#: Token counts of a usage chunk, and where its object has them.
+COUNTS = {
+    "prompt_tokens": ("promptTokens",),
+    "completion_tokens": ("completionTokens",),
+    "total_tokens": ("totalTokens",),
+    "reasoning_tokens": ("nativeUsage", "completion_tokens_details", "reasoning_tokens"),
+}
+
+
+def _count(data, path: tuple[str, ...]) -> int:
+    for name in path:
+        data = data.get(name) if isinstance(data, dict) else None
+    return int(data) if isinstance(data, (int, float)) else 0
+
+
 def _no_constant(name):
     raise ValueError(name)
 
@@ -26,8 +41,10 @@ class LineReader:
 
     def __init__(self, state: dict):
         self.state = state
+        self.usage: dict[str, int] | None = None  # counts of the chunk read last
 
     def read(self, line: str) -> tuple[str, str | None] | None:
+        self.usage = None
         line = line.strip(fixed.WHITESPACE)
         if line.startswith("event:"):
             self.state["event"] = line[6:].strip(fixed.WHITESPACE)
@@ -41,10 +58,14 @@ class LineReader:
         kind = _KINDS.get(self.state.get("event", ""))
         if kind is None or data is None:
             return None
-        content = data.get("content") if isinstance(data, dict) else None
+        if kind == "usage":
+            self.usage = {name: _count(data, path) for name, path in COUNTS.items()}
+        content = data.get("content") if isinstance(data, dict) and kind in ("text", "dialogId") else None
         if kind == "text":
             content = "" if content is None else content
-        return kind, content if isinstance(content, str) or content is None else json.dumps(content)
+        if isinstance(content, str) or content is None:
+            return kind, content
+        return kind, json.dumps(content, ensure_ascii=False, separators=(",", ":"))
 
 
 class AnswerReader:

@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from chatlog.operators import events
@@ -160,3 +162,34 @@ def test_log_sink_drops_copies(spark, sf_dir, tmp_path):
     written = spark.read.parquet(str(tmp_path / "logs"))
     assert written.count() == logs.count() == written.select("id").distinct().count()
     assert "day" in written.columns
+
+
+def test_log_sink_keeps_late_rows(spark, tmp_path):
+    """Rows seven hours behind are kept, copies in other micro-batches are not."""
+    for n, hour in enumerate((12, 11, 5)):
+        rows = [(n * 10 + i, f"2024-03-01 {hour:02d}:00:{i:02d}") for i in range(10)] + ([(3, "2024-03-01 12:00:03")] if n else [])
+        df = spark.createDataFrame(rows, "id long, at string").select("id", F.col("at").cast("timestamp_ntz").alias("created_at"))
+        df.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("id long, created_at timestamp_ntz").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    streams.append_logs(stream, str(tmp_path / "out"), str(tmp_path / "checkpoint")).awaitTermination()
+    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == list(range(30))
+
+
+def test_gap_at_the_end_is_an_error(spark):
+    lines = spark.createDataFrame([("a", 0, "event: message"), ("a", 2, 'data: {"content":"x"}'), ("b", 0, "event: finish"), ("b", 1, "data: {}")],
+                                  "response_id string, line_no long, line string")
+    with pytest.raises(ValueError, match="1 responses hold rows back"):
+        streams.drain(streams.stream_chunks(replay.replayed(lines, "line_no", slices=1)), "gap")
+    found = streams.drain(streams.stream_chunks(replay.replayed(lines, "line_no", slices=1)), "gap", gaps=True)
+    assert [(r.response_id, r.type) for r in found.collect()] == [("b", "finish")]
+
+
+def test_chunks_do_not_depend_on_cuts(spark):
+    """Usage behind the finish chunk, in one micro-batch and cut before and behind the finish; text ids."""
+    lines = ["event: message", 'data: {"content":["a",{"b":"é"}]}', "event: finish", "data: {}", "event: usage", 'data: {"promptTokens":3}']
+    df = spark.createDataFrame([("r", i, line) for i, line in enumerate(lines)], "response_id string, line_no long, line string")
+    want = sorted((r.seq, r.type, r.content, r.prompt_tokens, r.reasoning_tokens) for r in events.parse_event_stream(df).collect())
+    for slices in (1, 3, 6):
+        found = streams.drain(streams.stream_chunks(replay.replayed(df, "line_no", slices=slices)), "cuts").collect()
+        assert sorted((r.seq, r.type, r.content, r.prompt_tokens, r.reasoning_tokens) for r in found) == want
+    assert want[-1][3:] == (3, 0) and want[0][2] == '["a",{"b":"é"}]'

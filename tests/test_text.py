@@ -149,9 +149,28 @@ def test_tool_line(spark, definition, line):
 @pytest.mark.parametrize("value, masked, sid, user, command", [
     ('curl -b "sid=tok1; userId=7" x', 'curl -b "sid=***; userId=***" x', 1, 1, True),
     ("curl -H Cookie: sid='t'; userId=12", "curl -H Cookie: sid='***'; userId=***", 1, 1, True),
-    ("--cookie 'a=b' sid=x sid=y", "--cookie 'a=b' sid=*** sid=***", 2, 0, True),
+    ("--cookie 'a=b' sid=x sid=y", "--cookie 'a=***' sid=*** sid=***", 2, 0, True),
     ("userId=abc and sids=1", "userId=abc and sids=1", 0, 0, False),
 ])
 def test_redaction(spark, value, masked, sid, user, command):
     row = redact.redact_credentials(spark.createDataFrame([(value,)], "text string")).first()
     assert (row.text, row.sid_hits, row.userId_hits, row.has_command) == (masked, sid, user, command)
+
+
+@pytest.mark.parametrize("value, masked, pairs", [
+    ("curl -b 'serviceToken=SECRET1; userId=42; other_ph=SECRET2' -d a=b", "curl -b 'serviceToken=***; userId=***; other_ph=***' -d a=b", 3),
+    ('curl --cookie="a=SECRET; b=SECRET" x=1', 'curl --cookie="a=***; b=***" x=1', 2),
+    ('curl -H "cookie: a=SECRET==; b=\'SECRET\'" --data k=v', 'curl -H "cookie: a=***; b=\'***\'" --data k=v', 2),
+    ("GET /\nCookie: q=SECRET SECRET; r=SECRET\nHost: a=b", "GET /\nCookie: q=***; r=***\nHost: a=b", 2),
+    ("curl -b a=SECRET -b b=SECRET", "curl -b a=*** -b b=***", 2),
+    ("no-b x=1 and --cookies y=2, cookie: z", "no-b x=1 and --cookies y=2, cookie: z", 0),
+    ("curl -b 'open=SECRET; p=SECRET", "curl -b 'open=***; p=***", 2),
+])
+def test_every_cookie_pair_is_masked(spark, value, masked, pairs):
+    row = redact.redact_credentials(spark.createDataFrame([(value,)], "text string"), fields={}).first()
+    assert (row.text, row.cookie_hits, row.has_command) == (masked, pairs, pairs > 0)
+
+
+def test_redaction_of_null(spark):
+    row = redact.redact_credentials(spark.createDataFrame([(None,)], "text string")).first()
+    assert row.text is None
