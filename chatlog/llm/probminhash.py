@@ -101,51 +101,66 @@ def _signed(texts: list[str]) -> list[pa.Array]:
     return [pa.array(digests, pa.binary()), pa.array(sizes, pa.int32()), pa.array(signs, pa.binary())]
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Of pairs (a, b) of nodes those similar enough, by their whole texts."""
-    left = texts.select(F.col("node").alias("a"), F.col("_text").alias("_ta"))
-    right = texts.select(F.col("node").alias("b"), F.col("_text").alias("_tb"))
+def _itemized(texts: list[str]) -> list[pa.Array]:
+    return [pa.array([shingles(word_list(t))[0].astype("<u8").tobytes() for t in texts], pa.binary())]
+
+
+def _verified(pairs: DataFrame, items: DataFrame) -> DataFrame:
+    """Of pairs (a, b) of nodes those similar enough, by all their shingles."""
+    left = items.select(F.col("node").alias("a"), F.col("items").alias("_ia"))
+    right = items.select(F.col("node").alias("b"), F.col("items").alias("_ib"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, own = None, None
         for batch in batches:
-            keep = []
-            for a, b, b_node in zip(batch["_ta"].to_pylist(), batch["_tb"].to_pylist(), batch["b"].to_pylist()):
-                if b_node != last:
-                    last, own = b_node, shingles(word_list(b))[0]
-                keep.append(similarity(shingles(word_list(a))[0], own) >= SIMILAR)
+            both = zip(batch["_ia"].to_pylist(), batch["_ib"].to_pylist())
+            keep = [similarity(np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")) >= SIMILAR for a, b in both]
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "_ta", "_tb").mapInArrow(run, "a bigint, b bigint")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "_ia", "_ib").mapInArrow(run, "a bigint, b bigint")
 
 
 def _close(members: DataFrame) -> DataFrame:
-    """Pairs of texts of different components in one bucket whose signatures agree enough.
+    """Links between different components of a bucket, enough to connect what is linked in it.
 
-    A bucket is compared in blocks, two at a time, so no task holds more than two blocks and
-    only promising pairs leave it.
+    A bucket is compared in blocks, two at a time, so no task holds more than two blocks. A pair
+    is looked at in the first band it shares and in no other, and not if links found before
+    connect it already; only links leave the task, fewer than there are texts.
     """
     sizes = members.groupBy("bucket").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
     dealt = members.join(sizes, "bucket").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "comp", "size", "sign")
+    dealt = dealt.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "band", "node", "comp", "sign", "items")
 
     def compare(group: pa.Table) -> pa.Table:
-        own, node, comp, size = (group[c].to_numpy() for c in ("own", "node", "comp", "size"))
+        own, node, comp = (group[c].to_numpy() for c in ("own", "node", "comp"))
+        i, j, band = (group[c][0].as_py() for c in ("i", "j", "band"))
         signs = np.frombuffer(b"".join(group["sign"].to_pylist()), "<u4").reshape(len(node), REGISTERS)
-        i, j = group["i"][0].as_py(), group["j"][0].as_py()
-        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        items = [np.frombuffer(x, "<u8") for x in group["items"].to_pylist()]
+        size, parent = np.array(list(map(len, items))), {c: c for c in comp.tolist()}
+
+        def root(c: int) -> int:
+            while parent[c] != c:
+                parent[c] = c = parent[parent[c]]
+            return c
+
         a, b = [], []
-        for n in left:
-            with_ = right[(comp[right] != comp[n]) & ((node[right] < node[n]) | (i != j))]
-            with_ = with_[(size[with_] >= SIMILAR * size[n]) & (size[n] >= SIMILAR * size[with_])]
-            with_ = with_[(signs[with_] == signs[n]).mean(1) >= LEAST_SHARE]
-            a += [node[n]] * len(with_)
-            b += node[with_].tolist()
+        right = np.flatnonzero(own == j)
+        for n in np.flatnonzero(own == i):
+            others = right[(comp[right] != comp[n]) & ((node[right] < node[n]) | (i != j))]
+            others = others[(size[others] >= SIMILAR * size[n]) & (size[n] >= SIMILAR * size[others])]
+            same = signs[others] == signs[n]
+            share = same.mean(1)
+            shared = same.reshape(len(others), BANDS, BAND).all(2)
+            fit = (share >= LEAST_SHARE) & (shared.argmax(1) == band) & shared.any(1)
+            for m in others[fit][np.argsort(-share[fit], kind="stable")]:
+                one, two = root(comp[n]), root(comp[m])
+                if one != two and similarity(items[n], items[m]) >= SIMILAR:
+                    parent[one] = two
+                    a.append(node[n])
+                    b.append(node[m])
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    found = dealt.groupBy("bucket", "i", "j").applyInArrow(compare, "a bigint, b bigint")
-    return found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    return dealt.groupBy("bucket", "i", "j").applyInArrow(compare, "a bigint, b bigint")
 
 
 def _band_keys() -> Column:
@@ -159,23 +174,24 @@ def _members(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     1. Texts of equal words are one node. 2. In each bucket every text is paired with the
     bucket's first one, and verified with the one it meets in most buckets. 3. Where a bucket
     still has several components, its other texts are verified with its first one too. 4. In
-    buckets that still have several, all texts of different components are compared.
+    buckets that still have several, all texts of different components are compared, in blocks.
     """
     d = keyed(docs, id_col, text_col)
     rows = settled(map_texts(d, lambda: _signed, "digest binary, size int, sign binary"))
     nodes = rows.filter(F.col("digest").isNotNull()).groupBy("digest").agg(
         F.first("size").alias("size"), F.first("sign").alias("sign"), F.min(F.struct("_id", "_th")).alias("one"))
     nodes = settled(nodes.withColumn("node", F.monotonically_increasing_id()))  # written, so the number stays
-    bands = nodes.select("node", F.explode(_band_keys()).alias("bucket"))
+    bands = nodes.select("node", F.posexplode(_band_keys()).alias("band", "bucket"))
     shared = settled(bands.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("first")).filter("n > 1").select("bucket", "first"))
     members = settled(bands.join(shared, "bucket"))
     wanted = members.select("node").distinct().join(nodes.select("node", "one"), "node").select("node", "one._id", "one._th")
-    texts = settled(join_docs(d, wanted, "inner").dropDuplicates(["node"]).select("node", "_text"))
+    texts = join_docs(d, wanted, "inner").dropDuplicates(["node"]).select("node", "_text")
+    items = settled(map_texts(texts, lambda: _itemized, "items binary"))
 
     tried = members.filter("node <> first").groupBy(F.col("node").alias("a"), F.col("first").alias("b")).agg(F.count("*").alias("n"))
     best = tried.groupBy("a").agg(F.max(F.struct("n", -F.col("b"))).alias("top")).select("a", (-F.col("top.col2")).alias("b"))
     best = settled(best)
-    links = settled(_verified(best, texts))
+    links = settled(_verified(best, items))
 
     def labelled(comps: DataFrame) -> DataFrame:
         """Members with their component, of buckets that have several."""
@@ -187,12 +203,11 @@ def _members(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     heads = open_.filter("node = first").select("bucket", F.col("comp").alias("_head"))
     again = open_.filter("node <> first").join(heads, "bucket").filter("comp <> _head")
     again = again.select(F.col("node").alias("a"), F.col("first").alias("b")).distinct().join(best, ["a", "b"], "left_anti")
-    links = settled(links.unionByName(_verified(again, texts)))
+    links = settled(links.unionByName(_verified(again, items)))
 
     open_ = labelled(components(links)).filter("node <> first")
-    left = settled(_close(open_.join(nodes.select("node", "size", "sign"), "node")))
-    if left.take(1):
-        links = settled(links.unionByName(_verified(left, texts)))
+    more = _close(open_.join(nodes.select("node", "sign"), "node").join(items, "node"))
+    links = settled(links.unionByName(more))
     comps = components(links)
     named = nodes.select("digest", "node").join(comps, "node", "left").select("digest", F.coalesce("comp", "node").alias("comp"))
     return settled(rows.select("_id", "_th", "digest").join(named, "digest", "left").drop("digest"))
@@ -213,10 +228,10 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs`, of each class only the one with the least id (then digest of its text)."""
+    """The rows of `docs`, of each class only the one with the least id, then digest of its text; without id last."""
     rows = _members(docs, id_col, text_col)
     known = rows.filter(F.col("comp").isNotNull())
-    chosen = known.groupBy("comp").agg(F.min(F.struct("_id", "_th")).alias("one")).select("one._id", "one._th")
+    chosen = known.groupBy("comp").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_th")).alias("one")).select("one._id", "one._th")
     copies = known.groupBy("_id", "_th").count()
     chosen = settled(join_docs(chosen, copies, "inner"))
     d = keyed(docs, id_col, text_col, whole(docs))
