@@ -12,7 +12,7 @@ from chatlog import fixed
 from chatlog.functions.jsonvalue import field, strict_json
 from chatlog.functions.reasoning import cut_at_open, tool_marker_position, without_closed_blocks
 from chatlog.functions.text import before_position, drop_nuls, from_position, locate, trim, trim_start
-from chatlog.operators.scan import block_scan, blocks_of, ordered_concat
+from chatlog.operators.scan import BLOCK, block_scan, blocks_of, ordered_concat, with_facts
 from chatlog.operators.skew import salted_join
 from chatlog.session import settled
 
@@ -85,18 +85,11 @@ def parse_event_stream(lines: DataFrame) -> DataFrame:
     return chunks.drop("valid")
 
 
-def _before_error(rows: DataFrame, chunks: DataFrame, salted: bool = False) -> DataFrame:
-    errors = chunks.filter("type = 'error'").groupBy("response_id").agg(F.min("seq").alias("_error"))
-    if salted:
-        rows = salted_join(rows, errors, ["response_id"], spread_by="seq")
-    else:
-        rows = rows.join(errors, "response_id", "left")
-    return rows.filter(F.col("_error").isNull() | (F.col("seq") <= F.col("_error"))).drop("_error")
-
-
 def stop_at_error(chunks: DataFrame) -> DataFrame:
     """Chunks up to and with the first error chunk of their response."""
-    return _before_error(chunks, chunks)
+    errors = chunks.filter("type = 'error'").groupBy("response_id").agg(F.min("seq").alias("_error"))
+    rows = salted_join(chunks, errors, ["response_id"], spread_by="seq")
+    return rows.filter(F.col("_error").isNull() | (F.col("seq") <= F.col("_error"))).drop("_error")
 
 
 def assemble_responses(chunks: DataFrame, on_error: str = "stop") -> DataFrame:
@@ -106,25 +99,23 @@ def assemble_responses(chunks: DataFrame, on_error: str = "stop") -> DataFrame:
     """
     if on_error not in ("stop", "ignore"):
         raise ValueError(f"on_error must be 'stop' or 'ignore', not {on_error!r}")
-    texts = chunks.filter("type = 'text'").select("response_id", "seq", "content")
-    others = chunks.filter("type <> 'text'")
-    if on_error == "stop":
-        # Text keeps the partitioning by response for the concatenation; the other rows
-        # are only aggregated, so they can be spread.
-        texts, others = _before_error(texts, chunks), _before_error(others, chunks, salted=True)
     counts = [c for c in USAGE if c in chunks.columns]
-    usage_at = F.when(F.col("type") == "usage", F.col("seq"))
-    facts = others.groupBy("response_id").agg(
-        F.max_by(F.struct(*counts), usage_at).alias("usage"),
-        F.bool_or(F.col("type") == "finish").alias("finished"),
-        F.min_by("content", F.when(F.col("type") == "error", F.col("seq"))).alias("error"),
-    )
-    joined = ordered_concat(texts, ["response_id"], "seq", {"text": "content"}, head=BLOCK_ROWS)
-    return facts.join(joined, "response_id", "full_outer").select(
-        "response_id", F.coalesce("text", F.lit("")).alias("text"),
-        *[F.col(f"usage.{c}").alias(c) for c in counts],
-        F.coalesce("finished", F.lit(False)).alias("finished"), "error",
+    rows = chunks.select("response_id", "seq", "type", "content", *counts)
+    if on_error == "stop":
+        # The error of a response meets its blocks, so the blocks of a hot one stay apart.
+        errors = chunks.groupBy("response_id").agg(
+            F.min(F.when(F.col("type") == "error", F.col("seq"))).alias("_error"), F.max("seq").alias("_last"))
+        rows = with_facts(rows, errors, ["response_id"], "seq", "_last", BLOCK_ROWS)
+        rows = rows.filter(F.col("_error").isNull() | (F.col("seq") <= F.col("_error")))
+    kind = F.col("type")
+    joined = ordered_concat(
+        rows.withColumn("_text", F.when(kind == "text", F.col("content"))), ["response_id"], "seq", {"text": "_text"},
+        any_of={"finished": kind == "finish"}, head=BLOCK_ROWS,
+        firsts={"_err": F.when(kind == "error", F.struct("seq", "content"))},
+        finals={"_use": F.when(kind == "usage", F.struct("seq", *counts))},
     )
+    return joined.select(
+        "response_id", "text", *[F.col(f"_use.{c}").alias(c) for c in counts], "finished", F.col("_err.content").alias("error"))
 
 
 def _drop_first_open(text: Column) -> Column:
@@ -133,31 +124,39 @@ def _drop_first_open(text: Column) -> Column:
     return F.when(at > 0, without).otherwise(text)
 
 
-def _reasoning_facts(chunks: DataFrame) -> DataFrame:
-    """Per response with text: first non-empty chunk `f`, `opened`, and close chunk `c`."""
-    text = chunks.filter("type = 'text'").select("response_id", "seq", drop_nuls("content").alias("t"))
-    facts = text.filter("t <> ''").groupBy("response_id").agg(
-        F.min_by("t", "seq").alias("first"), F.min("seq").alias("f"),
+def _facts(chunks: DataFrame) -> DataFrame:
+    """Per response, in one pass: first non-empty text chunk `f`, `opened`, close chunk `c`, `finished`, last chunk and last usage.
+
+    `opened` and `c` are null where there is no text.
+    """
+    kind = F.col("type")
+    rows = chunks.select("response_id", "seq", "type", F.when(kind == "text", drop_nuls("content")).alias("t"))
+    at = F.when(F.col("t") != "", F.col("seq"))
+    facts = rows.groupBy("response_id").agg(
+        F.min_by("t", at).alias("first"), F.min(at).alias("f"),
         F.min(F.when(F.contains("t", F.lit(CLOSE)), F.col("seq"))).alias("closed"),
+        F.bool_or(kind == "finish").alias("finished"), F.max("seq").alias("last"),
+        F.max(F.when(kind == "usage", F.col("seq"))).alias("last_usage"),
     )
     # Taking the open tag out of the first chunk may join a close tag together.
     joins = F.when(F.contains(_drop_first_open(F.col("first")), F.lit(CLOSE)), F.col("f"))
     return facts.select(
         "response_id", "f", F.contains(F.col("first"), F.lit(OPEN)).alias("opened"),
-        F.least(F.col("closed"), joins).alias("c"),
+        F.least(F.col("closed"), joins).alias("c"), "finished", "last", "last_usage",
     )
 
 
-def reasoning_pieces(chunks: DataFrame) -> DataFrame:
+def reasoning_pieces(chunks: DataFrame, facts: DataFrame | None = None) -> DataFrame:
     """Text chunks with the part of each that is reasoning and the part that is answer.
 
-    (response_id, seq, reasoning, answer, past): the first non-empty chunk decides
-    whether there is reasoning; it ends at the first close tag. `past` is true for
-    chunks read after that point. The join keeps the partitioning by response that
-    the concatenation needs; a hot response is split by adaptive execution.
+    (response_id, _block, seq, reasoning, answer, past, opened, closed, finished): the first
+    non-empty chunk decides whether there is reasoning; it ends at the first close tag.
+    `past` is true for chunks read after that point. A response keeps a row without seq for
+    a block without text. Facts join by block, so a hot response is never in one task.
     """
+    facts = _facts(chunks) if facts is None else facts
     text = chunks.filter("type = 'text'").select("response_id", "seq", drop_nuls("content").alias("t"))
-    rows = text.filter("t <> ''").join(_reasoning_facts(chunks), "response_id")
+    rows = with_facts(text.filter("t <> ''"), facts, ["response_id"], "seq", "last", BLOCK_ROWS)
     first = F.col("opened") & (F.col("seq") == F.col("f"))
     rows = rows.withColumn("t", F.when(first, _drop_first_open(F.col("t"))).otherwise(F.col("t")))
     past = ~F.col("opened") | F.coalesce(F.col("seq") > F.col("c"), F.lit(False))
@@ -169,15 +168,14 @@ def reasoning_pieces(chunks: DataFrame) -> DataFrame:
         .when(at_close, trim_start(from_position("t", end + len(CLOSE))))
         .otherwise("")
     )
+    there = F.col("seq").isNotNull()
     return rows.select(
-        "response_id", "seq", reasoning.alias("reasoning"), answer.alias("answer"), past.alias("past")
+        "response_id", BLOCK, "seq", F.when(there, reasoning).alias("reasoning"), F.when(there, answer).alias("answer"),
+        (there & past).alias("past"), F.coalesce("opened", F.lit(False)).alias("opened"),
+        (F.coalesce("opened", F.lit(False)) & F.col("c").isNotNull()).alias("closed"), "finished",
     )
 
 
-def _finished(chunks: DataFrame) -> DataFrame:
-    return chunks.groupBy("response_id").agg(F.bool_or(F.col("type") == "finish").alias("finished"))
-
-
 def segment_reasoning(chunks: DataFrame, mode: str = "separate") -> DataFrame:
     """(response_id, reasoning, answer, opened, closed, finished, content).
 
@@ -187,18 +185,9 @@ def segment_reasoning(chunks: DataFrame, mode: str = "separate") -> DataFrame:
     """
     if mode not in ("passthrough", "strip", "separate"):
         raise ValueError(f"unknown mode {mode!r}")
-    joined = ordered_concat(
-        reasoning_pieces(chunks), ["response_id"], "seq",
-        {"reasoning": "reasoning", "answer": "answer"}, head=BLOCK_ROWS,
-    )
-    facts = _reasoning_facts(chunks).select(
-        "response_id", "opened", (F.col("opened") & F.col("c").isNotNull()).alias("closed")
-    )
-    out = _finished(chunks).join(joined, "response_id", "left").join(facts, "response_id", "left")
-    out = out.select(
-        "response_id", F.coalesce("reasoning", F.lit("")).alias("reasoning"),
-        F.coalesce("answer", F.lit("")).alias("answer"), F.coalesce("opened", F.lit(False)).alias("opened"),
-        F.coalesce("closed", F.lit(False)).alias("closed"), "finished",
+    out = ordered_concat(
+        reasoning_pieces(chunks), ["response_id"], "seq", {"reasoning": "reasoning", "answer": "answer"},
+        any_of={n: F.col(n) for n in ("opened", "closed", "finished")}, head=BLOCK_ROWS,
     )
     tagged = F.concat(F.lit(OPEN), "reasoning", F.lit(CLOSE), "answer")
     shown = F.col("opened") & (F.col("closed") | F.col("finished"))
@@ -213,13 +202,10 @@ def segment_tool_buffer(chunks: DataFrame, holdback: int = fixed.MARKER_HOLDBACK
     Without a finish chunk the last `holdback` characters are never sent, nor is
     answer text from the chunk that closed the reasoning if nothing followed it.
     """
-    joined = ordered_concat(
+    rows = ordered_concat(
         reasoning_pieces(chunks), ["response_id"], "seq", {"answer": "answer"},
-        any_of={"looked": F.col("past") & (F.col("answer") != "")}, head=BLOCK_ROWS,
+        any_of={"looked": F.col("past") & (F.col("answer") != ""), "finished": F.col("finished")}, head=BLOCK_ROWS,
     )
-    rows = _finished(chunks).join(joined, "response_id", "left")
-    answer, looked = F.coalesce("answer", F.lit("")), F.coalesce("looked", F.lit(False))
-    rows = rows.select("response_id", answer.alias("answer"), looked.alias("looked"), "finished")
     rows = rows.withColumn("at", tool_marker_position("answer"))
     seen = F.col("finished") | F.col("looked")
     held = F.greatest(F.length("answer") - holdback, F.lit(0))
@@ -245,7 +231,8 @@ def early_cut(chunks: DataFrame) -> DataFrame:
     also read after the reasoning (its offset lies beyond the `lead`, the answer text of
     the chunk that closed the reasoning) and reached the end of the marker.
     """
-    pieces = reasoning_pieces(chunks).filter(F.col("answer") != "")
+    facts = settled(_facts(chunks))  # one row per response
+    pieces = settled(reasoning_pieces(chunks, facts).filter(F.col("answer") != "").select("response_id", BLOCK, "seq", "past", "answer"))
     lead = F.when(~F.col("past"), F.col("answer"))
     joined = ordered_concat(
         pieces.withColumn("lead", lead), ["response_id"], "seq", {"text": "answer", "lead": "lead"}, head=BLOCK_ROWS
@@ -262,7 +249,7 @@ def early_cut(chunks: DataFrame) -> DataFrame:
         (F.col("start") - 1 + F.least(*ends)).alias("close_end"),
     ).filter("close_end is not null")
 
-    sizes = settled(pieces.select("response_id", "seq", "past", F.length("answer").cast("bigint").alias("chars")))
+    sizes = pieces.select("response_id", "seq", "past", F.length("answer").cast("bigint").alias("chars"))
     placed = block_scan(
         sizes, ["response_id"], ["seq"], blocks_of("seq", SCAN_ROWS), sums={"upto": F.col("chars")}
     ).filter("past")
@@ -272,8 +259,7 @@ def early_cut(chunks: DataFrame) -> DataFrame:
     cuts = met.filter(here).groupBy("response_id").agg(
         F.min("seq").alias("cut_seq"), F.min("upto").alias("kept_chars"), F.max("answer_chars").alias("answer_chars")
     )
-    usage = chunks.filter("type = 'usage'").groupBy("response_id").agg(F.max("seq").alias("last_usage"))
-    return cuts.join(usage, "response_id", "left").select(
+    return cuts.join(facts.select("response_id", "last_usage"), "response_id", "left").select(
         "response_id", "cut_seq", "kept_chars", (F.col("answer_chars") - F.col("kept_chars")).alias("lost_chars"),
         F.coalesce(F.col("last_usage") > F.col("cut_seq"), F.lit(False)).alias("usage_lost"),
     )

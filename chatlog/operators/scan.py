@@ -132,40 +132,56 @@ def ordered_concat(
     sep: str = "",
     any_of: dict[str, Column] | None = None,
     head: int = 4096,
+    firsts: dict[str, Column] | None = None,
+    finals: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Concatenate text columns of each key in the order of a whole-number column.
 
     `texts` maps output name to input column; nulls are skipped, and a key without
-    text gets ''. Rows without an order come first. `any_of` adds flags that hold if they hold for any row of the key.
-    Rows with order < `head` take one shuffle, and at most `head` of them per key
-    meet in a task. The rest of longer keys is joined block by block first, so no
-    task sorts them whole; for usual keys that branch has no rows.
+    text gets ''. Rows without an order come first. `any_of` adds flags that hold if
+    they hold for any row of the key; `firsts` and `finals` add the least and the
+    greatest non-null value of a column, a struct that begins with the order, say.
+    Rows are joined block by block, `head` numbers each, and then the blocks, so no
+    task sorts the rows of a long key. `df` may have its blocks already (`piece_blocks`).
     """
-    any_of = dict(any_of or {})
-    df = df.select(*keys, order, *dict.fromkeys(texts.values()), *[c.alias(n) for n, c in any_of.items()])
+    any_of, firsts, finals = dict(any_of or {}), dict(firsts or {}), dict(finals or {})
+    block = F.col(BLOCK) if BLOCK in df.columns else piece_blocks(order, head)
+    extra = {**any_of, **firsts, **finals}
+    df = df.select(*keys, block.alias(BLOCK), order, *dict.fromkeys(texts.values()), *[c.alias(n) for n, c in extra.items()])
 
-    def joined(frame, by, order_col, columns, flags):
+    def joined(frame, by, order_col, columns):
         return frame.groupBy(*by).agg(
             *[
                 F.expr(f"listagg(`{src}`, '{_literal(sep)}') within group (order by `{order_col}`)").alias(name)
                 for name, src in columns.items()
             ],
-            *[F.bool_or(src).alias(name) for name, src in flags.items()],
+            *[F.bool_or(n).alias(n) for n in any_of], *[F.min(n).alias(n) for n in firsts], *[F.max(n).alias(n) for n in finals],
         )
 
-    first = joined(df.filter((F.col(order) < head) | F.col(order).isNull()), keys, order, texts, {n: n for n in any_of})
-    tail = df.filter(F.col(order) >= head).withColumn(BLOCK, blocks_of(order, head))
-    parts, flags = {f"_t_{n}": f"_t_{n}" for n in texts}, {f"_t_{n}": f"_t_{n}" for n in any_of}
-    tail = joined(tail, [*keys, BLOCK], order, {f"_t_{n}": src for n, src in texts.items()}, {f"_t_{n}": n for n in any_of})
-    tail = joined(tail, keys, BLOCK, parts, flags)
-    both = first.join(tail, keys, "full_outer")
+    parts = joined(df, [*keys, BLOCK], order, {f"_t_{n}": src for n, src in texts.items()})
+    both = joined(parts, keys, BLOCK, {n: f"_t_{n}" for n in texts})
     return both.select(
-        *keys,
-        *[F.concat_ws(sep, F.col(n), F.col(f"_t_{n}")).alias(n) for n in texts],
-        *[(F.coalesce(n, F.lit(False)) | F.coalesce(f"_t_{n}", F.lit(False))).alias(n) for n in any_of],
+        *keys, *[F.coalesce(n, F.lit("")).alias(n) for n in texts],
+        *[F.coalesce(n, F.lit(False)).alias(n) for n in any_of], *firsts, *finals,
     )
 
 
+def piece_blocks(order: str, head: int) -> Column:
+    """The block of a row of `ordered_concat`."""
+    return F.coalesce(blocks_of(order, head), F.lit(0).cast("bigint"))
+
+
+def with_facts(rows: DataFrame, facts: DataFrame, keys: list[str], order: str, last: str, head: int) -> DataFrame:
+    """`rows` with the `facts` of their key, one row per key, and their block.
+
+    The facts are repeated for each block up to the one of `last`, the greatest order of
+    the key, and joined by key and block, so the blocks of a long key stay apart. A key
+    without rows keeps a row of nulls per block.
+    """
+    blocks = F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(blocks_of(last, head), F.lit(0).cast("bigint"))))
+    return facts.withColumn(BLOCK, blocks).join(rows.withColumn(BLOCK, piece_blocks(order, head)), [*keys, BLOCK], "left")
+
+
 def _literal(text: str) -> str:
     return text.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n")
 

@@ -1,5 +1,7 @@
 """Plans: what reaches the scan, what is broadcast, and that text work stays in the JVM."""
 
+import re
+
 import pytest
 
 from __spark_entry__ import queries
@@ -50,3 +52,25 @@ def test_no_python_node(spark, sf_dir, name):
 def test_only_local_text_work_is_narrow(spark, sf_dir):
     for name in ("reasoning_split", "tool_calls_json", "redacted_text", "flattened_messages"):
         assert "Exchange" not in plan(spark, sf_dir, name)
+
+
+@pytest.mark.parametrize("name", ["assembled_responses", "chunk_reasoning", "chunk_tool_buffer", "early_cut"])
+def test_blocks_of_a_hot_response_stay_apart(spark, sf_dir, name, tmp_path):
+    """The texts are dealt out by response and block, and the chunks read twice at most."""
+    from chatlog.operators import events
+    from chatlog.plans import inputs
+
+    inputs.derived(spark, sf_dir, "chunks").write.parquet(str(tmp_path / "chunks"))
+    chunks = spark.read.parquet(str(tmp_path / "chunks"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = {
+            "assembled_responses": events.assemble_responses, "chunk_reasoning": events.segment_reasoning,
+            "chunk_tool_buffer": events.segment_tool_buffer, "early_cut": events.reasoning_pieces,
+        }[name](chunks)
+        text = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert re.search(r"hashpartitioning\(response_id#\d+L?, _block#\d+L?", text)
+    assert text.count("FileScan parquet") <= 2
