@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from chatlog import fixed
-from chatlog.operators.scan import BLOCK, block_scan, time_blocks, with_blocks
+from chatlog.operators.scan import BLOCK, BY_ROWS, block_scan, time_blocks, with_blocks
 
 
-def concurrency_profile(logs: DataFrame, block_minutes: int = 60) -> DataFrame:
+def concurrency_profile(logs: DataFrame, block_minutes: int | None = None) -> DataFrame:
     """(account_id, at, in_flight) at each start or end, for half-open intervals.
 
     A sweep line: +1 at a start, -1 at an end, netted per account and instant, then a
-    running sum, for busy accounts in blocks of time. One shuffle to (account, block)
+    running sum, for busy accounts in blocks along the time. One shuffle to (account, block)
     serves the netting and the sum. Zero-length requests add nothing.
     """
     start = F.timestamp_add("MILLISECOND", -F.col("duration_ms"), F.col("created_at"))
@@ -23,7 +23,8 @@ def concurrency_profile(logs: DataFrame, block_minutes: int = 60) -> DataFrame:
             F.struct(F.col("created_at").alias("at"), F.lit(-1).alias("step")),
         )))
     )
-    points = with_blocks(points, ["account_id"], time_blocks("at", block_minutes))
+    block = time_blocks("at", block_minutes) if block_minutes else BY_ROWS
+    points = with_blocks(points, ["account_id"], block, ["at"])
     net = points.repartition("account_id", BLOCK).groupBy("account_id", BLOCK, "at").agg(F.sum("step").alias("step"))
     swept = block_scan(
         net, ["account_id"], ["at"], None,

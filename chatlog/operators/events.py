@@ -12,13 +12,12 @@ from chatlog import fixed
 from chatlog.functions.jsonvalue import field, strict_json
 from chatlog.functions.reasoning import cut_at_open, tool_marker_position, without_closed_blocks
 from chatlog.functions.text import before_position, drop_nuls, from_position, locate, trim, trim_start
-from chatlog.operators.scan import BLOCK, block_scan, blocks_of, ordered_concat, with_facts
+from chatlog.operators.scan import BLOCK, block_scan, ordered_concat, with_facts
 from chatlog.operators.skew import salted_join
 from chatlog.session import settled
 
-# Pieces of text joined in one go, and rows of a large response scanned in one block.
+# Pieces of text joined in one go.
 BLOCK_ROWS = 4096
-SCAN_ROWS = 100_000
 USAGE = {
     "prompt_tokens": "$.promptTokens",
     "completion_tokens": "$.completionTokens",
@@ -61,7 +60,7 @@ def chunk_columns(event: Column, data: Column) -> dict[str, Column]:
 def carry_event_name(lines: DataFrame) -> DataFrame:
     """Add `event`: the name of the last event line so far; blank lines do not reset it."""
     return block_scan(
-        lines, ["response_id"], ["line_no"], blocks_of("line_no", SCAN_ROWS),
+        lines, ["response_id"], ["line_no"],
         lasts={"event": event_name(trim("line"))},
     )
 
@@ -251,7 +250,7 @@ def early_cut(chunks: DataFrame) -> DataFrame:
 
     sizes = pieces.select("response_id", "seq", "past", F.length("answer").cast("bigint").alias("chars"))
     placed = block_scan(
-        sizes, ["response_id"], ["seq"], blocks_of("seq", SCAN_ROWS), sums={"upto": F.col("chars")}
+        sizes, ["response_id"], ["seq"], sums={"upto": F.col("chars")}
     ).filter("past")
     met = salted_join(placed, marks, ["response_id"], spread_by="seq", how="inner")
     before = F.col("upto") - F.col("chars")

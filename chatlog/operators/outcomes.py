@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from chatlog import fixed
 from chatlog.functions.text import as_col
 from chatlog.operators.changes import apply_changes
-from chatlog.operators.scan import block_scan, time_blocks
+from chatlog.operators.scan import block_scan
 from chatlog.session import settled
 
 
@@ -92,8 +92,8 @@ def account_state(accounts: DataFrame, outcomes: DataFrame, as_of=None, patches:
 def account_state_history(outcomes: DataFrame, patches: DataFrame | None = None) -> DataFrame:
     """Validity intervals of account states: (id, valid_from, valid_to, is_active, banned_status).
 
-    Null state columns mean: as before the first change. Blocks of hours keep a much
-    changed account from being ordered in one task.
+    Null state columns mean: as before the first change. Blocks keep a much changed
+    account from being ordered in one task.
     """
     changes = account_changes(outcomes)
     if patches is not None:
@@ -102,13 +102,13 @@ def account_state_history(outcomes: DataFrame, patches: DataFrame | None = None)
     flat = settled(flat)  # the few log rows that matter, read by each pass below
     columns = {"active": F.col("is_active"), "banned": F.col("banned_status")}
     run = block_scan(
-        flat, ["id"], ["at", "tie"], time_blocks("at"),
+        flat, ["id"], ["at", "tie"],
         lasts=columns, lasts_before={f"{c}_before": v for c, v in columns.items()}, lags={"earlier": F.lit(1)},
     )
     same = F.col("active").eqNullSafe(F.col("active_before")) & F.col("banned").eqNullSafe(F.col("banned_before"))
     steps = run.filter(F.col("earlier").isNull() | ~same).select("id", "at", "tie", "active", "banned")
     steps = settled(steps)
-    spans = block_scan(steps, ["id"], ["at", "tie"], time_blocks("at"), leads={"valid_to": F.col("at")})
+    spans = block_scan(steps, ["id"], ["at", "tie"], leads={"valid_to": F.col("at")})
     return spans.select(
         "id", F.col("at").alias("valid_from"), "valid_to",
         F.col("active").alias("is_active"), F.col("banned").alias("banned_status"),

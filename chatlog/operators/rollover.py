@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from chatlog import fixed
-from chatlog.operators.scan import block_scan
+from chatlog.operators.scan import BY_ROWS, block_scan
 from chatlog.session import settled
 
 # Keys with at most this many requests are folded in one group.
@@ -129,7 +129,7 @@ def session_starts(
     order: list[str],
     tokens: str,
     limit: int,
-    block: Column,
+    block: Column | str = BY_ROWS,
     breaks: Column | None = None,
     gather: int = GATHER,
     cells: int | None = None,
@@ -183,7 +183,7 @@ def session_rollover(
     keys: list[str],
     order: list[str],
     tokens: str,
-    block: Column,
+    block: Column | str = BY_ROWS,
     limit: int = fixed.SESSION_TOKEN_LIMIT,
     breaks: Column | None = None,
     gather: int = GATHER,

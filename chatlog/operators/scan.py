@@ -12,28 +12,47 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from chatlog.functions.text import as_col
+from chatlog.session import settled
 
 BLOCK = "_block"
 # Keys with more rows than this are cut into blocks.
 HOT_ROWS = 1_000_000
 
 
-def with_blocks(df: DataFrame, keys: list[str], block: Column) -> DataFrame:
-    """`df` with the column `_block`: `block` for rows of large keys, null for the others.
+#: Cut large keys by numbers of rows, whatever their order columns hold.
+BY_ROWS = "rows"
+#: Rows of large keys per block, about.
+BLOCK_ROWS = 250_000
 
-    The large keys are broadcast: a table of n rows has fewer than n / HOT_ROWS of them.
+
+def with_blocks(df: DataFrame, keys: list[str], block: Column | str = BY_ROWS, order: list[str] | None = None) -> DataFrame:
+    """`df` with the column `_block` for rows of large keys, null for the others.
+
+    Blocks never fall along `order`. By rows, the rows of large keys are dealt out by ranges of
+    (key, order), which are drawn from a sample so that each holds about BLOCK_ROWS, and
+    written once; without large keys nothing is joined or written. An expression of the order
+    sets the blocks itself; then the large keys, fewer than n / HOT_ROWS, are broadcast.
     """
     sizes = df.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > HOT_ROWS)
-    large = F.broadcast(sizes.select(*keys, F.lit(True).alias("_large")))
-    value = F.when(F.col("_large"), F.coalesce(block, F.lit(0)))
-    return df.join(large, keys, "left").withColumn(BLOCK, value).drop("_large")
+    if not isinstance(block, str):
+        large = F.broadcast(sizes.select(*keys, F.lit(True).alias("_large")))
+        value = F.when(F.col("_large"), F.coalesce(block, F.lit(0)))
+        return df.join(large, keys, "left").withColumn(BLOCK, value).drop("_large")
+    total = sizes.agg(F.sum("_rows")).first()[0]
+    none = F.lit(None).cast("bigint").alias(BLOCK)
+    if not total:
+        return df.select("*", none)
+    large = settled(sizes.select(*keys))
+    hot = df.join(large, keys, "left_semi").repartitionByRange(-(-total // BLOCK_ROWS), *keys, *order)
+    hot = settled(hot.withColumn(BLOCK, F.spark_partition_id().cast("bigint")))
+    return df.join(large, keys, "left_anti").select("*", none).unionByName(hot)
 
 
 def block_scan(
     df: DataFrame,
     keys: list[str],
     order: list[str],
-    block: Column | None,
+    block: Column | str | None = BY_ROWS,
     sums: dict[str, Column] | None = None,
     lasts: dict[str, Column] | None = None,
     lasts_before: dict[str, Column] | None = None,
@@ -47,16 +66,15 @@ def block_scan(
     included; lasts_before: without it. lags / leads: value of the previous / next row.
     totals: sum over the whole key.
 
-    `order` must be a total order within a key, `keys` non-null, and `block` an
-    expression that never falls along the order; None where `df` has been through
-    `with_blocks`. The input is read for the count, for the summaries where there are
-    large keys, and for the rows; `settled` cuts chains of scans.
+    `order` must be a total order within a key and `keys` non-null. `block` is as in
+    `with_blocks`; None where `df` has been through it. The input is read for the count and
+    for the rows, and again for the rows of large keys; `settled` cuts chains of scans.
     """
     groups = [dict(x or {}) for x in (sums, lasts, lasts_before, lags, leads, totals)]
     sums, lasts, lasts_before, lags, leads, totals = groups
     inputs = {f"_in_{name}": as_col(c) for group in groups for name, c in group.items()}
     columns = [c for c in df.columns if c != BLOCK]
-    rows = (df if block is None else with_blocks(df, keys, block)).withColumns(inputs)
+    rows = (df if block is None else with_blocks(df, keys, block, order)).withColumns(inputs)
     at = F.col(order[0]) if len(order) == 1 else F.struct(*order)
 
     summary = {}

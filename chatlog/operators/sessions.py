@@ -12,13 +12,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from chatlog import fixed
 from chatlog.functions.digest import LANES, digest_lane, list_digest, message_digest
 from chatlog.operators.rollover import session_rollover
-from chatlog.operators.scan import block_scan, blocks_of
+from chatlog.operators.scan import BY_ROWS, block_scan
 from chatlog.session import settled
 
 KEYS = ["account_id", "client_session_id"]
-# Messages of a long conversation, and request ids of a large key, per block.
-TURN_BLOCK = 100_000
-REQUEST_BLOCK = 1_000_000
 
 
 def history_hash(conv: DataFrame) -> DataFrame:
@@ -31,7 +28,7 @@ def history_hash(conv: DataFrame) -> DataFrame:
     lanes = hashed.select("conv_id", "turn", *[digest_lane("_d", i).alias(f"own{i}") for i in range(len(LANES))])
     lanes = settled(lanes)  # the texts are read and hashed once
     run = block_scan(
-        lanes, ["conv_id"], ["turn"], blocks_of("turn", TURN_BLOCK),
+        lanes, ["conv_id"], ["turn"],
         sums={"n_messages": F.lit(1).cast("bigint"), **{lane: F.col(f"own{i}") for i, lane in enumerate(LANES)}},
     )
     before = [F.col(lane) - F.col(f"own{i}") for i, lane in enumerate(LANES)]
@@ -46,7 +43,7 @@ def session_continuity(
     requests: DataFrame,
     conv: DataFrame,
     mode: str = "append",
-    block: Column | None = None,
+    block: Column | str = BY_ROWS,
 ) -> DataFrame:
     """Requests with list_hash, history_hash, n_messages and `matches`.
 
@@ -57,7 +54,6 @@ def session_continuity(
     """
     if mode not in ("strict", "append"):
         raise ValueError(f"mode must be 'strict' or 'append', not {mode!r}")
-    block = blocks_of("request_id", REQUEST_BLOCK) if block is None else block
     hashes = settled(history_hash(conv)) if mode == "append" else history_hash(conv)
     rows = requests.join(hashes, ["conv_id", "turn"])
     used = F.col("prompt_tokens").isNotNull()
@@ -84,14 +80,13 @@ def session_history(
     conv: DataFrame,
     mode: str = "append",
     limit: int = fixed.SESSION_TOKEN_LIMIT,
-    block: Column | None = None,
+    block: Column | str = BY_ROWS,
 ) -> DataFrame:
     """Requests with `reused`, `generation` (per key) and `session_tokens`.
 
     A request that does not match begins a new session whatever the tokens; one that
     does still begins one after the token limit.
     """
-    block = blocks_of("request_id", REQUEST_BLOCK) if block is None else block
     checked = session_continuity(requests, conv, mode, block)
     run = session_rollover(
         checked, KEYS, ["request_id"], "prompt_tokens", block, limit, breaks=~F.col("matches")

@@ -8,12 +8,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from chatlog import fixed
-from chatlog.operators.scan import block_scan, blocks_of, ordered_concat
+from chatlog.operators.scan import block_scan, ordered_concat
 from chatlog.operators.skew import salted_join
 from chatlog.session import settled
 
-# Messages of a long conversation per block.
-TURN_BLOCK = 100_000
 
 
 def last_n_messages(conv: DataFrame, n: int = fixed.MAX_REPLAY_MESSAGES) -> DataFrame:
@@ -151,7 +149,7 @@ def replay_lengths(
         return F.when(flag, size).otherwise(0)
 
     run = block_scan(
-        sized, ["conv_id"], ["turn"], blocks_of("turn", TURN_BLOCK),
+        sized, ["conv_id"], ["turn"],
         sums={
             "sys_count": count_of(F.col("is_sys"), F.lit(1)),
             "sys_chars": count_of(F.col("is_sys"), F.col("chars")),

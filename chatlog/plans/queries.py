@@ -11,7 +11,6 @@ from chatlog.operators import (
     transcript, usage,
 )
 from chatlog.operators.rollover import session_rollover as rollover
-from chatlog.operators.scan import blocks_of
 from chatlog.plans import inputs, replay
 from chatlog.session import options, scratch_path
 from chatlog.sources import export, requests as bodies, schemas, tables
@@ -233,8 +232,7 @@ def session_continuity_strict(get):
 @query
 def session_rollover(get):
     out = rollover(
-        get("requests"), ROLLOVER_KEYS, ["request_id"], "prompt_tokens",
-        blocks_of("request_id", sessions.REQUEST_BLOCK), limit=ROLLOVER_LIMIT,
+        get("requests"), ROLLOVER_KEYS, ["request_id"], "prompt_tokens", limit=ROLLOVER_LIMIT,
     )
     return out.select("request_id", "account_id", "client_session_id", "generation", "session_tokens")
 

@@ -2,7 +2,7 @@
 
 import pytest
 
-from chatlog.operators import events, scan, sessions, transcript
+from chatlog.operators import events, scan
 from __spark_entry__ import entry, oracle_sql, queries
 from check import compare
 
@@ -21,11 +21,8 @@ def test_query(spark, duck, sf_dir, name):
 def test_query_in_small_blocks(spark, duck, sf_dir, name, monkeypatch):
     """The same results when every key counts as large and blocks hold few rows."""
     monkeypatch.setattr(scan, "HOT_ROWS", 2)
-    monkeypatch.setattr(sessions, "TURN_BLOCK", 2)
-    monkeypatch.setattr(sessions, "REQUEST_BLOCK", 3)
-    monkeypatch.setattr(transcript, "TURN_BLOCK", 2)
+    monkeypatch.setattr(scan, "BLOCK_ROWS", 20)
     monkeypatch.setattr(events, "BLOCK_ROWS", 5)
-    monkeypatch.setattr(events, "SCAN_ROWS", 5)
     equal, note = compare(spark, duck, sf_dir, name)
     assert equal, note
 

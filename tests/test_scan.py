@@ -51,6 +51,25 @@ def test_block_scan(spark, size, hot):
     assert {(r.k, r.o): (r.s, r.l, r.b, r.p, r.n, r.t) for r in got} == want
 
 
+@pytest.mark.parametrize("order", ["o", "o * 5000000", "lpad(o, 9, '0')"], ids=["dense", "sparse", "text"])
+def test_blocks_by_rows(spark, order, hot, monkeypatch):
+    """Blocks of bounded size, whatever the distances or the type of the order column."""
+    monkeypatch.setattr(scan, "BLOCK_ROWS", 25)
+    rows = skewed(seed=8)
+    df = spark.createDataFrame(rows, "k long, o long, v long").selectExpr("k", "o", f"{order} AS at", "v")
+    cut = scan.with_blocks(df, ["k"], order=["at"])
+    sizes = [r["count"] for r in cut.filter("_block is not null").groupBy("k", "_block").count().collect()]
+    assert all(n <= 100 for n in sizes) and (not sizes or len(sizes) > 5)
+    got = scan.block_scan(df, ["k"], ["at"], sums={"s": F.coalesce("v", F.lit(0))}, leads={"n": F.col("v")}).collect()
+    want = {}
+    for k, items in by_key(rows).items():
+        total = 0
+        for i, (o, v) in enumerate(items):
+            total += v or 0
+            want[k, o] = (total, items[i + 1][1] if i + 1 < len(items) else None)
+    assert {(r.k, r.o): (r.s, r.n) for r in got} == want
+
+
 @pytest.mark.parametrize("head", [1, 16, 10_000])
 def test_ordered_concat(spark, head):
     rows = [(k, o, None if v is None else str(v)) for k, o, v in skewed(seed=2)]
