@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from chatlog import fixed
 from chatlog.operators.accounts import with_active_requests
-from chatlog.operators.scan import exact_quantiles
+from chatlog.operators.scan import block_scan, exact_quantiles
 
 # Pages that end within this many rows are taken by a top-k; later ones by rank.
 TOP_K_ROWS = 10_000
@@ -102,12 +102,13 @@ def _page_by_rank(rows: DataFrame, offset: int, limit: int) -> DataFrame:
     seconds = touched(
         seconds, "_sec", F.col("base"), Window.partitionBy("_hour").orderBy(F.desc("_sec"))
     )
-    within = Window.partitionBy("_sec").orderBy(F.desc("created_at"), "id")
-    ranked = rows.join(F.broadcast(seconds), "_sec").withColumn(
-        "_rank", F.col("before") + F.row_number().over(within)
-    )
+    # A crowded second is ranked in blocks.
+    newest = -F.timestamp_diff("MICROSECOND", epoch, F.col("created_at"))
+    near = rows.join(F.broadcast(seconds), "_sec").withColumn("_newest", newest)
+    ranked = block_scan(near, ["_sec"], ["_newest", "id"], sums={"_row": F.lit(1).cast("bigint")})
+    ranked = ranked.withColumn("_rank", F.col("before") + F.col("_row"))
     page = ranked.filter((F.col("_rank") > offset) & (F.col("_rank") <= offset + limit))
-    return page.orderBy("_rank").drop("_rank", "_sec", "_hour", "before")
+    return page.orderBy("_rank").drop("_rank", "_row", "_newest", "_sec", "_hour", "before")
 
 
 def page_after(logs: DataFrame, created_at, id, limit: int = 50, **filters) -> DataFrame:

@@ -68,6 +68,9 @@ SELECT {PAGE} FROM request_logs WHERE status = 'success' AND endpoint = 'openai'
 ORDER BY created_at DESC, id LIMIT 50 OFFSET 100"""
 SQL["logs_deep_page"] = f"""
 SELECT {PAGE} FROM request_logs ORDER BY created_at DESC, id LIMIT 100 OFFSET 6000"""
+SQL["logs_page_crowded"] = f"""
+SELECT {PAGE} FROM (SELECT * REPLACE (date_trunc('day', created_at) AS created_at) FROM request_logs)
+ORDER BY created_at DESC, id LIMIT 100 OFFSET 3000"""
 SQL["logs_page_after"] = f"""
 SELECT {PAGE} FROM request_logs
 WHERE status = 'error' AND (created_at < {NOW} OR (created_at = {NOW} AND id > 0)) ORDER BY created_at DESC, id LIMIT 80"""

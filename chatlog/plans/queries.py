@@ -91,6 +91,13 @@ def logs_deep_page(get):
     return _page(usage.page_logs(get("request_logs"), page=61, limit=100, top_k_rows=1000))
 
 
+@query
+def logs_page_crowded(get):
+    """A page deep inside one second that holds a day's logs."""
+    crowded = get("request_logs").withColumn("created_at", F.date_trunc("day", "created_at").cast("timestamp_ntz"))
+    return _page(usage.page_logs(crowded, page=31, limit=100, top_k_rows=1000))
+
+
 @query
 def logs_page_after(get):
     return _page(usage.page_after(get("request_logs"), _as_of(), 0, limit=80, status="error"))

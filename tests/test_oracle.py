@@ -14,7 +14,7 @@ def test_query(spark, duck, sf_dir, name):
 
 
 @pytest.mark.parametrize("name", [
-    "concurrency_peaks", "request_health", "replay_savings", "history_chain_hash", "session_continuity",
+    "concurrency_peaks", "request_health", "replay_savings", "logs_deep_page", "logs_page_crowded", "history_chain_hash", "session_continuity",
     "session_rollover", "session_history", "account_state_history", "event_chunks", "assembled_responses",
     "chunk_reasoning", "chunk_tool_buffer", "early_cut", "transcript_rendered", "tool_catalog",
 ])

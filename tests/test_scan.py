@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from chatlog.operators import concurrency, rollover, scan
+from chatlog.operators import concurrency, rollover, scan, usage
 from chatlog.operators.changes import apply_changes
 from chatlog.operators.skew import salted_join
 
@@ -146,6 +146,17 @@ def test_concurrency(spark, minutes, hot):
     assert (peak.max_in_flight, peak.us_at_cap) == (2, 10 * 60 * 10**6)
 
 
+def test_page_in_a_crowded_second(spark, monkeypatch):
+    monkeypatch.setattr(scan, "HOT_ROWS", 20)
+    monkeypatch.setattr(scan, "BLOCK_ROWS", 30)
+    rows = [(i * 7 % 400, f"2024-01-01 00:00:0{i % 2}") for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, t string").withColumn("created_at", F.col("t").cast("timestamp_ntz"))
+    want = sorted(rows, key=lambda r: (-int(r[1][-1]), r[0]))
+    for page in (1, 5, 9):
+        got = usage.page_logs(df, page=page, limit=40, top_k_rows=0).collect()
+        assert [r.id for r in got] == [i for i, _ in want[40 * (page - 1):40 * page]]
+
+
 def test_salted_join(spark):
     rows = spark.createDataFrame([(r[0], r[1]) for r in skewed(seed=9)], "k long, o long")
     lookup = spark.createDataFrame([(0, "a"), (3, "b"), (99, "c")], "k long, x string")
