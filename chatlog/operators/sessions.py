@@ -95,7 +95,10 @@ def session_history(
 
 
 def session_snapshot(history: DataFrame) -> DataFrame:
-    """One row per session; only the last generation of a key is live."""
+    """One row per session; only the last generation of a key is live.
+
+    Every session has a conversation of its own upstream; its id is a digest of the session's.
+    """
     history = settled(history)
     by_session = history.groupBy(*KEYS, "generation").agg(
         F.count("*").alias("requests"),
@@ -108,7 +111,8 @@ def session_snapshot(history: DataFrame) -> DataFrame:
     joined = by_session.join(newest, KEYS)
     name = F.concat_ws(":", *KEYS, "generation")
     return joined.select(
-        F.sha2(name, 256).alias("id"), *KEYS, "generation", "requests", "prompt_tokens",
+        F.sha2(name, 256).alias("id"), F.sha2(F.concat(F.lit("conversation:"), name), 256).alias("conversation_id"),
+        *KEYS, "generation", "requests", "prompt_tokens",
         F.col("last.list_hash").alias("last_messages_hash"), F.col("last.n_messages").alias("last_msg_count"),
         "created_at", "last_used_at", (F.col("generation") < F.col("newest")).alias("is_expired"),
     )

@@ -268,7 +268,8 @@ WITH RECURSIVE {CONTINUITY}, {_folded("checked", "strictly")}
 SELECT request_id, reused, generation, session_tokens FROM fold"""
 SQL["session_snapshot"] = f"""
 WITH RECURSIVE {CONTINUITY}, {_folded("checked", "appends")}
-SELECT account_id, client_session_id, generation, count(*) AS requests,
+SELECT sha256('conversation:' || account_id || ':' || client_session_id || ':' || generation) AS conversation_id,
+       account_id, client_session_id, generation, count(*) AS requests,
        CAST(coalesce(sum(prompt_tokens), 0) AS BIGINT) AS prompt_tokens,
        max_by(list_hash, request_id) AS last_messages_hash, max_by(n_messages, request_id) AS last_msg_count,
        epoch_us(min(created_at)) AS created_us, epoch_us(max(created_at)) AS last_used_us

@@ -258,7 +258,7 @@ def session_snapshot(get):
     live = sessions.live_sessions(sessions.session_snapshot(_history(get)))
     kept = sessions.expire_stale(live, _as_of(), ttl_days=7)
     return kept.select(
-        *ROLLOVER_KEYS, "generation", "requests", "prompt_tokens", "last_messages_hash", "last_msg_count",
+        "conversation_id", *ROLLOVER_KEYS, "generation", "requests", "prompt_tokens", "last_messages_hash", "last_msg_count",
         _us("created_at").alias("created_us"), _us("last_used_at").alias("last_used_us"),
     )
 

@@ -16,7 +16,7 @@ ACCOUNTS = _table(
     id=L, alias=S, key_hash=S, is_active=B, banned_status=S, active_requests=L, created_at=N
 )
 SESSIONS = _table(
-    id=S, account_id=L, client_session_id=L, generation=L, requests=L, prompt_tokens=L,
+    id=S, conversation_id=S, account_id=L, client_session_id=L, generation=L, requests=L, prompt_tokens=L,
     last_messages_hash=S, last_msg_count=L, created_at=N, last_used_at=N, is_expired=B,
 )
 REQUEST_LOGS = _table(
