@@ -24,7 +24,7 @@ from chatlog.llm.workers import map_texts
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+")
 #: Pieces up to this many characters are remembered, this many of them per worker.
-KEEP_CHARS, KEEP_PIECES = 40, 400_000
+KEEP_CHARS, KEEP_PIECES = 40, 250_000
 
 
 def _byte_symbols() -> list[str]:

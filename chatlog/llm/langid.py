@@ -24,6 +24,8 @@ SAMPLE_DOCS, SAMPLE_CHARS = 300, 20_000
 SEQUENCES, LENGTH, SWITCH = 5000, 40, 0.05
 EPOCHS, RATE, DECAY = 40, 0.3, 1e-6
 UNKNOWN = "und"
+#: Texts that step together: the longest sets the number of steps.
+PART_BYTES = 8 << 20
 
 
 @dataclass
@@ -215,7 +217,7 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.col(id_col), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_labelled_text"))
-    return map_texts(rows, lambda: Labeler(sent.value, runs), "lang_pred string, score double" + ", run_langs array<string>, run_words array<int>" * runs)
+    return map_texts(rows, lambda: Labeler(sent.value, runs), "lang_pred string, score double" + ", run_langs array<string>, run_words array<int>" * runs, PART_BYTES)
 
 
 def held_out(id_col: str = "doc_id"):

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from chatlog.llm.common import bucket_of
-from chatlog.llm.workers import map_texts, parts
+from chatlog.llm.workers import bounded_batches, map_texts, parts
 from chatlog.session import settled
 
 #: Bytes of context. Two bound the trie by 256^3 counts, whatever the input, so it can be sent to every worker.
@@ -151,6 +151,7 @@ def score(docs: DataFrame, training: Column | None = None, id_col: str = "doc_id
     those of the most frequent are held by the workers, the rest is joined.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     learnt = (docs if training is None else docs.filter(training)).select(text.alias("_text"))
     grams = count_contexts(learnt).toArrow()  # 256^3 rows at most

@@ -7,14 +7,14 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
-#: Texts are handled in parts of about this many bytes.
-PART_BYTES = 8 << 20
+#: Texts come in batches of this many rows at most, and are handled in parts of about this many bytes.
+BATCH_ROWS, PART_BYTES = 1000, 2 << 20
 #: Bytes as word characters: A-Z lower-cased, all that stands between words a space.
 WORD_BYTES = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
 #: Growing memories of a worker are emptied beyond this many entries.
-KEEP_WORDS = 400_000
+KEEP_WORDS = 200_000
 
 
 def word_list(text: str) -> list[bytes]:
@@ -32,19 +32,29 @@ def parts(batch: pa.RecordBatch, text: int, limit: int = PART_BYTES) -> Iterator
         at, before = end, int(ends[end - 1])
 
 
-def map_texts(rows: DataFrame, make: Callable[[], Callable[[list[str]], list[pa.Array]]], added: str) -> DataFrame:
+def bounded_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batch to BATCH_ROWS rows: a batch of long texts is held several times."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
+def map_texts(
+    rows: DataFrame, make: Callable[[], Callable[[list[str]], list[pa.Array]]], added: str, part_bytes: int = PART_BYTES
+) -> DataFrame:
     """`rows`, whose last column is the text, with that column replaced by those `added`.
 
     `make` is called once per task and returns the function from texts to arrays. Other
     columns pass through as they came. Nothing is shuffled.
     """
+    bounded_batches(rows.sparkSession)
     schema = T.StructType([*rows.schema.fields[:-1], *T.StructType.fromDDL(added).fields])
     names = schema.fieldNames()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            for part in parts(batch, batch.num_columns - 1):
+            for part in parts(batch, batch.num_columns - 1, part_bytes):
                 made = work(part.column(part.num_columns - 1).to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], *made], names=names)
 
