@@ -24,15 +24,16 @@ def _pattern(name: str, value: str) -> str:
     return rf"""\b({re.escape(name)}=["']?){value}"""
 
 
-def _has_cookies(c: Column) -> Column:
-    # The regex runs only where a cheap look finds an option or a header.
+def _may_have_cookies(c: Column) -> Column:
+    """A cheap look for an option or a header, in front of the regex."""
     hints = [F.contains(c, F.lit(x)) for x in ("-b", "--cookie", "ookie:", "OOKIE:")]
-    return (hints[0] | hints[1] | hints[2] | hints[3]) & F.regexp_like(c, F.lit(COOKIES))
+    return hints[0] | hints[1] | hints[2] | hints[3]
 
 
 def has_cookie_option(c) -> Column:
     """The text holds a pasted command with a cookie option or header, or a cookie header line."""
-    return _has_cookies(as_col(c))
+    c = as_col(c)
+    return _may_have_cookies(c) & F.regexp_like(c, F.lit(COOKIES))
 
 
 def redact_credentials(df: DataFrame, text: str = "text", fields: dict[str, str] | None = None) -> DataFrame:
@@ -43,15 +44,16 @@ def redact_credentials(df: DataFrame, text: str = "text", fields: dict[str, str]
     """
     fields = FIELDS if fields is None else fields
     source = F.col(text)
-    passed = F.regexp_extract_all(source, F.lit(COOKIES), F.lit(0))
+    found = F.when(_may_have_cookies(source), F.regexp_extract_all(source, F.lit(COOKIES), F.lit(0)))
+    df = df.withColumn("_passed", F.coalesce(found, F.array().cast("array<string>")))
+    passed, there = F.col("_passed"), F.size("_passed") > 0
     between = F.split(source, COOKIES, -1)
     covered = F.transform(passed, lambda p: F.regexp_replace(p, F.lit(PAIR), F.lit(f"$1{re.escape(MASK)}")))
     woven = F.concat(F.element_at(between, 1), F.array_join(F.zip_with(
         covered, F.slice(between, 2, F.greatest(F.size(between) - 1, F.lit(0))), lambda p, b: F.concat(p, b)), ""))
-    there = _has_cookies(source)
     masked = F.when(there, woven).otherwise(source)
     pairs = F.aggregate(passed, F.lit(0).cast("bigint"), lambda n, p: n + F.regexp_count(p, F.lit(PAIR)))
-    hits = {"cookie_hits": F.when(there, pairs).otherwise(F.when(source.isNotNull(), F.lit(0).cast("bigint")))}
+    hits = {"cookie_hits": pairs}
     for name, value in fields.items():
         pattern, found = _pattern(name, value), F.contains(source, F.lit(f"{name}="))
         hits[f"{name}_hits"] = F.when(found, F.regexp_count(source, F.lit(pattern))).otherwise(0).cast("bigint")
@@ -59,4 +61,4 @@ def redact_credentials(df: DataFrame, text: str = "text", fields: dict[str, str]
     for name, value in fields.items():
         found = F.contains("_masked", F.lit(f"{name}="))
         out = out.withColumn("_masked", F.when(found, F.regexp_replace("_masked", _pattern(name, value), f"$1{re.escape(MASK)}")).otherwise(F.col("_masked")))
-    return out.drop(text).withColumnRenamed("_masked", text)
+    return out.drop(text, "_passed").withColumnRenamed("_masked", text)
