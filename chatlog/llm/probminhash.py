@@ -1,10 +1,10 @@
 """Near-duplicates by ProbMinHash, banding and exact verification.
 
-A text is the bag of its five-word shingles, each weighed by the fourth root of its count. Every
+A text is the bag of its five-word shingles, weighed from 1 to HEAVIEST by their counts. Every
 shingle is a Poisson process of its weight, whose arrivals fall into random registers; a
 register keeps the shingle that came first, and a shingle stops once its next arrival is later
 than all registers. Two texts agree in a register with the probability Jaccard similarity of
-their bags. Texts that agree in a band of registers are candidates; a link is a candidate pair
+their bags, which is at least their sets' Jaccard similarity over HEAVIEST. Texts that agree in a band of registers are candidates; a link is a candidate pair
 whose sets of shingles have a Jaccard similarity of at least 0.8, and a class what links connect.
 """
 
@@ -24,11 +24,15 @@ from chatlog.llm.workers import KEEP_WORDS, map_texts, word_list
 from chatlog.session import settled
 
 WORDS, SIMILAR = 5, 0.8
-#: A pair at 0.8 shares no band with chance (1 - 0.8^5)^28, about 0.00002.
-BANDS, BAND = 28, 5
+#: The weight that counts of a shingle tend to; that of a single one is 1.
+HEAVIEST = 1.1
+#: The lowest chance that a register agrees in a pair of SIMILAR sets, whatever the counts on either side.
+LEAST = SIMILAR / HEAVIEST
+#: Such a pair shares no band with chance (1 - LEAST^4)^33 at most, about 0.00002.
+BANDS, BAND = 33, 4
 REGISTERS = BANDS * BAND
-#: Least share of equal registers worth an exact look: six deviations below 0.8.
-LEAST_SHARE = SIMILAR - 6 * (SIMILAR * (1 - SIMILAR) / REGISTERS) ** 0.5
+#: Least share of equal registers worth an exact look: six deviations below LEAST.
+LEAST_SHARE = LEAST - 6 * (LEAST * (1 - LEAST) / REGISTERS) ** 0.5
 #: Buckets are compared in blocks of this many texts.
 BLOCK = 1024
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -58,6 +62,10 @@ def shingles(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(out, return_counts=True)
 
 
+def weights_of(counts: np.ndarray) -> np.ndarray:
+    return HEAVIEST - (HEAVIEST - 1) / counts
+
+
 def signature(items: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """The item kept by each register, shortened to 32 bits."""
     first, kept = np.full(REGISTERS, np.inf), np.zeros(REGISTERS, np.uint64)
@@ -93,7 +101,7 @@ def _signed(texts: list[str]) -> list[pa.Array]:
         digest = hashlib.blake2b(b" ".join(words), digest_size=16).digest() if words else None
         if digest and digest not in done:
             items, counts = shingles(words)
-            done[digest] = len(items), signature(items, np.sqrt(np.sqrt(counts))).astype("<u4").tobytes()
+            done[digest] = len(items), signature(items, weights_of(counts)).astype("<u4").tobytes()
         size, sign = done.get(digest, (0, None))
         digests.append(digest)
         sizes.append(size)

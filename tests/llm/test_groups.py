@@ -71,6 +71,36 @@ def test_classes_equal_brute_force(spark, monkeypatch, extra, block):
     assert sorted(map(tuple, P.classes(docs(spark, rows, extra)).collect()), key=repr) == brute(rows)
 
 
+def uneven():
+    """Pairs of sets just at the bound; one text, or each, repeats a passage that the other lacks or has once."""
+    rng, rows = random.Random(11), []
+    for k in range(45):
+        word = lambda n: [f"w{rng.getrandbits(48)}" for _ in range(n)]
+        base, mine, theirs, times = word(84), word(16), word(6), (100, 1000, 1)[k % 3]
+        rows += [(10 * k, " ".join(base + mine * times)), (10 * k + 1, " ".join(base))]
+        base, often = word(120), word(20)
+        rows += [(10 * k + 5, " ".join(base + often + mine[:6])), (10 * k + 6, " ".join(base + often * times + theirs))]
+    return rows
+
+
+def test_uneven_repeats_equal_brute_force(spark):
+    rows = uneven()
+    assert sorted(map(tuple, P.classes(docs(spark, rows)).collect()), key=repr) == brute(rows)
+
+
+def test_uneven_repeats_are_candidates():
+    """Whatever the counts, similar sets share a band and enough registers to be looked at."""
+    rows, seen = dict(uneven()), 0
+    for i in rows:
+        if i + 1 in rows:
+            (a, n), (b, m) = (P.shingles(word_list(rows[j])) for j in (i, i + 1))
+            if P.similarity(a, b) >= P.SIMILAR:
+                same = np.frombuffer(P._signed([rows[i]])[2][0].as_py(), "<u4") == np.frombuffer(P._signed([rows[i + 1]])[2][0].as_py(), "<u4")
+                assert same.mean() >= P.LEAST_SHARE and same.reshape(P.BANDS, P.BAND).all(1).any()
+                seen += 1
+    assert seen >= 45
+
+
 def test_one_of_each(spark):
     rows = fixture()
     df = docs(spark, rows, extra=True)
