@@ -131,7 +131,7 @@ def op4_language_id(spark, sf_dir):
 
 @query
 def op5_lm_scoring(spark, sf_dir):
-    out = ppm.score(table(spark, sf_dir, "documents"), ~ppm.held_out())
+    out = ppm.score(table(spark, sf_dir, "documents"), ~ppm.held_out(), order=4)
     return out.select("doc_id", ppm.held_out().alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 

@@ -139,6 +139,43 @@ def test_partial_matching_equals_brute_force(spark, monkeypatch):
     assert np.allclose([g[4:] for g in got], [w[4:] for w in want], rtol=1e-6)
 
 
+def _brute_deep(training, texts, order):
+    levels = collections.defaultdict(collections.Counter)
+    pad = lambda t: bytes([ppm.BEGIN] * order) + t.encode() + bytes([ppm.END])
+    for b in map(pad, training):
+        for j in range(order, len(b)):
+            for k in range(order + 1):
+                levels[b[j - k:j]][b[j]] += 1
+
+    def prob(b, j):
+        left, out = set(range(256)) - {ppm.BEGIN}, 1.0
+        for k in range(order, -1, -1):
+            seen = {c: n for c, n in levels[b[j - k:j]].items() if c in left}
+            total = sum(seen.values()) + len(seen)
+            if b[j] in seen:
+                return out * seen[b[j]] / total
+            if seen:
+                out *= len(seen) / total
+            left -= set(seen)
+        return out / len(left)
+
+    return [sum(math.log10(prob(b, j)) for j in range(order, len(b))) for b in map(pad, texts)]
+
+
+@pytest.mark.parametrize("held", [0, 30, 10**6])
+def test_deeper_contexts_equal_brute_force(spark, monkeypatch, held):
+    """Whether codes are held by the workers or joined."""
+    monkeypatch.setattr(ppm, "HEAD_CODES", held)
+    monkeypatch.setattr(ppm, "FLUSH_CODES", 10)
+    texts = ["the cat sat", "The cat  sat\ton the mat", "ünï code", "", None, "zebra quilt 漢", "the the the", "cat " * 90, "the cat sat", "q" * 100, "abcde abcdf xbcde"]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(None, "mat"), (1, texts[1])]
+    df = docs(spark, rows, extra=True)
+    got = sorted(((r["doc_id"], r["score"]) for r in ppm.score(df, df["doc_id"] % 2 == 0, order=4).collect()), key=repr)
+    train = [t or "" for i, t in rows if i is not None and i % 2 == 0]
+    want = sorted(zip([i for i, _ in rows], _brute_deep(train, [t or "" for _, t in rows], 4)), key=repr)
+    assert [g[0] for g in got] == [w[0] for w in want] and np.allclose([g[1] for g in got], [w[1] for w in want], rtol=1e-9)
+
+
 def test_probabilities_sum_to_one():
     codes, _ = ppm._symbols(["abracadabra", "ünï"])
     code, n = np.unique(codes[(codes & 0xFF) != ppm.BEGIN], return_counts=True)
