@@ -20,12 +20,12 @@ from chatlog.llm.workers import KEEP_WORDS, map_texts, row_means, subword_ids, w
 
 SIZES, BITS, DIM = (3, 4, 5), 16, 4
 WINDOW, STEP = 16, 8
-#: Bounds of the training sample: documents by class, code points of each, windows of each.
-SAMPLE_DOCS, SAMPLE_CHARS, SAMPLE_WINDOWS = {0: 2400, 1: 1200}, 20_000, 48
+#: Bounds of the training sample: documents by class, code points of each.
+SAMPLE_DOCS, SAMPLE_CHARS = {0: 2400, 1: 1200}, 20_000
 #: Training: rounds, steps of each, windows per step, rate, and decay of vectors.
 ROUNDS, STEPS, BATCH, RATE, DECAY = 3, 150, 1024, 0.05, 1e-6
-#: N-grams in a smaller share of the sampled documents, or in fewer than three, carry nothing.
-MIN_SHARE = 0.005
+#: N-grams in fewer of the sampled documents carry nothing.
+MIN_DOCS = 3
 
 
 @dataclass
@@ -56,7 +56,7 @@ def _sums(index: np.ndarray, values: np.ndarray, rows: int) -> np.ndarray:
 
 
 def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
-    """Fit on whole windows of labelled texts.
+    """Fit on all windows of labelled texts.
 
     All windows of a clean text are clean. Of a toxic text all windows count as toxic in the
     first round and its most toxic one in the others.
@@ -65,8 +65,7 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
     windows, owner, in_docs = [], [], np.zeros(1 << BITS, np.int64)
     for d, text in enumerate(texts):
         ids = [names.setdefault(w, len(names)) for w in word_list(text)]
-        starts = _window_starts(len(ids)) if ids else []
-        for s in starts[:: max(1, -(-len(starts) // SAMPLE_WINDOWS))]:
+        for s in _window_starts(len(ids)) if ids else []:
             windows.append(sorted(set(ids[s:s + WINDOW])))
             owner.append(d)
     rng = np.random.default_rng(seed)
@@ -80,7 +79,7 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
     for text in texts:
         grams = [bucket[begins[i]:begins[i + 1]] for i in {names[w] for w in word_list(text)}]
         in_docs[np.unique(np.concatenate([*grams, bucket[:0]]))] += 1
-    known = (in_docs >= max(3, MIN_SHARE * len(texts)))[:, None]
+    known = (in_docs >= MIN_DOCS)[:, None]
     vectors *= known
     owner, y_doc = np.array(owner), np.array(labels)
     sizes = np.fromiter(map(len, windows), np.int64)

@@ -219,6 +219,35 @@ def test_toxicity_held_out(toxic_data):
     assert (got == np.array(labels[500:])).mean() > 0.97
 
 
+def test_toxicity_between_windows():
+    """Insults of long texts, all where every fifth window doesn't reach, are learnt."""
+    rng = np.random.default_rng(4)
+    plain = ["".join(rng.choice(list("aeioulnrst"), 6)) for _ in range(600)]
+    texts = []
+    for i in range(60):
+        own = rng.choice(plain, 1600).tolist()
+        if i % 2:
+            for at in range(25, 1600, 80):
+                own[at] = "zwompgax"
+        texts.append(" ".join(own))
+    scorer = toxicity.Scorer(toxicity.train(texts, [i % 2 for i in range(60)]))
+    words = rng.choice(plain, 15).tolist()
+    clean, bad = scorer([" ".join(words), " ".join([*words, "zwompgax"])])[0].to_pylist()
+    assert clean < 0.5 < bad
+
+
+def test_toxicity_of_rare_words():
+    """Words in four of two thousand documents are learnt."""
+    rng = np.random.default_rng(5)
+    plain = ["".join(rng.choice(list("aeioulnrst"), 6)) for _ in range(30)]
+    rare = ["".join(rng.choice(list("bcdfghjkmpqvwxyz"), 9)) for _ in range(50)]
+    texts = [" ".join([*rng.choice(plain, 12), *([rare[i % 50]] if i < 200 else [])]) for i in range(2000)]
+    scorer = toxicity.Scorer(toxicity.train(texts, [int(i < 200) for i in range(2000)]))
+    without = [" ".join(rng.choice(plain, 12)) for _ in rare]
+    before, after = (scorer(t)[0].to_numpy() for t in (without, [f"{t} {w}" for t, w in zip(without, rare)]))
+    assert np.mean(after > before) > 0.9
+
+
 def test_toxicity_of_misspellings(toxic_data):
     texts, labels, model = toxic_data
     clean = [t for t, y in zip(texts[500:], labels[500:]) if not y][:40]
