@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chatlog.llm import bpe, chatformat, decontam, hnsw, langid, linededup, ppm, probminhash, secrets, toxicity
+from chatlog.llm import (
+    bpe, chatformat, collocation, decontam, hnsw, langid, linededup, ppm, probminhash, resample, secrets, sharding, toxicity,
+)
 from chatlog.llm.common import table
 
 #: The public vocabulary that op8 and the pipeline encode with.
-VOCABULARY = os.environ.get("BPE_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.json")
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -162,3 +164,104 @@ FROM marked GROUP BY rid"""
 @query
 def op6_minhash_near_dedup(spark, sf_dir):
     return probminhash.classes(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_sharding(spark, sf_dir):
+    return sharding.place(table(spark, sf_dir, "documents"))
+
+
+def _sql_feistel(rows: str) -> str:
+    """One pass of the network over `v` of the given rows, with `b` bits a half and mask `m`: `moved`."""
+    sql = f"SELECT *, v >> b AS l, v & m AS r FROM {rows}"
+    for key in sharding.round_keys(sharding.SEED):  # a level each, so that nothing is written out twice
+        sql = f"SELECT *, (r * {sharding.FACTOR_1} + {key}) % {sharding.PRIME} AS x FROM ({sql})"
+        sql = f"SELECT *, (xor(x, x >> 15) * {sharding.FACTOR_2} + {key}) % {sharding.PRIME} AS y FROM ({sql})"
+        sql = f"SELECT row_at, n, b, m, r AS l, xor(l, xor(y, y >> 13) & m) AS r FROM ({sql})"
+    return f"SELECT row_at, n, b, m, (l << b) | r AS moved FROM ({sql})"
+
+
+def _nibbles() -> str:
+    """CRC-32 steps of four bits."""
+    table = []
+    for c in range(16):
+        for _ in range(4):
+            c = c >> 1 ^ (0xEDB88320 if c & 1 else 0)
+        table.append(c)
+    return str(table)
+
+
+def _sql_crc(text: str) -> str:
+    """Unsigned CRC-32 of the UTF-8 bytes of a text, four bits at a time."""
+    digits = f"string_split(hex(encode({text})), '')"
+    order = "lambda i: strpos('0123456789ABCDEF', h[i + 2 - 2 * (i % 2)]) - 1"
+    return (f"(SELECT xor(list_reduce(list_transform(range(0, len(h) // 2 * 2), {order}), "
+            f"lambda c, x: xor(c >> 4, t[(xor(c, x) & 15) + 1]), 4294967295), 4294967295) "
+            f"FROM (SELECT CASE WHEN {text} = '' THEN [] ELSE {digits} END AS h, {_nibbles()}::BIGINT[] AS t))")
+
+
+ORACLE_SQL["op11_sharding"] = f"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+sized AS (SELECT doc_id, CAST(strlen(text) + 1 AS BIGINT) AS size, CAST({_sql_crc('text')} AS BIGINT) AS text_crc32 FROM d),
+total AS (SELECT count(*) AS n, (SELECT min(k) FROM range(1, 25) x(k) WHERE (1::BIGINT << (2 * k)) >= (SELECT count(*) FROM d)) AS b FROM d),
+numbered AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY doc_id NULLS FIRST, size, text_crc32) - 1 AS row_at FROM sized),
+walk AS (SELECT row_at, row_at AS v, n, b, (1::BIGINT << b) - 1 AS m, false AS stays FROM numbered, total
+         UNION ALL SELECT row_at, moved, n, b, m, moved < n FROM ({_sql_feistel('walk WHERE NOT stays')}))
+SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(v % {sharding.SHARDS} AS INTEGER) AS shard,
+       CAST(v // {sharding.SHARDS} AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM numbered JOIN walk USING (row_at) WHERE stays"""
+
+
+@query
+def op12_phrase_collocation_mining(spark, sf_dir):
+    return collocation.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op12_phrase_collocation_mining"] = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-
+]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[ 	]+'), lambda x: x <> '') AS w FROM p),
+pos AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+runs AS (SELECT lang, 1 AS k, w[i] AS phrase FROM pos
+         UNION ALL SELECT lang, 2, w[i] || ' ' || w[i + 1] FROM pos WHERE i + 1 <= len(w)
+         UNION ALL SELECT lang, 3, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FROM pos WHERE i + 2 <= len(w)),
+f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS f FROM runs GROUP BY ALL),
+total AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 10),
+cut AS (SELECT lang, phrase, k, a, w, unnest(range(1, k)) AS cut FROM c),
+parted AS (SELECT *, array_to_string(w[1:cut], ' ') AS head, array_to_string(w[cut + 1:], ' ') AS rest FROM cut),
+each AS (SELECT c.lang, c.phrase, c.a, cut, x.f AS l, y.f AS r, CAST((1000000::HUGEINT * c.a * c.a) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+         FROM parted c JOIN f x ON x.lang = c.lang AND x.phrase = head JOIN f y ON y.lang = c.lang AND y.phrase = rest),
+lowest AS (SELECT * FROM each QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+over AS (SELECT lang, phrase, max(a) AS a FROM (
+           SELECT lang, a, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS phrase FROM c WHERE k = 3) GROUP BY lang, phrase),
+kept AS (SELECT x.* FROM lowest x LEFT JOIN over o ON o.lang = x.lang AND o.phrase = x.phrase WHERE o.a IS NULL OR 100 * o.a < 50 * x.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000"""
+
+
+@query
+def op13_target_distribution_importance_resampling(spark, sf_dir):
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE_SQL["op13_target_distribution_importance_resampling"] = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_sql_words('text')} AS w FROM documents),
+b AS (SELECT {_sql_words('text')} AS w FROM benchmark),
+dw AS (SELECT rid, unnest(w) AS w FROM d),
+bw AS (SELECT unnest(w) AS w FROM b),
+hashed AS MATERIALIZED (SELECT w, CAST({_sql_crc('w')} AS BIGINT) % 10000 AS bucket FROM (SELECT w FROM dw UNION SELECT w FROM bw)),
+s AS (SELECT bucket, count(*) AS s FROM dw JOIN hashed USING (w) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM bw JOIN hashed USING (w) GROUP BY bucket),
+gain AS (SELECT x.k AS bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM dw) + 10000)::DOUBLE
+           / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT count(*) FROM bw) + 10000)::DOUBLE))) AS BIGINT) AS gain
+         FROM range(0, 10000) x(k) LEFT JOIN s ON s.bucket = x.k LEFT JOIN t ON t.bucket = x.k),
+per AS (SELECT rid, CAST(floor(sum(gain)::DOUBLE / count(*)) AS BIGINT) AS weight FROM dw JOIN hashed USING (w) JOIN gain USING (bucket) GROUP BY rid),
+scored AS (SELECT rid, doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+             coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((('0x' || sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), ''))[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+           FROM d LEFT JOIN per USING (rid)),
+drawn AS (SELECT rid, row_number() OVER (ORDER BY score DESC, doc_id NULLS FIRST) AS rank FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= (SELECT count(*) FROM drawn) * 10 // 100 THEN rank END AS rank
+FROM scored LEFT JOIN drawn USING (rid)"""
