@@ -1,17 +1,19 @@
 """Phrase mining by sorting suffixes, and scores of how firmly the words of a phrase stick together.
 
-Every word of a piece of text begins a suffix, cut after `longest` words. Tasks count equal suffixes of
-their own texts first. The rest is routed by language and two leading words, so that all suffixes of
-a phrase meet, and each route is sorted by multikey three-way quicksort: a partition is split by
-the word at its depth into less, equal and greater; the equal part goes one word deeper, its
-weight is the count of the phrase read so far, and any part that weighs less than wanted is
-abandoned unsorted. All partitions of a route take their step together, in numpy. Leading words of too many
-suffixes are spread over routes by the whole suffix; their counts are partial, so nothing
-of them is abandoned until they are added up.
+Words are counted first. The most frequent get numbers that every task knows; the others keep their
+spelling if they are frequent too, and the rest cut a piece as punctuation does, since no frequent
+phrase holds them. Every word of a piece begins a suffix, cut after `longest` words. Tasks count
+equal suffixes of their own texts and route them by two leading words, so all suffixes of a phrase
+meet. Each route is sorted by multikey three-way quicksort: a partition is split by the word at its
+depth into less, equal and greater; the equal part goes one word deeper, its weight is the count of
+the phrase read so far, and any part that weighs less than wanted is abandoned unsorted. All partitions of a
+route take their step together, in numpy. A route of too many suffixes is sorted in several
+parts, whose counts are partial: nothing of them is abandoned until they are added up.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import count
@@ -21,13 +23,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from chatlog.llm.workers import bounded_batches, parts
-from chatlog.operators.skew import salted_join
 from chatlog.session import settled
 
 LONGEST, LEAST, COVER_PERCENT, TOP = 3, 10, 50, 2000
-#: Suffixes that a task counts at once; suffixes of a route as planned, and at most before leading words are spread.
-FLUSH, ROUTE, HOT_ROUTE = 1_000_000, 100_000, 400_000
+#: Words that a task handles at once; suffixes of a route as planned, and at most before it is sorted in parts.
+FLUSH, ROUTE, HOT_ROUTE = 500_000, 500_000, 2_000_000
 OUT_ROWS = 50_000
+#: Words with a number that every task holds, and their greatest length.
+HEAD_WORDS, HEAD_BYTES = 200_000, 64
+#: Bits, by checksum, that tell of a word without a number whether it may be frequent; a wrong yes costs room, no count.
+TAIL_BITS = 1 << 26
 #: Salts of the join with counts, and of the first round of the ranking.
 SALTS, RANK_SALTS = 8, 32
 _CUT = 0xFF  # stands for any cut between pieces; no UTF-8 text holds it
@@ -40,15 +45,96 @@ def pieces(text: str) -> list[bytes]:
     return text.encode().translate(_BYTES).replace(_MARK, b" \xff ").split()
 
 
+def _numbered(batches: Iterator[pa.RecordBatch], number) -> Iterator[list[np.ndarray]]:
+    """The texts of (lang, text) batches as word numbers, in stretches of about FLUSH words.
+
+    `number(lang)` is the mapping of words to numbers; a negative number is a cut, and one stands behind each text.
+    """
+    held, n_held = [], 0
+    for batch in batches:
+        for part in parts(batch, 1):
+            for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                found = pieces(text or "")
+                held.append(np.fromiter(map(number(lang), found), np.int64, len(found)))
+                held.append(np.array([-1]))
+                n_held += len(found)
+                if n_held >= FLUSH:
+                    yield held
+                    held, n_held = [], 0
+    if n_held:
+        yield held
+
+
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(lang, word, n) over `docs` (lang, text), added up within tasks first; a null word stands for all words."""
+    bounded_batches(docs.sparkSession)
+    names = ["lang", "word", "n"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers, per_lang = count(), {}
+
+        def number(lang):
+            if lang not in per_lang:
+                per_lang[lang] = defaultdict(numbers.__next__, {_MARK: -1})
+            return per_lang[lang].__getitem__
+
+        for held in _numbered(batches, number):
+            ids = np.concatenate(held)
+            n = np.bincount(ids[ids >= 0])
+            for lang, d in per_lang.items():
+                words = pa.array([w for w, i in d.items() if i >= 0], pa.binary()).cast(pa.string())
+                each = n[np.fromiter((i for i in d.values() if i >= 0), np.int64, len(words))]
+                for at in range(0, len(words), OUT_ROWS):
+                    some = words[at:at + OUT_ROWS]
+                    yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang, pa.string()), len(some)), some, pa.array(each[at:at + OUT_ROWS])], names=names)
+                if len(words):
+                    yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([None], pa.string()), pa.array([each.sum()])], names=names)
+            numbers = count()
+            per_lang.clear()
+
+    return docs.mapInArrow(run, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+
+
+def _head(single: DataFrame) -> list[tuple[str, str]]:
+    """At most HEAD_WORDS of the most frequent (lang, word), most frequent first."""
+    able = single.filter(F.octet_length("word") <= HEAD_BYTES)
+    room, least = HEAD_WORDS, 0
+    if single.count() > HEAD_WORDS:  # the lowest count whose words all fit, from counts of counts
+        sizes = able.groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.col("n").desc()).limit(HEAD_WORDS + 1).collect()
+        for n, words in sizes:
+            if words > room:
+                break
+            room, least = room - words, n
+        able = able.filter(F.col("n") >= least) if room < HEAD_WORDS else able.limit(0)
+    rows = sorted((-n, lang, word) for lang, word, n in able.collect())
+    return [(lang, word) for _, lang, word in rows]
+
+
+def _tail(single: DataFrame, head: list[tuple[str, str]]) -> np.ndarray:
+    """Set bits, by checksum of language and word, of all words of `single`; no bit if all are in `head`."""
+    bits = np.zeros(TAIL_BITS // 64, np.int64)
+    if single.count() > len(head):
+        at = F.crc32(F.concat_ws(" ", "lang", "word")) % TAIL_BITS
+        words = single.select(at.alias("_b")).selectExpr("_b DIV 64 AS _at", "shiftleft(1L, CAST(_b % 64 AS INT)) AS _bit")
+        for i, bit in words.groupBy("_at").agg(F.bit_or("_bit")).toLocalIterator():  # TAIL_BITS / 64 rows at most
+            bits[i] = bit
+    return bits
+
+
+def _may_be_frequent(words: list[str], bits: np.ndarray) -> np.ndarray:
+    at = np.array([zlib.crc32(w.encode()) for w in words], np.int64) % TAIL_BITS
+    return (bits[at // 64] >> at % 64 & 1).astype(bool)
+
+
 def _packed(ids: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct suffixes of a stretch of word numbers (-1: cut): a row of `longest` numbers each, and how often."""
+    """Distinct suffixes of two words and more of a stretch of word numbers: a row of `longest` numbers each, and how often."""
     padded = np.concatenate((ids, np.full(longest, -1)))
-    at = np.flatnonzero(ids >= 0)
+    at = np.flatnonzero((ids >= 0) & (padded[1:len(ids) + 1] >= 0))
     columns = [ids[at]]
     for d in range(1, longest):
         columns.append(np.where(columns[-1] >= 0, padded[at + d], -1))
     bits = int(ids.max(initial=0) + 2).bit_length()
-    key, width, first = columns[0], bits, None
+    key, width = columns[0], bits
     for column in columns[1:]:
         if width + bits > 62:  # number the keys so far, and go on with the numbers
             _, key = np.unique(key, return_inverse=True)
@@ -58,44 +144,80 @@ def _packed(ids: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
     return np.stack([c[first] for c in columns], 1), n
 
 
-def suffixes(docs: DataFrame, longest: int = LONGEST) -> DataFrame:
-    """(lang, w0, w1, ..., n) of `docs` (lang, text): suffixes with their counts, added up within a task.
+def _bytes(rows: np.ndarray, n: np.ndarray) -> bytes:
+    """Suffixes in order and their counts as one compressed value: first words by difference, bytes by place."""
+    columns = np.stack([np.diff(rows[:, 0], prepend=0), *(rows.T[1:] + 1), n], 1).astype("<i4")
+    return pa.compress(np.ascontiguousarray(columns.view(np.uint8).T).tobytes(), "zstd", asbytes=True)
+
+
+def _rows(packed: bytes, size: int, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """What `_bytes` was given."""
+    width = 4 * (longest + 1)
+    raw = np.frombuffer(pa.decompress(packed, size * width, "zstd", asbytes=True), np.uint8).reshape(width, size)
+    columns = np.ascontiguousarray(raw.T).view("<i4").astype(np.int64)
+    return np.concatenate((np.cumsum(columns[:, :1], 0), columns[:, 1:-1] - 1), 1), columns[:, -1]
 
-    Words behind the end of a piece are null.
+
+def suffixes(docs: DataFrame, head: list[tuple[str, str]], tail: np.ndarray, routes: int, longest: int = LONGEST) -> DataFrame:
+    """(route, size, packed, words) of `docs` (lang, text): the suffixes of a route in a task's stretch of text.
+
+    `packed` holds `size` suffixes as word numbers, -1 behind the end of a piece, and how often each occurs.
+    Numbers from len(head) on are entries of `words`, as language, space, word; of those without a bit in `tail` each is a cut.
     """
     bounded_batches(docs.sparkSession)
-    names = ["lang", *[f"w{d}" for d in range(longest)], "n"]
+    sent = docs.sparkSession.sparkContext.broadcast((head, tail))
+    names, known = ["route", "size", "packed", "words"], len(head)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, per_lang, held, n_held = count(), {}, [], 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal numbers, per_lang, held, n_held
-            if n_held:
-                rows, n = _packed(np.concatenate(held), longest)
-                listed = sorted((i, w, lang) for lang, d in per_lang.items() for w, i in d.items() if i >= 0)
-                words = pa.array([w for _, w, _ in listed], pa.binary()).cast(pa.string())
-                langs = pa.array([lang for _, _, lang in listed], pa.string())
-                for at in range(0, len(rows), OUT_ROWS):
-                    some = rows[at:at + OUT_ROWS]
-                    yield pa.RecordBatch.from_arrays(
-                        [langs.take(pa.array(some[:, 0])), *[words.take(pa.array(c, mask=c < 0)) for c in some.T], pa.array(n[at:at + OUT_ROWS])], names=names)
-            numbers, per_lang, held, n_held = count(), {}, [], 0
-
-        for batch in batches:
-            for part in parts(batch, 1):
-                for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    if lang not in per_lang:
-                        per_lang[lang] = defaultdict(numbers.__next__, {_MARK: -1})
-                    found = pieces(text or "")
-                    held.append(np.fromiter(map(per_lang[lang].__getitem__, found), np.int64, len(found)))
-                    held.append(np.array([-1]))
-                    n_held += len(found)
-                    if n_held >= FLUSH:
-                        yield from flush()
-        yield from flush()
-
-    return docs.mapInArrow(run, ", ".join(f"{c} {'bigint' if c == 'n' else 'string'}" for c in names))
+        given: dict[str, dict[bytes, int]] = {}
+        heads_of, bits = sent.value
+        for i, (lang, word) in enumerate(heads_of):
+            given.setdefault(lang, {})[word.encode()] = i
+        numbers, others = count(known), {}
+
+        def number(lang):
+            heads = given.get(lang, {})
+            if lang not in others:
+                others[lang] = defaultdict(numbers.__next__, {_MARK: -1})
+            mine = others[lang]
+            return lambda w: heads[w] if w in heads else mine[w]
+
+        for held in _numbered(batches, number):
+            spelled = [f"{lang} {w.decode()}" for lang, d in others.items() for w, i in d.items() if i >= 0]
+            places = np.array([i for d in others.values() for i in d.values() if i >= 0], np.int64)
+            kept = _may_be_frequent(spelled, bits)
+            words = np.array(spelled, object)[kept]
+            renumbered = np.full(known + len(spelled) + 1, -1)  # the last one stands for -1
+            renumbered[:known] = np.arange(known)
+            renumbered[places[kept]] = known + np.arange(len(words))
+            rows, n = _packed(renumbered[np.concatenate(held)], longest)
+            numbers = count(known)
+            others.clear()
+            if not len(rows):
+                continue
+            marks = np.concatenate((np.arange(known, dtype=np.int64), [known + zlib.crc32(w.encode()) for w in words])).astype(np.uint64)
+            lead = marks[rows[:, 0]] * np.uint64(0x9E3779B97F4A7C15) + marks[rows[:, 1]] * np.uint64(0xC2B2AE3D27D4EB4F)
+            route = ((lead ^ lead >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(20)) % np.uint64(routes)
+            order = np.argsort(route, kind="stable")
+            rows, n, route = rows[order], n[order], route[order]
+            starts = np.flatnonzero(np.concatenate(([True], route[1:] != route[:-1])))
+            ends = np.append(starts[1:], len(route))
+            spelt = []
+            if len(words):  # numbers from `known` on count within the row from here
+                for a, b in zip(starts, ends):
+                    some = rows[a:b]
+                    used, place = np.unique(some[some >= known], return_inverse=True)
+                    some[some >= known] = known + place
+                    spelt.append(words[used - known].tolist())
+            else:
+                spelt = [[]] * len(starts)
+            made = pa.RecordBatch.from_arrays(
+                [pa.array(route[starts].astype(np.int64)), pa.array(ends - starts),
+                 pa.array([_bytes(rows[a:b], n[a:b]) for a, b in zip(starts, ends)], pa.binary()), pa.array(spelt, pa.list_(pa.string()))], names=names)
+            for at in range(0, made.num_rows, 1000):
+                yield made.slice(at, 1000)
+
+    return docs.mapInArrow(run, "route bigint, size bigint, packed binary, words array<string>")
 
 
 def equal_parts(keys: np.ndarray, weights: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -130,36 +252,44 @@ def equal_parts(keys: np.ndarray, weights: np.ndarray, least: int) -> tuple[np.n
     return tuple(np.concatenate(c) for c in zip(*found))
 
 
-def phrase_counts(suffix: DataFrame, longest: int = LONGEST, least: int = LEAST) -> DataFrame:
-    """(lang, phrase, words, n) of all phrases of 1 to `longest` words with n >= `least`; `suffix` should be settled."""
-    names = [f"w{d}" for d in range(longest)]
-    single = suffix.groupBy("lang", "w0").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    single = single.select("lang", F.col("w0").alias("phrase"), F.lit(1).alias("words"), "n")
+def phrase_counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
+    """(lang, phrase, words, n) of all phrases of 1 to `longest` words with n >= `least`; and (lang, n), all words."""
+    every = settled(word_counts(docs).filter(F.col("word").isNull() | (F.col("n") >= least)))
+    totals, single = every.filter("word IS NULL").drop("word"), every.filter("word IS NOT NULL")
+    ones = single.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("words"), "n")
     if longest < 2:
-        return single
-    joined = suffix.filter("w1 IS NOT NULL")
-    slots = max(1, suffix.count() // ROUTE)
-    joined = joined.withColumn("_slot", F.pmod(F.xxhash64("lang", "w0", "w1"), F.lit(slots)))
-    hot = settled(joined.groupBy("_slot").agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > HOT_ROUTE).select("_slot", F.lit(True).alias("_hot")))
-    spread = F.pmod(F.xxhash64("lang", *names, F.spark_partition_id()), F.lit(slots))
-    routed = joined.withColumn("_spread", spread).join(hot, "_slot", "left")
-    routed = routed.select("lang", *names, "n", F.when(F.col("_hot"), -1 - F.col("_spread")).otherwise(F.col("_slot")).alias("_route"))
+        return ones, totals
+    head = _head(single)
+    routes = max(1, (totals.agg(F.sum("n")).collect()[0][0] or 0) // ROUTE)
+    packed = settled(suffixes(docs, head, _tail(single, head), routes, longest))
+    hot = settled(packed.groupBy("route").agg(F.sum("size").alias("_rows")).filter(F.col("_rows") > HOT_ROUTE))
+    spread = F.when(F.col("_rows").isNotNull(), F.pmod(F.xxhash64("packed"), F.ceil(F.col("_rows") / ROUTE)))
+    routed = packed.join(hot, "route", "left").select("route", spread.alias("_spread"), "size", "packed", "words")
+    sent, known = docs.sparkSession.sparkContext.broadcast(head), len(head)
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
-        columns = [rows.column(c).combine_chunks().dictionary_encode() for c in ["lang", *names]]
-        keys = np.stack([c.indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64) for c in columns], 1)
-        depth, at, weight = equal_parts(keys, rows.column("n").to_numpy(), least if key[0].as_py() >= 0 else 1)
-        phrase = depth > 2  # the language and two words
-        depth, at, weight = depth[phrase], at[phrase], weight[phrase]
-        words = [rows.column(c).take(pa.array(at)).to_pylist() for c in names]
-        return pa.table({
-            "lang": rows.column("lang").take(pa.array(at)).cast(pa.string()),
-            "phrase": pa.array([" ".join(w[:d - 1]) for d, *w in zip(depth.tolist(), *words)], pa.string()),
-            "words": pa.array(depth - 1, pa.int32()), "n": pa.array(weight, pa.int64())})
-
-    found = routed.groupBy("_route").applyInArrow(run, "lang string, phrase string, words int, n bigint")
+        spelled: dict[str, int] = {}
+        every_key, every_n = [], []
+        for size, packed, words in zip(*[rows.column(c).to_pylist() for c in ("size", "packed", "words")]):
+            mine, n = _rows(packed, size, longest)
+            if words:
+                numbers = np.array([known + spelled.setdefault(w, len(spelled)) for w in words])
+                mine[mine >= known] = numbers[mine[mine >= known] - known]
+            every_key.append(mine)
+            every_n.append(n)
+        keys, weights = np.concatenate(every_key), np.concatenate(every_n)
+        depth, at, weight = equal_parts(keys, weights, least if key[1].as_py() is None else 1)
+        depth, at, weight = depth[depth > 1], at[depth > 1], weight[depth > 1]
+        listed = list(spelled)
+        pairs = {i: sent.value[i] if i < known else tuple(listed[i - known].rsplit(" ", 1)) for i in np.unique(keys[at]).tolist() if i >= 0}
+        phrases = [[pairs[i] for i in row[:d]] for d, row in zip(depth.tolist(), keys[at].tolist())]
+        return pa.table({"lang": pa.array([p[0][0] for p in phrases], pa.string()),
+                         "phrase": pa.array([" ".join(w for _, w in p) for p in phrases], pa.string()),
+                         "words": pa.array(depth, pa.int32()), "n": pa.array(weight, pa.int64())})
+
+    found = routed.groupBy("route", "_spread").applyInArrow(run, "lang string, phrase string, words int, n bigint")
     found = found.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    return single.unionByName(found)
+    return ones.unionByName(found), totals
 
 
 def _score(a: str, left: str, right: str):
@@ -184,17 +314,18 @@ def collocations(
     """
     rows = docs.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"),
                        F.col(f"`{text_col}`").cast("string").alias("text"))
-    suffix = settled(suffixes(rows, longest))
-    counts = settled(phrase_counts(suffix, longest, least))
-    totals = suffix.groupBy("lang").agg(F.sum("n").alias("n"))
-
+    counts, totals = phrase_counts(rows, longest, least)
+    counts = settled(counts)
     candidates = counts.filter("words > 1").select("lang", "phrase", F.col("n").alias("a"), F.split("phrase", " ").alias("_w"))
     cuts = candidates.select("lang", "phrase", "a", "_w", F.explode(F.sequence(F.lit(1), F.size("_w") - 1)).alias("_k"))
     cuts = cuts.withColumn("_left", F.array_join(F.slice("_w", F.lit(1), F.col("_k")), " ")).withColumn(
         "_right", F.array_join(F.slice("_w", F.col("_k") + 1, F.size("_w") - F.col("_k")), " ")).drop("_w")
-    for side, name in (("_left", "l"), ("_right", "r")):
-        part = counts.select("lang", F.col("phrase").alias(side), F.col("n").alias(name))
-        cuts = salted_join(cuts, part, ["lang", side], "phrase", SALTS, "inner")
+    salt = F.pmod(F.xxhash64("phrase"), F.lit(SALTS))
+    salts = F.when(F.col("words") == 1, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    for side, name in (("_left", "l"), ("_right", "r")):  # many phrases share a word, so words are there once per salt
+        part = counts.select("lang", F.col("phrase").alias(side), F.col("n").alias(name), F.explode(salts.cast("array<bigint>")).alias("_salt"))
+        salted = cuts.withColumn("_salt", F.when(F.contains(F.col(side), F.lit(" ")), 0).otherwise(salt))
+        cuts = salted.join(part, ["lang", side, "_salt"]).drop("_salt")
     lowest = F.min(F.struct(_score("a", "l", "r").alias("score"), "_k", "l", "r")).alias("_x")
     scored = cuts.groupBy("lang", "phrase", "a").agg(lowest).select("lang", "phrase", "a", "_x.l", "_x.r", "_x.score")
 
