@@ -75,6 +75,19 @@ def session_continuity(
     return rows.select(*columns, F.coalesce(begins, F.lit(False)).alias("matches"))
 
 
+def with_prefixes(requests: DataFrame, conv: DataFrame) -> DataFrame:
+    """Requests with n_messages, list_hash, history_hash and `prefix_hashes`, as a stream needs them.
+
+    Entry i of `prefix_hashes` is the digest of the first i + 1 messages, up to the whole history. A
+    request carries all its messages anyway; this is one short digest for each of them.
+    """
+    hashes = settled(history_hash(conv))
+    every = hashes.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("n_messages", "list_hash"))).alias("_all"))
+    rows = requests.join(hashes, ["conv_id", "turn"]).join(every, "conv_id")
+    prefixes = F.slice(F.col("_all.list_hash"), F.lit(1), F.greatest(F.col("n_messages") - 1, F.lit(0)).cast("int"))
+    return rows.select(*requests.columns, "n_messages", "list_hash", "history_hash", prefixes.alias("prefix_hashes"))
+
+
 def session_history(
     requests: DataFrame,
     conv: DataFrame,

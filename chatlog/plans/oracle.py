@@ -263,6 +263,7 @@ SELECT request_id, account_id, client_session_id, generation, session_tokens FRO
 SQL["session_history"] = f"""
 WITH RECURSIVE {CONTINUITY}, {_folded("checked", "appends")}
 SELECT request_id, reused, generation, session_tokens FROM fold"""
+SQL["stream_sessions_append"] = SQL["session_history"]
 SQL["stream_sessions"] = f"""
 WITH RECURSIVE {CONTINUITY}, {_folded("checked", "strictly")}
 SELECT request_id, reused, generation, session_tokens FROM fold"""

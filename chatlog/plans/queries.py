@@ -590,3 +590,14 @@ def stream_sessions(spark, sf_dir):
     stream = replay.replayed(checked, "request_id", slices=3)
     found = streams.drain(streams.stream_sessions(stream, limit=ROLLOVER_LIMIT), "sessions")
     return found.select("request_id", "reused", "generation", "session_tokens")
+
+
+@stream_query
+def stream_sessions_append(spark, sf_dir):
+    get = inputs.open_inputs(spark, sf_dir)
+    rows = sessions.with_prefixes(get("requests"), get("conversations")).drop("conv_id", "turn")
+    # Arrival is not the order of the requests: the steps go by a hash, and the watermark waits for all.
+    mixed = rows.withColumn("_step", F.pmod(F.xxhash64("request_id"), F.lit(3)).cast("int"))
+    stream = replay.replayed(mixed, "_step", 3, replay.closing_row(mixed)).drop("_step")
+    found = streams.drain(streams.stream_session_history(stream, limit=ROLLOVER_LIMIT, late="30000 days"), "sessions", event_time=True)
+    return found.select("request_id", "reused", "generation", "session_tokens")

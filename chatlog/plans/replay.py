@@ -17,10 +17,11 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
-def replayed(df: DataFrame, order: str, slices: int) -> DataFrame:
+def replayed(df: DataFrame, order: str, slices: int, closing: DataFrame | None = None) -> DataFrame:
     """`df` written to the shared folder in `slices` steps along `order`, read as a stream.
 
     The files of one step come before those of the next; a step is a micro-batch or more.
+    The rows of `closing` come last.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "replay")
@@ -31,5 +32,14 @@ def replayed(df: DataFrame, order: str, slices: int) -> DataFrame:
         part = df if low is None else df.filter(F.col(order) >= low)
         part = part if high is None else part.filter(F.col(order) < high)
         part.write.mode("append").parquet(path)
+    if closing is not None:
+        closing.select(df.columns).write.mode("append").parquet(path)
     files = max(1, spark.sparkContext.defaultParallelism)
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path)
+
+
+def closing_row(df: DataFrame, time: str = "created_at") -> DataFrame:
+    """One row of nulls but for a time a century ahead: it moves the event time past all others."""
+    ahead = F.expr(f"max({time}) + INTERVAL 100 YEARS")
+    return df.agg(ahead.alias(time)).select(*[
+        (F.col(time) if f.name == time else F.lit(None)).cast(f.dataType).alias(f.name) for f in df.schema.fields])

@@ -169,6 +169,82 @@ def stream_sessions(
     )
 
 
+def _continues(kept: dict | None, request: list, limit: int, mode: str) -> bool:
+    """Whether a request goes on with the session kept, as `sessions.session_history` has it."""
+    _, _, _, n_messages, _, history_hash, prefixes = request
+    if not kept or kept["stored"] is None or kept["tokens"] > limit:
+        return False
+    if mode == "strict":
+        return kept["stored"] == history_hash
+    n = kept["n"]
+    return n == 0 or (n < n_messages and prefixes[n - 1] == kept["stored"])
+
+
+def stream_session_history(
+    requests: DataFrame,
+    mode: str = "append",
+    limit: int = fixed.SESSION_TOKEN_LIMIT,
+    ttl_days: int = fixed.SESSION_TTL_DAYS,
+    late: str = "1 hour",
+) -> DataFrame:
+    """The stream twin of `sessions.session_history`: requests with `reused`, `generation`, `session_tokens`.
+
+    `requests` is what `sessions.with_prefixes` gives: account_id, client_session_id, request_id,
+    prompt_tokens, created_at, n_messages, list_hash, history_hash and prefix_hashes. Event time
+    decides, not arrival: a request is held until the watermark, `late` behind the newest created_at, has
+    passed it, and the requests of a key are then read in the order of (created_at, request_id). So neither
+    the cuts between micro-batches nor the order of rows within `late` change a result; rows that come
+    later still are dropped, and counted by Spark. A session unused for `ttl_days` is not
+    gone on with: its history and tokens are forgotten, its generation is kept for the next one. A row
+    without request_id only moves the event time, so one with a late time ends a finite stream.
+    """
+    if mode not in ("strict", "append"):
+        raise ValueError(f"mode must be 'strict' or 'append', not {mode!r}")
+    keys = ("account_id", "client_session_id", "request_id")
+    kinds = [f"{c} {requests.schema[c].dataType.simpleString()}" for c in keys]
+    schema = ", ".join([*kinds, "reused boolean", "generation bigint", "session_tokens bigint"])
+    columns = ["_at", "request_id", "prompt_tokens", "n_messages", "list_hash", "history_hash", "prefix_hashes"]
+    ttl = ttl_days * 24 * 3600 * 1000
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def run(key, batches, state: GroupState):
+        data = json.loads(state.get[0]) if state.exists else {"held": [], "kept": None}
+        for pdf in batches:
+            for at, request, tokens, n, *hashes, prefixes in zip(*(pdf[c].tolist() for c in columns)):
+                if not pd.isna(request):
+                    data["held"].append([int(at), request, None if pd.isna(tokens) else int(tokens), int(n), *hashes, list(prefixes)])
+        passed, kept, out = state.getCurrentWatermarkMs(), data["kept"], []
+        data["held"].sort(key=lambda r: (r[0], r[1]))
+        while data["held"] and data["held"][0][0] <= passed:
+            row = data["held"].pop(0)
+            at, request, tokens, n, list_hash, history_hash, _ = row
+            if kept and at - kept["at"] > ttl:
+                kept["stored"], kept["tokens"] = None, 0
+            reused = _continues(kept, row, limit, mode)
+            if not reused:
+                kept = {"generation": kept["generation"] + 1 if kept else 0, "tokens": 0}
+            kept["tokens"] += tokens or 0
+            kept["stored"], kept["n"] = (history_hash, n - 1) if tokens is None else (list_hash, n)
+            kept["at"] = at
+            out.append((*key, request, reused, kept["generation"], kept["tokens"]))
+        if kept and not data["held"] and kept["stored"] is not None and passed > kept["at"] + ttl:
+            kept["stored"], kept["tokens"] = None, 0
+        data["kept"] = kept
+        state.update((json.dumps(data),))
+        if data["held"]:
+            state.setTimeoutTimestamp(max(data["held"][0][0], passed + 1))
+        elif kept and kept["stored"] is not None:
+            state.setTimeoutTimestamp(max(kept["at"] + ttl, passed + 1))
+        if out:
+            yield pd.DataFrame(out, columns=names)
+
+    timed = requests.withColumn("created_at", F.col("created_at").cast("timestamp")).withWatermark("created_at", late)
+    timed = timed.withColumn("_at", F.unix_millis("created_at"))
+    return timed.groupBy("account_id", "client_session_id").applyInPandasWithState(
+        run, schema, STATE, "append", GroupStateTimeout.EventTimeTimeout
+    )
+
+
 def live_usage(logs: DataFrame) -> DataFrame:
     """Running token sums and request counts per account."""
     return logs.filter(F.col("account_id").isNotNull()).groupBy("account_id").agg(
@@ -263,17 +339,17 @@ def held_rows(spark: SparkSession, checkpoint: str) -> int:
     return kept.filter(F.regexp_like(F.get_json_object(held, "$.held"), F.lit(r"[^{}\s]"))).count()
 
 
-def drain(stream: DataFrame, label: str, gaps: bool = False) -> DataFrame:
+def drain(stream: DataFrame, label: str, gaps: bool = False, event_time: bool = False) -> DataFrame:
     """Run a streaming DataFrame over all its input and read back what it appended.
 
     Micro-batches without data only serve timers; without them the run ends with its input.
     So rows behind a gap in the numbers of their response are still held at the end; unless
-    `gaps` allows that, it is an error.
+    `gaps` allows that, it is an error. Timers of `event_time` end by themselves and do run.
     """
     spark = stream.sparkSession
     path = scratch_path(spark, label)
-    with options(spark, {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}):
+    with options(spark, {"spark.sql.streaming.noDataMicroBatches.enabled": str(event_time).lower()}):
         write_stream(stream, f"{path}/out", f"{path}/checkpoint").awaitTermination()
-    if not gaps and (held := held_rows(spark, f"{path}/checkpoint")):
+    if not gaps and not event_time and (held := held_rows(spark, f"{path}/checkpoint")):
         raise ValueError(f"{held} responses hold rows back behind a gap in their numbers")
     return spark.read.schema(stream.schema).parquet(f"{path}/out")

@@ -193,3 +193,62 @@ def test_chunks_do_not_depend_on_cuts(spark):
         found = streams.drain(streams.stream_chunks(replay.replayed(df, "line_no", slices=slices)), "cuts").collect()
         assert sorted((r.seq, r.type, r.content, r.prompt_tokens, r.reasoning_tokens) for r in found) == want
     assert want[-1][3:] == (3, 0) and want[0][2] == '["a",{"b":"é"}]'
+
+
+# --- sessions by event time ------------------------------------------------------
+
+
+def session_requests(spark, seed=3):
+    """Requests whose lists go on, stop going on, lack usage, pass the limit or come after a long pause."""
+    rng, rows = random.Random(seed), []
+    for key in range(12):
+        history, at = [], 0
+        for i in range(rng.randrange(1, 14)):
+            at += rng.choice([60, 3600, 8 * 86400 if key % 3 == 0 else 600])
+            grown = history + [f"{key}:{rng.random()}" for _ in range(rng.randrange(1, 4))]
+            if rng.random() < 0.2:
+                grown = grown[1:] or grown
+            digests = ["#".join(grown[:n]) for n in range(len(grown) + 1)]
+            tokens = None if rng.random() < 0.2 else rng.randrange(60)
+            rows.append((key % 4, key, 100 * key + i, tokens, 1_700_000_000 + at, len(grown), digests[-1], digests[-2], digests[1:-1]))
+            history = grown
+    schema = ("account_id long, client_session_id long, request_id long, prompt_tokens long, created long, n_messages long, "
+              "list_hash string, history_hash string, prefix_hashes array<string>")
+    return spark.createDataFrame(rows, schema).withColumn("created_at", F.timestamp_seconds("created")).drop("created"), rows
+
+
+def folded_sessions(rows, mode, limit, ttl):
+    out, kept = {}, {}
+    for account, key, request, tokens, at, n, whole, before, prefixes in sorted(rows, key=lambda r: (r[1], r[2])):
+        k = kept.get(key)
+        if k and at - k["at"] > ttl:
+            k["stored"], k["tokens"] = None, 0
+        goes_on = bool(k) and k["stored"] is not None and k["tokens"] <= limit and (
+            k["stored"] == before if mode == "strict" else [*prefixes, whole][:n - 1][k["n"] - 1:k["n"]] == [k["stored"]] or k["n"] == 0)
+        if not goes_on:
+            k = kept[key] = {"generation": k["generation"] + 1 if k else 0, "tokens": 0}
+        k["tokens"] += tokens or 0
+        k["stored"], k["n"], k["at"] = (before, n - 1, at) if tokens is None else (whole, n, at)
+        out[request] = (goes_on, k["generation"], k["tokens"])
+    return out
+
+
+@pytest.mark.parametrize("mode, slices, seed", [("append", 1, 1), ("append", 4, 2), ("strict", 3, 3)])
+def test_sessions_by_event_time_whatever_the_arrival(spark, mode, slices, seed):
+    df, rows = session_requests(spark, seed)
+    mixed = df.withColumn("_step", F.pmod(F.hash("request_id", F.lit(seed)), F.lit(slices)).cast("int"))
+    stream = replay.replayed(mixed, "_step", slices, replay.closing_row(mixed)).drop("_step")
+    run = streams.stream_session_history(stream, mode, limit=100, ttl_days=7, late="30000 days")
+    got = streams.drain(run, "sessions-test", event_time=True).collect()
+    assert len(got) == len(rows)
+    want = folded_sessions(rows, mode, 100, 7 * 86400)
+    assert {r.request_id: (r.reused, r.generation, r.session_tokens) for r in got} == want
+    assert {True, False} == {v[0] for v in want.values()} and max(v[1] for v in want.values()) > 2
+
+
+def test_sessions_in_order_need_no_lateness(spark):
+    df, rows = session_requests(spark, 5)
+    ordered = df.withColumn("_age", F.unix_timestamp("created_at"))
+    stream = replay.replayed(ordered, "_age", 3, replay.closing_row(ordered)).drop("_age")
+    got = streams.drain(streams.stream_session_history(stream, limit=100, late="0 seconds"), "sessions-order", event_time=True).collect()
+    assert {r.request_id: (r.reused, r.generation, r.session_tokens) for r in got} == folded_sessions(rows, "append", 100, 7 * 86400)
