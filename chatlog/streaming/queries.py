@@ -17,7 +17,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from chatlog import fixed
 from chatlog.session import options, scratch_path, settled
-from chatlog.streaming.readers import COUNTS, CutReader, InOrder, LineReader, SegmentReader
+from chatlog.streaming.processors import STORE, SegmentProcessor
+from chatlog.streaming.readers import COUNTS, CutReader, InOrder, LineReader
 
 PATIENCE_MS = 60 * 60 * 1000
 STATE = "state string"
@@ -94,19 +95,15 @@ def stream_segments(
 ) -> DataFrame:
     """Event lines to segments (response_id, seq, kind, text) of reasoning, answer and tool buffer.
 
-    Texts of one kind, joined by seq, are what the batch operators give.
+    Texts of one kind, joined by seq, are what the batch operators give. Pieces of the tool buffer
+    and of tagged reasoning are appended to list state, so a chunk costs the same however long its
+    response is. Needs the RocksDB state store, which `write_stream` sets for a query.
     """
-
-    def step(state, key, rows, late):
-        order, lines_, chunks, out = InOrder(state), LineReader(state), SegmentReader(state, holdback, mode), []
-        order.add([(int(n), line) for n, line in rows])
-        for number, line in order.ready(late):
-            chunk = lines_.read(line or "")
-            if chunk and not state.get("done"):
-                out += [(key[0], number, kind, text) for kind, text in chunks.read(*chunk)]
-        return out
-
-    return _apply(lines, step, "line_no", ["line"], SEGMENTS, patience)
+    if mode not in ("passthrough", "strip", "separate"):
+        raise ValueError(f"unknown mode {mode!r}")
+    kind = lines.schema["response_id"].dataType.simpleString()
+    return lines.groupBy("response_id").transformWithStateInPandas(
+        SegmentProcessor(holdback, mode, patience), f"response_id {kind}, {SEGMENTS}", "append", "ProcessingTime")
 
 
 def stream_early_cut(chunks: DataFrame, patience: int = PATIENCE_MS) -> DataFrame:
@@ -273,7 +270,8 @@ def write_stream(
     if partition_by:
         writer = writer.partitionBy(partition_by)
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
-    return writer.trigger(**trigger).start()
+    with options(stream.sparkSession, STORE):
+        return writer.trigger(**trigger).start()
 
 
 def append_logs(logs: DataFrame, path: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
@@ -333,7 +331,10 @@ def latest_rows(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
 
 
 def held_rows(spark: SparkSession, checkpoint: str) -> int:
-    """Responses of a keyed stream run that still hold rows back, behind a gap in their numbers."""
+    """Rows or responses of a keyed stream run that are still held back, behind a gap in the numbers."""
+    operators = [r[0] for r in spark.read.format("state-metadata").load(checkpoint).select("operatorName").distinct().collect()]
+    if any(o.startswith("transformWithState") for o in operators):
+        return spark.read.format("statestore").option("stateVarName", "held").load(checkpoint).count()
     kept = spark.read.format("statestore").load(checkpoint)
     held = F.get_json_object(F.to_json("value"), "$.groupState.state")
     return kept.filter(F.regexp_like(F.get_json_object(held, "$.held"), F.lit(r"[^{}\s]"))).count()
@@ -351,5 +352,5 @@ def drain(stream: DataFrame, label: str, gaps: bool = False, event_time: bool =
     with options(spark, {"spark.sql.streaming.noDataMicroBatches.enabled": str(event_time).lower()}):
         write_stream(stream, f"{path}/out", f"{path}/checkpoint").awaitTermination()
     if not gaps and not event_time and (held := held_rows(spark, f"{path}/checkpoint")):
-        raise ValueError(f"{held} responses hold rows back behind a gap in their numbers")
+        raise ValueError(f"{held} rows or responses are held back behind a gap in their numbers")
     return spark.read.schema(stream.schema).parquet(f"{path}/out")

@@ -1,7 +1,8 @@
 """Per-response state of the keyed stream operators.
 
-Small state machines: rows of a response come in, text that is ready goes out.
-State is a plain dict, kept between micro-batches as JSON.
+Small state machines: rows of a response come in, text that is ready goes out. State is a plain
+dict of bounded size, kept between micro-batches as JSON; texts that grow with the response
+are handed to `Pieces`, which may append them to a list outside of it.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from chatlog import fixed
 _BLOCK = re.compile(fixed.THINK_BLOCK)
 _MARKERS = (fixed.CALLS_OPEN, fixed.TOOL_OPEN)
 _CLOSINGS = (fixed.TOOL_CLOSE, fixed.CALLS_CLOSE)
+#: Characters of a text read so far in which a closing tag may have begun.
+_TAIL = max(map(len, _CLOSINGS)) - 1
 _KINDS = {"message": "text", "usage": "usage", "finish": "finish", "dialogId": "dialogId"}
 
 
@@ -89,11 +92,36 @@ class AnswerReader:
         return "", _BLOCK.sub("", text).partition(fixed.THINK_OPEN)[0], True
 
 
+class Pieces:
+    """Texts that grow with a response, by name, piece after piece, kept in the state itself."""
+
+    def __init__(self, state: dict):
+        self.kept = state.setdefault("pieces", {})
+
+    def add(self, name: str, text: str) -> None:
+        if text:
+            self.kept.setdefault(name, []).append(text)
+
+    def take(self, name: str) -> str:
+        return "".join(self.kept.pop(name, []))
+
+
+class NoPieces:
+    """For readers that need to know where texts end, not what they say."""
+
+    def add(self, name: str, text: str) -> None:
+        pass
+
+
 class MarkerReader:
-    """Answer text to text that may be sent on, and the tool buffer from a marker on."""
+    """Answer text to text that may be sent on, and the tool buffer from a marker on.
+
+    Of the buffer only its end is looked at again, as far as a closing tag may have begun there.
+    """
 
-    def __init__(self, state: dict, holdback: int = fixed.MARKER_HOLDBACK):
+    def __init__(self, state: dict, holdback: int = fixed.MARKER_HOLDBACK, pieces=None):
         self.state, self.holdback = state, holdback
+        self.pieces = Pieces(state) if pieces is None else pieces
 
     @staticmethod
     def _marker(text: str) -> int:
@@ -101,8 +129,8 @@ class MarkerReader:
         return min(found, default=-1)
 
     def read(self, text: str, past: bool) -> str:
-        if self.state.get("buffer") is not None:
-            self.state["buffer"] += text
+        if self.open:
+            self._keep(text)
             return ""
         pending = self.state.get("pending", "") + text
         if not past or not text:  # text from the closing chunk is looked at with the next one
@@ -117,14 +145,25 @@ class MarkerReader:
     def _send(self, pending: str, ready: int) -> str:
         at = self._marker(pending)
         if at >= 0:
-            self.state["buffer"], self.state["pending"] = pending[at:], ""
+            self.state["tail"] = self.state["pending"] = ""
+            self._keep(pending[at:])
             return pending[:at]
         self.state["pending"] = pending[ready:]
         return pending[:ready]
 
+    def _keep(self, text: str) -> None:
+        self.pieces.add("buffer", text)
+        seen = self.state["tail"] + text
+        self.state["closed"] = self.closed or any(tag in seen for tag in _CLOSINGS)
+        self.state["tail"] = seen[-_TAIL:]
+
+    @property
+    def open(self) -> bool:
+        return "tail" in self.state
+
     @property
     def closed(self) -> bool:
-        return any(tag in (self.state.get("buffer") or "") for tag in _CLOSINGS)
+        return self.state.get("closed", False)
 
 
 class SegmentReader:
@@ -134,11 +173,12 @@ class SegmentReader:
     at once, tagged, in front of the answer.
     """
 
-    def __init__(self, state: dict, holdback: int = fixed.MARKER_HOLDBACK, mode: str = "separate"):
+    def __init__(self, state: dict, holdback: int = fixed.MARKER_HOLDBACK, mode: str = "separate", pieces=None):
         if mode not in ("passthrough", "strip", "separate"):
             raise ValueError(f"unknown mode {mode!r}")
         self.state, self.mode = state, mode
-        self.answer, self.marker = AnswerReader(state), MarkerReader(state, holdback)
+        self.pieces = Pieces(state) if pieces is None else pieces
+        self.answer, self.marker = AnswerReader(state), MarkerReader(state, holdback, self.pieces)
 
     def read(self, kind: str, content: str | None) -> list[tuple[str, str]]:
         out = []
@@ -146,7 +186,7 @@ class SegmentReader:
             reasoning, answer, past = self.answer.read(content or "")
             out = [*self._reasoning(reasoning), ("answer", self.marker.read(answer, past))]
         elif kind == "finish":
-            out = [*self._reasoning("", ended=True), ("answer", self.marker.finish()), ("tool_buffer", self.state.get("buffer") or "")]
+            out = [*self._reasoning("", ended=True), ("answer", self.marker.finish()), ("tool_buffer", self.pieces.take("buffer"))]
             self.state["done"] = True
         return [(k, t) for k, t in out if t]
 
@@ -155,11 +195,11 @@ class SegmentReader:
             return [("reasoning", text)] if self.mode == "separate" else []
         if not self.state.get("opened") or self.state.get("shown"):
             return []
-        self.state["why"] = self.state.get("why", "") + text
+        self.pieces.add("why", text)
         if self.state["phase"] == "reasoning" and not ended:
             return []
         self.state["shown"] = True
-        return [("answer", fixed.THINK_OPEN + self.state.pop("why") + fixed.THINK_CLOSE)]
+        return [("answer", fixed.THINK_OPEN + self.pieces.take("why") + fixed.THINK_CLOSE)]
 
 
 class CutReader:
@@ -167,7 +207,7 @@ class CutReader:
 
     def __init__(self, state: dict):
         self.state = state
-        self.answer, self.marker = AnswerReader(state), MarkerReader(state)
+        self.answer, self.marker = AnswerReader(state), MarkerReader(state, pieces=NoPieces())
 
     def read(self, seq: int, kind: str, content: str | None) -> dict | None:
         state = self.state
@@ -177,10 +217,10 @@ class CutReader:
                 state["lost"] += len(answer)
                 return None
             state["kept"] = state.get("kept", 0) + len(answer)
-            opened = state.get("buffer") is not None
+            opened = self.marker.open
             self.marker.read(answer, past)
             if opened and past and answer and self.marker.closed:
-                state.update(cut_seq=seq, lost=0, usage_lost=False, buffer="", pending="")
+                state.update(cut_seq=seq, lost=0, usage_lost=False, pending="")
         elif kind == "usage" and "cut_seq" in state:
             state["usage_lost"] = True
         elif kind == "finish":

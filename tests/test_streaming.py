@@ -1,5 +1,6 @@
 """State machines and streaming operators against their batch forms."""
 
+import json
 import random
 
 import pytest
@@ -10,7 +11,8 @@ from chatlog.operators import events
 from chatlog.plans import inputs, replay
 from chatlog.sources import tables
 from chatlog.streaming import queries as streams
-from chatlog.streaming.readers import CutReader, InOrder, LineReader, SegmentReader
+from chatlog.session import options
+from chatlog.streaming.readers import CutReader, InOrder, LineReader, MarkerReader, SegmentReader
 
 TEXTS = [
     "plain answer", "", "<think>why</think>  answer", "<think>open end", "x<think>a</think>b<think>c</think>d<think>e",
@@ -178,7 +180,7 @@ def test_log_sink_keeps_late_rows(spark, tmp_path):
 def test_gap_at_the_end_is_an_error(spark):
     lines = spark.createDataFrame([("a", 0, "event: message"), ("a", 2, 'data: {"content":"x"}'), ("b", 0, "event: finish"), ("b", 1, "data: {}")],
                                   "response_id string, line_no long, line string")
-    with pytest.raises(ValueError, match="1 responses hold rows back"):
+    with pytest.raises(ValueError, match="held back behind a gap"):
         streams.drain(streams.stream_chunks(replay.replayed(lines, "line_no", slices=1)), "gap")
     found = streams.drain(streams.stream_chunks(replay.replayed(lines, "line_no", slices=1)), "gap", gaps=True)
     assert [(r.response_id, r.type) for r in found.collect()] == [("b", "finish")]
@@ -252,3 +254,54 @@ def test_sessions_in_order_need_no_lateness(spark):
     stream = replay.replayed(ordered, "_age", 3, replay.closing_row(ordered)).drop("_age")
     got = streams.drain(streams.stream_session_history(stream, limit=100, late="0 seconds"), "sessions-order", event_time=True).collect()
     assert {r.request_id: (r.reused, r.generation, r.session_tokens) for r in got} == folded_sessions(rows, "append", 100, 7 * 86400)
+
+
+# --- state of long responses -----------------------------------------------------
+
+
+def test_state_of_a_long_response_grows_by_its_chunks_only(spark, tmp_path):
+    n = 50_000
+    texts = ["<think>why</think>", "so <tool_call>", *[f"piece {i} " for i in range(n)], "</tool_", "call> rest"]
+    lines = ["event:message", *["data:" + json.dumps({"content": t}) for t in texts]]
+    rows = spark.createDataFrame([(7, i, line) for i, line in enumerate(lines)], "response_id long, line_no long, line string")
+    stream = replay.replayed(rows, "line_no", slices=5)
+    with options(spark, {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}):
+        streams.write_stream(streams.stream_segments(stream), f"{tmp_path}/out", f"{tmp_path}/state").awaitTermination()
+
+    def kept(name):
+        reader = spark.read.format("statestore").option("stateVarName", name).option("flattenCollectionTypes", "true")
+        return reader.load(f"{tmp_path}/state")
+
+    head = kept("head").selectExpr("value.state").collect()
+    assert len(head) == 1 and len(head[0][0]) < 500  # not rewritten with the response
+    assert kept("buffer").count() == len(texts) - 1 and kept("held").count() == 0
+    assert spark.read.parquet(f"{tmp_path}/out").groupBy("kind").count().count() == 2  # the buffer comes at the finish
+
+
+def test_buffer_is_given_at_the_finish_whatever_the_cuts(spark):
+    rng, rows, want = random.Random(8), [], {}
+    for r in range(6):
+        body = "<function_calls>" + "x" * rng.randrange(2000) + "</function_calls> tail"
+        parts = chunked("hello " + body, [rng.randrange(len(body)) for _ in range(40)])
+        events_ = [("message", json.dumps({"content": p})) for p in parts] + [("finish", "{}")]
+        lines = [x for name, data in events_ for x in (f"event: {name}", f"data: {data}")]
+        rows += [(f"r-{r}", i, line) for i, line in enumerate(lines)]
+        want[f"r-{r}", "answer"], want[f"r-{r}", "tool_buffer"] = "hello ", body
+    rng.shuffle(rows)
+    df = spark.createDataFrame([(i % 4, *r) for i, r in enumerate(rows)], "step int, response_id string, line_no long, line string")
+    stream = replay.replayed(df, "step", slices=4).drop("step")
+    got = streams.drain(streams.stream_segments(stream, holdback=64), "segments-test").orderBy("seq").collect()
+    found = {}
+    for r in got:
+        found[r.response_id, r.kind] = found.get((r.response_id, r.kind), "") + r.text
+    assert found == want
+
+
+@pytest.mark.parametrize("cut", range(1, 30))
+def test_closing_tag_is_found_at_every_cut(cut):
+    text = "<tool_call>" + "a</tool_cal" + "</tool_call>"
+    state = {}
+    reader = MarkerReader(state, 0)
+    for part in (text[:max(cut, 11)], text[max(cut, 11):]):
+        reader.read(part, True)
+    assert reader.closed and reader.pieces.take("buffer") == text
