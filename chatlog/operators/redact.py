@@ -11,23 +11,43 @@ from chatlog.functions.text import as_col
 # Named fields that are masked wherever they stand: name -> pattern of the value.
 FIELDS = {"sid": r"[^\"';\s]+", "userId": r"\d+", "token": r"[^\"';\s]+"}
 MASK = "***"
-# What a command or a request passes as cookies, quoted or not, and one pair in it.
-COOKIES = (
-    r"""(?<![\w-])(?:(?:-b|--cookie)(?:\s+|=)(?:"[^"]*+"?|'[^']*+'?|[^\s"']\S*+)"""
-    r"""|(?:-H|--header)(?:\s+|=)(?:"\s*(?i:cookie):[^"]*+"?|'\s*(?i:cookie):[^']*+'?|(?i:cookie):[^\r\n]*+))"""
-    r"""|(?im:^cookie:[^\r\n]*+)"""
+
+# --- the words of a shell command, as a grammar of patterns ----------------------------
+ESCAPE = r"\\[\s\S]"
+DOUBLE = rf'"(?:{ESCAPE}|[^"\\])*+"?'
+SINGLE = r"'[^']*+'?"
+ANSI = rf"\$'(?:{ESCAPE}|[^'\\])*+'?"
+PART = rf"(?:{DOUBLE}|{ANSI}|{SINGLE}|{ESCAPE}|[^\s\"'\\])"  # a word is parts without a space between them
+GAP = r"(?:\s|\\\r?\n)++"  # also the end of a line that goes on
+NAME = r"\s*+(?i:cookie)\s*+:"
+# -b and --cookie, apart, with =, glued to the word, or last of several short options.
+OPTION = rf"(?:(?:b|-cookie)(?:{GAP}|=)|b(?=[\"'$\\]|[^\s=]*+=)|[A-Za-z]{{1,8}}?b(?:{GAP}|(?=[\"'$\\]))(?=[^\r\n=]*+=)){PART}++"
+# -H and --header whose word begins with the name of the header.
+HEADER = (
+    rf"(?:[A-Za-z]{{0,8}}?H|-header)(?:{GAP}|=)?+"
+    rf"""(?:(?="{NAME}){DOUBLE}{PART}*+|(?=\$'{NAME}){ANSI}{PART}*+|(?='{NAME}){SINGLE}{PART}*+|(?i:cookie):[^\r\n]*+)"""
+)
+# Both begin with a plain character, so that most places of a text are passed at once.
+COOKIES = rf"-(?<![\w-]-)(?:{OPTION}|{HEADER})|[Cc](?m:(?<=^.))(?i:ookie):[^\r\n]*+"
+# One name=value in what was passed. A value may hold escapes and the quotes of its word or others, but ends before the last one.
+VALUE = rf"""(?:{ESCAPE}|["']\$?+["']|["'](?!;|\z)|[^;"'\\\r\n])*+"""
+PAIR = (
+    r"""(?:(?<![\w-])|(?<=^-b))([^\s;:=,"'\\-][^\s;=,"'\\]*+=["']?)"""
+    rf"""(?:(?<=")[^"\r\n]*+|(?<=')[^'\r\n]*+|\\["'](?:(?!\\["'])[^\r\n])*+|{VALUE})"""
 )
-PAIR = r"""(?<![\w-])([^\s;:=,"'-][^\s;=,"']*+=["']?)(?:(?<=")[^"\r\n]*+|(?<=')[^'\r\n]*+|[^;"'\r\n]*+)"""
+# Marks of where a passage begins and ends and of each pair in it: characters that no text may hold.
+BEGIN, END, HIT = "\ufdd0", "\ufdd1", "\ufdd2"
 
 
 def _pattern(name: str, value: str) -> str:
-    return rf"""\b({re.escape(name)}=["']?){value}"""
+    """The name as it stands in front, which is searched for as a whole, and then what must stand around it."""
+    return rf"""{re.escape(name)}(?<=\b{re.escape(name)})=(["']?){value}"""
 
 
 def _may_have_cookies(c: Column) -> Column:
     """A cheap look for an option or a header, in front of the regex."""
-    hints = [F.contains(c, F.lit(x)) for x in ("-b", "--cookie", "ookie:", "OOKIE:")]
-    return hints[0] | hints[1] | hints[2] | hints[3]
+    clustered = F.contains(c, F.lit("=")) & F.regexp_like(c, F.lit(r"-[A-Za-z]{1,8}b[\s\"'$\\]"))
+    return F.contains(c, F.lit("-b")) | F.contains(F.lower(c), F.lit("cookie")) | clustered
 
 
 def has_cookie_option(c) -> Column:
@@ -40,19 +60,23 @@ def redact_credentials(df: DataFrame, text: str = "text", fields: dict[str, str]
     """Mask credentials in `text`; add `cookie_hits`, hits per named field and `has_command`.
 
     Every name=value pair of a cookie option or header is masked, whatever its name, and the
-    values of the named fields wherever they occur; no value leaves the operator.
+    values of the named fields wherever they occur; no value leaves the operator. Commands are read in
+    the words of a shell: quotes of all kinds, escapes, options glued to their word or clustered,
+    lines that go on. An open quote ends with the text. Text is searched for commands once, and each
+    passage for pairs once. U+FDD0 to U+FDD2, which are no characters, are dropped from a text with a command.
     """
     fields = FIELDS if fields is None else fields
     source = F.col(text)
-    found = F.when(_may_have_cookies(source), F.regexp_extract_all(source, F.lit(COOKIES), F.lit(0)))
-    df = df.withColumn("_passed", F.coalesce(found, F.array().cast("array<string>")))
-    passed, there = F.col("_passed"), F.size("_passed") > 0
-    between = F.split(source, COOKIES, -1)
-    covered = F.transform(passed, lambda p: F.regexp_replace(p, F.lit(PAIR), F.lit(f"$1{re.escape(MASK)}")))
-    woven = F.concat(F.element_at(between, 1), F.array_join(F.zip_with(
-        covered, F.slice(between, 2, F.greatest(F.size(between) - 1, F.lit(0))), lambda p, b: F.concat(p, b)), ""))
-    masked = F.when(there, woven).otherwise(source)
-    pairs = F.aggregate(passed, F.lit(0).cast("bigint"), lambda n, p: n + F.regexp_count(p, F.lit(PAIR)))
+    clean = F.translate(source, BEGIN + END + HIT, "")
+    marked = F.regexp_replace(clean, COOKIES, f"{BEGIN}$0{END}")
+    found = F.when(_may_have_cookies(source), F.split(marked, f"[{BEGIN}{END}]", -1))
+    df = df.withColumn("_passed", F.coalesce(found, F.array(source)))  # every second entry is a passage
+    there = F.size("_passed") > 1
+    covered = F.transform("_passed", lambda p, i: F.when(
+        i % 2 == 1, F.regexp_replace(p, F.lit(PAIR), F.lit(f"$1{re.escape(MASK)}{HIT}"))).otherwise(p))
+    df = df.withColumn("_covered", F.when(there, F.array_join(covered, "")))
+    masked = F.when(there, F.translate("_covered", HIT, "")).otherwise(source)
+    pairs = F.when(there, F.length("_covered") - F.length(masked)).otherwise(0).cast("bigint")
     hits = {"cookie_hits": pairs}
     for name, value in fields.items():
         pattern, found = _pattern(name, value), F.contains(source, F.lit(f"{name}="))
@@ -60,5 +84,5 @@ def redact_credentials(df: DataFrame, text: str = "text", fields: dict[str, str]
     out = df.withColumns({**hits, "has_command": there}).withColumn("_masked", masked)
     for name, value in fields.items():
         found = F.contains("_masked", F.lit(f"{name}="))
-        out = out.withColumn("_masked", F.when(found, F.regexp_replace("_masked", _pattern(name, value), f"$1{re.escape(MASK)}")).otherwise(F.col("_masked")))
-    return out.drop(text, "_passed").withColumnRenamed("_masked", text)
+        out = out.withColumn("_masked", F.when(found, F.regexp_replace("_masked", _pattern(name, value), f"{name}=$1{re.escape(MASK)}")).otherwise(F.col("_masked")))
+    return out.drop(text, "_passed", "_covered").withColumnRenamed("_masked", text)

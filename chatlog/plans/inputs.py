@@ -167,6 +167,17 @@ SELECT doc_id, CASE doc_id % 5
   WHEN 1 THEN concat('curl -H ', chr(39), 'Cookie: serviceToken=SECRET', doc_id, '; userId=42; other_ph="SECRET', doc_id, '"', chr(39), ' -d a=b', chr(10), text)
   WHEN 2 THEN concat(text, chr(10), 'Cookie: plain=SECRET', doc_id, '; x_y=2', chr(10), 'curl --cookie only=SECRET', doc_id, ' --data k=v')
   WHEN 3 THEN concat('no command, key=value and token=SECRET', doc_id, ' ', text) ELSE text END AS text
+FROM documents""",
+        "redaction_commands": """
+SELECT doc_id, CASE doc_id % 8
+  WHEN 0 THEN concat(text, chr(10), 'curl -b $', chr(39), 'a=1; serviceToken=SECRET', doc_id, chr(39))
+  WHEN 1 THEN concat('curl -H $', chr(39), 'cookie: serviceToken=SECRET', doc_id, chr(39), chr(10), text)
+  WHEN 2 THEN concat(text, chr(10), 'curl -b', chr(39), 'serviceToken=SECRET', doc_id, chr(39), ' -X GET')
+  WHEN 3 THEN concat('curl -sb ', chr(39), 'serviceToken=SECRET', doc_id, chr(39), chr(10), text)
+  WHEN 4 THEN concat(text, chr(10), 'curl -b ', chr(92), chr(10), chr(39), 'serviceToken=SECRET', doc_id, chr(39))
+  WHEN 5 THEN concat(text, chr(10), 'curl -H "cOOkie: serviceToken=SECRET', doc_id, '" -d a=b')
+  WHEN 6 THEN concat(text, chr(10), 'curl -b "a=1', chr(92), '"; serviceToken=SECRET', doc_id, '"')
+  ELSE text END AS text
 FROM documents""",
     }
 

@@ -578,6 +578,19 @@ SELECT doc_id, CASE doc_id % 5
        CAST(CASE WHEN doc_id % 5 < 2 THEN 1 ELSE 0 END AS BIGINT) AS "userId_hits", doc_id % 5 < 3 AS has_command
 FROM documents"""
 
+SQL["redacted_commands"] = """
+SELECT doc_id, CASE doc_id % 8
+  WHEN 0 THEN concat(text, chr(10), 'curl -b $', chr(39), 'a=***; serviceToken=***', chr(39))
+  WHEN 1 THEN concat('curl -H $', chr(39), 'cookie: serviceToken=***', chr(39), chr(10), text)
+  WHEN 2 THEN concat(text, chr(10), 'curl -b', chr(39), 'serviceToken=***', chr(39), ' -X GET')
+  WHEN 3 THEN concat('curl -sb ', chr(39), 'serviceToken=***', chr(39), chr(10), text)
+  WHEN 4 THEN concat(text, chr(10), 'curl -b ', chr(92), chr(10), chr(39), 'serviceToken=***', chr(39))
+  WHEN 5 THEN concat(text, chr(10), 'curl -H "cOOkie: serviceToken=***" -d a=b')
+  WHEN 6 THEN concat(text, chr(10), 'curl -b "a=***; serviceToken=***"')
+  ELSE text END AS text,
+       CAST(CASE doc_id % 8 WHEN 0 THEN 2 WHEN 6 THEN 2 WHEN 7 THEN 0 ELSE 1 END AS BIGINT) AS cookie_hits, doc_id % 8 < 7 AS has_command
+FROM documents"""
+
 # --- captured streams ----------------------------------------------------------------
 
 SQL["accounts_read_back"] = """
@@ -595,6 +608,13 @@ SELECT response_id, seq, type, content, coalesce(prompt_tokens, CASE WHEN type =
        CASE WHEN type = 'usage' THEN CAST(0 AS BIGINT) END AS reasoning_tokens
 FROM chunks WHERE type <> 'error'"""
 SQL["event_chunks_from_files"] = SQL["event_chunks"]
+SQL["served_models"] = "SELECT DISTINCT alias, model FROM model_aliases"
+SQL["event_chunks_text_ids"] = """
+SELECT 'r-' || response_id AS response_id, seq, type, content FROM chunks WHERE type <> 'error'"""
+SQL["captures_numbered"] = """
+WITH lines AS (SELECT source, lpad(CAST(doc_id AS VARCHAR), 12, '0') || ' ' || translate(coalesce(text, ''), chr(10) || chr(13), '  ') AS line FROM documents),
+every AS (SELECT * FROM lines UNION ALL SELECT 'all', line FROM lines)
+SELECT source, row_number() OVER (PARTITION BY source ORDER BY line) - 1 AS line_no, line FROM every"""
 SQL["stream_chunks"] = """
 WITH kept AS (SELECT * FROM chunks WHERE type <> 'error'),
 ends AS (SELECT response_id, max(seq) AS last FROM kept GROUP BY response_id)

@@ -12,7 +12,7 @@ from chatlog.operators import (
 )
 from chatlog.operators.rollover import session_rollover as rollover
 from chatlog.plans import inputs, replay
-from chatlog.session import options, scratch_path
+from chatlog.session import options, scratch_path, settled
 from chatlog.sources import export, requests as bodies, schemas, tables
 from chatlog.streaming import queries as streams
 
@@ -447,6 +447,40 @@ def event_chunks_from_files(get):
     )
 
 
+@query
+def redacted_commands(get):
+    """Cookies in the forms that browsers and shells copy."""
+    out = redact.redact_credentials(get("redaction_commands"))
+    return out.select("doc_id", "text", "cookie_hits", "has_command")
+
+
+@query
+def served_models(get):
+    return models.list_models(get("model_aliases"))
+
+
+@query
+def event_chunks_text_ids(get):
+    """Ids that are no numbers, as the response records have them."""
+    lines = inputs.event_lines(get("chunks")).withColumn("response_id", F.concat(F.lit("r-"), F.col("response_id").cast("string")))
+    lines.write.json(path := scratch_path(lines.sparkSession, "lines"))
+    out = events.parse_event_stream(tables.read_event_stream(lines.sparkSession, path, schemas.EVENT_LINES_BY_TEXT))
+    return out.select("response_id", F.floor(F.col("seq") / 3).cast("bigint").alias("seq"), "type", "content")
+
+
+@query
+def captures_numbered(get):
+    """Raw captures, a file per kind of event and one of all messages, read in splits of 64 KiB."""
+    spark = get("documents").sparkSession
+    path = scratch_path(spark, "captures")
+    lines = get("documents").select("source", F.format_string("%012d %s", "doc_id", F.translate(F.coalesce("text", F.lit("")), "\n\r", "  ")).alias("line"))
+    every = lines.withColumn("source", F.lit("all")).unionByName(lines)
+    every.repartition("source").sortWithinPartitions("source", "line").write.partitionBy("source").text(path)
+    with options(spark, {"spark.sql.files.maxPartitionBytes": "64k", "spark.sql.files.openCostInBytes": "1k"}):
+        rows = settled(tables.read_raw_captures(spark, path))
+    return rows.select(F.regexp_extract("response_id", "source=([^/]*)", 1).alias("source"), "line_no", "line")
+
+
 # --- captured streams, batch ---------------------------------------------------------
 
 

@@ -25,6 +25,7 @@ REQUEST_LOGS = _table(
 )
 CONVERSATIONS = _table(conv_id=L, turn=L, role=S, text=S)
 EVENT_LINES = _table(response_id=L, line_no=L, line=S)
+EVENT_LINES_BY_TEXT = _table(response_id=S, line_no=L, line=S)
 CHUNKS = _table(
     response_id=L, seq=L, type=S, content=S, prompt_tokens=L, completion_tokens=L, total_tokens=L,
     reasoning_tokens=L,

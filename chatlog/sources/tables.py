@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from chatlog.operators.changes import apply_session_changes
+from chatlog.session import settled
 from chatlog.sources import schemas
 
 
@@ -61,32 +65,74 @@ def upsert_sessions(changes: DataFrame, base: DataFrame | None, path: str | None
     return out.sparkSession.read.schema(out.schema).parquet(path)
 
 
-def read_event_stream(spark: SparkSession, path: str) -> DataFrame:
-    """Event lines kept as JSON records with their response and line number."""
-    return spark.read.schema(schemas.EVENT_LINES).json(path)
+def _with_ids(lines: DataFrame) -> DataFrame:
+    """Lines whose ids were read; one that does not fit the schema's type would be null, and all such lines one response."""
+    kind = lines.schema["response_id"].dataType.simpleString()
+    wrong = F.raise_error(F.lit(f"an event line has no response_id of type {kind}: pass a schema with the right type"))
+    return lines.withColumn("response_id", F.coalesce("response_id", wrong.cast(kind)))
 
 
-def stream_event_lines(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
-    return (
-        spark.readStream.schema(schemas.EVENT_LINES).option("maxFilesPerTrigger", files_per_batch).json(path)
-    )
+def read_event_stream(spark: SparkSession, path: str, schema: T.StructType = schemas.EVENT_LINES) -> DataFrame:
+    """Event lines kept as JSON records with their response and line number.
+
+    `schema` gives the id's type, e.g. `schemas.EVENT_LINES_BY_TEXT`; a line without an id of it is an error.
+    """
+    return _with_ids(spark.read.schema(schema).json(path))
+
+
+def stream_event_lines(
+    spark: SparkSession, path: str, files_per_batch: int = 1000, schema: T.StructType = schemas.EVENT_LINES
+) -> DataFrame:
+    """The same as a stream of the files that arrive."""
+    return _with_ids(spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).json(path))
+
+
+def _numbered_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds to (file, start, size, line) the line's number and its end in bytes, both counted from the split's first line."""
+    split, passed, end = None, 0, 0
+    for batch in batches:
+        at, numbers, ends = 0, [], []
+        lengths = pc.binary_length(batch.column(3)).to_pylist()
+        for file, start, length in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), lengths):
+            if (file, start) != split:
+                split, passed, end = (file, start), 0, 0
+            end += length + 1
+            numbers.append(passed)
+            ends.append(end)
+            passed += 1
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(numbers, pa.int64()), pa.array(ends, pa.int64())],
+                                         names=["file", "start", "size", "line", "number", "end"])
 
 
 def read_raw_captures(spark: SparkSession, path: str) -> DataFrame:
     """(response_id, line_no, line) of raw captures, one file per response.
 
+    A large file is read by many tasks. Each counts the lines of its split; the sums of the splits before
+    it, one small row per split of the files that have several, make the line's number in the file.
     The response id is the path below `path` without its ending, so files of one name in
-    several folders stay apart. An unfinished last line is not a line yet and is left out.
+    several folders stay apart. An unfinished last line is not a line yet and is left out,
+    but for compressed files, whose size does not tell.
     """
-    whole = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
+    text = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(path)
+    text = text.select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.col("_metadata.file_size").alias("size"), F.col("value").alias("line"))
+    kinds = "file string, start bigint, size bigint, line string, number bigint, end bigint"
+    local = text.mapInArrow(_numbered_lines, kinds)
+    splits = text.groupBy("file", "start").agg(F.count(F.lit(1)).alias("lines"), F.sum(F.octet_length("line") + 1).alias("bytes"))
+    before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = settled(splits.select(
+        "file", "start", F.sum("lines").over(before).alias("lines_before"), F.sum("bytes").over(before).alias("bytes_before"),
+    ).filter("lines_before IS NOT NULL"))
+    rows = local.join(offsets, ["file", "start"], "left").filter(
+        F.coalesce("bytes_before", F.lit(0)) + F.col("end") != F.col("size") + 1)
     root = "^.*?" + re.escape(re.sub(r"^\w+:/*", "", path.rstrip("/")).strip("/")) + "/"
-    whole = whole.select("value", F.regexp_replace(F.url_decode("_metadata.file_path"), root, "").alias("file_name"))
-    lines = F.split("value", "\n", -1)
-    complete = F.slice(lines, 1, F.size(lines) - 1)
-    return whole.select(
-        F.regexp_replace("file_name", r"\.[^.]*\z", "").alias("response_id"),
-        F.posexplode(complete).alias("line_no", "line"),
-    ).withColumn("line_no", F.col("line_no").cast("bigint"))
+    name = F.regexp_replace(F.url_decode("file"), root, "")
+    return rows.select(
+        F.regexp_replace(name, r"\.[^.]*\z", "").alias("response_id"),
+        (F.coalesce("lines_before", F.lit(0)) + F.col("number")).cast("bigint").alias("line_no"),
+        "line",
+    )
 
 
 def evolve_schema(df: DataFrame, target: T.StructType) -> DataFrame:

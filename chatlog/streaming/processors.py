@@ -62,13 +62,15 @@ class SegmentProcessor(StatefulProcessor):
         pass
 
     def _load(self) -> dict:
-        return json.loads(self.head.get()[0]) if self.head.exists() else {"next": 0, "n_held": 0, "used": []}
+        row = self.head.get()
+        return json.loads(row[0]) if row else {"next": 0, "n_held": 0, "used": []}
 
     def _save(self, head: dict, timers) -> None:
-        if "timer" in head:
-            self.handle.deleteTimer(head["timer"])
-        head["timer"] = timers.getCurrentProcessingTimeInMs() + self.patience
-        self.handle.registerTimer(head["timer"])
+        """Every call to the store is a round trip: the timer is set once, and moved on when it has run out."""
+        head["seen"] = timers.getCurrentProcessingTimeInMs()
+        if "timer" not in head:
+            head["timer"] = head["seen"] + self.patience
+            self.handle.registerTimer(head["timer"])
         self.head.update((json.dumps(head),))
 
     def _ready(self, head: dict, rows: dict[int, str]) -> Iterator[tuple[int, str]]:
@@ -114,22 +116,27 @@ class SegmentProcessor(StatefulProcessor):
 
     def _only_done(self, head: dict) -> dict:
         """A response that is done holds nothing but that, until it is forgotten."""
-        self.held.clear()
-        for state in self.lists.values():
-            state.clear()
+        if head["n_held"]:
+            self.held.clear()
+        for name in head["used"]:
+            self.lists[name].clear()
         return {"done": True, **({"timer": head["timer"]} if "timer" in head else {})}
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         head = self._load()
-        head.pop("timer", None)
+        if head["seen"] + self.patience > timerValues.getCurrentProcessingTimeInMs():  # there were rows since
+            head["timer"] = head["seen"] + self.patience
+            self.handle.registerTimer(head["timer"])
+            self.head.update((json.dumps(head),))
+            return
+        head.pop("timer")
         if head.get("done"):
             self.head.clear()
             return
         late = sorted((number[0], line[0]) for number, line in self.held.iterator()) if head["n_held"] else []
-        self.held.clear()
-        head["n_held"] = 0
         if late:
-            head["next"] = late[-1][0] + 1
+            self.held.clear()
+            head["n_held"], head["next"] = 0, late[-1][0] + 1
         found = self._read(key, head, late)
         if head.get("done"):
             head = self._only_done(head)

@@ -1,12 +1,14 @@
 """Readers, writers, request bodies, export, transcripts."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from chatlog.operators import accounts, events, outcomes, sessions, tooldefs, transcript, usage
 from chatlog.plans import inputs
+from chatlog.session import options
 from chatlog.sources import export, requests, schemas, tables
 
 
@@ -55,6 +57,32 @@ def test_raw_captures(spark, tmp_path):
     assert [tuple(r) for r in rows] == [("r1", 0, "event: message"), ("r1", 1, "data: {}")]
 
 
+@pytest.mark.parametrize("split", [17, 64, 1000])
+def test_large_captures_are_read_in_splits(spark, tmp_path, split):
+    """Lines of several files, with \\r, empty lines and many bytes a character, numbered as in the whole file."""
+    rng = random.Random(split)
+    want = []
+    for name, ended in (("a/r1.txt", True), ("b/r1.txt", False), ("c.x.txt", True), ("one.txt", False), ("empty.txt", True)):
+        lines = ["".join(rng.choice(["é", "x", "日", "\r", " "]) for _ in range(rng.randrange(12))) for _ in range(0 if "empty" in name else 120)]
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes("".join(x + "\n" for x in lines).encode() + (b"" if ended else b"left out"))
+        want += [(name[:-4], i, x) for i, x in enumerate(lines)]
+    with options(spark, {"spark.sql.files.maxPartitionBytes": str(split), "spark.sql.files.openCostInBytes": "1"}):
+        rows = tables.read_raw_captures(spark, str(tmp_path))
+        assert rows.rdd.getNumPartitions() > 3
+        assert sorted(map(tuple, rows.collect())) == sorted(want)
+
+
+def test_ids_that_are_no_numbers(spark, tmp_path):
+    path = str(tmp_path / "lines")
+    lines = spark.createDataFrame([("r-1", 0, "event: x"), ("r-2", 0, "event: y")], schemas.EVENT_LINES_BY_TEXT)
+    lines.write.json(path)
+    got = tables.read_event_stream(spark, path, schemas.EVENT_LINES_BY_TEXT)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, lines.collect()))
+    with pytest.raises(Exception, match="no response_id of type bigint"):
+        tables.read_event_stream(spark, path).collect()
+
+
 def test_event_lines_round_trip(spark, tmp_path):
     path = str(tmp_path / "lines")
     lines = spark.createDataFrame([(1, 0, "event: x"), (1, 1, 'data: {"a": "é"}')], schemas.EVENT_LINES)

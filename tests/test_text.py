@@ -1,6 +1,8 @@
 """Hand-worked cases for the column functions."""
 
 import json
+import random
+import re
 
 import pytest
 
@@ -165,12 +167,60 @@ def test_redaction(spark, value, masked, sid, user, command):
     ("curl -b a=SECRET -b b=SECRET", "curl -b a=*** -b b=***", 2),
     ("no-b x=1 and --cookies y=2, cookie: z", "no-b x=1 and --cookies y=2, cookie: z", 0),
     ("curl -b 'open=SECRET; p=SECRET", "curl -b 'open=***; p=***", 2),
+    ("curl -b $'a=SECRET; serviceToken=SECRET\\u0021'", "curl -b $'a=***; serviceToken=***'", 2),
+    ("curl -H $'cookie: a=SECRET\\'SECRET; b=SECRET' -d x=y", "curl -H $'cookie: a=***; b=***' -d x=y", 2),
+    ("curl -b'serviceToken=SECRET' -X GET", "curl -b'serviceToken=***' -X GET", 1),
+    ("curl -bserviceToken=SECRET;ls x=y", "curl -bserviceToken=***;ls x=y", 1),
+    ("curl -sb 'serviceToken=SECRET' k=v", "curl -sb 'serviceToken=***' k=v", 1),
+    ("curl -b \\\n'serviceToken=SECRET' \\\n -d k=v", "curl -b \\\n'serviceToken=***' \\\n -d k=v", 1),
+    ('curl -H "cOOkie: serviceToken=SECRET"', 'curl -H "cOOkie: serviceToken=***"', 1),
+    ('curl -b "a=1\\"; serviceToken=SECRET" -d k=v', 'curl -b "a=***; serviceToken=***" -d k=v', 2),
+    ('curl -b "a=\\"SECRET;SECRET\\"; b=SECRET" k=v', 'curl -b "a=***\\"; b=***" k=v', 2),
+    ("curl -b 'a=SECRET'\"SECRET; b=SECRET\"SECRET k=v", "curl -b 'a=***; b=*** k=v", 2),
+    ("curl -sSLH 'Cookie: a=SECRET' --header='COOKIE : b=SECRET' -H 'x: y=1'", "curl -sSLH 'Cookie: a=***' --header='COOKIE : b=***' -H 'x: y=1'", 2),
+    ("curl --cookie \\\r\n  a=SECRET\\ SECRET k=v", "curl --cookie \\\r\n  a=*** k=v", 1),
+    ("a well-known bob -about x=1, state-b, 2-b y=3", "a well-known bob -about x=1, state-b, 2-b y=3", 0),
 ])
 def test_every_cookie_pair_is_masked(spark, value, masked, pairs):
     row = redact.redact_credentials(spark.createDataFrame([(value,)], "text string"), fields={}).first()
     assert (row.text, row.cookie_hits, row.has_command) == (masked, pairs, pairs > 0)
 
 
+def test_no_secret_leaves_a_random_command(spark):
+    """Cookies with values told apart from all else, in every way to write a word."""
+    rng, rows = random.Random(11), []
+    odd = ["'", '"', "\\", "!", " ", "$", "=", ",", "é", "-b "]
+
+    def quoted(text):
+        kind = rng.randrange(4)
+        if kind == 0:
+            return "'" + text.replace("'", "'\\''") + "'"
+        if kind == 1:
+            return '"' + re.sub(r'(["\\\\$])', r"\\\1", text) + '"'
+        if kind == 2:
+            return "$'" + re.sub(r"(['\\\\])", r"\\\1", text) + "'"
+        return re.sub(r"([^A-Za-z0-9_=])", r"\\\1", text)
+
+    for _ in range(400):
+        cookie = "; ".join(f"n{i}=SECRET{''.join(rng.choice(odd) for _ in range(rng.randrange(3)))}SECRET" for i in range(rng.randrange(1, 4)))
+        gap = rng.choice([" ", "  ", " \\\n ", "="])
+        form = rng.randrange(4)
+        if form == 0:
+            word = rng.choice(["-b", "--cookie"]) + gap + quoted(cookie)
+        elif form == 1:
+            word = "-b" + quoted(cookie)
+        elif form == 2:
+            word = rng.choice(["-sb", "-kLb"]) + gap.replace("=", " ") + quoted(cookie)
+        else:
+            name = rng.choice(["cookie: ", "Cookie:", "COOKIE: "])
+            body = name + cookie
+            word = rng.choice(["-H", "--header"]) + gap + rng.choice(["'" + body.replace("'", "'\\''") + "'", "$'" + re.sub(r"(['\\\\])", r"\\\1", body) + "'"])
+        rows.append((f"curl {word} -X GET 'https://h/p?q=kept'",))
+    out = redact.redact_credentials(spark.createDataFrame(rows, "text string")).collect()
+    leaks = [(a[0], r.text) for a, r in zip(rows, out) if "SECRET" in r.text or not r.has_command]
+    assert not leaks, leaks[:3]
+
+
 def test_redaction_of_null(spark):
     row = redact.redact_credentials(spark.createDataFrame([(None,)], "text string")).first()
     assert row.text is None
