@@ -35,8 +35,8 @@ PAIR = (
     r"""(?:(?<![\w-])|(?<=^-b))([^\s;:=,"'\\-][^\s;=,"'\\]*+=["']?)"""
     rf"""(?:(?<=")[^"\r\n]*+|(?<=')[^'\r\n]*+|\\["'](?:(?!\\["'])[^\r\n])*+|{VALUE})"""
 )
-# Marks of where a passage begins and ends and of each pair in it: characters that no text may hold.
-BEGIN, END, HIT = "\ufdd0", "\ufdd1", "\ufdd2"
+# Marks of where a passage begins or ends and of each pair in it: characters that no text may hold.
+EDGE, HIT = "\ufdd0", "\ufdd1"
 
 
 def _pattern(name: str, value: str) -> str:
@@ -63,19 +63,19 @@ def redact_credentials(df: DataFrame, text: str = "text", fields: dict[str, str]
     values of the named fields wherever they occur; no value leaves the operator. Commands are read in
     the words of a shell: quotes of all kinds, escapes, options glued to their word or clustered,
     lines that go on. An open quote ends with the text. Text is searched for commands once, and each
-    passage for pairs once. U+FDD0 to U+FDD2, which are no characters, are dropped from a text with a command.
+    passage for pairs once. U+FDD0 and U+FDD1, which are no characters, are dropped from a text with a command.
     """
     fields = FIELDS if fields is None else fields
     source = F.col(text)
-    clean = F.translate(source, BEGIN + END + HIT, "")
-    marked = F.regexp_replace(clean, COOKIES, f"{BEGIN}$0{END}")
-    found = F.when(_may_have_cookies(source), F.split(marked, f"[{BEGIN}{END}]", -1))
+    clean = F.replace(F.replace(source, F.lit(EDGE)), F.lit(HIT))
+    marked = F.regexp_replace(clean, COOKIES, f"{EDGE}$0{EDGE}")
+    found = F.when(_may_have_cookies(source), F.split(marked, EDGE, -1))
     df = df.withColumn("_passed", F.coalesce(found, F.array(source)))  # every second entry is a passage
     there = F.size("_passed") > 1
     covered = F.transform("_passed", lambda p, i: F.when(
         i % 2 == 1, F.regexp_replace(p, F.lit(PAIR), F.lit(f"$1{re.escape(MASK)}{HIT}"))).otherwise(p))
     df = df.withColumn("_covered", F.when(there, F.array_join(covered, "")))
-    masked = F.when(there, F.translate("_covered", HIT, "")).otherwise(source)
+    masked = F.when(there, F.replace("_covered", F.lit(HIT))).otherwise(source)
     pairs = F.when(there, F.length("_covered") - F.length(masked)).otherwise(0).cast("bigint")
     hits = {"cookie_hits": pairs}
     for name, value in fields.items():
