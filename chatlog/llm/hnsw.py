@@ -1,9 +1,11 @@
 """Approximate nearest neighbours by inner product: a navigable small-world graph per shard.
 
-Vectors are dealt to shards by a hash, and each shard has a layered graph stored as flat
-neighbour arrays. One more coordinate makes all vectors equally long, so that the largest inner
-product with a query is the least distance and the graph holds for any lengths. Every query
-goes to every shard; the shards' results are scored exactly and merged.
+Vectors are dealt to shards by their length, in ranges of a factor of two, and by a hash. Each shard has
+a layered graph stored as flat neighbour arrays. One more coordinate makes all vectors of a shard
+equally long, so that the largest inner product with a query is the least distance; within a range
+it takes no precision from the others, however long the vectors of other ranges are. Every query
+goes to every shard; the shards' results are scored exactly and merged. Shards of few rows
+are searched whole.
 """
 
 from __future__ import annotations
@@ -21,6 +23,8 @@ SHARD_ROWS, QUERY_BLOCK = 8192, 4096
 #: Tasks for each group of work, so that few groups share one by chance.
 SPREAD = 4
 LINKS, BUILD_WIDTH, SEARCH_WIDTH = 16, 100, 160
+#: Shards of at most this many rows need no walk: all their rows are scored.
+WHOLE_ROWS = 512
 
 
 class Graph:
@@ -124,8 +128,24 @@ def usable(vector: str) -> Column:
     return F.coalesce(~bad & F.exists(x, lambda v: v != 0), F.lit(False))
 
 
+def length_range(vector: str) -> Column:
+    """floor(log2 of the length, plus a half), from components divided by the largest, so nothing overflows.
+
+    Vectors of length one lie in the middle of their range.
+    """
+    top = F.array_max(F.transform(vector, lambda x: F.abs(x)))
+    ratio = F.aggregate(F.transform(vector, lambda x: x / top), F.lit(0.0), lambda a, x: a + x * x)
+    return F.floor(F.log2(top) + F.log2(ratio) / 2 + 0.5).cast("int")
+
+
+def _levelled(x: np.ndarray, range_: int) -> np.ndarray:
+    """Vectors of one range brought to lengths from about a half to one, and one more coordinate that makes them all one."""
+    y = np.ldexp(x, -range_) / math.sqrt(2)
+    return np.ascontiguousarray(np.column_stack([y, np.sqrt(np.maximum(0, 1 - (y * y).sum(1)))]), np.float32)
+
+
 def build_index(vectors: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """One row per shard: shard, dim, rows, vectors, levels, neighbours, entry, ids.
+    """One row per shard: shard, dim, range, rows, vectors, levels, neighbours, entry, ids.
 
     Equal vectors are one node, so copies cannot crowd out its links; a node keeps the k + 1
     least of their ids, all that a list of k without the query's own can need. Rows without an
@@ -136,32 +156,32 @@ def build_index(vectors: DataFrame, k: int, id_col: str = "vec_id", vector_col:
     v = v.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
     least = Window.partitionBy("v").orderBy("id")
     nodes = v.distinct().withColumn("_n", F.row_number().over(least)).filter(F.col("_n") <= k + 1)
-    nodes = settled(nodes.groupBy("v").agg(F.array_sort(F.collect_list("id")).alias("ids")).withColumn(
-        "norm2", F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)))
-    sizes = nodes.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n"), F.max("norm2").alias("longest"))
+    nodes = settled(nodes.groupBy("v").agg(F.array_sort(F.collect_list("id")).alias("ids")).select(
+        "v", "ids", F.size("v").alias("dim"), length_range("v").alias("range")))
+    sizes = nodes.groupBy("dim", "range").agg(F.count("*").alias("n"))
     sizes = sizes.withColumn("shards", F.ceil(F.col("n") / SHARD_ROWS).cast("int"))
-    dealt = nodes.withColumn("dim", F.size("v")).join(sizes, "dim").withColumn("shard", F.pmod(F.xxhash64("v"), F.col("shards")).cast("int"))
+    same = (F.col("dim") == F.col("_dim")) & (F.col("range") == F.col("_range"))
+    dealt = nodes.join(sizes.withColumnsRenamed({"dim": "_dim", "range": "_range"}), same).withColumn("shard", F.pmod(F.xxhash64("v"), F.col("shards")).cast("int"))
 
     def build(group: pa.Table) -> pa.Table:
         dim, n = group["dim"][0].as_py(), group.num_rows
         x = group["v"].combine_chunks().flatten().to_numpy().reshape(n, dim)
         order = np.lexsort(x.T[::-1])
         x, ids = x[order], group["ids"].combine_chunks().take(pa.array(order)).to_pylist()
-        scale = max(group["longest"][0].as_py(), 1e-300)
-        rest = np.sqrt(np.maximum(0, 1 - (x * x).sum(1) / scale))
-        graph = Graph.build(np.ascontiguousarray(np.column_stack([x / math.sqrt(scale), rest]), np.float32))
+        range_ = group["range"][0].as_py()
+        graph = Graph.build(_levelled(x, range_))
         return pa.table({
             "shard": pa.array([group["shard"][0].as_py()], pa.int32()), "dim": pa.array([dim], pa.int32()), "rows": pa.array([n], pa.int32()),
             "vectors": pa.array([x.astype("<f8").tobytes()], pa.binary()), "levels": pa.array([graph.levels.astype("<i4").tobytes()], pa.binary()),
             "neighbours": pa.array([[a.astype("<i4").tobytes() for a in graph.neighbours]], pa.list_(pa.binary())),
             "entry": pa.array([graph.entry], pa.int32()), "ids": pa.array([ids], pa.list_(pa.list_(pa.int64()))),
-            "scale": pa.array([scale], pa.float64())})
+            "range": pa.array([range_], pa.int32())})
 
     # A shard is much work for few bytes, so tasks are not merged by size.
     tasks = SPREAD * (sizes.agg(F.coalesce(F.sum("shards"), F.lit(1))).first()[0] or 1)
-    dealt = dealt.select("dim", "shard", "v", "ids", "longest").repartition(tasks, "dim", "shard")
-    return settled(dealt.groupBy("dim", "shard").applyInArrow(
-        build, "shard int, dim int, rows int, vectors binary, levels binary, neighbours array<binary>, entry int, ids array<array<bigint>>, scale double"))
+    dealt = dealt.select("dim", "range", "shard", "v", "ids").repartition(tasks, "dim", "range", "shard")
+    return settled(dealt.groupBy("dim", "range", "shard").applyInArrow(
+        build, "shard int, dim int, rows int, vectors binary, levels binary, neighbours array<binary>, entry int, ids array<array<bigint>>, range int"))
 
 
 def search(index: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -176,9 +196,9 @@ def search(index: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id",
         F.col(id_col).cast("bigint").alias("query_id"), F.col(vector_col).cast("array<double>").alias("v")).distinct()
     q = settled(q.withColumn("dim", F.size("v")))
     blocks = max(1, math.ceil(q.count() / QUERY_BLOCK))
-    shards = index.groupBy("dim").agg(F.max("shard").alias("last"))
+    shards = index.groupBy("dim", "range").agg(F.max("shard").alias("last")).withColumnRenamed("range", "_range")
     asked = q.join(shards, "dim").withColumn("block", F.pmod(F.xxhash64("query_id", "v"), F.lit(blocks)).cast("int"))
-    asked = asked.select("dim", F.explode(F.sequence(F.lit(0), "last")).alias("shard"), "block", "query_id", "v")
+    asked = asked.select("dim", F.col("_range").alias("range"), F.explode(F.sequence(F.lit(0), "last")).alias("shard"), "block", "query_id", "v")
     offered = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     out = "query_id bigint, vec_id bigint, score double"
 
@@ -187,16 +207,18 @@ def search(index: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id",
             return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         row = right.slice(0, 1).to_pylist()[0]
         x = np.frombuffer(row["vectors"], "<f8").reshape(row["rows"], row["dim"])
-        rest = np.sqrt(np.maximum(0, 1 - (x * x).sum(1) / row["scale"]))
-        graph = Graph(
-            np.ascontiguousarray(np.column_stack([x / math.sqrt(row["scale"]), rest]), np.float32), np.frombuffer(row["levels"], "<i4"),
-            [np.frombuffer(a, "<i4") for a in row["neighbours"]], row["entry"])
+        graph = None if row["rows"] <= WHOLE_ROWS else Graph(
+            _levelled(x, row["range"]), np.frombuffer(row["levels"], "<i4"), [np.frombuffer(a, "<i4") for a in row["neighbours"]], row["entry"])
         asked = left["v"].combine_chunks().flatten().to_numpy().reshape(left.num_rows, row["dim"])
         whose, found, scores = [], [], []
         for own, query in zip(left["query_id"].to_pylist(), asked):
-            unit = np.append(query / max(np.linalg.norm(query), 1e-300), 0).astype(np.float32)
-            near = graph.search(unit, max(SEARCH_WIDTH, k + 1), graph.descend(unit, 0), 0)
-            nodes = np.sort([i for _, i in near])
+            if graph is None:
+                nodes = np.arange(row["rows"])
+            else:
+                query_ = query / np.abs(query).max()
+                unit = np.append(query_ / np.linalg.norm(query_), 0).astype(np.float32)
+                near = graph.search(unit, max(SEARCH_WIDTH, k + 1), graph.descend(unit, 0), 0)
+                nodes = np.sort([i for _, i in near])
             exact = (x[nodes] * query).sum(1)
             listed = sorted((-s, i) for s, n in zip(exact.tolist(), nodes.tolist()) for i in row["ids"][n] if i != own)[:k]
             whose += [own] * len(listed)
@@ -204,7 +226,7 @@ def search(index: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id",
             scores += [-s for s, _ in listed]
         return pa.table({"query_id": pa.array(whose, pa.int64()), "vec_id": pa.array(found, pa.int64()), "score": pa.array(scores, pa.float64())})
 
-    by = ["dim", "shard", "block"]
+    by = ["dim", "range", "shard", "block"]
     tasks = SPREAD * blocks * max(1, index.count())
     found = asked.repartition(tasks, *by).groupBy(*by).cogroup(offered.repartition(tasks, *by).groupBy(*by)).applyInArrow(look, out)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

@@ -222,6 +222,36 @@ def test_neighbours_recall(spark):
     assert len(recall) == (ids % 20 == 0).sum() and np.mean(recall) > 0.95
 
 
+def clustered(rng, n=1500, dim=32):
+    centres = rng.normal(size=(40, dim))
+    return centres[rng.integers(0, 40, n)] + 0.4 * rng.normal(size=(n, dim))
+
+
+@pytest.mark.parametrize("kind", ["one 1e4", "one 1e6", "one 1e200", "log-normal", "tiny and huge"])
+def test_recall_whatever_the_lengths(spark, monkeypatch, kind):
+    """One shard of many rows is walked, not searched whole, beside vectors of quite other lengths."""
+    monkeypatch.setattr(hnsw, "WHOLE_ROWS", 50)
+    rng = np.random.default_rng(9)
+    x = clustered(rng)
+    if kind.startswith("one"):
+        x[7] *= float(kind.split()[1]) if "e200" not in kind else 1
+        if "e200" in kind:
+            x[7, 3] = 1e200
+    elif kind == "log-normal":
+        x *= rng.lognormal(0, 1, len(x))[:, None]
+    else:
+        x[:500] *= 1e-160
+        x[500:1000] *= 1e150
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id bigint, embedding array<double>")
+    got = hnsw.search(hnsw.build_index(df, k=20), df.filter("vec_id % 20 = 0"), k=20).toPandas()
+    recall = []
+    for q, own in got.groupby("query_id"):
+        s = (x * x[q]).sum(1)
+        s[q] = -np.inf
+        recall.append(len(set(np.argsort(-s, kind="stable")[:20]) & set(own["vec_id"])) / 20)
+    assert len(recall) == 75 and np.mean(recall) > 0.95, np.mean(recall)
+
+
 def test_no_vectors(spark):
     df = vectors(spark, [(1, None)])
     assert hnsw.search(hnsw.build_index(df, k=3), df, k=3).count() == 0
