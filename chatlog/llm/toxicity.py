@@ -154,7 +154,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Train on up to SAMPLE_DOCS documents by class, of at most SAMPLE_CHARS code points.
 
     Only rows with a label of 0 or 1, an id and a text serve; which of them is settled by a hash
-    of the id. The sample is bounded, so it is trained on the driver.
+    of the id. An id that several rows have serves with one of its texts. The sample is bounded, so it is
+    trained on the driver.
     """
     marked = labels.filter(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("_id"), F.col(label_col).alias("_y"))
     marked = marked.groupBy("_id").agg(F.max("_y").alias("_y"))
@@ -163,8 +164,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     able = texts.select("_id").join(marked, "_id").distinct()
     ids = able.withColumn("_n", F.row_number().over(first)).filter(
         F.col("_n") <= F.when(F.col("_y") == 1, SAMPLE_DOCS[1]).otherwise(SAMPLE_DOCS[0])).select("_id", "_y")
-    rows = sorted(texts.join(F.broadcast(ids), "_id").collect(), key=lambda r: (r["_id"], r["_text"]))  # few ids, short texts
-    return train([r["_text"] for r in rows], [int(r["_y"]) for r in rows])
+    chosen = texts.join(F.broadcast(ids), "_id").groupBy("_id").agg(  # one text an id: its least by digest
+        F.min_by("_text", F.struct(F.xxhash64("_text"), "_text")).alias("_text"), F.first("_y").alias("_y"))
+    rows = sorted(chosen.collect(), key=lambda r: (r["_id"], r["_text"]))
+    model = train([r["_text"] for r in rows], [int(r["_y"]) for r in rows])
+    if not all(np.isfinite(part).all() for part in vars(model).values() if isinstance(part, (float, np.ndarray))):
+        raise ValueError("the training diverged: a weight is not finite")
+    return model
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -177,7 +183,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     kept = [F.col(c) for c in (keep or [id_col])]
     rows = docs.select(*kept, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_scored_text"))
     out = map_texts(rows, lambda: Scorer(sent.value), "_score double")
-    score = F.when(F.isnan("_score"), 0.0).otherwise(F.col("_score"))
+    score = F.col("_score")
     return out.select(*rows.columns[:-1], score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
 
 

@@ -276,3 +276,21 @@ def test_toxicity_fit(spark, toxic_data):
     assert (np.array(toxicity.Scorer(model)(texts)[0]) >= 0.5).astype(int).tolist() == pytest.approx(labels, abs=1)
     empty = toxicity.fit(df, spark.createDataFrame([], "doc_id bigint, toxic int"))
     assert [r["predicted"] for r in toxicity.score(docs(spark, [(1, "a b")]), empty).collect()] == [0]
+
+
+def test_sample_of_a_repeated_id_is_bounded(spark, monkeypatch):
+    """An id of many rows serves with one text, the same whatever their order; null labels and ids do not serve."""
+    rows = [(1, f"text number {i} of one id") for i in range(5000)] + [(2, "another"), (None, "no id"), (3, None)]
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, labels: seen.append((texts, labels)) or toxicity.Model(np.zeros(2), 0.0))
+    labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (3, 1), (None, 1), (4, None)], "doc_id bigint, toxic int")
+    for order in (rows, rows[::-1]):
+        toxicity.fit(spark.createDataFrame(order, "doc_id bigint, text string"), labels)
+    assert seen[0] == seen[1] and seen[0][1] == [1, 0] and seen[0][0][1] == "another"
+
+
+def test_a_diverged_model_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "train", lambda texts, labels: toxicity.Model(np.array([0.0, np.nan]), 0.0))
+    df = spark.createDataFrame([(1, "a")], "doc_id bigint, text string")
+    with pytest.raises(ValueError, match="not finite"):
+        toxicity.fit(df, spark.createDataFrame([(1, 1)], "doc_id bigint, toxic int"))
