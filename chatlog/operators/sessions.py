@@ -26,7 +26,6 @@ def history_hash(conv: DataFrame) -> DataFrame:
     """
     hashed = conv.select("conv_id", "turn", message_digest("turn", "role", "text").alias("_d"))
     lanes = hashed.select("conv_id", "turn", *[digest_lane("_d", i).alias(f"own{i}") for i in range(len(LANES))])
-    lanes = settled(lanes)  # the texts are read and hashed once
     run = block_scan(
         lanes, ["conv_id"], ["turn"],
         sums={"n_messages": F.lit(1).cast("bigint"), **{lane: F.col(f"own{i}") for i, lane in enumerate(LANES)}},
@@ -52,18 +51,27 @@ def session_continuity(
     `append`: it matches if its history begins with that list. The first request of a
     key matches nothing. Token limits are not looked at here.
     """
+    rows, hashes = _with_hashes(requests, conv, mode)
+    return _matched(rows, hashes, requests.columns, mode, block)
+
+
+def _with_hashes(requests: DataFrame, conv: DataFrame, mode: str) -> tuple[DataFrame, DataFrame]:
+    """Requests with the digests of their lists, written once, and the digests of all lists."""
     if mode not in ("strict", "append"):
         raise ValueError(f"mode must be 'strict' or 'append', not {mode!r}")
     hashes = settled(history_hash(conv)) if mode == "append" else history_hash(conv)
-    rows = requests.join(hashes, ["conv_id", "turn"])
+    # Narrow rows: ids, counts and hashes, read again by every later pass.
+    return settled(requests.join(hashes, ["conv_id", "turn"])), hashes
+
+
+def _matched(rows: DataFrame, hashes: DataFrame, columns: list[str], mode: str, block: Column | str) -> DataFrame:
     used = F.col("prompt_tokens").isNotNull()
     left = F.struct(
         F.when(used, F.col("list_hash")).otherwise(F.col("history_hash")).alias("hash"),
         F.when(used, F.col("n_messages")).otherwise(F.col("n_messages") - 1).alias("n"),
     )
-    # Narrow rows: ids, counts and hashes, read again by every later pass.
-    rows = block_scan(settled(rows), KEYS, ["request_id"], block, lags={"_left": left})
-    columns = [*requests.columns, "n_messages", "list_hash", "history_hash"]
+    rows = block_scan(rows, KEYS, ["request_id"], block, lags={"_left": left})
+    columns = [*columns, "n_messages", "list_hash", "history_hash"]
     stored, history = F.col("_left.hash"), F.col("n_messages") - 1
     if mode == "strict":
         matches = F.coalesce(stored == F.col("history_hash"), F.lit(False))
@@ -100,9 +108,10 @@ def session_history(
     A request that does not match begins a new session whatever the tokens; one that
     does still begins one after the token limit.
     """
-    checked = session_continuity(requests, conv, mode, block)
+    rows, hashes = _with_hashes(requests, conv, mode)
+    checked = _matched(rows, hashes, requests.columns, mode, block)
     run = session_rollover(
-        checked, KEYS, ["request_id"], "prompt_tokens", block, limit, breaks=~F.col("matches")
+        checked, KEYS, ["request_id"], "prompt_tokens", block, limit, breaks=~F.col("matches"), counted=rows
     )
     return run.withColumn("reused", ~F.col("starts")).drop("matches", "starts")
 

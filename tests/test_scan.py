@@ -5,9 +5,11 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from chatlog.operators import concurrency, rollover, scan, usage
+from chatlog import session
+from chatlog.operators import concurrency, rollover, scan, sessions, usage
 from chatlog.operators.changes import apply_changes
 from chatlog.operators.skew import salted_join
+from chatlog.plans import inputs
 
 
 def skewed(n=400, seed=1):
@@ -122,6 +124,35 @@ def test_rollover(spark, monkeypatch, limit, gather, cells):
     assert {(r.k, r.o): (r.generation, r.session_tokens) for r in got} == folded(rows, limit, breaks)
 
 
+@pytest.mark.parametrize("seed, limit, fan", [(1, 7, 2), (2, 0, 2), (3, 19, 3), (4, 40, 2)])
+def test_rollover_by_a_tree(spark, monkeypatch, seed, limit, fan):
+    """Many levels of step functions, with stretches in between that hold no request."""
+    monkeypatch.setattr(rollover, "FAN", fan)
+    rng = random.Random(seed)
+    rows = [(k, o, v if rng.random() < 0.95 else 500) for k, o, v in skewed(n=300, seed=seed)]
+    df = spark.createDataFrame(rows, "k long, o long, v long")
+    got = rollover.session_rollover(df, ["k"], ["o"], "v", limit=limit, gather=0, cells=1).collect()
+    assert {(r.k, r.o): (r.generation, r.session_tokens) for r in got} == folded(rows, limit)
+
+
+def test_rollover_of_no_rows(spark):
+    df = spark.createDataFrame([], "k long, o long, v long")
+    assert rollover.session_rollover(df, ["k"], ["o"], "v").collect() == []
+
+
+def test_session_history_writes_two_tables(spark, sf_dir, monkeypatch):
+    get, written = inputs.open_inputs(spark, sf_dir), []
+    requests, conversations = get("requests"), get("conversations")
+    for module in (sessions, scan, rollover):
+        monkeypatch.setattr(module, "settled", lambda df: written.append(df) or session.settled(df))
+    history = sessions.session_history(requests, conversations, limit=100)
+    rows = sorted(map(tuple, history.collect()))
+    assert len(written) == 2
+    monkeypatch.setattr(rollover.session_rollover, "__defaults__", tuple(5 if d == rollover.GATHER else d for d in rollover.session_rollover.__defaults__))
+    assert sorted(map(tuple, sessions.session_history(requests, conversations, limit=100).select(*history.columns).collect())) == rows
+    assert len(written) > 6
+
+
 def test_rollover_golden(spark):
     rows = [(1, 1, 60000), (1, 2, 30000), (1, 3, 10), (2, 1, 80000), (2, 2, 10)]
     df = spark.createDataFrame(rows, "k long, o long, v long")
