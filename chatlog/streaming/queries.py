@@ -11,17 +11,20 @@ import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from chatlog import fixed
-from chatlog.session import options, scratch_path, settled
+from chatlog.session import options, scratch, scratch_path, settled
 from chatlog.streaming.processors import STORE, SegmentProcessor
 from chatlog.streaming.readers import COUNTS, CutReader, InOrder, LineReader
 
 PATIENCE_MS = 60 * 60 * 1000
 STATE = "state string"
+# How Spark names the folder of rows without a day.
+NULL_DAY = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _keyed(
@@ -274,24 +277,45 @@ def write_stream(
         return writer.trigger(**trigger).start()
 
 
+def _days_there(spark: SparkSession, path: str, schema: T.StructType, days: list) -> DataFrame | None:
+    """The rows of these days in the log, None if there are none; only folders of these days are listed."""
+    names = [NULL_DAY if d is None else d.isoformat() for d in days]
+    try:
+        return spark.read.schema(schema).option("basePath", path).parquet(f"{path}/day={{{','.join(names)}}}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def append_logs(logs: DataFrame, path: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
     """The log sink: every id once, partitioned by day, however late a row comes.
 
-    Copies have equal times, so a micro-batch is compared with the days it touches only. The
-    comparison also makes a repeated micro-batch harmless. Rows without an id are all kept.
+    Copies have equal times, so a micro-batch is compared with the days it touches only: the ids there that
+    it has too are looked up, which shuffles nothing while the ids of a micro-batch can be broadcast, and taken out.
+    Rows without an id are all kept. Each row says in `written_by` which run and micro-batch wrote it, so of a
+    micro-batch that is repeated, as after a lost driver, only the rows that are missing are written, with or
+    without id. Nothing is left in the shared folder.
     """
     spark = logs.sparkSession
-    dated = logs.withColumn("day", F.to_date("created_at"))
+    dated = logs.withColumn("written_by", F.lit("")).withColumn("day", F.to_date("created_at"))
     spark.createDataFrame([], dated.schema).write.mode("ignore").partitionBy("day").parquet(path)
 
     def save(batch: DataFrame, number: int) -> None:
-        batch = settled(batch)
-        named = batch.filter(F.col("id").isNotNull()).dropDuplicates(["id"])
-        days = batch.select(F.col("day").alias("_day")).distinct()
-        there = batch.sparkSession.read.schema(dated.schema).parquet(path).select(F.col("id").alias("_id"), "day")
-        there = there.join(days, F.col("day").eqNullSafe(F.col("_day")), "left_semi").select("_id")
-        new = named.join(there, F.col("id") == F.col("_id"), "left_anti").unionByName(batch.filter(F.col("id").isNull()))
-        new.hint("rebalance", F.col("day")).write.mode("append").partitionBy("day").parquet(path)
+        with scratch(batch.sparkSession) as session:
+            run = session.read.schema("id string").json(f"{checkpoint}/metadata").first()[0]
+            mark = f"{run}:{number}"
+            new = settled(batch.withColumn("written_by", F.lit(mark)))
+            named, nameless = new.filter(F.col("id").isNotNull()).dropDuplicates(["id"]), new.filter(F.col("id").isNull())
+            days = [r.day for r in new.select("day").distinct().collect()]
+            there = _days_there(session, path, dated.schema, days) if days else None
+            if there is not None:
+                known = settled(there.join(named.select("id"), "id", "left_semi").select("id"))
+                named = named.join(known, "id", "left_anti")
+                repeated = there.filter((F.col("written_by") == mark) & F.col("id").isNull())
+                nameless = nameless.exceptAll(repeated.select(*nameless.columns))
+            rows = named.unionByName(nameless).hint("rebalance", F.col("day"))
+            rows.write.mode("append").partitionBy("day").parquet(path)
 
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
     return dated.writeStream.option("checkpointLocation", checkpoint).foreachBatch(save).trigger(**trigger).start()

@@ -1,7 +1,9 @@
 """State machines and streaming operators against their batch forms."""
 
 import json
+import os
 import random
+import shutil
 
 import pytest
 
@@ -11,7 +13,7 @@ from chatlog.operators import events
 from chatlog.plans import inputs, replay
 from chatlog.sources import tables
 from chatlog.streaming import queries as streams
-from chatlog.session import options
+from chatlog.session import options, shared_dir
 from chatlog.streaming.readers import CutReader, InOrder, LineReader, MarkerReader, SegmentReader
 
 TEXTS = [
@@ -177,6 +179,35 @@ def test_log_sink_keeps_late_rows(spark, tmp_path):
     assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == list(range(30))
 
 
+def test_log_sink_repeats_a_batch(spark, tmp_path):
+    """A micro-batch run again adds nothing, rows without id included, and mends what it had left out."""
+    schema = "id long, note string, created_at timestamp_ntz"
+    rows = [(1, "a"), (None, "x"), (None, "x"), (None, "y"), (2, "b")]
+    days = ["2024-03-01 10:00:00", "2024-03-02 10:00:00", None]
+    for n in range(2):
+        df = spark.createDataFrame([(i, note, at) for i, note in rows for at in days[n:]], "id long, note string, at string")
+        df = df.select(F.when(F.col("id").isNotNull(), F.col("id") + n * 10).alias("id"), "note", F.col("at").cast("timestamp_ntz").alias("created_at"))
+        df.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+
+    def run(out, checkpoint):
+        streams.append_logs(stream, str(tmp_path / out), str(tmp_path / checkpoint)).awaitTermination()
+        return sorted(map(str, spark.read.parquet(str(tmp_path / out)).select("id", "note", "created_at", "day").collect()))
+
+    left = set(os.listdir(shared_dir(spark)))
+    want = run("out", "checkpoint")
+    assert sum("id=None" in r for r in want) == 15 and len(want) == 19  # ids once, whatever their day
+    shutil.copytree(tmp_path / "checkpoint", tmp_path / "again", ignore=lambda folder, names: [n for n in names if folder.endswith("commits") and "1" in n])
+    assert run("out", "again") == want
+    written = spark.read.parquet(str(tmp_path / "out")).filter("written_by LIKE '%:1'").select("_metadata.file_name").distinct()
+    lost = written.first()[0]
+    shutil.copytree(tmp_path / "out", tmp_path / "torn", ignore=lambda folder, names: [n for n in names if lost in n])
+    assert spark.read.parquet(str(tmp_path / "torn")).count() < len(want)
+    shutil.copytree(tmp_path / "again", tmp_path / "third", ignore=lambda folder, names: [n for n in names if folder.endswith("commits") and "1" in n])
+    assert run("torn", "third") == want
+    assert set(os.listdir(shared_dir(spark))) == left
+
+
 def test_gap_at_the_end_is_an_error(spark):
     lines = spark.createDataFrame([("a", 0, "event: message"), ("a", 2, 'data: {"content":"x"}'), ("b", 0, "event: finish"), ("b", 1, "data: {}")],
                                   "response_id string, line_no long, line string")
