@@ -48,7 +48,7 @@ SELECT epoch_us(date_trunc('hour', created_at)) AS bucket_us, endpoint, count(*)
        CAST(coalesce(sum(completion_tokens), 0) AS BIGINT) AS completion_tokens
 FROM request_logs GROUP BY ALL"""
 SQL["usage_trend_hourly"] = TREND.format(errors="count(*) FILTER (WHERE status = 'error') AS errors,")
-SQL["stream_usage_trend"] = TREND.format(errors="")
+SQL["stream_usage_trend"] = SQL["stream_usage_trend_late"] = TREND.format(errors="")
 SQL["request_health"] = """
 SELECT endpoint, count(*) AS requests, count(*) FILTER (WHERE status = 'error') AS errors,
        count(*) FILTER (WHERE status = 'success' AND prompt_tokens IS NULL) AS suspect_success,

@@ -544,7 +544,7 @@ def stream_live_usage(spark, sf_dir):
     path = scratch_path(spark, "live-usage")
     streams.append_logs(logs, f"{path}/logs", f"{path}/logs-checkpoint").awaitTermination()
     written = spark.readStream.schema(spark.read.parquet(f"{path}/logs").schema).parquet(f"{path}/logs")
-    streams.write_updates(streams.live_usage(written), f"{path}/usage", f"{path}/usage-checkpoint").awaitTermination()
+    streams.write_updates(streams.live_usage(written), f"{path}/usage", f"{path}/usage-checkpoint", ["account_id"]).awaitTermination()
     latest = streams.latest_rows(spark, f"{path}/usage", ["account_id"])
     return latest.select(
         "account_id",
@@ -568,13 +568,24 @@ def stream_usage_trend(spark, sf_dir):
     logs = inputs.derived(spark, sf_dir, "request_logs", {"events": events_stream})
     path = scratch_path(spark, "live-trend")
     trend = streams.live_usage_trend(logs)
-    streams.write_updates(trend, f"{path}/trend", f"{path}/checkpoint").awaitTermination()
+    streams.write_updates(trend, f"{path}/trend", f"{path}/checkpoint", ["bucket", "endpoint"]).awaitTermination()
     latest = streams.latest_rows(spark, f"{path}/trend", ["bucket", "endpoint"])
     return latest.select(
         F.unix_micros("bucket").alias("bucket_us"), "endpoint", "requests", "prompt_tokens", "completion_tokens"
     )
 
 
+@stream_query
+def stream_usage_trend_late(spark, sf_dir):
+    """Logs newest first, so that all but the newest step come late: they correct the trend."""
+    logs = inputs.derived(spark, sf_dir, "request_logs").withColumn("_age", -F.unix_micros(F.col("created_at").cast("timestamp")))
+    path = scratch_path(spark, "late-trend")
+    stream = replay.replayed(logs, "_age", slices=4).drop("_age")
+    streams.write_usage_trend(stream, f"{path}/trend", f"{path}/checkpoint").awaitTermination()
+    trend = streams.read_usage_trend(spark, f"{path}/trend")
+    return trend.select(F.unix_micros("bucket").alias("bucket_us"), "endpoint", "requests", "prompt_tokens", "completion_tokens")
+
+
 def _line_stream(spark, sf_dir):
     lines = inputs.event_lines(inputs.derived(spark, sf_dir, "chunks"))
     return replay.replayed(lines, "line_no", slices=3)

@@ -18,6 +18,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from chatlog import fixed
 from chatlog.session import options, scratch, scratch_path, settled
+from chatlog.streaming import levels
 from chatlog.streaming.processors import STORE, SegmentProcessor
 from chatlog.streaming.readers import COUNTS, CutReader, InOrder, LineReader
 
@@ -255,7 +256,7 @@ def live_usage(logs: DataFrame) -> DataFrame:
 
 
 def live_usage_trend(logs: DataFrame, bucket: str = "1 hour", late: str = "1 hour") -> DataFrame:
-    """Requests and tokens per tumbling window and endpoint; later rows are dropped."""
+    """Requests and tokens per tumbling window and endpoint; later rows are dropped, `write_usage_trend` keeps them."""
     timed = logs.withColumn("created_at", F.col("created_at").cast("timestamp")).withWatermark("created_at", late)
     return timed.groupBy(F.window("created_at", bucket).alias("w"), "endpoint").agg(
         F.count("*").alias("requests"),
@@ -330,14 +331,24 @@ def append_session_changes(changes: DataFrame, path: str, checkpoint: str, inter
     return write_stream(changes, path, checkpoint, interval=interval)
 
 
+def _newest(rows: DataFrame, keys: list[str]) -> DataFrame:
+    columns = [c for c in rows.columns if c not in keys]
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*columns), "batch").alias("row"))
+    return newest.select(*[F.col(c) if c in keys else F.col("row")[c].alias(c) for c in rows.columns])
+
+
 def write_updates(
-    stream: DataFrame, path: str, checkpoint: str, interval: str | None = None
+    stream: DataFrame, path: str, checkpoint: str, keys: list[str], interval: str | None = None
 ) -> StreamingQuery:
-    """Keep the changed rows of an aggregate, one directory per micro-batch."""
+    """Keep the changed rows of an aggregate over `keys`, merged in levels (`streaming.levels`).
+
+    `path` belongs to `checkpoint`: a repeated micro-batch writes its own folder again.
+    """
+    spark = stream.sparkSession
+    levels.begin(spark, path, T.StructType([*stream.schema, T.StructField("batch", T.LongType())]))
 
     def save(batch: DataFrame, number: int) -> None:
-        # A repeated micro-batch writes its own directory again.
-        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        levels.add(batch.withColumn("batch", F.lit(number).cast("bigint")), path, number, lambda rows: _newest(rows, keys))
 
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
     return (
@@ -348,10 +359,50 @@ def write_updates(
 
 def latest_rows(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     """The newest row of each key from what `write_updates` wrote."""
-    rows = spark.read.parquet(path)
-    columns = [c for c in rows.columns if c not in (*keys, "batch")]
-    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*columns), "batch").alias("row"))
-    return newest.select(*keys, "row.*")
+    return _newest(levels.read(spark, path), keys).drop("batch")
+
+
+TREND = ["requests", "prompt_tokens", "completion_tokens", "late_requests"]
+
+
+def _trend_sums(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("bucket", "endpoint").agg(*[F.sum(c).alias(c) for c in TREND], F.max("seen").alias("seen"))
+
+
+def write_usage_trend(
+    logs: DataFrame, path: str, checkpoint: str, bucket: str = "1 hour", late: str = "1 hour", interval: str | None = None
+) -> StreamingQuery:
+    """The usage trend with all rows, however late, and how many of them were late.
+
+    Each micro-batch adds its sums per bucket and endpoint, merged in levels, so there is no state and nothing
+    to drop. A row is late if its bucket had ended `late` before the newest time of earlier micro-batches, when a
+    trend with that watermark would have closed it; it is counted and corrects the trend. Rows without
+    `created_at` belong to no bucket.
+    """
+    spark = logs.sparkSession
+    kinds = "bucket timestamp, endpoint string, " + ", ".join(f"{c} bigint" for c in TREND) + ", seen timestamp"
+    levels.begin(spark, path, T.StructType.fromDDL(kinds))
+
+    def save(batch: DataFrame, number: int) -> None:
+        newest = levels.read(batch.sparkSession, path, before=number).agg(
+            F.unix_micros(F.max("seen") - F.expr(f"INTERVAL {late}"))).first()[0]
+        window = F.window(F.col("created_at").cast("timestamp"), bucket)
+        behind = F.lit(False) if newest is None else F.col("w.end") <= F.timestamp_micros(F.lit(newest))
+        sums = batch.withColumn("w", window).groupBy("w", "endpoint").agg(
+            F.count("*").alias("requests"),
+            *[F.coalesce(F.sum(c), F.lit(0).cast("bigint")).alias(c) for c in ("prompt_tokens", "completion_tokens")],
+            F.max(F.col("created_at").cast("timestamp")).alias("seen"),
+        )
+        counted = F.when(behind, F.col("requests")).otherwise(0).cast("bigint").alias("late_requests")
+        levels.add(sums.select(F.col("w.start").alias("bucket"), "endpoint", *TREND[:-1], counted, "seen"), path, number, _trend_sums)
+
+    trigger = {"processingTime": interval} if interval else {"availableNow": True}
+    return logs.writeStream.option("checkpointLocation", checkpoint).foreachBatch(save).trigger(**trigger).start()
+
+
+def read_usage_trend(spark: SparkSession, path: str) -> DataFrame:
+    """(bucket, endpoint, requests, prompt_tokens, completion_tokens, late_requests) so far."""
+    return _trend_sums(levels.read(spark, path)).drop("seen")
 
 
 def held_rows(spark: SparkSession, checkpoint: str) -> int:

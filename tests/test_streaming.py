@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from chatlog.operators import events
 from chatlog.plans import inputs, replay
 from chatlog.sources import tables
-from chatlog.streaming import queries as streams
+from chatlog.streaming import levels, queries as streams
 from chatlog.session import options, shared_dir
 from chatlog.streaming.readers import CutReader, InOrder, LineReader, MarkerReader, SegmentReader
 
@@ -208,6 +208,50 @@ def test_log_sink_repeats_a_batch(spark, tmp_path):
     assert set(os.listdir(shared_dir(spark))) == left
 
 
+def test_levels_hold_few_folders(spark, tmp_path):
+    """Twenty micro-batches, some empty, at a fan of two: sums and counts right after each, few folders, one repeated."""
+    path, want, most = str(tmp_path / "t"), {}, 0
+    schema = "k long, n long, seen long"
+
+    def merge(rows):
+        return rows.groupBy("k").agg(F.sum("n").alias("n"), F.max("seen").alias("seen"))
+
+    def add(number):
+        rows = [] if number in (3, 4, 5) else [(number % 3, 2 ** number, number)]
+        levels.add(spark.createDataFrame(rows, schema).coalesce(1), path, number, merge, fan=2)
+        return rows
+
+    levels.begin(spark, path, spark.createDataFrame([], schema).schema)
+    for number in range(20):
+        for k, n, _ in add(number):
+            want[k] = want.get(k, 0) + n
+        if number in (7, 12):
+            add(number)
+        got = levels.read(spark, path, fan=2)
+        files = got.inputFiles()
+        most = max(most, len({f.rsplit("/", 1)[0] for f in files}))
+        assert {r.k: r.n for r in merge(got).collect()} == want
+        earlier = merge(levels.read(spark, path, fan=2, before=number)).agg(F.sum("n"), F.max("seen")).first()
+        assert earlier[0] == (sum(2 ** i for i in range(number) if i not in (3, 4, 5)) or None)
+    assert most <= 6  # one for each of five levels, and the empty one
+    assert len({file.parent for file in (tmp_path / "t").rglob("*.parquet")}) <= 5 * 4 + 1  # four slots a level
+
+
+def test_late_rows_correct_the_trend(spark, tmp_path):
+    rows = [(0, "2024-03-01 12:30:00", 5), (0, "2024-03-01 12:10:00", None), (1, "2024-03-01 11:30:00", 1), (1, "2024-03-01 10:59:59", 2),
+            (2, "2024-03-01 10:00:00", 4), (2, "2024-03-01 12:59:00", 8), (2, None, 16)]
+    for n in range(3):
+        df = spark.createDataFrame([(at, v) for i, at, v in rows if i == n], "at string, v long").coalesce(1)
+        df.select(F.col("at").cast("timestamp_ntz").alias("created_at"), F.lit("/c").alias("endpoint"), F.col("v").alias("prompt_tokens"),
+                  F.col("v").alias("completion_tokens")).write.mode("append").parquet(str(tmp_path / "in"))
+    schema = spark.read.parquet(str(tmp_path / "in")).schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    streams.write_usage_trend(stream, str(tmp_path / "out"), str(tmp_path / "checkpoint")).awaitTermination()
+    got = {r.bucket.hour: tuple(r)[2:] for r in streams.read_usage_trend(spark, str(tmp_path / "out")).collect()}
+    # 12:30 less an hour is 11:30: the hour from 10 had closed, the hour from 11 had not.
+    assert got == {12: (3, 13, 13, 0), 11: (1, 1, 1, 0), 10: (2, 6, 6, 2)}
+
+
 def test_gap_at_the_end_is_an_error(spark):
     lines = spark.createDataFrame([("a", 0, "event: message"), ("a", 2, 'data: {"content":"x"}'), ("b", 0, "event: finish"), ("b", 1, "data: {}")],
                                   "response_id string, line_no long, line string")
