@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterable
+
 import numpy as np
 
 SLOTS, KICKS, LOAD = 4, 200, 0.8
@@ -18,30 +21,53 @@ def _other(fp: np.ndarray) -> np.ndarray:
 
 
 class Shard:
-    """A filter of one shard; keys that find no place go to an exact stash."""
+    """A filter of one shard; keys that find no place go to an exact stash, with their number."""
 
-    def __init__(self, slots: np.ndarray, stash: list[int]):
-        self.slots, self.stash = slots, stash  # slots: buckets x SLOTS, 0 is free
+    def __init__(self, slots: np.ndarray, stash: Iterable[int] = ()):
+        self.slots, self.stash = slots, Counter(stash)  # slots: buckets x SLOTS, 0 is free
 
     @classmethod
     def sized(cls, keys: int) -> "Shard":
         buckets = 1 << max(2, int(np.ceil(np.log2(max(1, keys) / (SLOTS * LOAD)))))
-        return cls(np.zeros((buckets, SLOTS), np.uint16), [])
+        return cls(np.zeros((buckets, SLOTS), np.uint16))
 
-    def _places(self, h: int) -> tuple[int, int, int]:
-        one = np.array([h], np.int64)
-        fp = _print_of(one)
-        first = (h & 0xFFFFFFFFFFFF) & (len(self.slots) - 1)
-        return int(fp[0]), first, (first ^ int(_other(fp)[0])) & (len(self.slots) - 1)
+    @property
+    def held(self) -> int:
+        return int(np.count_nonzero(self.slots)) + self.stash.total()
 
-    def insert(self, h: int) -> None:
-        fp, a, b = self._places(h)
-        for at in (a, b):
-            free = np.flatnonzero(self.slots[at] == 0)
-            if len(free):
-                self.slots[at, free[0]] = fp
-                return
-        path, at = [], a
+    def _places(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Fingerprints, and both buckets of each."""
+        fp, mask = _print_of(h), len(self.slots) - 1
+        first = (h & 0xFFFFFFFFFFFF) & mask
+        return fp, first, (first ^ _other(fp).astype(np.int64)) & mask
+
+    def _fill(self, fp: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Put fingerprints into free slots of their buckets; true for those that are left over."""
+        order = np.argsort(at, kind="stable")
+        begun = np.r_[True, at[order][1:] != at[order][:-1]]
+        rank = np.empty(len(at), np.int64)
+        rank[order] = np.arange(len(at)) - np.maximum.accumulate(np.where(begun, np.arange(len(at)), 0))
+        taken = self.slots[at] != 0
+        fits = rank < SLOTS - taken.sum(1)
+        slot = np.argsort(taken, axis=1, kind="stable")[fits, rank[fits]]
+        self.slots[at[fits], slot] = fp[fits]
+        return ~fits
+
+    def insert(self, keys: np.ndarray) -> None:
+        """All of `keys`: in their first buckets, in their second ones, and the few left over by kicks."""
+        h = np.ascontiguousarray(keys, np.int64)
+        if not len(h):
+            return
+        fp, first, second = self._places(h)
+        left = np.flatnonzero(self._fill(fp, first))
+        if len(left):
+            left = left[self._fill(fp[left], second[left])]
+        for i in left:
+            if not self._kick(int(fp[i]), int(first[i])):
+                self.stash[int(h[i])] += 1
+
+    def _kick(self, fp: int, at: int) -> bool:
+        path = []
         for kick in range(KICKS):
             slot = kick % SLOTS
             path.append((at, slot))
@@ -50,22 +76,24 @@ class Shard:
             free = np.flatnonzero(self.slots[at] == 0)
             if len(free):
                 self.slots[at, free[0]] = fp
-                return
+                return True
         for at, slot in reversed(path):  # put everything back: a fingerprint has no key to stash
             fp, self.slots[at, slot] = int(self.slots[at, slot]), fp
-        self.stash.append(h)
-
-    def delete(self, h: int) -> None:
-        """Take out a key that was inserted before."""
-        if h in self.stash:
-            self.stash.remove(h)
-            return
-        fp, a, b = self._places(h)
-        for at in (a, b):
-            there = np.flatnonzero(self.slots[at] == fp)
-            if len(there):
-                self.slots[at, there[0]] = 0
-                return
+        return False
+
+    def delete(self, keys: np.ndarray) -> None:
+        """Take out keys that were inserted before."""
+        h = np.ascontiguousarray(keys, np.int64)
+        for key, fp, *buckets in zip(h.tolist(), *(part.tolist() for part in self._places(h))):
+            if self.stash[key]:
+                self.stash[key] -= 1
+                continue
+            for at in buckets:
+                there = np.flatnonzero(self.slots[at] == fp)
+                if len(there):
+                    self.slots[at, there[0]] = 0
+                    break
+        self.stash = +self.stash
 
     def contains(self, h: np.ndarray) -> np.ndarray:
         return Bank({0: self}).contains(np.zeros(len(h), np.int64), h)

@@ -3,7 +3,8 @@
 An index keeps, exactly, which documents hold which line keys, and how many do. Keys held by
 at least `min_docs` documents are also in cuckoo filters, one per shard of the key space.
 Documents can be inserted and deleted; both change the counts of the keys they hold, and keys
-that cross the threshold enter or leave the filters. Lookups ask the filters first, so only
+that cross the threshold enter or leave the filters; a filter that gets too full is built again, twice
+as large, from the counts. Lookups ask the filters first, so only
 lines that may be shared meet the exact counts.
 """
 
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from chatlog.llm.common import ascii_lower, join_docs, keyed
-from chatlog.llm.cuckoo import Bank, Shard
+from chatlog.llm.cuckoo import LOAD, Bank, Shard
 from chatlog.session import settled
 
 MIN_CHARS, MIN_DOCS, SHARDS = 20, 3, 1024
@@ -26,6 +27,7 @@ SEND_BYTES = 64 << 20
 #: White space that a key leaves out at both ends.
 BLANK = " \t\n\x0b\x0c\r"
 KEY = ["h1", "h2"]
+FILTERS = "shard int, slots binary, stash array<bigint>, held bigint"
 
 
 def _lines(text: Column) -> Column:
@@ -43,7 +45,10 @@ def _keys(docs: DataFrame, min_chars: int) -> DataFrame:
 
 @dataclass(frozen=True)
 class LineIndex:
-    """refs (h1, h2, doc), counts (h1, h2, n, last) and filters (shard, slots, stash), in the shared folder."""
+    """refs (h1, h2, doc), counts (h1, h2, n, last) and filters (shard, slots, stash, held), in the shared folder.
+
+    Ids are of type `id_type`, all whole numbers `bigint`; the greatest is meant in the order of that type.
+    """
 
     refs: DataFrame
     counts: DataFrame
@@ -51,17 +56,19 @@ class LineIndex:
     shards: int = SHARDS
     min_chars: int = MIN_CHARS
     min_docs: int = MIN_DOCS
+    id_type: str = "bigint"
 
     @classmethod
-    def empty(cls, spark: SparkSession, **sizes) -> "LineIndex":
+    def empty(cls, spark: SparkSession, id_type: str = "bigint", **sizes) -> "LineIndex":
         made = lambda schema: spark.createDataFrame([], schema)
-        return cls(made("h1 bigint, h2 int, doc bigint"), made("h1 bigint, h2 int, n bigint, last bigint"),
-                   made("shard int, slots binary, stash array<bigint>"), **sizes)
+        id_type = "bigint" if id_type in ("tinyint", "smallint", "int") else id_type
+        return cls(made(f"h1 bigint, h2 int, doc {id_type}"), made(f"h1 bigint, h2 int, n bigint, last {id_type}"),
+                   made(FILTERS), id_type=id_type, **sizes)
 
     def insert(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> "LineIndex":
         """With the lines of these documents. A document without id is not counted; one that is in already counts once."""
         pairs = _keys(keyed(docs.filter(F.col(id_col).isNotNull()), id_col, text_col), self.min_chars)
-        pairs = pairs.select(*KEY, F.col("_id").cast("bigint").alias("doc")).distinct()
+        pairs = pairs.select(*KEY, F.col("_id").cast(self.id_type).alias("doc")).distinct()
         fresh = not self.refs.take(1)
         pairs = settled(pairs if fresh else pairs.join(self.refs, [*KEY, "doc"], "left_anti"))
         more = pairs.groupBy(*KEY).agg(F.count("*").alias("n"), F.max("doc").alias("last"))
@@ -72,11 +79,11 @@ class LineIndex:
             counts = settled(both.groupBy(*KEY).agg(F.sum("n").alias("n"), F.max("last").alias("last"), F.sum("_was").alias("_was")))
         risen = counts.filter((F.col("n") >= self.min_docs) & (F.col("_was") < self.min_docs))
         return replace(self, refs=pairs if fresh else self.refs.unionByName(pairs), counts=counts.drop("_was"),
-                       filters=self._changed(risen.select(*KEY, F.lit(True).alias("enter"))))
+                       filters=self._changed(risen.select(*KEY, F.lit(True).alias("enter")), None if fresh else counts))
 
     def delete(self, ids: DataFrame) -> "LineIndex":
         """Without the documents whose ids are in the one column of `ids`: as if they had never been inserted."""
-        gone = ids.select(F.col(ids.columns[0]).cast("bigint").alias("doc")).distinct()
+        gone = ids.select(F.col(ids.columns[0]).cast(self.id_type).alias("doc")).distinct()
         lost = settled(self.refs.join(gone, "doc", "left_semi").select(*KEY).distinct())
         refs = settled(self.refs.join(gone, "doc", "left_anti").select(*KEY, "doc"))
         left = refs.join(lost, KEY, "left_semi").groupBy(*KEY).agg(F.count("*").alias("n"), F.max("doc").alias("last"))
@@ -88,24 +95,31 @@ class LineIndex:
     def _shard(self) -> Column:
         return F.pmod(F.col("h2"), F.lit(self.shards)).cast("int").alias("shard")
 
-    def _changed(self, keys: DataFrame) -> DataFrame:
-        """The filters after keys have entered or left."""
-        schema = "shard int, slots binary, stash array<bigint>"
+    def _changed(self, keys: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+        """The filters after keys have entered or left; from `counts` those are built again that get too full."""
 
         def change(keys: pa.Table, old: pa.Table) -> pa.Table:
             shard = (keys if keys.num_rows else old)["shard"][0].as_py()
-            if old.num_rows:
+            h, enter = keys["h1"].to_numpy(), keys["enter"].to_numpy().astype(bool)
+            if old.num_rows and not (keys.num_rows and keys["rebuild"][0].as_py()):
                 row = old.slice(0, 1).to_pylist()[0]
                 own = Shard(np.frombuffer(row["slots"], np.uint16).reshape(-1, 4).copy(), row["stash"])
             else:
-                own = Shard.sized(2 * keys.num_rows)
-            for h, enter in zip(keys["h1"].to_pylist(), keys["enter"].to_pylist()):
-                own.insert(h) if enter else own.delete(h)
+                own = Shard.sized(2 * len(h))
+            own.delete(h[~enter])
+            own.insert(h[enter])
             return pa.table({"shard": pa.array([shard], pa.int32()), "slots": pa.array([own.slots.tobytes()], pa.binary()),
-                             "stash": pa.array([own.stash], pa.list_(pa.int64()))})
-
-        dealt = keys.select(self._shard(), "h1", "enter").groupBy("shard")
-        return settled(dealt.cogroup(self.filters.groupBy("shard")).applyInArrow(change, schema))
+                             "stash": pa.array([list(own.stash.elements())], pa.list_(pa.int64())), "held": pa.array([own.held], pa.int64())})
+
+        dealt = keys.select(self._shard(), "h1", "enter", F.lit(False).alias("rebuild"))
+        if counts is not None:
+            dealt = settled(dealt)
+            more = dealt.groupBy("shard").agg(F.count_if("enter").alias("more")).join(self.filters, "shard")
+            room = LOAD * F.octet_length("slots") / 2  # slots of two bytes
+            full = settled(more.filter(F.col("held") + F.col("more") > room).select("shard"))  # fewer rows than shards
+            every = counts.filter(F.col("n") >= self.min_docs).select(self._shard(), "h1", F.lit(True).alias("enter"), F.lit(True).alias("rebuild"))
+            dealt = dealt.join(full, "shard", "left_anti").unionByName(every.join(F.broadcast(full), "shard", "left_semi"))
+        return settled(dealt.groupBy("shard").cogroup(self.filters.groupBy("shard")).applyInArrow(change, FILTERS))
 
     def _maybe(self, lines: DataFrame) -> DataFrame:
         """Those of `lines` (with h1, h2 among the columns) that the filters let pass."""
@@ -146,7 +160,7 @@ class LineIndex:
         d = keyed(docs, id_col, text_col)
         shared = self.counts.filter(F.col("n") >= self.min_docs).select(*KEY, "last")
         lines = self._maybe(_keys(d, self.min_chars)).join(shared, KEY)
-        out = lines.filter(F.col("_id").isNull() | (F.col("_id").cast("bigint") < F.col("last")))
+        out = lines.filter(F.col("_id").isNull() | (F.col("_id").cast(self.id_type) < F.col("last")))
         out = out.groupBy("_id", "_th").agg(F.collect_set("pos").alias("_out"))
         d = keyed(docs, id_col, text_col, F.struct(*keep).alias("_kept"))
         d = join_docs(d, out).withColumn("_lines", _lines(F.col("_text")))
@@ -160,4 +174,4 @@ class LineIndex:
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Index a whole corpus and remove its shared lines."""
-    return LineIndex.empty(docs.sparkSession).insert(docs, id_col, text_col).dedup(docs, id_col, text_col, keep)
+    return LineIndex.empty(docs.sparkSession, docs.schema[id_col].dataType.simpleString()).insert(docs, id_col, text_col).dedup(docs, id_col, text_col, keep)

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from chatlog.llm import linededup
+from chatlog.llm import cuckoo, linededup
 from chatlog.llm.cuckoo import Bank, Shard
 from chatlog.llm.linededup import LineIndex
 from fixtures import ascii_lower, docs
@@ -71,23 +71,49 @@ def test_insert_and_delete_are_reversible(spark):
     assert sorted(map(tuple, again.dedup(everything).collect()), key=repr) == brute(rows)
 
 
+def test_filters_grow(spark):
+    """Inserts that double: the filters hold all shared keys, none too full, and hardly any key is in a stash."""
+    index, sizes = LineIndex.empty(spark, shards=2), []
+    for step in range(5):
+        lines = range(10 * 2 ** step, 20 * 2 ** step)
+        rows = [(100 * step + copy, "\n".join(f"a line that three documents share {i}" for i in lines)) for copy in range(3)]
+        index = index.insert(docs(spark, rows))
+        filters = index.filters.collect()
+        held = sum(r.held for r in filters)
+        assert held == index.counts.filter("n >= 3").count() == 10 * 2 ** (step + 1) - 10
+        assert sum(len(r.stash) for r in filters) <= held / 100
+        assert all(r.held <= cuckoo.LOAD * len(r.slots) / 2 for r in filters)
+        sizes.append(sum(len(r.slots) for r in filters))
+    assert sizes[-1] > 4 * sizes[0]
+    text = "a line that three documents share 300\na line that no other one has"
+    assert [r.n_dropped for r in index.dedup(docs(spark, [(1, text)])).collect()] == [1]
+    index = index.delete(spark.createDataFrame([(400 + i,) for i in range(3)], "id bigint"))
+    assert sum(r.held for r in index.filters.collect()) == 10 * 2 ** 4 - 10
+    assert [r.n_dropped for r in index.dedup(docs(spark, [(1, text)])).collect()] == [0]
+
+
+def test_text_ids(spark):
+    rows = [("b10", "one line of twenty characters\nx"), ("b9", "one line of twenty characters"), ("a", "One line of twenty characters")]
+    got = linededup.dedup_lines(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    assert sorted((r.doc_id, r.text, r.n_dropped) for r in got) == [("a", "", 1), ("b10", "x", 1), ("b9", "one line of twenty characters", 0)]
+
+
 def test_cuckoo_filter():
     rng = np.random.default_rng(3)
     keys = rng.integers(-(1 << 62), 1 << 62, 3000)
     shard = Shard.sized(1000)  # far too small: the rest goes to the stash
-    for h in keys.tolist():
-        shard.insert(h)
+    shard.insert(keys[:2000])
+    shard.insert(keys[2000:])
+    assert shard.held == len(keys)
     assert shard.stash and shard.contains(keys).all()
-    for h in keys[:1500].tolist():
-        shard.delete(h)
+    shard.delete(keys[:1500])
+    assert shard.held == 1500
     assert shard.contains(keys[1500:]).all()
     roomy = Shard.sized(3000)
-    for h in keys.tolist():
-        roomy.insert(h)
+    roomy.insert(keys)
     assert not roomy.stash
     assert roomy.contains(rng.integers(-(1 << 62), 1 << 62, 20000)).mean() < 0.01
-    for h in keys.tolist():
-        roomy.delete(h)
+    roomy.delete(keys)
     assert not roomy.slots.any()
     bank = Bank({2: shard, 5: Shard.sized(4)})
     assert bank.contains(np.full(1500, 2), keys[1500:]).all()
