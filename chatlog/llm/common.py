@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+
+from chatlog.session import settled
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What stands between words, after A-Z are lower-cased.
@@ -75,3 +77,17 @@ def sums_before(lengths: Column, block: int = 64) -> Column:
                 F.slice(arr, F.floor(i / F.lit(block)).cast("int") * block + 1, i % block)))))
 
     return let(lengths, before)
+
+
+def least_hashes(rows: DataFrame, label: str, number: str, most: Column) -> DataFrame:
+    """The distinct (label, number) with the `most` least numbers of each label; `number` is a 64-bit hash.
+
+    About twice as many as wanted lie below a bound that follows from an estimate of how many a label has, so
+    what is ranked in one task does not grow with the table.
+    """
+    rows = settled(rows.select(label, number))
+    kinds = rows.groupBy(label).agg(F.approx_count_distinct(number).alias("_kinds"))
+    place = F.col(number).cast("double") / F.lit(2.0 ** 64) + 0.5
+    near = rows.join(kinds, label).filter(place * F.col("_kinds") <= 2 * most + 64).select(label, number).distinct()
+    first = Window.partitionBy(label).orderBy(number)
+    return near.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= most).drop("_n")

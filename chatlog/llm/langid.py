@@ -12,9 +12,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from chatlog.llm.common import bucket_of
+from chatlog.llm.common import bucket_of, least_hashes
 from chatlog.llm.workers import KEEP_WORDS, map_texts, row_means, subword_ids, word_list
 
 SIZES, BITS = (1, 2, 3, 4), 16
@@ -197,13 +197,12 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     """Train on up to SAMPLE_DOCS documents per language, of at most SAMPLE_CHARS code points.
 
     Rows without text or language are left out; which rows serve is settled by a hash of id and
-    text. The sample is bounded, so it is trained on the driver.
+    text, and equal rows count as one. The sample is bounded, so it is trained on the driver.
     """
     able = docs.filter(F.length(text_col).between(1, SAMPLE_CHARS) & F.col(lang_col).isNotNull())
     able = able.select(F.xxhash64(id_col, text_col).alias("_h"), F.col(lang_col).alias("_lang"), F.col(text_col).alias("_text"))
-    first = Window.partitionBy("_lang").orderBy("_h")
-    chosen = able.select("_h", "_lang").withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= SAMPLE_DOCS)
-    rows = able.join(F.broadcast(chosen.select("_h", "_lang").distinct()), ["_h", "_lang"]).dropDuplicates(["_h", "_lang"]).collect()
+    chosen = least_hashes(able, "_lang", "_h", F.lit(SAMPLE_DOCS))
+    rows = able.join(F.broadcast(chosen), ["_h", "_lang"]).dropDuplicates(["_h", "_lang"]).collect()
     rows.sort(key=lambda r: (r["_lang"], r["_h"]))
     return train([r["_text"] for r in rows], [r["_lang"] for r in rows])
 

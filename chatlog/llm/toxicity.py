@@ -13,9 +13,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from chatlog.llm.common import bucket_of
+from chatlog.llm.common import bucket_of, least_hashes
 from chatlog.llm.workers import KEEP_WORDS, map_texts, row_means, subword_ids, word_list
 
 SIZES, BITS, DIM = (3, 4, 5), 16, 4
@@ -160,11 +160,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     marked = labels.filter(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("_id"), F.col(label_col).alias("_y"))
     marked = marked.groupBy("_id").agg(F.max("_y").alias("_y"))
     texts = docs.filter(F.length(text_col).between(1, SAMPLE_CHARS)).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    first = Window.partitionBy("_y").orderBy(F.xxhash64("_id"), "_id")
-    able = texts.select("_id").join(marked, "_id").distinct()
-    ids = able.withColumn("_n", F.row_number().over(first)).filter(
-        F.col("_n") <= F.when(F.col("_y") == 1, SAMPLE_DOCS[1]).otherwise(SAMPLE_DOCS[0])).select("_id", "_y")
-    chosen = texts.join(F.broadcast(ids), "_id").groupBy("_id").agg(  # one text an id: its least by digest
+    able = texts.select("_id").join(marked, "_id").select("_y", F.xxhash64("_id").alias("_h"))
+    ids = least_hashes(able, "_y", "_h", F.when(F.col("_y") == 1, SAMPLE_DOCS[1]).otherwise(SAMPLE_DOCS[0]))
+    chosen = texts.withColumn("_h", F.xxhash64("_id")).join(F.broadcast(ids), "_h").groupBy("_id").agg(  # one text an id: its least by digest
         F.min_by("_text", F.struct(F.xxhash64("_text"), "_text")).alias("_text"), F.first("_y").alias("_y"))
     rows = sorted(chosen.collect(), key=lambda r: (r["_id"], r["_text"]))
     model = train([r["_text"] for r in rows], [int(r["_y"]) for r in rows])

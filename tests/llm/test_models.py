@@ -3,12 +3,15 @@
 import collections
 import itertools
 import math
+import random
 import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from chatlog.llm import langid, ppm, toxicity
+from chatlog.llm.common import least_hashes
 from chatlog.llm.workers import subword_ids, word_list
 from fixtures import docs
 
@@ -294,3 +297,13 @@ def test_a_diverged_model_is_an_error(spark, monkeypatch):
     df = spark.createDataFrame([(1, "a")], "doc_id bigint, text string")
     with pytest.raises(ValueError, match="not finite"):
         toxicity.fit(df, spark.createDataFrame([(1, 1)], "doc_id bigint, toxic int"))
+
+
+def test_least_hashes(spark):
+    """The least numbers of each label, copies counted once, few and many rows."""
+    rng = random.Random(2)
+    rows = [(label, rng.getrandbits(64) - (1 << 63)) for label, n in (("a", 4000), ("b", 30), (None, 5)) for _ in range(n)]
+    rows += rows[:1] * 3000
+    got = least_hashes(spark.createDataFrame(rows, "label string, h long"), "label", "h", F.when(F.col("label") == "a", 50).otherwise(20)).collect()
+    want = [(label, h) for label, most in (("a", 50), ("b", 20)) for h in sorted({h for k, h in rows if k == label})[:most]]
+    assert sorted(map(tuple, got)) == sorted(want)
