@@ -83,11 +83,12 @@ def least_hashes(rows: DataFrame, label: str, number: str, most: Column) -> Data
     """The distinct (label, number) with the `most` least numbers of each label; `number` is a 64-bit hash.
 
     About twice as many as wanted lie below a bound that follows from an estimate of how many a label has, so
-    what is ranked in one task does not grow with the table.
+    what is ranked in one task does not grow with the table. The estimates are sent to all tasks: one row per
+    label, of which the result has `most` rows.
     """
     rows = settled(rows.select(label, number))
     kinds = rows.groupBy(label).agg(F.approx_count_distinct(number).alias("_kinds"))
     place = F.col(number).cast("double") / F.lit(2.0 ** 64) + 0.5
-    near = rows.join(kinds, label).filter(place * F.col("_kinds") <= 2 * most + 64).select(label, number).distinct()
+    near = rows.join(F.broadcast(kinds), label).filter(place * F.col("_kinds") <= 2 * most + 64).select(label, number).distinct()
     first = Window.partitionBy(label).orderBy(number)
     return near.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= most).drop("_n")
