@@ -39,7 +39,7 @@ def apply_changes(
     else:
         lives = lives.join(base.select(key, F.lit(True).alias("_there")), key, "full_outer")
     alive = (F.col("_there") & F.col("_removed").isNull()) | (F.col("seq") > F.col("_born"))
-    written = salted_join(written, lives, [key], spread_by="seq")
+    written = salted_join(written, lives, [key], spread_by="seq", among=changes.filter(F.col("op") != "delete"))
     written = written.filter((F.col("op") != "update") | F.coalesce(alive, F.lit(False)))
 
     aggregates = []

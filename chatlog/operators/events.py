@@ -252,7 +252,7 @@ def early_cut(chunks: DataFrame) -> DataFrame:
     placed = block_scan(
         sizes, ["response_id"], ["seq"], sums={"upto": F.col("chars")}
     ).filter("past")
-    met = salted_join(placed, marks, ["response_id"], spread_by="seq", how="inner")
+    met = salted_join(placed, marks, ["response_id"], spread_by="seq", how="inner", among=sizes)
     before = F.col("upto") - F.col("chars")
     here = (F.col("upto") >= F.col("close_end")) & (before >= F.col("open_end")) & (before > F.col("lead_chars"))
     cuts = met.filter(here).groupBy("response_id").agg(

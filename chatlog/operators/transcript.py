@@ -196,7 +196,7 @@ def replay_savings(
     sizes = replay_lengths(conv, **options)
     if continued is None:
         first = conv.filter("role = 'user'").groupBy("conv_id").agg(F.min("turn").alias("_first"))
-        sizes = salted_join(sizes, first, ["conv_id"], spread_by="turn", how="inner")
+        sizes = salted_join(sizes, first, ["conv_id"], spread_by="turn", how="inner", among=conv)
         sizes = sizes.withColumn("reused", F.col("turn") > F.col("_first"))
     else:
         sizes = sizes.join(continued.select("conv_id", "turn", "reused"), ["conv_id", "turn"])

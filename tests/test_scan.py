@@ -196,6 +196,17 @@ def test_salted_join(spark):
     assert sorted(map(tuple, salted.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
 
 
+def test_salted_join_repeats_only_what_is_met(spark):
+    """A long lookup of which few rows are met: it is neither broadcast whole nor repeated whole."""
+    rows = spark.createDataFrame([(i % 3, i) for i in range(60)] + [(None, 1)], "k long, o long")
+    lookup = spark.range(100_000).select(F.col("id").alias("k"), F.lit(True).alias("x"))
+    for how in ("left", "inner"):
+        for more in ({}, {"among": rows.unionAll(rows)}):
+            salted = salted_join(rows, lookup, ["k"], spread_by="o", how=how, **more)
+            assert "BroadcastExchange" not in salted._jdf.queryExecution().executedPlan().toString()
+            assert sorted(map(tuple, salted.collect()), key=str) == sorted(map(tuple, rows.join(lookup, "k", how).collect()), key=str)
+
+
 def test_apply_changes(spark):
     base = spark.createDataFrame([(1, "a", 5, "x"), (2, "b", 6, "y"), (3, "c", 7, "z")], "id long, name string, n long, other string")
     log = [
