@@ -104,9 +104,9 @@ class SegmentProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         head, mine = self._load(), {}
-        for pdf in rows:
-            mine.update((n, line) for n, line in zip(pdf["line_no"].tolist(), pdf["line"].tolist()) if n >= head["next"])
-        if not head.get("done"):
+        if not head.get("done"):  # what follows the end is not read
+            for pdf in rows:
+                mine.update((n, line) for n, line in zip(pdf["line_no"].tolist(), pdf["line"].tolist()) if n >= head["next"])
             found = self._read(key, head, self._ready(head, mine))
             if head.get("done"):
                 head = self._only_done(head)

@@ -159,6 +159,23 @@ def test_line_files_as_stream(spark, tmp_path):
     assert [(r.type, r.content) for r in got] == CHUNKS
 
 
+@pytest.mark.parametrize("times", (1, 2))
+def test_rows_behind_the_end_in_later_micro_batches(spark, tmp_path, times):
+    """Segments end at the finish chunk, chunks go on; rows may follow in any later micro-batch."""
+    data = ["event: message", 'data: {"content":"so"}', "event: finish", "data: {}"]
+    after = ["data: {broken", "event: message", 'data: {"content":"after"}']
+    steps = [[(r, i, line) for r in range(5) for i, line in enumerate(data)]]
+    steps += [[(r, len(data) + i, line) for r in range(5) for i, line in enumerate(after)]] * times
+    for rows in steps:
+        spark.createDataFrame(rows, "response_id long, line_no long, line string").coalesce(1).write.mode("append").json(f"{tmp_path}/lines")
+    stream = tables.stream_event_lines(spark, f"{tmp_path}/lines", files_per_batch=1)
+    got = streams.drain(streams.stream_segments(stream), "after-segments").collect()
+    assert sorted((r.response_id, r.kind, r.text) for r in got) == [(r, "answer", "so") for r in range(5)]
+    got = streams.drain(streams.stream_chunks(stream), "after-chunks").collect()
+    assert sorted((r.response_id, r.seq, r.type, r.content) for r in got) == sorted(
+        (r, *x) for r in range(5) for x in ((1, "text", "so"), (3, "finish", None), (6, "text", "after")))
+
+
 def test_log_sink_drops_copies(spark, sf_dir, tmp_path):
     logs = inputs.open_inputs(spark, sf_dir)("request_logs")
     stream = replay.replayed(logs.unionByName(logs), "id", slices=2)
