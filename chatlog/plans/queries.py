@@ -19,6 +19,7 @@ from chatlog.streaming import queries as streams
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ROLLOVER_LIMIT = 1000
+CAPTURE_PART = 64 << 20
 ROLLOVER_KEYS = ["account_id", "client_session_id"]
 
 
@@ -470,14 +471,17 @@ def event_chunks_text_ids(get):
 
 @query
 def captures_numbered(get):
-    """Raw captures, a file per kind of event and one of all messages, read in splits of 64 KiB."""
+    """Raw captures, one per kind of event and one of all messages, in parts of about CAPTURE_PART bytes, read in splits of 64 KiB."""
     spark = get("documents").sparkSession
     path = scratch_path(spark, "captures")
     lines = get("documents").select("source", F.format_string("%012d %s", "doc_id", F.translate(F.coalesce("text", F.lit("")), "\n\r", "  ")).alias("line"))
     every = lines.withColumn("source", F.lit("all")).unionByName(lines)
-    every.repartition("source").sortWithinPartitions("source", "line").write.partitionBy("source").text(path)
+    total = 2 * (lines.agg(F.sum(F.octet_length("line") + 1)).first()[0] or 0)
+    # Parts by ranges of the lines, bounds by their beginnings: equal beginnings stay together.
+    ranged = every.repartitionByRange(1 + total // CAPTURE_PART, "source", F.left("line", F.lit(64)))
+    ranged.sortWithinPartitions("source", "line").write.partitionBy("source").text(path)
     with options(spark, {"spark.sql.files.maxPartitionBytes": "64k", "spark.sql.files.openCostInBytes": "1k"}):
-        rows = settled(tables.read_raw_captures(spark, path))
+        rows = settled(tables.read_raw_captures(spark, path, parts=True))
     return rows.select(F.regexp_extract("response_id", "source=([^/]*)", 1).alias("source"), "line_no", "line")
 
 

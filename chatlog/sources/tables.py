@@ -104,14 +104,17 @@ def _numbered_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                                          names=["file", "start", "size", "line", "number", "end"])
 
 
-def read_raw_captures(spark: SparkSession, path: str) -> DataFrame:
-    """(response_id, line_no, line) of raw captures, one file per response.
+def read_raw_captures(spark: SparkSession, path: str, parts: bool = False) -> DataFrame:
+    """(response_id, line_no, line) of raw captures, one file per response or, with `parts`, one folder.
 
     A large file is read by many tasks. Each counts the lines of its split; the sums of the splits before
     it, one small row per split of the files that have several, make the line's number in the file.
     The response id is the path below `path` without its ending, so files of one name in
     several folders stay apart. An unfinished last line is not a line yet and is left out,
     but for compressed files, whose size does not tell.
+
+    With `parts` the files of a folder are the parts of one response, which is too long for one file. They come in the
+    order of their names, a shorter name first, and their lines are numbered on. The response id is the path of the folder.
     """
     text = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(path)
     text = text.select(
@@ -119,17 +122,25 @@ def read_raw_captures(spark: SparkSession, path: str) -> DataFrame:
         F.col("_metadata.file_size").alias("size"), F.col("value").alias("line"))
     kinds = "file string, start bigint, size bigint, line string, number bigint, end bigint"
     local = text.mapInArrow(_numbered_lines, kinds)
-    splits = text.groupBy("file", "start").agg(F.count(F.lit(1)).alias("lines"), F.sum(F.octet_length("line") + 1).alias("bytes"))
+    splits = text.groupBy("file", "start").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum(F.octet_length("line") + 1).alias("bytes"), F.max("size").alias("size"))
     before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    lines_before = F.sum("lines").over(before)
+    if parts:  # an unfinished line does not count for the parts that follow
+        upto = F.sum("bytes").over(before.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        splits = splits.withColumn("kept", F.col("lines") - (upto == F.col("size") + 1).cast("int"))
+        name = F.url_decode("file")
+        folder = Window.partitionBy(F.regexp_replace("file", r"[^/]*\z", "")).orderBy(F.length(name), name, "start")
+        lines_before = F.sum("kept").over(folder.rowsBetween(Window.unboundedPreceding, -1))
     offsets = settled(splits.select(
-        "file", "start", F.sum("lines").over(before).alias("lines_before"), F.sum("bytes").over(before).alias("bytes_before"),
+        "file", "start", lines_before.alias("lines_before"), F.sum("bytes").over(before).alias("bytes_before"),
     ).filter("lines_before IS NOT NULL"))
     rows = local.join(offsets, ["file", "start"], "left").filter(
         F.coalesce("bytes_before", F.lit(0)) + F.col("end") != F.col("size") + 1)
     root = "^.*?" + re.escape(re.sub(r"^\w+:/*", "", path.rstrip("/")).strip("/")) + "/"
     name = F.regexp_replace(F.url_decode("file"), root, "")
     return rows.select(
-        F.regexp_replace(name, r"\.[^.]*\z", "").alias("response_id"),
+        F.regexp_replace(name, r"/[^/]*\z" if parts else r"\.[^.]*\z", "").alias("response_id"),
         (F.coalesce("lines_before", F.lit(0)) + F.col("number")).cast("bigint").alias("line_no"),
         "line",
     )

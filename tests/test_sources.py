@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chatlog.operators import accounts, events, outcomes, sessions, tooldefs, transcript, usage
-from chatlog.plans import inputs
+from chatlog.plans import inputs, queries
 from chatlog.session import options
 from chatlog.sources import export, requests, schemas, tables
 
@@ -73,6 +73,39 @@ def test_large_captures_are_read_in_splits(spark, tmp_path, split):
         assert sorted(map(tuple, rows.collect())) == sorted(want)
 
 
+@pytest.mark.parametrize("split", [17, 64, 1000])
+def test_captures_in_parts(spark, tmp_path, split):
+    """Lines are numbered on over the files of a folder, in the order of their names, without unfinished ones."""
+    rng = random.Random(split)
+    want = []
+    for folder in ("k=a", "k=b b", "c/d"):
+        n = 0
+        (tmp_path / folder).mkdir(parents=True)
+        for part in (1, 2, 9, 10, 11):
+            ended, lines = rng.random() < 0.6, ["".join(rng.choice("éx日 ") for _ in range(rng.randrange(12))) for _ in range(0 if part == 2 else 40)]
+            (tmp_path / folder / f"p {part}.txt").write_bytes("".join(x + "\n" for x in lines).encode() + (b"" if ended else b"left out"))
+            want += [(folder, n + i, x) for i, x in enumerate(lines)]
+            n += len(lines)
+    with options(spark, {"spark.sql.files.maxPartitionBytes": str(split), "spark.sql.files.openCostInBytes": "1"}):
+        assert sorted(map(tuple, tables.read_raw_captures(spark, str(tmp_path), parts=True).collect())) == sorted(want)
+
+
+def test_captures_numbered_is_written_by_many_tasks(spark, sf_dir, tmp_path, monkeypatch):
+    """No task reads a capture whole: all lines of a kind of event, and of all, come in parts."""
+    spark.createDataFrame([(i % 50, "all" if i % 2 else None, f"{i % 7} é\n{'x' * (i % 90)}") for i in range(400)],
+                          "doc_id long, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = []
+    for size in (1 << 30, 4000):
+        monkeypatch.setattr(queries, "CAPTURE_PART", size)
+        monkeypatch.setattr(queries, "scratch_path", lambda spark, label: f"{tmp_path}/{label}-{size}")
+        found.append(sorted(map(tuple, queries.QUERIES["captures_numbered"](spark, str(tmp_path)).collect())))
+        assert (len(list((tmp_path / f"captures-{size}" / "source=all").glob("*.txt"))) > 1) == (size == 4000)
+    assert found[0] == found[1]
+    lines = [f"{i % 50:012d} {i % 7} é {'x' * (i % 90)}" for i in range(400)]
+    want = {"all": sorted(lines + lines[1::2]), "__HIVE_DEFAULT_PARTITION__": sorted(lines[::2])}
+    assert found[0] == sorted((k, n, x) for k, v in want.items() for n, x in enumerate(v))
+
+
 def test_ids_that_are_no_numbers(spark, tmp_path):
     path = str(tmp_path / "lines")
     lines = spark.createDataFrame([("r-1", 0, "event: x"), ("r-2", 0, "event: y")], schemas.EVENT_LINES_BY_TEXT)
