@@ -34,36 +34,55 @@ def _keyed(
 ):
     """A function for `applyInPandasWithState` from a step over numbered rows.
 
-    With `reads_on` a response that is done still takes rows, until it is forgotten.
+    A call costs far more than the rows of a response, so it takes all responses of a bucket. Each has its own entry in
+    the state and its own time. With `reads_on` a response that is done still takes rows, until it is forgotten.
     """
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        kept = json.loads(state.get[0]) if state.exists else {}
-        if state.hasTimedOut and kept.get("done"):
-            state.remove()
-            return
-        rows = []
+        data = json.loads(state.get[0]) if state.exists else {"ids": [], "states": []}
+        kept, now = dict(zip(data["ids"], data["states"])), state.getCurrentProcessingTimeMs()
+        rows: dict[str | None, list[tuple]] = {}
         for pdf in batches:
-            rows += zip(*(pdf[c].tolist() for c in (number, *columns)))
-        found = step(kept, key, rows, state.hasTimedOut) if reads_on or not kept.get("done") else []
-        if kept.get("done") and not reads_on:
-            kept = {"done": True}
-        state.update((json.dumps(kept),))
-        state.setTimeoutDuration(patience)
+            for response, *row in zip(*(pdf[c].tolist() for c in ("_id", number, *columns))):
+                rows.setdefault(response, []).append(tuple(row))
+        expired = [r for r, entry in kept.items() if r not in rows and entry["seen"] + patience < now]
+        found = []
+        for response in [*rows, *expired]:
+            entry, late = kept.get(response, {}), response not in rows
+            if late and entry.get("done"):
+                del kept[response]
+                continue
+            if reads_on or not entry.get("done"):
+                found += step(entry, (response,), rows.get(response, []), late)
+            kept[response] = {**({"done": True} if entry.get("done") and not reads_on else entry), "seen": now}
+        if not kept:
+            state.remove()
+        else:
+            state.update((json.dumps({"ids": [*kept], "states": [*kept.values()]}),))
+            state.setTimeoutDuration(max(1, min(entry["seen"] for entry in kept.values()) + patience - now))
         if found:
-            yield pd.DataFrame(found, columns=out)
+            yield pd.DataFrame(found, columns=out, dtype=object)
 
     return run
 
 
+#: Buckets of responses: each is a call and a state, so few for the calls and many for what a row makes rewrite.
+BUCKETS = 1 << 13
+
+
 def _apply(stream: DataFrame, step, number: str, columns: list[str], schema: str, patience: int, reads_on: bool = False) -> DataFrame:
     """`schema` lists what follows the response id, whose type is that of the input."""
-    schema = f"response_id {stream.schema['response_id'].dataType.simpleString()}, {schema}"
+    kind, schema = stream.schema["response_id"].dataType, f"response_id string, {schema}"
+    binary = isinstance(kind, T.BinaryType)
+    rows = stream.select(
+        F.pmod(F.xxhash64("response_id"), F.lit(BUCKETS)).alias("_bucket"),
+        (F.base64("response_id") if binary else F.col("response_id").cast("string")).alias("_id"), number, *columns)
     names = [c.split()[0] for c in schema.split(", ")]
-    return stream.groupBy("response_id").applyInPandasWithState(
+    found = rows.groupBy("_bucket").applyInPandasWithState(
         _keyed(step, number, columns, names, patience, reads_on), schema, STATE, "append",
         GroupStateTimeout.ProcessingTimeTimeout,
     )
+    return found.withColumn("response_id", F.unbase64("response_id") if binary else F.col("response_id").cast(kind))
 
 
 def stream_chunks(lines: DataFrame, patience: int = PATIENCE_MS) -> DataFrame:
@@ -411,8 +430,9 @@ def held_rows(spark: SparkSession, checkpoint: str) -> int:
     if any(o.startswith("transformWithState") for o in operators):
         return spark.read.format("statestore").option("stateVarName", "held").load(checkpoint).count()
     kept = spark.read.format("statestore").load(checkpoint)
-    held = F.get_json_object(F.to_json("value"), "$.groupState.state")
-    return kept.filter(F.regexp_like(F.get_json_object(held, "$.held"), F.lit(r"[^{}\s]"))).count()
+    state = F.get_json_object(F.to_json("value"), "$.groupState.state")
+    buckets = kept.select(F.from_json(state, "states array<struct<held: map<string, string>>>").alias("s"))
+    return buckets.select(F.explode("s.states.held").alias("held")).filter(F.size("held") > 0).count()
 
 
 def drain(stream: DataFrame, label: str, gaps: bool = False, event_time: bool = False) -> DataFrame:

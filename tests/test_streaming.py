@@ -5,6 +5,7 @@ import os
 import random
 import shutil
 
+import pandas as pd
 import pytest
 
 from pyspark.sql import functions as F
@@ -289,6 +290,72 @@ def test_chunks_do_not_depend_on_cuts(spark):
     assert want[-1][3:] == (3, 0) and want[0][2] == '["a",{"b":"é"}]'
 
 
+class OneState:
+    """What `_keyed` needs of a group state, at a time set by the test."""
+
+    def __init__(self):
+        self.value, self.now, self.timeout = None, 0, None
+
+    exists = property(lambda self: self.value is not None)
+    get = property(lambda self: self.value)
+
+    def getCurrentProcessingTimeMs(self):
+        return self.now
+
+    def update(self, value):
+        self.value = value
+
+    def remove(self):
+        self.value = None
+
+    def setTimeoutDuration(self, ms):
+        assert ms > 0
+        self.timeout = self.now + ms
+
+
+def test_responses_of_a_bucket_have_their_own_time():
+    """Each response is read on or forgotten by its own patience, whatever comes for its neighbours."""
+    def step(entry, key, rows, late):
+        order = InOrder(entry)
+        order.add(rows)
+        out = [(key[0], n, x) for n, x in order.ready(late)]
+        entry["done"] = entry.get("done") or any(x == "end" for _, _, x in out)
+        return out
+
+    run, state = streams._keyed(step, "n", ["x"], ["id", "n", "x"], 100, False), OneState()
+
+    def at(now, *rows):
+        state.now = now
+        frame = [pd.DataFrame(rows, columns=["_id", "n", "x"], dtype=object)] if rows else []
+        return [tuple(r) for f in run((0,), iter(frame), state) for r in f.itertuples(index=False)]
+
+    assert at(0, ("a", 0, "p"), ("b", 1, "gap"), (None, 0, "end")) == [("a", 0, "p"), (None, 0, "end")]
+    assert state.timeout == 100
+    assert at(60, ("a", 1, "q"), (None, 1, "after the end")) == [("a", 1, "q")] and state.timeout == 100
+    assert at(101) == [("b", 1, "gap")] and state.timeout == 160
+    assert at(161) == [] and json.loads(state.value[0])["ids"] == ["a", "b"]  # the one that is done is forgotten
+    assert at(200, ("b", 2, "end")) == [("b", 2, "end")] and at(400) == [] and json.loads(state.value[0])["ids"] == ["a"]
+
+
+def test_many_responses_are_few_calls(spark, tmp_path, monkeypatch):
+    """A call and a state per bucket, not per response; ids of any type, null ones too."""
+    monkeypatch.setattr(streams, "BUCKETS", 4)
+    data = ["event: message", 'data: {"content":"so"}', "event: usage", 'data: {"promptTokens":9007199254740993}', "event: finish", "data: {}"]
+    rows = [(r or None, i, line) for r in range(60) for i, line in enumerate(data)]
+    for kind in ("long", "string", "decimal(20,3)", "date", "binary"):
+        ids = F.expr("date'2024-01-01' + cast(r as int)") if kind == "date" else F.col("r").cast("string").cast(kind) if kind == "binary" else F.col("r").cast(kind)
+        lines = spark.createDataFrame(rows, "r long, line_no long, line string").withColumn("response_id", ids).drop("r")
+        stream, folder = replay.replayed(lines, "line_no", slices=2), f"{tmp_path}/{kind}"
+        with options(spark, {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}):
+            streams.write_stream(streams.stream_chunks(stream), f"{folder}/out", f"{folder}/state").awaitTermination()
+        assert spark.read.format("statestore").load(f"{folder}/state").count() <= 4 and streams.held_rows(spark, f"{folder}/state") == 0
+        columns = ["response_id", "seq", "type", "content", "prompt_tokens"]
+        got = spark.read.parquet(f"{folder}/out").select(*columns)
+        want = events.parse_event_stream(lines).select(*columns)
+        assert got.schema["response_id"].dataType == lines.schema["response_id"].dataType
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
 # --- sessions by event time ------------------------------------------------------
 
 
