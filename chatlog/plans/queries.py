@@ -474,14 +474,16 @@ def captures_numbered(get):
     """Raw captures, one per kind of event and one of all messages, in parts of about CAPTURE_PART bytes, read in splits of 64 KiB."""
     spark = get("documents").sparkSession
     path = scratch_path(spark, "captures")
-    lines = get("documents").select("source", F.format_string("%012d %s", "doc_id", F.translate(F.coalesce("text", F.lit("")), "\n\r", "  ")).alias("line"))
-    every = lines.withColumn("source", F.lit("all")).unionByName(lines)
+    text = F.coalesce("text", F.lit(""))
+    for end in "\n\r":
+        text = F.replace(text, F.lit(end), F.lit(" "))
+    lines = get("documents").select("source", F.concat(F.format_string("%012d ", "doc_id"), text).alias("line"))
+    every = lines.select(F.explode(F.array(F.lit("all"), "source")).alias("source"), "line")
     total = 2 * (lines.agg(F.sum(F.octet_length("line") + 1)).first()[0] or 0)
     # Parts by ranges of the lines, bounds by their beginnings: equal beginnings stay together.
     ranged = every.repartitionByRange(1 + total // CAPTURE_PART, "source", F.left("line", F.lit(64)))
     ranged.sortWithinPartitions("source", "line").write.partitionBy("source").text(path)
-    with options(spark, {"spark.sql.files.maxPartitionBytes": "64k", "spark.sql.files.openCostInBytes": "1k"}):
-        rows = settled(tables.read_raw_captures(spark, path, parts=True))
+    rows = tables.read_raw_captures(spark, path, parts=True, split="64k")
     return rows.select(F.regexp_extract("response_id", "source=([^/]*)", 1).alias("source"), "line_no", "line")
 
 

@@ -5,14 +5,17 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from chatlog.operators.changes import apply_session_changes
-from chatlog.session import settled
+from chatlog.session import options, settled
 from chatlog.sources import schemas
 
+TASK_BYTES = 16 << 20
+
 
 def read_accounts(spark: SparkSession, path: str, schema: T.StructType = schemas.ACCOUNTS) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
@@ -87,28 +90,48 @@ def stream_event_lines(
     return _with_ids(spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).json(path))
 
 
-def _numbered_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds to (file, start, size, line) the line's number and its end in bytes, both counted from the split's first line."""
-    split, passed, end = None, 0, 0
-    for batch in batches:
-        at, numbers, ends = 0, [], []
-        lengths = pc.binary_length(batch.column(3)).to_pylist()
-        for file, start, length in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), lengths):
-            if (file, start) != split:
-                split, passed, end = (file, start), 0, 0
-            end += length + 1
-            numbers.append(passed)
-            ends.append(end)
-            passed += 1
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(numbers, pa.int64()), pa.array(ends, pa.int64())],
-                                         names=["file", "start", "size", "line", "number", "end"])
-
-
-def read_raw_captures(spark: SparkSession, path: str, parts: bool = False) -> DataFrame:
+def _numbered_in_runs(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    """(run, number, end) of lines in the order they are read, from (file, start, length, size): those of its split and its own bytes.
+
+    A run is what one task reads of a file without a gap, known by the start of its first split; `number`
+    and `end`, the line's end in bytes, are counted from there.
+    """
+    file, split, after, run, passed, end = None, -1, -1, -1, 0, 0
+    for files, starts, lengths, sizes in batches:
+        if not len(files):
+            yield pa.StructArray.from_arrays([pa.array([], pa.int64())] * 3, names=["run", "number", "end"])
+            continue
+        start, upto, total = np.asarray(starts), np.asarray(starts) + np.asarray(lengths), np.cumsum(np.asarray(sizes))
+        same = np.append(files[0].as_py() == file, np.asarray(pc.equal(files[1:], files[:-1])))
+        goes_on = same & ((start == np.append(split, start[:-1])) | (start == np.append(after, upto[:-1])))
+        first, of = np.flatnonzero(~goes_on), np.cumsum(~goes_on)
+        runs = np.append(run, start[first])[of]
+        numbers = np.arange(len(start)) - np.append(-passed, first)[of]
+        ends = total - np.append(-end, total[first] - np.asarray(sizes)[first])[of]
+        yield pa.StructArray.from_arrays([pa.array(x, pa.int64()) for x in (runs, numbers, ends)], names=["run", "number", "end"])
+        file, split, after = files[-1].as_py(), start[-1], upto[-1]
+        run, passed, end = runs[-1], numbers[-1] + 1, ends[-1]
+
+
+def _lines_of_files(spark: SparkSession, path: str) -> DataFrame:
+    """(file, size, line, run, number, end) of all lines, many splits read by one task where they are short."""
+    text = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(path)
+    size = int(str(text._jdf.queryExecution().analyzed().stats().sizeInBytes()))
+    tasks = max(spark.sparkContext.defaultParallelism, -(-size // TASK_BYTES))
+    at = ("file_path", "file_block_start", "file_block_length", "file_size")
+    text = text.select(*(F.col(f"_metadata.{x}").alias(x) for x in at), "value").coalesce(tasks)
+    number = F.arrow_udf(_numbered_in_runs, "run bigint, number bigint, end bigint")
+    place = number(*at[:3], F.octet_length("value").cast("bigint") + 1)
+    text = text.select(F.col("file_path").alias("file"), F.col("file_size").alias("size"), F.col("value").alias("line"), place.alias("place"))
+    return text.select("file", "size", "line", "place.*")
+
+
+def read_raw_captures(spark: SparkSession, path: str, parts: bool = False, split: str | None = None) -> DataFrame:
     """(response_id, line_no, line) of raw captures, one file per response or, with `parts`, one folder.
 
-    A large file is read by many tasks. Each counts the lines of its split; the sums of the splits before
-    it, one small row per split of the files that have several, make the line's number in the file.
+    A large file is read by many tasks, in splits of `split` bytes or of the session's. Each task numbers the lines of the
+    splits that it reads one after the other and writes them; the sums of the runs before it, one small row per run
+    of the files that have several, make the line's number in the file.
     The response id is the path below `path` without its ending, so files of one name in
     several folders stay apart. An unfinished last line is not a line yet and is left out,
     but for compressed files, whose size does not tell.
@@ -116,26 +139,22 @@ def read_raw_captures(spark: SparkSession, path: str, parts: bool = False) -> Da
     With `parts` the files of a folder are the parts of one response, which is too long for one file. They come in the
     order of their names, a shorter name first, and their lines are numbered on. The response id is the path of the folder.
     """
-    text = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(path)
-    text = text.select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
-        F.col("_metadata.file_size").alias("size"), F.col("value").alias("line"))
-    kinds = "file string, start bigint, size bigint, line string, number bigint, end bigint"
-    local = text.mapInArrow(_numbered_lines, kinds)
-    splits = text.groupBy("file", "start").agg(
-        F.count(F.lit(1)).alias("lines"), F.sum(F.octet_length("line") + 1).alias("bytes"), F.max("size").alias("size"))
-    before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    with options(spark, {"spark.sql.files.maxPartitionBytes": split, "spark.sql.files.openCostInBytes": "1k"} if split else {}):
+        local = settled(_lines_of_files(spark, path))
+    runs = local.groupBy("file", "run").agg(
+        (F.max("number") + 1).alias("lines"), F.max("end").alias("bytes"), F.max("size").alias("size"))
+    before = Window.partitionBy("file").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
     lines_before = F.sum("lines").over(before)
     if parts:  # an unfinished line does not count for the parts that follow
         upto = F.sum("bytes").over(before.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        splits = splits.withColumn("kept", F.col("lines") - (upto == F.col("size") + 1).cast("int"))
+        runs = runs.withColumn("kept", F.col("lines") - (upto == F.col("size") + 1).cast("int"))
         name = F.url_decode("file")
-        folder = Window.partitionBy(F.regexp_replace("file", r"[^/]*\z", "")).orderBy(F.length(name), name, "start")
+        folder = Window.partitionBy(F.regexp_replace("file", r"[^/]*\z", "")).orderBy(F.length(name), name, "run")
         lines_before = F.sum("kept").over(folder.rowsBetween(Window.unboundedPreceding, -1))
-    offsets = settled(splits.select(
-        "file", "start", lines_before.alias("lines_before"), F.sum("bytes").over(before).alias("bytes_before"),
+    offsets = settled(runs.select(
+        "file", "run", lines_before.alias("lines_before"), F.sum("bytes").over(before).alias("bytes_before"),
     ).filter("lines_before IS NOT NULL"))
-    rows = local.join(offsets, ["file", "start"], "left").filter(
+    rows = local.join(offsets, ["file", "run"], "left").filter(
         F.coalesce("bytes_before", F.lit(0)) + F.col("end") != F.col("size") + 1)
     root = "^.*?" + re.escape(re.sub(r"^\w+:/*", "", path.rstrip("/")).strip("/")) + "/"
     name = F.regexp_replace(F.url_decode("file"), root, "")

@@ -3,6 +3,7 @@
 import json
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -106,6 +107,49 @@ def test_captures_numbered_is_written_by_many_tasks(spark, sf_dir, tmp_path, mon
     assert found[0] == sorted((k, n, x) for k, v in want.items() for n, x in enumerate(v))
 
 
+def test_lines_are_numbered_in_runs():
+    """Batches of any length, splits without a gap and with one, files that follow each other."""
+    rng = random.Random(5)
+    rows, want, run, number, end = [], [], None, 0, 0
+    for file in ("a", "b", "c"):
+        last = None
+        for k in range(12):
+            if rng.random() < 0.3:
+                continue
+            for i in range(rng.randrange(1, 6)):
+                if i == 0 and last != k - 1:
+                    run, number, end = 10 * k, 0, 0
+                last, size = k, rng.randrange(1, 30)
+                rows.append((file, 10 * k, 10, size))
+                end += size
+                want.append({"run": run, "number": number, "end": end})
+                number += 1
+    for length in (1, 2, 7, len(rows)):
+        batches = [rows[i:i + length] for i in range(0, len(rows), length)]
+        arrays = [tuple(map(pa.array, zip(*b))) for b in batches]
+        arrays.insert(1, tuple(a.slice(0, 0) for a in arrays[0]))
+        got = list(tables._numbered_in_runs(iter(arrays)))
+        assert [len(x) for x in got] == [len(a[0]) for a in arrays]
+        assert [x for a in got for x in a.to_pylist()] == want
+
+
+def test_captures_numbered_reads_many_splits_in_a_task(spark, tmp_path):
+    """Splits are many times the tasks; lines longer than a split leave some without a line."""
+    docs = spark.range(0, 4000, 1, 4).select(
+        F.col("id").alias("doc_id"), F.lit("s").alias("source"), F.expr("repeat(char(97 + id % 7), IF(id % 500 = 3, 200000, 1500))").alias("text"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.sparkContext.setJobGroup("captures", "captures")
+    try:
+        got = queries.QUERIES["captures_numbered"](spark, str(tmp_path)).collect()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    want = [f"{i:012d} {chr(97 + i % 7) * (200000 if i % 500 == 3 else 1500)}" for i in range(4000)]
+    assert sorted(map(tuple, got)) == [(k, n, x) for k in ("all", "s") for n, x in enumerate(want)]
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("captures") for s in tracker.getJobInfo(j).stageIds]
+    assert max(s.numTasks for s in stages if s) < 2 * 4000 * 1500 / 65536 / 5
+
+
 def test_ids_that_are_no_numbers(spark, tmp_path):
     path = str(tmp_path / "lines")
     lines = spark.createDataFrame([("r-1", 0, "event: x"), ("r-2", 0, "event: y")], schemas.EVENT_LINES_BY_TEXT)
