@@ -15,6 +15,7 @@ from chatlog.session import options, settled
 from chatlog.sources import schemas
 
 TASK_BYTES = 16 << 20
+FILE_BYTES = 4 << 20  # what opening a file counts for
 
 
 def read_accounts(spark: SparkSession, path: str, schema: T.StructType = schemas.ACCOUNTS) -> DataFrame:
@@ -117,7 +118,7 @@ def _lines_of_files(spark: SparkSession, path: str) -> DataFrame:
     """(file, size, line, run, number, end) of all lines, many splits read by one task where they are short."""
     text = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(path)
     size = int(str(text._jdf.queryExecution().analyzed().stats().sizeInBytes()))
-    tasks = max(spark.sparkContext.defaultParallelism, -(-size // TASK_BYTES))
+    tasks = max(spark.sparkContext.defaultParallelism, (size + len(text._jdf.inputFiles()) * FILE_BYTES) // TASK_BYTES)
     at = ("file_path", "file_block_start", "file_block_length", "file_size")
     text = text.select(*(F.col(f"_metadata.{x}").alias(x) for x in at), "value").coalesce(tasks)
     number = F.arrow_udf(_numbered_in_runs, "run bigint, number bigint, end bigint")
